@@ -68,8 +68,8 @@ def typed_null(dtype: str) -> Column:
 def fmt_amount(c) -> Column:
     """Label money as ``1.23M`` / ``4.56K`` / ``789`` (no UDF)."""
     c = col(c)
-    return (F.when(F.abs(c) >= 1e6, F.format_string("%.2fM", c / 1e6))
-             .when(F.abs(c) >= 1e3, F.format_string("%.2fK", c / 1e3))
+    return (F.when(c >= 1e6, F.format_string("%.2fM", c / 1e6))
+             .when(c >= 1e3, F.format_string("%.2fK", c / 1e3))
              .otherwise(F.format_string("%.0f", c)))
 
 

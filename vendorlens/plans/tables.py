@@ -89,3 +89,29 @@ def final_all_b(spark, sf_dir) -> DataFrame:
                                  T.vendor_risk_flags(v2))
     fb = T.final_brand_replicated(v2, T.pricing_opportunities_all(v2))
     return T.final_all_replicated(fv, fb)
+
+
+def brand_pricing(spark, sf_dir) -> DataFrame:
+    return T.brand_pricing(vss(spark, sf_dir))
+
+
+def analysis_frame(spark, sf_dir) -> DataFrame:
+    """final_all rows with sales, largest first (the analysis notebook's input)."""
+    from pyspark.sql import functions as F
+    return final_all(spark, sf_dir).filter(F.col("TotalSalesDollars") > 0).orderBy(
+        F.col("TotalSalesDollars").desc(), "Level", "VendorNumber", "Brand")
+
+
+def vendor_frame(spark, sf_dir) -> DataFrame:
+    from vendorlens.operators.quality import prepare_vendor_data
+    return prepare_vendor_data(final_all(spark, sf_dir))
+
+
+def brand_frame(spark, sf_dir) -> DataFrame:
+    from vendorlens.operators.quality import load_brand_df
+    return load_brand_df(final_brand(spark, sf_dir))
+
+
+def plot_frame(spark, sf_dir) -> DataFrame:
+    from vendorlens.operators.quality import plotting_base
+    return plotting_base(final_brand(spark, sf_dir))

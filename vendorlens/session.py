@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Local runs only (the driver JVM is the whole cluster there); ignored when a session exists.
+LOCAL_CONF = {"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": "8"}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "vendorlens", extra: dict | None = None) -> SparkSession:
@@ -30,6 +33,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -55,3 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used before steps that read a small derived frame several times (rank tables,
+    bucket bounds, broadcast totals), so the upstream joins run once and a lost
+    executor does not re-run the whole chain.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
