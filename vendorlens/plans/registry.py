@@ -53,6 +53,7 @@ def _load() -> None:
     # Importing the definition modules fills REGISTRY.
     from vendorlens.plans import queries_summary  # noqa: F401
     from vendorlens.plans import queries_analysis  # noqa: F401
+    from vendorlens.plans import queries_sources  # noqa: F401
 
 
 def all_queries() -> dict[str, Query]:
