@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vendorlens.functions.frames import attach
+
 DEFAULT_BUCKETS = 64
 
 
@@ -40,7 +42,7 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
     if not ascending:
         b = F.lit(buckets - 1) - b
     # one small row per group: broadcast is bounded by the number of groups
-    x = (df.join(F.broadcast(bounds), by) if by else df.crossJoin(F.broadcast(bounds)))
+    x = (df.join(F.broadcast(bounds), by) if by else attach(df, bounds))
     x = x.withColumn("_bkt", b).drop("_bounds")
     vo = F.col(value).asc() if ascending else F.col(value).desc()
     order = [vo] + [F.col(t).asc() for t in tiebreak]
@@ -67,7 +69,8 @@ def rank_table(df: DataFrame, cols, buckets: int = DEFAULT_BUCKETS) -> DataFrame
     """
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
     long = df.select(F.inline(F.array(*structs))).filter(F.col("x").isNotNull())
-    vals = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("_k"))
+    from vendorlens.session import materialize
+    vals = materialize(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("_k")))
     cum = global_cumsum(vals, "x", "_k", "_c", buckets=buckets, by=("column",))
     n = vals.groupBy("column").agg(F.sum("_k").alias("_n"))
     return (cum.join(F.broadcast(n), "column")
@@ -101,10 +104,11 @@ def exact_quantiles(df: DataFrame, value: str, probs, names=None, buckets: int =
     so no task holds more than one bucket of distinct values.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    vals = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k"))
+    from vendorlens.session import materialize
+    vals = materialize(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k")))
     cum = global_cumsum(vals, value, "_k", "_c", buckets=buckets)
     n = vals.agg(F.sum("_k").alias("_n"))
-    x = cum.crossJoin(F.broadcast(n))
+    x = attach(cum, n)
     v = F.col(value).cast("double")
     aggs, outs = [], []
     for i, p in enumerate(probs):
@@ -145,7 +149,7 @@ def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large"
     q = len(labels)
     probs = [i / q for i in range(q + 1)]
     edges = exact_quantiles(df, value, probs).select(F.array(*[f"q{i}" for i in range(q + 1)]).alias("_edges"))
-    x = df.crossJoin(F.broadcast(edges))
+    x = attach(df, edges)
     e = F.col("_edges")
     dup = F.exists(F.sequence(F.lit(1), F.lit(q)), lambda i: F.element_at(e, i) >= F.element_at(e, i + 1))
     v = F.col(value)
@@ -158,4 +162,4 @@ def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large"
 
 def with_scalar(df: DataFrame, agg_col: Column, alias: str) -> DataFrame:
     """Attach a global scalar aggregate (one row, broadcast) to every row."""
-    return df.crossJoin(F.broadcast(df.agg(agg_col.alias(alias))))
+    return attach(df, df.agg(agg_col.alias(alias)))

@@ -23,25 +23,84 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from vendorlens.functions.frames import attach
 from pyspark.sql.types import DoubleType
 
 from vendorlens.functions.ranking import exact_quantiles, qcut
+from vendorlens.session import materialize
 
 POISSON_MAX = 15
 # Poisson(1) cumulative probabilities P(X <= k), k = 0..POISSON_MAX (from the formula).
 POISSON_CDF = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(POISSON_MAX + 1)]
 
 
+M31 = 2147483647
+GOLDEN = 2654435761
+
+
+def row_hash(seed: int, keys) -> "F.Column":
+    """32-bit row hash from md5(seed|key...), computed once per row."""
+    parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
+
+
+def row_hash_hex(seed: int, keys) -> "F.Column":
+    """Full md5 text of the row key (deterministic tie-breaker)."""
+    parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.md5(F.concat_ws("|", *parts))
+
+
+def mix(h0, rep) -> "F.Column":
+    """Per-(row, replicate) integer in [0, 2^31 - 1) from the row hash and the replicate id.
+
+    Multiply / modulo / xor / shift on values below 2^48: exact bigint arithmetic, so
+    Spark, numpy and DuckDB produce the same numbers.
+    """
+    a = h0.bitwiseXOR((rep.cast("bigint") * GOLDEN) % 4294967296)
+    a = (a * 48271) % M31
+    a = a.bitwiseXOR(F.shiftright(a, 15))
+    a = (a * 69621) % M31
+    a = a.bitwiseXOR(F.shiftright(a, 13))
+    return (a * 48271) % M31
+
+
+def mix_np(h0, rep: int):
+    import numpy as np
+    a = np.bitwise_xor(h0, (rep * GOLDEN) % 4294967296)
+    a = (a * 48271) % M31
+    a = np.bitwise_xor(a, a >> 15)
+    a = (a * 69621) % M31
+    a = np.bitwise_xor(a, a >> 13)
+    return (a * 48271) % M31
+
+
 def uniform(seed: int, keys, rep) -> "F.Column":
-    """U(0,1) from the first 32 bits of md5(seed|key...|rep)."""
-    parts = [F.lit(str(seed))] + [F.col(k).cast("string") for k in keys] + [F.col(rep).cast("string")]
-    h = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
-    return F.conv(h, 16, 10).cast("double") / 4294967296.0
+    """U[0, 1) per (row, replicate)."""
+    return mix(row_hash(seed, keys), F.col(rep)) / float(M31)
+
+
+def _row_hash_sql(seed: int, keys) -> str:
+    parts = ", ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys])
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 8)) AS BIGINT)"
+
+
+def row_hash_hex_sql(seed: int, keys) -> str:
+    parts = ", ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys])
+    return f"md5(concat_ws('|', {parts}))"
+
+
+def mix_sql(h0: str, rep: str) -> str:
+    a = f"xor({h0}, ({rep} * {GOLDEN}) % 4294967296)"
+    a = f"(({a}) * 48271) % {M31}"
+    a = f"xor({a}, ({a}) >> 15)"
+    a = f"(({a}) * 69621) % {M31}"
+    a = f"xor({a}, ({a}) >> 13)"
+    return f"((({a}) * 48271) % {M31})"
 
 
 def uniform_sql(seed: int, keys, rep: str) -> str:
-    parts = ", ".join([f"'{seed}'"] + [f"CAST({k} AS VARCHAR)" for k in keys] + [f"CAST({rep} AS VARCHAR)"])
-    return f"(CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"({mix_sql(_row_hash_sql(seed, keys), rep)} / {float(M31)!r})"
 
 
 def poisson_weight(u) -> "F.Column":
@@ -82,9 +141,9 @@ def groups_unit_cost_terciles(vss: DataFrame) -> DataFrame:
 def groups_purchase_qty_median(brand: DataFrame) -> DataFrame:
     """H3: purchase quantity <= median -> 'small', above -> 'large'; value = unit price."""
     b = brand.filter((F.col("TotalPurchaseQuantity") > 0) & (F.col("TotalPurchaseDollars") > 0))
-    b = b.withColumn("value", F.col("TotalPurchaseDollars") / F.col("TotalPurchaseQuantity"))
+    b = materialize(b.withColumn("value", F.col("TotalPurchaseDollars") / F.col("TotalPurchaseQuantity")))
     med = exact_quantiles(b, "TotalPurchaseQuantity", [0.5], ["_med"])
-    return (b.crossJoin(F.broadcast(med))
+    return (attach(b, med)
              .withColumn("group", F.when(F.col("TotalPurchaseQuantity") <= F.col("_med"), F.lit("small"))
                                    .otherwise(F.lit("large")))
              .select("VendorNumber", "VendorName", "Brand", "group", "value"))
@@ -96,12 +155,12 @@ def groups_purchase_share(vendor_summary: DataFrame, low_q: float | None = None,
     v = vendor_summary.select("VendorNumber", "VendorName", F.col("TotalPurchaseDol").alias("_tp"),
                               F.col("ProfitMargin").alias("value"))
     tot = v.agg(F.sum("_tp").alias("_t"))
-    v = v.crossJoin(F.broadcast(tot)).withColumn("share", F.col("_tp") / F.col("_t"))
+    v = materialize(attach(v, tot).withColumn("share", F.col("_tp") / F.col("_t")))
     probs, names = [high_q], ["_hi"]
     if low_q is not None:
         probs, names = [high_q, low_q], ["_hi", "_lo"]
     q = exact_quantiles(v, "share", probs, names)
-    v = v.crossJoin(F.broadcast(q))
+    v = attach(v, q)
     if low_q is None:
         g = F.when(F.col("share") >= F.col("_hi"), F.lit("top")).when(F.col("share") < F.col("_hi"), F.lit("rest"))
     else:
@@ -130,13 +189,13 @@ def bootstrap_mean_ci(df: DataFrame, keys, B: int = 2000, confidence: float = 0.
     NULLs when n < 5; replicates min(B, 5000) if n > 100 else 1000.
     """
     a = (1 - confidence) / 2
-    d = df.filter(F.col("value").isNotNull())
+    d = materialize(df.filter(F.col("value").isNotNull()))
     n = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
-    x = d.join(F.broadcast(n), list(by)) if by else d.crossJoin(F.broadcast(n))
+    x = d.join(F.broadcast(n), list(by)) if by else attach(d, n)
     x = x.filter(F.col("n") >= 5)
     m = _replicate_means(x.drop("mean"), keys, effective_reps(F.col("n"), B), seed, by)
     ci = m.groupBy(*by).agg(F.percentile("_mean", a).alias("lo"), F.percentile("_mean", 1 - a).alias("hi"))
-    out = n.join(ci, list(by), "left") if by else n.crossJoin(ci)
+    out = n.join(ci, list(by), "left") if by else attach(n, ci)
     small = F.col("n") < 5
     return out.select(*by, "n", F.when(~small, F.col("mean")).alias("mean"),
                       F.when(~small, F.col("lo")).alias("lo"), F.when(~small, F.col("hi")).alias("hi"))
@@ -149,7 +208,7 @@ def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int =
     -> one row: n_a, n_b, observed_diff, boot_mean_diff, lo, hi.
     """
     a = (1 - confidence) / 2
-    d = df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
     m = _replicate_means(d, keys, B, seed, by=("group",))
     p = (m.groupBy("_rep").agg(F.max(F.when(F.col("group") == group_a, F.col("_mean"))).alias("_ma"),
                                F.max(F.when(F.col("group") == group_b, F.col("_mean"))).alias("_mb"))
@@ -159,33 +218,72 @@ def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int =
     obs = d.agg(F.count_if(F.col("group") == group_a).alias("n_a"), F.count_if(F.col("group") == group_b).alias("n_b"),
                 (F.avg(F.when(F.col("group") == group_a, F.col("value")))
                  - F.avg(F.when(F.col("group") == group_b, F.col("value")))).alias("observed_diff"))
-    return obs.crossJoin(ci)
+    return attach(obs, ci)
+
+
+def _perm_sums_pandas(B: int, chunks: int):
+    import numpy as np
+    import pandas as pd
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = int(pdf["_chunk"].iloc[0])
+        n_a = int(pdf["n_a"].iloc[0])
+        h0 = pdf["_h0"].to_numpy(dtype=np.int64)
+        vals = pdf["value"].to_numpy(dtype=np.float64)
+        order = np.argsort(pdf["_hx"].to_numpy(dtype=object), kind="stable")
+        tie = np.empty(len(order), dtype=np.int64)
+        tie[order] = np.arange(len(order), dtype=np.int64)
+        n = len(vals)
+        reps = np.arange(c, B, chunks, dtype=np.int64)
+        out = np.empty(len(reps), dtype=np.float64)
+        for i, r in enumerate(reps):
+            key = mix_np(h0, int(r)) * n + tie
+            idx = np.argpartition(key, n_a - 1)[:n_a] if 0 < n_a < n else np.arange(n_a)
+            out[i] = vals[idx].sum()
+        return pd.DataFrame({"_rep": reps, "_sa": out})
+    return fn
 
 
 def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 10000, seed: int = 42,
-                     plus_one: bool = False) -> DataFrame:
+                     plus_one: bool = False, chunks: int = 64, max_pool_rows: int = 2_000_000) -> DataFrame:
     """H7 / H8: one-sided permutation test of mean(a) - mean(b) >= observed.
 
+    Replicate r puts the n_a pooled rows with the smallest hash (row, r) into group a.
     p = mean(perm >= obs) (H7) or (count + 1) / (B + 1) (H8, ``plus_one=True``).
     -> one row: n_a, n_b, observed_diff, p_value.
+
+    The pooled sample is a summary (one row per vendor-brand). Up to ``max_pool_rows``
+    rows, replicates are split into ``chunks`` groups and each group draws its
+    permutations in numpy (O(rows) per replicate, hash + argpartition); above that, the
+    same permutations run as a window partitioned by replicate, so no task ever holds
+    more than one replicate.
     """
-    d = df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+                      .select(*keys, "group", "value", row_hash(seed, keys).alias("_h0"),
+                              row_hash_hex(seed, keys).alias("_hx")))
     obs = d.agg(F.count_if(F.col("group") == group_a).alias("n_a"), F.count(F.lit(1)).alias("_n"),
                 F.sum("value").alias("_tot"),
                 (F.avg(F.when(F.col("group") == group_a, F.col("value")))
                  - F.avg(F.when(F.col("group") == group_b, F.col("value")))).alias("observed_diff"))
-    r = d.select(*keys, "value").withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
-    r = r.withColumn("_u", uniform(seed, keys, "_rep"))
-    w = Window.partitionBy("_rep").orderBy("_u", *keys)
-    r = r.withColumn("_rn", F.row_number().over(w)).crossJoin(F.broadcast(obs.select("n_a")))
-    s = r.groupBy("_rep").agg(F.sum(F.when(F.col("_rn") <= F.col("n_a"), F.col("value"))).alias("_sa"))
-    s = s.crossJoin(F.broadcast(obs))
+    n_pool = obs.select("_n").first()[0] or 0
+    if n_pool <= max_pool_rows:
+        chunks = max(1, min(chunks, B))
+        x = attach(d.select("_h0", "_hx", "value"), obs.select("n_a"))
+        x = x.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        s = x.groupBy("_chunk").applyInPandas(_perm_sums_pandas(B, chunks), "_rep long, _sa double")
+    else:
+        r = d.select("_h0", "_hx", "value").withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
+        r = r.withColumn("_u", mix(F.col("_h0"), F.col("_rep")))
+        w = Window.partitionBy("_rep").orderBy("_u", "_hx")
+        r = attach(r.withColumn("_rn", F.row_number().over(w)), obs.select("n_a"))
+        s = r.groupBy("_rep").agg(F.sum(F.when(F.col("_rn") <= F.col("n_a"), F.col("value"))).alias("_sa"))
+    s = attach(s, obs)
     diff = F.col("_sa") / F.col("n_a") - (F.col("_tot") - F.col("_sa")) / (F.col("_n") - F.col("n_a"))
     s = s.withColumn("_ge", F.when(diff >= F.col("observed_diff"), 1).otherwise(0))
     agg = s.agg(F.sum("_ge").alias("_k"), F.count(F.lit(1)).alias("_b"))
     p = (F.col("_k") + 1) / (F.col("_b") + 1) if plus_one else F.col("_k") / F.col("_b")
-    return (obs.crossJoin(agg)
-               .select("n_a", (F.col("_n") - F.col("n_a")).alias("n_b"), "observed_diff", p.cast("double").alias("p_value")))
+    return (attach(obs, agg)
+            .select("n_a", (F.col("_n") - F.col("n_a")).alias("n_b"), "observed_diff", p.cast("double").alias("p_value")))
 
 
 # --------------------------------------------------------------------------- assumptions
@@ -238,7 +336,7 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
     """H9: sample sizes, adequacy (>= 30 each), normality per group (Jarque-Bera from
     skewness and kurtosis, replacing Shapiro-Wilk), equal variances (Levene, median
     centred = Brown-Forsythe) and IQR outlier counts (> 10 % warns). One row."""
-    d = df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
     g = d.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
                                F.kurtosis("value").alias("kurt"), F.median("value").alias("med"),
                                F.percentile("value", [0.25, 0.75]).alias("q"))
@@ -260,7 +358,7 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
                  pick(group_a, "jb_p").alias("normality_p1"), pick(group_b, "jb_p").alias("normality_p2"),
                  pick(group_a, "outliers").alias("outliers1"), pick(group_b, "outliers").alias("outliers2"),
                  pick(group_a, "zbar").alias("_z1"), pick(group_b, "zbar").alias("_z2"))
-    row = row.crossJoin(within)
+    row = attach(row, within)
     between = (F.col("n1") * (F.col("_z1") - F.col("_zall")) ** 2 + F.col("n2") * (F.col("_z2") - F.col("_zall")) ** 2)
     lev = F.when(F.col("_within") > 0, (F.col("_N") - 2) * between / F.col("_within"))
     row = row.withColumn("levene_W", lev)
@@ -286,11 +384,11 @@ def verdict(ci: DataFrame, lo: str = "lo", hi: str = "hi", diff: str = "observed
 def top_vs_low_report(vendor_summary: DataFrame, B_each: int = 2000, B_diff: int = 2000) -> DataFrame:
     """Top-quartile vs bottom-quartile purchase-share vendors: assumptions, per-group
     bootstrap means, the bootstrap difference and its verdict (one row)."""
-    g = groups_purchase_share(vendor_summary, low_q=0.25, high_q=0.75)
+    g = materialize(groups_purchase_share(vendor_summary, low_q=0.25, high_q=0.75))
     keys = ("VendorNumber", "VendorName")
     a = assumption_report(g, "top", "low")
     m = bootstrap_mean_ci(g, keys, B=B_each, seed=42, by=("group",))
     piv = m.agg(*[F.max(F.when(F.col("group") == k, F.col(c))).alias(f"{k}_{c}")
                   for k in ("top", "low") for c in ("mean", "lo", "hi")])
     d = verdict(bootstrap_diff_ci(g, keys, "top", "low", B=B_diff, seed=42))
-    return a.crossJoin(piv).crossJoin(d.drop("n_a", "n_b"))
+    return attach(attach(a, piv), d.drop("n_a", "n_b"))

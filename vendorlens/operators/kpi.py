@@ -12,32 +12,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendorlens.functions.frames import attach
+
 from vendorlens.functions.expr import fmt_amount, safe_div
 from vendorlens.session import materialize
 from vendorlens.functions.ranking import exact_quantiles, global_cumsum, qcut, with_avg_rank_pct
 
-S, P, FR = F.col("TotalSalesDollars"), F.col("TotalPurchaseDollars"), F.col("FreightCost")
-SQ, PQ, UP = F.col("TotalSalesQuantity"), F.col("TotalPurchaseQuantity"), F.col("UpsideDollars")
+def S():
+    return F.col("TotalSalesDollars")
+
+
+def P():
+    return F.col("TotalPurchaseDollars")
+
+
+def FR():
+    return F.col("FreightCost")
+
+
+def SQ():
+    return F.col("TotalSalesQuantity")
+
+
+def PQ():
+    return F.col("TotalPurchaseQuantity")
+
+
+def UP():
+    return F.col("UpsideDollars")
 
 
 def snapshot(vendor: DataFrame) -> DataFrame:
     """A1: distinct vendors, total sales, units and mean margin of the vendor frame."""
     return vendor.agg(F.countDistinct("VendorNumber").alias("vendors_total"),
-                      F.sum(S).alias("total_sales_dollars"), F.sum(SQ).alias("total_units_sold"),
+                      F.sum(S()).alias("total_sales_dollars"), F.sum(SQ()).alias("total_units_sold"),
                       F.avg("CurrentMargin").alias("avg_margin"))
 
 
 def weighted_margin(vendor: DataFrame) -> DataFrame:
     """A2: sum of gross profit over sum of sales, in percent, and rows used."""
-    v = vendor.filter(S > 0)
-    return v.agg((F.sum("GrossProfit") / F.sum(S) * 100).alias("weighted_margin"),
+    v = vendor.filter(S() > 0)
+    return v.agg((F.sum("GrossProfit") / F.sum(S()) * 100).alias("weighted_margin"),
                  F.count(F.lit(1)).alias("rows_used"))
 
 
 def totals_reconciliation(vendor: DataFrame) -> DataFrame:
     """A3: long (metric, value): 4 totals, recomputed GP, overall margin, GP < 0 and sales <= 0 rows."""
-    a = vendor.agg(F.sum(S).alias("s"), F.sum(P).alias("p"), F.sum(FR).alias("f"), F.sum("GrossProfit").alias("g"),
-                   F.count_if(F.col("GrossProfit") < 0).alias("neg"), F.count_if(S <= 0).alias("nonpos"))
+    a = vendor.agg(F.sum(S()).alias("s"), F.sum(P()).alias("p"), F.sum(FR()).alias("f"), F.sum("GrossProfit").alias("g"),
+                   F.count_if(F.col("GrossProfit") < 0).alias("neg"), F.count_if(S() <= 0).alias("nonpos"))
     items = [("TotalSalesDollars", F.col("s")), ("TotalPurchaseDollars", F.col("p")), ("FreightCost", F.col("f")),
              ("GrossProfit", F.col("g")), ("calc_gp", F.col("s") - F.col("p") - F.col("f")),
              ("overall_margin_pct", safe_div(F.col("g"), F.col("s")) * 100),
@@ -48,8 +70,8 @@ def totals_reconciliation(vendor: DataFrame) -> DataFrame:
 
 def top_brands_by_upside(final_brand: DataFrame, n: int = 15) -> DataFrame:
     """A4: brands with upside, sales and quantity, highest upside first, with a 'vendor • brand' label."""
-    f = final_brand.filter((UP > 0) & (S > 0) & (SQ > 0))
-    return (f.orderBy(UP.desc(), "VendorNumber", "Brand", "VendorName").limit(n)
+    f = final_brand.filter((UP() > 0) & (S() > 0) & (SQ() > 0))
+    return (f.orderBy(UP().desc(), "VendorNumber", "Brand", "VendorName").limit(n)
              .select("VendorNumber", "VendorName", "Brand", "CurrentMargin", "UpsideDollars",
                      "NeededPriceDeltaPerUnit", "TotalSalesDollars", "TotalSalesQuantity",
                      F.concat(F.col("VendorName"), F.lit(" • "), F.col("Brand").cast("string")).alias("label")))
@@ -57,22 +79,22 @@ def top_brands_by_upside(final_brand: DataFrame, n: int = 15) -> DataFrame:
 
 def vendor_upside(final_brand: DataFrame, n: int = 15) -> DataFrame:
     """A5: upside summed per (VendorNumber, VendorName) over qualifying brands, top n."""
-    f = final_brand.filter((UP > 0) & (S > 0) & (SQ > 0))
-    return (f.groupBy("VendorNumber", "VendorName").agg(F.sum(UP).alias("UpsideDollars"))
+    f = final_brand.filter((UP() > 0) & (S() > 0) & (SQ() > 0))
+    return (f.groupBy("VendorNumber", "VendorName").agg(F.sum(UP()).alias("UpsideDollars"))
              .orderBy(F.col("UpsideDollars").desc(), "VendorNumber", "VendorName").limit(n))
 
 
 def pricing_fix_points(final_brand: DataFrame) -> DataFrame:
     """Scatter frame of brands needing a price fix."""
-    return (final_brand.filter((SQ > 0) & (UP > 0))
+    return (final_brand.filter((SQ() > 0) & (UP() > 0))
             .select("VendorNumber", "VendorName", "Brand", "CurrentMargin", "NeededPriceDeltaPerUnit",
                     "UpsideDollars"))
 
 
 def _coalesced_brand(final_brand: DataFrame) -> DataFrame:
     return final_brand.select(
-        "VendorName", "Brand", F.coalesce(UP, F.lit(0.0)).alias("UpsideDollars"),
-        F.coalesce(S, F.lit(0.0)).alias("TotalSalesDollars"),
+        "VendorName", "Brand", F.coalesce(UP(), F.lit(0.0)).alias("UpsideDollars"),
+        F.coalesce(S(), F.lit(0.0)).alias("TotalSalesDollars"),
         F.coalesce("CurrentMargin", F.lit(0.0)).alias("CurrentMargin"),
         F.coalesce("NeededPriceDeltaPerUnit", F.lit(0.0)).alias("NeededPriceDeltaPerUnit"))
 
@@ -83,10 +105,10 @@ def top_brands_in_top_vendors(final_brand: DataFrame, vendors: int = 10, brands:
     (partitioned by vendor name, so no task sees more than one vendor's brands)."""
     from pyspark.sql import Window
     b = _coalesced_brand(final_brand)
-    top = (b.groupBy("VendorName").agg(F.sum(UP).alias("_vu"))
+    top = (b.groupBy("VendorName").agg(F.sum(UP()).alias("_vu"))
             .orderBy(F.col("_vu").desc(), "VendorName").limit(vendors).select("VendorName"))
     t = b.join(F.broadcast(top), "VendorName", "left_semi")
-    w = Window.partitionBy("VendorName").orderBy(UP.desc(), F.col("Brand").asc())
+    w = Window.partitionBy("VendorName").orderBy(UP().desc(), F.col("Brand").asc())
     return t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= brands).drop("_rn")
 
 
@@ -98,32 +120,32 @@ def brand_bubbles(final_brand: DataFrame) -> DataFrame:
     names = b.select("VendorName").distinct()
     codes = names.withColumn("vendor_code", F.dense_rank().over(Window.orderBy(F.col("VendorName").asc_nulls_last())) - 1)
     return (b.join(codes, b["VendorName"].eqNullSafe(codes["VendorName"]), "left").drop(codes["VendorName"])
-             .withColumn("size", F.sqrt(F.greatest(UP, F.lit(0.0)) + 1)))
+             .withColumn("size", F.sqrt(F.greatest(UP(), F.lit(0.0)) + 1)))
 
 
 def vendor_bubbles(final_vendor: DataFrame, opps: DataFrame, eps: float = 1e-9) -> DataFrame:
     """final_vendor left-joined to brand opportunities on VendorNumber, upside summed
     per vendor, sales > 0, size = 300 * upside / (max + eps) + 30."""
-    o = opps.groupBy("VendorNumber").agg(F.sum(UP).alias("_u"))
+    o = opps.groupBy("VendorNumber").agg(F.sum(UP()).alias("_u"))
     v = (final_vendor.join(o, "VendorNumber", "left")
          .groupBy("VendorNumber", "VendorName", "TotalSalesDollars", "CurrentMargin")
          .agg(F.coalesce(F.sum("_u"), F.lit(0.0)).alias("UpsideDollars"))
-         .filter(S > 0))
-    mx = v.agg(F.max(UP).alias("_mx"))
-    return (v.crossJoin(F.broadcast(mx))
-             .withColumn("size", F.lit(300.0) * (UP / (F.col("_mx") + eps)) + 30).drop("_mx"))
+         .filter(S() > 0))
+    mx = v.agg(F.max(UP()).alias("_mx"))
+    return (attach(v, mx)
+             .withColumn("size", F.lit(300.0) * (UP() / (F.col("_mx") + eps)) + 30).drop("_mx"))
 
 
 def top_vendors_by_sales(final_vendor: DataFrame, n: int = 10) -> DataFrame:
     """A10 (+A12 label): sales summed by vendor name, top n."""
-    return (final_vendor.groupBy("VendorName").agg(F.sum(S).alias("Sales"))
+    return (final_vendor.groupBy("VendorName").agg(F.sum(S()).alias("Sales"))
             .orderBy(F.col("Sales").desc(), "VendorName").limit(n)
             .withColumn("label", fmt_amount("Sales")))
 
 
 def top_brands_by_sales(final_brand: DataFrame, n: int = 10) -> DataFrame:
     """A11 (+A12 label): sales summed by brand over all vendors, top n."""
-    return (final_brand.groupBy("Brand").agg(F.sum(S).alias("Sales"))
+    return (final_brand.groupBy("Brand").agg(F.sum(S()).alias("Sales"))
             .orderBy(F.col("Sales").desc(), "Brand").limit(n)
             .withColumn("label", fmt_amount("Sales")))
 
@@ -136,7 +158,7 @@ def pareto(df: DataFrame, key: str, value: str, top: int | None = 20, buckets: i
     c = global_cumsum(g.withColumn("_one", F.lit(1)), value, value, "_cum", ascending=False,
                       tiebreak=(key,), buckets=buckets)
     c = global_cumsum(c, value, "_one", "rank", ascending=False, tiebreak=(key,), buckets=buckets)
-    out = (c.crossJoin(F.broadcast(tot))
+    out = (attach(c, tot)
             .select(key, value, (F.col(value) / F.col("_tot")).alias("pct"),
                     (F.col("_cum") / F.col("_tot")).alias("cum_pct"), F.col("rank").cast("bigint").alias("rank")))
     out = out.withColumn("pct_lbl", F.concat(F.format_number(F.col("pct") * 100, 1), F.lit("%")))
@@ -145,14 +167,14 @@ def pareto(df: DataFrame, key: str, value: str, top: int | None = 20, buckets: i
 
 def size_terciles(brand_pricing: DataFrame) -> DataFrame:
     """Unit cost (purchase + freight) / sales qty by sales-quantity tercile (qcut)."""
-    b = brand_pricing.filter(SQ > 0).withColumn("UnitPurchasePrice", (P + FR) / SQ)
+    b = brand_pricing.filter(SQ() > 0).withColumn("UnitPurchasePrice", (P() + FR()) / SQ())
     b = qcut(b, "TotalSalesQuantity", "OrderSize")
     return b.groupBy("OrderSize").agg(F.round(F.avg("UnitPurchasePrice"), 2).alias("UnitPurchasePrice"))
 
 
 def lowest_turnover_vendors(vss: DataFrame, vendor_invoice: DataFrame, n: int = 15) -> DataFrame:
     """Summary sales qty / invoice qty per vendor, lowest first; label falls back to the number."""
-    s = vss.groupBy("VendorNumber").agg(F.sum(SQ).alias("SalesQty"))
+    s = vss.groupBy("VendorNumber").agg(F.sum(SQ()).alias("SalesQty"))
     p = vendor_invoice.groupBy("VendorNumber").agg(F.sum("Quantity").alias("PurchQty"))
     nm = vss.groupBy("VendorNumber").agg(F.max("VendorName").alias("VendorName"))
     t = (s.join(p, "VendorNumber").join(nm, "VendorNumber", "left")
@@ -166,24 +188,24 @@ def lowest_turnover_vendors(vss: DataFrame, vendor_invoice: DataFrame, n: int =
 def concentration(final_vendor: DataFrame) -> DataFrame:
     """Purchase-share concentration: top-5 share, top-10 share and HHI (one row)."""
     from pyspark.sql import Window
-    v = final_vendor.filter(P > 0)
-    tot = v.agg(F.sum(P).alias("_tot"))
-    sh = v.crossJoin(F.broadcast(tot)).withColumn("share", P / F.col("_tot"))
+    v = final_vendor.filter(P() > 0)
+    tot = v.agg(F.sum(P()).alias("_tot"))
+    sh = attach(v, tot).withColumn("share", P() / F.col("_tot"))
     # top-10 by share: per-partition top-k then a merge of at most 10 rows per task
     top10 = sh.orderBy(F.col("share").desc(), "VendorNumber").limit(10)
     r = top10.withColumn("_rn", F.row_number().over(Window.orderBy(F.col("share").desc(), "VendorNumber")))
     t = r.agg(F.sum(F.when(F.col("_rn") <= 5, F.col("share"))).alias("top5_share"),
               F.sum("share").alias("top10_share"))
     h = sh.agg(F.sum(F.col("share") * F.col("share")).alias("hhi"), F.count(F.lit(1)).alias("vendors"))
-    return t.crossJoin(h)
+    return attach(t, h)
 
 
 def concentration_top10(final_vendor: DataFrame) -> DataFrame:
     """A17 list: the 10 vendors with the largest purchase share."""
-    v = final_vendor.filter(P > 0)
-    tot = v.agg(F.sum(P).alias("_tot"))
-    return (v.crossJoin(F.broadcast(tot)).select("VendorName", "TotalPurchaseDollars",
-                                                 (P / F.col("_tot")).alias("share"), "VendorNumber")
+    v = final_vendor.filter(P() > 0)
+    tot = v.agg(F.sum(P()).alias("_tot"))
+    return (attach(v, tot).select("VendorName", "TotalPurchaseDollars",
+                                                 (P() / F.col("_tot")).alias("share"), "VendorNumber")
              .orderBy(F.col("share").desc(), "VendorNumber").limit(10))
 
 
@@ -206,14 +228,14 @@ def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame) -> DataFrame:
     v = canonical_vendor_columns(vendor_summary)
     tot = v.agg(F.sum("TotalPurchaseDollars").alias("_tp"))
     has_units = v.agg(F.count("TotalPurchaseQty").alias("_hu"))
-    v = v.crossJoin(F.broadcast(tot)).crossJoin(F.broadcast(has_units))
+    v = attach(attach(v, tot), has_units)
     share = F.when(F.col("_tp") != 0, F.col("TotalPurchaseDollars") / F.col("_tp")).otherwise(F.lit(0.0))
     st = F.when(F.col("_hu") > 0, safe_div(F.col("TotalSalesQty"), F.col("TotalPurchaseQty"))) \
           .otherwise(safe_div(F.col("TotalSalesDollars"), F.col("TotalPurchaseDollars")))
     v = v.withColumn("PurchaseShare", share).withColumn("StockTurnover", st.cast("double"))
     roll = opps.groupBy("VendorNumber", "VendorName").agg(
-        F.coalesce(F.sum(UP), F.lit(0.0)).alias("UpsideTotal"),
-        F.count_if(UP > 0).alias("BrandsNeedingAction"))
+        F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
+        F.count_if(UP() > 0).alias("BrandsNeedingAction"))
     s = (v.join(roll, ["VendorNumber", "VendorName"], "left")
           .na.fill({"UpsideTotal": 0.0, "BrandsNeedingAction": 0}))
     return s.select("VendorNumber", "VendorName", "UpsideTotal", "BrandsNeedingAction", "CurrentMargin",
@@ -238,10 +260,10 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
     pass ``join_on=('VendorNumber',)`` to keep them). Five average-tie percent ranks
     are combined with ``weights``. Sorted by ActionScore descending.
     """
-    b = final_brand.withColumn("_st", F.when(PQ > 0, SQ / PQ)) \
-                   .withColumn("_need", F.when(UP > 0, 1).otherwise(0))
+    b = final_brand.withColumn("_st", F.when(PQ() > 0, SQ() / PQ())) \
+                   .withColumn("_need", F.when(UP() > 0, 1).otherwise(0))
     agg = b.groupBy("VendorNumber", "VendorName").agg(
-        F.coalesce(F.sum(UP), F.lit(0.0)).alias("UpsideTotal"),
+        F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
         F.sum("_need").cast("bigint").alias("BrandsNeedingAction"),
         F.count("Brand").alias("BrandCount"),
         F.median("_st").alias("BrandTurnoverMedian"))
@@ -252,9 +274,9 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
         F.col("TotalPurchaseDol").alias("TotalPurchaseDollars"),
         F.col("TotalPurchaseQty").alias("TotalPurchaseQuantity"),
         "FreightCost", F.col("ProfitMargin").alias("CurrentMargin"))
-    v = v.withColumn("StockTurnover", F.when(PQ > 0, SQ / PQ))
+    v = v.withColumn("StockTurnover", F.when(PQ() > 0, SQ() / PQ()))
     tot = v.agg(F.sum("TotalPurchaseDollars").alias("_tp"))
-    v = v.crossJoin(F.broadcast(tot)).withColumn("PurchaseShare", safe_div(F.col("TotalPurchaseDollars"), F.col("_tp")))
+    v = attach(v, tot).withColumn("PurchaseShare", safe_div(F.col("TotalPurchaseDollars"), F.col("_tp")))
     if tuple(join_on) == ("VendorNumber",):
         agg = agg.drop("VendorName")
     s = (v.join(agg, list(join_on), "left")
@@ -291,17 +313,17 @@ def executive_blurb(scorecard: DataFrame, n: int = 5) -> DataFrame:
 
 def brand_portfolio(brand: DataFrame) -> DataFrame:
     """Brand bubble size clip(40 + upside / median(upside, or 1 if 0) * 15, 40, 500)."""
-    u = F.coalesce(UP, F.lit(0.0))
+    u = F.coalesce(UP(), F.lit(0.0))
     med = brand.agg(F.median(u).alias("_med"))
     m = F.when((F.col("_med") == 0) | F.col("_med").isNull(), F.lit(1.0)).otherwise(F.col("_med"))
-    return (brand.crossJoin(F.broadcast(med))
+    return (attach(brand, med)
                  .withColumn("size", F.least(F.greatest(F.lit(40.0) + u / m * 15, F.lit(40.0)), F.lit(500.0)))
                  .drop("_med"))
 
 
 def top_brands_by_total_upside(brand: DataFrame, n: int = 20) -> DataFrame:
     """Upside summed per brand over vendors, top n (pandas sum: all-NULL -> 0)."""
-    return (brand.groupBy("Brand").agg(F.coalesce(F.sum(UP), F.lit(0.0)).alias("UpsideDollars"))
+    return (brand.groupBy("Brand").agg(F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideDollars"))
             .orderBy(F.col("UpsideDollars").desc(), "Brand").limit(n))
 
 
@@ -309,15 +331,15 @@ def bottom_decile_turnover(brand: DataFrame, n: int = 30) -> DataFrame:
     """Brands with 0 < turnover <= 10th percentile, slowest first."""
     q = exact_quantiles(brand, "StockTurnover", [0.1], ["_q10"])
     st = F.col("StockTurnover")
-    return (brand.crossJoin(F.broadcast(q)).filter((st > 0) & (st <= F.col("_q10")))
+    return (attach(brand, q).filter((st > 0) & (st <= F.col("_q10")))
                  .orderBy(st, "VendorNumber", "Brand").limit(n)
                  .select("VendorName", "Brand", "StockTurnover", "TotalSalesQuantity", "TotalPurchaseQuantity"))
 
 
 def unsold_inventory(vss: DataFrame, n: int = 15) -> DataFrame:
     """On-hand units max(purchased - sold, 0) valued at average unit cost, per vendor."""
-    cost = F.when(PQ > 0, P / PQ)
-    units = F.greatest(PQ - SQ, F.lit(0))
+    cost = F.when(PQ() > 0, P() / PQ())
+    units = F.greatest(PQ() - SQ(), F.lit(0))
     b = vss.select("VendorNumber", "VendorName", units.alias("OnHandUnits"), (units * cost).alias("OnHandValue"))
     return (b.groupBy("VendorNumber", "VendorName")
              .agg(F.sum("OnHandUnits").alias("OnHandUnits"), F.coalesce(F.sum("OnHandValue"), F.lit(0.0)).alias("OnHandValue"))
@@ -329,7 +351,7 @@ def dashboard_kpis(vss: DataFrame, vendor_summary: DataFrame, diag: DataFrame, u
     """One row of dashboard cards. The dashboard's measures are not in the reference;
     ours: totals from T1, underperforming share = T8 brands / T7b brands, vendors at risk =
     T9 vendors / T4c vendors, average spend = purchases / distinct vendors."""
-    t = vss.agg(F.sum(S).alias("total_sales"), F.sum(P).alias("total_purchases"),
+    t = vss.agg(F.sum(S()).alias("total_sales"), F.sum(P()).alias("total_purchases"),
                 F.sum("GrossProfit").alias("gross_profit"),
                 F.countDistinct("VendorNumber").alias("distinct_vendors"),
                 F.countDistinct("Brand").alias("distinct_brands"))
@@ -339,7 +361,7 @@ def dashboard_kpis(vss: DataFrame, vendor_summary: DataFrame, diag: DataFrame, u
     db = diag.agg(F.count(F.lit(1)).alias("_db"))
     rv = risk_summary.agg(F.count(F.lit(1)).alias("_rv"))
     cv = vendor_summary_c.agg(F.count(F.lit(1)).alias("_cv"))
-    return (t.crossJoin(ub).crossJoin(db).crossJoin(rv).crossJoin(cv)
+    return (attach(attach(attach(attach(t, ub), db), rv), cv)
              .withColumn("underperforming_brand_share", safe_div(F.col("_ub"), F.col("_db")))
              .withColumn("vendors_at_risk_share", safe_div(F.col("_rv"), F.col("_cv")))
              .drop("_ub", "_db", "_rv", "_cv"))
@@ -347,6 +369,6 @@ def dashboard_kpis(vss: DataFrame, vendor_summary: DataFrame, diag: DataFrame, u
 
 def sales_share_by_brand(final_brand: DataFrame) -> DataFrame:
     """Donut frame - each brand's share of total sales."""
-    g = final_brand.groupBy("Brand").agg(F.sum(S).alias("Sales"))
+    g = final_brand.groupBy("Brand").agg(F.sum(S()).alias("Sales"))
     tot = g.agg(F.sum("Sales").alias("_t"))
-    return g.crossJoin(F.broadcast(tot)).select("Brand", "Sales", (F.col("Sales") / F.col("_t")).alias("share"))
+    return attach(g, tot).select("Brand", "Sales", (F.col("Sales") / F.col("_t")).alias("share"))

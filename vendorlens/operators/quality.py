@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from vendorlens.functions.frames import attach
 from pyspark.sql import types as T
 
 from vendorlens.functions.expr import finite_or_null
@@ -114,7 +116,7 @@ def duplicate_keys_by_level(final_all: DataFrame) -> DataFrame:
          .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dup_vendor_rows")))
     b = (final_all.filter(F.col("Level") == "brand").groupBy("VendorNumber", "Brand").count()
          .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dup_brand_rows")))
-    return v.crossJoin(b)
+    return attach(v, b)
 
 
 def duplicate_keys(df: DataFrame, keys=("VendorNumber", "Brand")) -> DataFrame:
@@ -211,7 +213,7 @@ def purchase_reconciliation(vendor_invoice: DataFrame, brand_pricing: DataFrame)
     vi = vendor_invoice.agg(F.sum("Dollars").alias("vi_purch"))
     bp = brand_pricing.agg(F.sum("TotalPurchaseDollars").alias("bp_purch"))
     vv = F.col("vi_purch")
-    return vi.crossJoin(bp).withColumn("ratio", F.when(vv.isNotNull() & (vv != 0), F.col("bp_purch") / vv))
+    return attach(vi, bp).withColumn("ratio", F.when(vv.isNotNull() & (vv != 0), F.col("bp_purch") / vv))
 
 
 def vendor_inflation(vendor_invoice: DataFrame, brand_pricing: DataFrame, top: int = 15) -> DataFrame:

@@ -30,8 +30,25 @@ from pyspark.sql import functions as F
 from vendorlens.functions.expr import (div_if_positive, least_null, safe_div,
                                        sqlite_real, trim_or_empty, typed_null)
 
-S, P, FR = F.col("TotalSalesDollars"), F.col("TotalPurchaseDollars"), F.col("FreightCost")
-SQ, PQ = F.col("TotalSalesQuantity"), F.col("TotalPurchaseQuantity")
+
+def S():
+    return F.col("TotalSalesDollars")
+
+
+def P():
+    return F.col("TotalPurchaseDollars")
+
+
+def FR():
+    return F.col("FreightCost")
+
+
+def SQ():
+    return F.col("TotalSalesQuantity")
+
+
+def PQ():
+    return F.col("TotalPurchaseQuantity")
 
 
 def _margin_pct(sales, gp):
@@ -125,8 +142,8 @@ def vendor_sales_summary(sales: DataFrame, purchases: DataFrame, vendor_invoice:
         F.coalesce("BrandPurchaseDollars", F.lit(0.0)).alias("TotalPurchaseDollars"),
         allocated_freight(F.col("Freight"), F.col("BrandPurchaseDollars"),
                           F.col("VendorBrandPurchDollars")).alias("FreightCost"))
-    gp = S - P - FR
-    return out.withColumn("GrossProfit", gp).withColumn("ProfitMargin", _margin_pct(S, gp))
+    gp = S() - P() - FR()
+    return out.withColumn("GrossProfit", gp).withColumn("ProfitMargin", _margin_pct(S(), gp))
 
 
 # --------------------------------------------------------------------------- T2 / T3
@@ -236,16 +253,16 @@ def premerge_summary(sales: DataFrame, purchases: DataFrame, vendor_invoice: Dat
 
 def vendor_rollup(vss: DataFrame) -> DataFrame:
     """One row per vendor from T1 (build variant)."""
-    gp_sum = F.sum(S - P - FR)
+    gp_sum = F.sum(S() - P() - FR())
     agg = vss.groupBy("VendorNumber").agg(
         F.max("VendorName").alias("VendorName"),
-        F.sum(S).alias("TotalSalesDol_in_summary"),
-        F.sum(SQ).alias("TotalSalesQty"),
-        F.sum(P).alias("TotalPurchaseDol"),
-        F.sum(PQ).alias("TotalPurchaseQty"),
-        F.sum(FR).alias("FreightCost"),
+        F.sum(S()).alias("TotalSalesDol_in_summary"),
+        F.sum(SQ()).alias("TotalSalesQty"),
+        F.sum(P()).alias("TotalPurchaseDol"),
+        F.sum(PQ()).alias("TotalPurchaseQty"),
+        F.sum(FR()).alias("FreightCost"),
         gp_sum.alias("GrossProfit"),
-        F.when(F.sum(S) > 0, F.lit(100.0) * (F.sum(S) - F.sum(P) - F.sum(FR)) / F.sum(S))
+        F.when(F.sum(S()) > 0, F.lit(100.0) * (F.sum(S()) - F.sum(P()) - F.sum(FR())) / F.sum(S()))
          .otherwise(F.lit(0.0)).alias("ProfitMargin"),
         F.countDistinct("Brand").alias("BrandCount"))
     return agg
@@ -256,25 +273,25 @@ def vendor_rollup_trimmed(vss2: DataFrame) -> DataFrame:
     return vss2.groupBy("VendorNumber").agg(
         F.min(F.trim("VendorName")).alias("VendorName"),
         F.countDistinct("Brand").alias("BrandCount"),
-        F.sum(SQ).alias("TotalSalesQty"), F.sum(S).alias("TotalSalesDol"),
-        F.sum(PQ).alias("TotalPurchaseQty"), F.sum(P).alias("TotalPurchaseDol"),
-        F.sum(FR).alias("FreightCost"), F.sum("GrossProfit").alias("GrossProfit"),
-        F.when(F.sum(S) > 0, F.lit(100.0) * F.sum("GrossProfit") / F.sum(S)).otherwise(F.lit(0.0))
+        F.sum(SQ()).alias("TotalSalesQty"), F.sum(S()).alias("TotalSalesDol"),
+        F.sum(PQ()).alias("TotalPurchaseQty"), F.sum(P()).alias("TotalPurchaseDol"),
+        F.sum(FR()).alias("FreightCost"), F.sum("GrossProfit").alias("GrossProfit"),
+        F.when(F.sum(S()) > 0, F.lit(100.0) * F.sum("GrossProfit") / F.sum(S())).otherwise(F.lit(0.0))
          .alias("ProfitMargin"),
-        div_if_positive(F.sum(SQ), F.sum(PQ)).alias("StockTurnover"),
-        div_if_positive(F.sum(S), F.sum(P)).alias("SalesToPurchaseRatio"))
+        div_if_positive(F.sum(SQ()), F.sum(PQ())).alias("StockTurnover"),
+        div_if_positive(F.sum(S()), F.sum(P())).alias("SalesToPurchaseRatio"))
 
 
 def vendor_rollup_avgs(vss2: DataFrame) -> DataFrame:
     """Vendor rollup of T2 with GP recomputed from totals and unweighted price averages."""
-    gp = F.sum(S - P - FR)
+    gp = F.sum(S() - P() - FR())
     return vss2.groupBy("VendorNumber").agg(
         F.max("VendorName").alias("VendorName"),
         F.countDistinct("Brand").alias("BrandCount"),
-        F.sum(S).alias("TotalSalesDol"), F.sum(P).alias("TotalPurchaseDol"),
-        F.sum(FR).alias("FreightCost"), F.sum(SQ).alias("TotalSalesQty"),
-        F.sum(PQ).alias("TotalPurchaseQty"), gp.alias("GrossProfit"),
-        F.when(F.sum(S) > 0, F.lit(100.0) * gp / F.sum(S)).otherwise(F.lit(0.0)).alias("ProfitMargin"),
+        F.sum(S()).alias("TotalSalesDol"), F.sum(P()).alias("TotalPurchaseDol"),
+        F.sum(FR()).alias("FreightCost"), F.sum(SQ()).alias("TotalSalesQty"),
+        F.sum(PQ()).alias("TotalPurchaseQty"), gp.alias("GrossProfit"),
+        F.when(F.sum(S()) > 0, F.lit(100.0) * gp / F.sum(S())).otherwise(F.lit(0.0)).alias("ProfitMargin"),
         F.avg("AvgSalesPrice").alias("AvgSalesPrice"),
         F.avg("AvgPurchasePrice").alias("AvgPurchasePrice"))
 
@@ -288,7 +305,7 @@ def spend_by_vendor(vendor_invoice: DataFrame, vss: DataFrame) -> DataFrame:
     The reference's correlated scalar subquery becomes aggregate + left join.
     """
     inv = vendor_invoice.groupBy("VendorNumber").agg(F.sum("Dollars").alias("TotalPurchaseDollars"))
-    sold = vss.groupBy("VendorNumber").agg(F.sum(S).alias("_s"))
+    sold = vss.groupBy("VendorNumber").agg(F.sum(S()).alias("_s"))
     return (inv.join(sold, "VendorNumber", "left")
                .select("VendorNumber", "TotalPurchaseDollars",
                        F.coalesce("_s", F.lit(0.0)).alias("TotalSalesDollars")))
@@ -296,9 +313,9 @@ def spend_by_vendor(vendor_invoice: DataFrame, vss: DataFrame) -> DataFrame:
 
 def spend_by_vendor_named(vss2: DataFrame) -> DataFrame:
     """Spend per (VendorNumber, VendorName) with brand count, GP, margin fraction, ratio."""
-    ss, ps, fs = F.sum(S), F.sum(P), F.sum(FR)
+    ss, ps, fs = F.sum(S()), F.sum(P()), F.sum(FR())
     return (vss2.groupBy("VendorNumber", "VendorName").agg(
-                F.sum(SQ).alias("TotalSalesQuantity"), ss.alias("TotalSalesDollars"),
+                F.sum(SQ()).alias("TotalSalesQuantity"), ss.alias("TotalSalesDollars"),
                 ps.alias("TotalPurchaseDollars"), fs.alias("FreightCost"),
                 F.countDistinct("Brand").alias("BrandCount"),
                 F.when(ss > 0, (ss - ps - fs) * 1.0).otherwise(F.lit(0.0)).alias("GrossProfit"),
@@ -333,16 +350,16 @@ def vendor_kpi_flags(vss2: DataFrame, low_margin: float = 0.20, high_freight_sha
     reference's correlated subquery; flags use unrounded values.
     """
     base = vss2.groupBy("VendorNumber", "VendorName").agg(
-        F.sum(S).alias("TotalSalesDollars"), F.sum(SQ).alias("TotalSalesQuantity"),
-        F.sum(P).alias("TotalPurchaseDollars"), F.sum(FR).alias("FreightCost"))
-    pq = vss2.groupBy("VendorNumber").agg(F.sum(PQ).alias("_pq"))
+        F.sum(S()).alias("TotalSalesDollars"), F.sum(SQ()).alias("TotalSalesQuantity"),
+        F.sum(P()).alias("TotalPurchaseDollars"), F.sum(FR()).alias("FreightCost"))
+    pq = vss2.groupBy("VendorNumber").agg(F.sum(PQ()).alias("_pq"))
     k = (base.join(pq, "VendorNumber", "left")
              .withColumn("TotalPurchaseQuantity", F.coalesce("_pq", F.lit(0)))
-             .withColumn("_pm", div_if_positive(S - P - FR, S))
-             .withColumn("_sp", div_if_positive(S, P))
-             .withColumn("_fs", div_if_positive(FR, S))
-             .withColumn("_st", div_if_positive(SQ, PQ)))
-    return (k.filter(S >= min_sales_dollars)
+             .withColumn("_pm", div_if_positive(S() - P() - FR(), S()))
+             .withColumn("_sp", div_if_positive(S(), P()))
+             .withColumn("_fs", div_if_positive(FR(), S()))
+             .withColumn("_st", div_if_positive(SQ(), PQ())))
+    return (k.filter(S() >= min_sales_dollars)
              .orderBy(F.col("_pm").asc(), F.col("_fs").desc(), "VendorNumber", "VendorName")
              .select("VendorNumber", "VendorName", "TotalSalesDollars", "TotalSalesQuantity",
                      "TotalPurchaseDollars", "FreightCost",
@@ -352,7 +369,7 @@ def vendor_kpi_flags(vss2: DataFrame, low_margin: float = 0.20, high_freight_sha
                      F.round("_st", 2).alias("StockTurnover"),
                      F.when(F.col("_pm") < low_margin, 1).otherwise(0).alias("LowMarginVendor"),
                      F.when(F.col("_fs") > high_freight_share, 1).otherwise(0).alias("HighFreightShare"),
-                     F.when(S - P - FR < 0, 1).otherwise(0).alias("NegativeGrossProfit"),
+                     F.when(S() - P() - FR() < 0, 1).otherwise(0).alias("NegativeGrossProfit"),
                      F.when(F.col("_st") < low_stock_turn, 1).otherwise(0).alias("LowStockTurnover")))
 
 
@@ -362,28 +379,28 @@ def vendor_kpi_flags(vss2: DataFrame, low_margin: float = 0.20, high_freight_sha
 def brand_pricing(vss: DataFrame) -> DataFrame:
     """T1 re-aggregated by (VendorNumber, VendorName, Brand)."""
     return vss.groupBy("VendorNumber", "VendorName", "Brand").agg(
-        F.sum(SQ).alias("TotalSalesQuantity"), F.sum(S).alias("TotalSalesDollars"),
-        F.sum(P).alias("TotalPurchaseDollars"), F.sum(FR).alias("FreightCost"))
+        F.sum(SQ()).alias("TotalSalesQuantity"), F.sum(S()).alias("TotalSalesDollars"),
+        F.sum(P()).alias("TotalPurchaseDollars"), F.sum(FR()).alias("FreightCost"))
 
 
 def brand_pricing_diagnostics(vss2: DataFrame, low_margin_pct: float = 10.0,
                               high_freight: float = 0.08, low_turnover: float = 0.5) -> DataFrame:
     """Per-brand unit economics and flags on T2."""
-    up = safe_div(S * 1.0, SQ)
-    uc = safe_div(P * 1.0, PQ)
-    both = (SQ > 0) & (PQ > 0)
+    up = safe_div(S() * 1.0, SQ())
+    uc = safe_div(P() * 1.0, PQ())
+    both = (SQ() > 0) & (PQ() > 0)
     st = F.col("StockTurnover")
     return vss2.select(
         "VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars",
         "TotalPurchaseQuantity", "TotalPurchaseDollars", "FreightCost", "GrossProfit", "ProfitMargin",
         "SalesToPurchaseRatio", "StockTurnover",
-        div_if_positive(FR, S).alias("FreightPct"),
-        F.when(PQ > 0, uc).alias("AvgUnitCost"),
-        F.when(SQ > 0, up).alias("AvgUnitPrice"),
+        div_if_positive(FR(), S()).alias("FreightPct"),
+        F.when(PQ() > 0, uc).alias("AvgUnitCost"),
+        F.when(SQ() > 0, up).alias("AvgUnitPrice"),
         F.when(both, up - uc).alias("UnitMargin"),
         F.when(both, safe_div(up - uc, up)).alias("UnitMarginPct"),
         F.when(F.col("ProfitMargin") < low_margin_pct, 1).otherwise(0).alias("LowMarginFlag"),
-        F.when((FR > 0) & (S > 0) & (FR * 1.0 / S > high_freight), 1).otherwise(0).alias("HighFreightFlag"),
+        F.when((FR() > 0) & (S() > 0) & (FR() * 1.0 / S() > high_freight), 1).otherwise(0).alias("HighFreightFlag"),
         F.when(st.isNotNull() & (st < low_turnover), 1).otherwise(0).alias("LowTurnoverFlag"))
 
 
@@ -395,7 +412,7 @@ def underperforming_brands(diag: DataFrame, min_sales_dollars: float = 10_000, m
     low_m = F.col("ProfitMargin") < low_margin_pct
     high_f = F.col("FreightPct") > high_freight_pct
     low_t = st.isNotNull() & (st < low_turnover)
-    return (diag.filter((S >= min_sales_dollars) & (SQ >= min_sales_qty) & (low_m | high_f | low_t))
+    return (diag.filter((S() >= min_sales_dollars) & (SQ() >= min_sales_qty) & (low_m | high_f | low_t))
                 .select("VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars",
                         "TotalPurchaseQuantity", "TotalPurchaseDollars", "FreightCost", "GrossProfit",
                         "ProfitMargin", "StockTurnover", "SalesToPurchaseRatio", "FreightPct",
@@ -413,8 +430,8 @@ def vendor_risk_summary(bad: DataFrame, vendor_summary: DataFrame) -> DataFrame:
     g = bad.groupBy("VendorNumber").agg(
         F.min("VendorName").alias("VendorName"),
         F.count(F.lit(1)).alias("UnderperformingBrandCount"),
-        F.sum(S).alias("SalesAtRisk"), F.sum("GrossProfit").alias("GrossProfit_FromBadBrands"),
-        F.sum(FR).alias("Freight_FromBadBrands"), F.avg("ProfitMargin").alias("AvgMargin_BadBrands"),
+        F.sum(S()).alias("SalesAtRisk"), F.sum("GrossProfit").alias("GrossProfit_FromBadBrands"),
+        F.sum(FR()).alias("Freight_FromBadBrands"), F.avg("ProfitMargin").alias("AvgMargin_BadBrands"),
         F.min("ProfitMargin").alias("MinMargin_BadBrands"),
         cnt("Reason_LowMargin").alias("LowMarginBrands"), cnt("Reason_HighFreight").alias("HighFreightBrands"),
         cnt("Reason_LowTurnover").alias("LowTurnoverBrands"))
@@ -433,22 +450,22 @@ def brand_pricing_opportunities(bp: DataFrame, target: float = 0.35) -> DataFram
 
     target = 1 gives NULL RequiredSalesDollars (SQLite division by zero), not an error.
     """
-    cost = P + FR
+    cost = P() + FR()
     req = F.when(cost <= 0, F.lit(0.0)).otherwise(safe_div(cost * 1.0, F.lit(1.0 - target)))
-    b = bp.withColumn("AvgSalesPrice", F.when(S > 0, safe_div(S, SQ * 1.0)))
+    b = bp.withColumn("AvgSalesPrice", F.when(S() > 0, safe_div(S(), SQ() * 1.0)))
     b = b.withColumn("RequiredSalesDollars", req)
     r = F.col("RequiredSalesDollars")
-    gap = F.when(r > S, r - S).otherwise(F.lit(0.0))
+    gap = F.when(r > S(), r - S()).otherwise(F.lit(0.0))
     return b.select(
         "VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars",
         "TotalPurchaseDollars", "FreightCost", "AvgSalesPrice",
         F.lit(float(target)).alias("TargetMargin"), "RequiredSalesDollars",
         gap.alias("UpsideDollars"),
-        F.when(SQ > 0, gap / (SQ * 1.0)).alias("NeededPriceDeltaPerUnit"))
+        F.when(SQ() > 0, gap / (SQ() * 1.0)).alias("NeededPriceDeltaPerUnit"))
 
 
 def _current_margin():
-    return div_if_positive(S - P - FR, S)
+    return div_if_positive(S() - P() - FR(), S())
 
 
 def pricing_opportunities_filtered(vss2: DataFrame, target: float = 0.35, max_lift: float = 0.15,
@@ -457,14 +474,14 @@ def pricing_opportunities_filtered(vss2: DataFrame, target: float = 0.35, max_li
     f = (vss2.select("VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars",
                      "TotalPurchaseDollars", "FreightCost", "AvgSalesPrice",
                      _current_margin().alias("CurrentMargin"))
-             .filter((SQ >= min_qty) & (S > 0) & ((S - P - FR) < F.lit(target) * S)))
-    req = F.when(F.lit(1.0 - target) > 0, (P + FR) * 1.0 / F.lit(1.0 - target))
+             .filter((SQ() >= min_qty) & (S() > 0) & ((S() - P() - FR()) < F.lit(target) * S())))
+    req = F.when(F.lit(1.0 - target) > 0, (P() + FR()) * 1.0 / F.lit(1.0 - target))
     f = f.withColumn("RequiredSalesDollars", req)
     r = F.col("RequiredSalesDollars")
-    up = F.when(r > S, r - S).otherwise(F.lit(0.0))
+    up = F.when(r > S(), r - S()).otherwise(F.lit(0.0))
     f = (f.withColumn("UpsideDollars", up)
           .withColumn("NeededPriceDeltaPerUnit",
-                      F.when(SQ > 0, up * 1.0 / SQ).otherwise(F.lit(0.0))))
+                      F.when(SQ() > 0, up * 1.0 / SQ()).otherwise(F.lit(0.0))))
     asp = F.col("AvgSalesPrice")
     lift = least_null(F.lit(max_lift), F.col("NeededPriceDeltaPerUnit") / asp)
     return (f.filter(F.col("UpsideDollars") > 0)
@@ -478,16 +495,16 @@ def pricing_opportunities_filtered(vss2: DataFrame, target: float = 0.35, max_li
 
 def pricing_opportunities_all(vss2: DataFrame, target: float = 0.35) -> DataFrame:
     """Every brand; Required/Upside/Delta NULL when already at or above target."""
-    below = (S > 0) & ((S - P - FR) * 1.0 / S < target)
-    req = (P + FR) * 1.0 / F.lit(1.0 - target)
+    below = (S() > 0) & ((S() - P() - FR()) * 1.0 / S() < target)
+    req = (P() + FR()) * 1.0 / F.lit(1.0 - target)
     return vss2.select(
         "VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars",
         "TotalPurchaseDollars", "FreightCost", "AvgSalesPrice",
         _current_margin().alias("CurrentMargin"),
         F.lit(float(target)).alias("TargetMargin"),
         F.when(below, req).alias("RequiredSalesDollars"),
-        F.when(below, req - S).alias("UpsideDollars"),
-        F.when((SQ > 0) & below, (req - S) * 1.0 / SQ).alias("NeededPriceDeltaPerUnit"))
+        F.when(below, req - S()).alias("UpsideDollars"),
+        F.when((SQ() > 0) & below, (req - S()) * 1.0 / SQ()).alias("NeededPriceDeltaPerUnit"))
 
 
 # --------------------------------------------------------------------------- T11-T13
@@ -535,8 +552,8 @@ def final_vendor_enriched(vendor_summary: DataFrame, vss2: DataFrame, spend_name
                           risk_flags: DataFrame) -> DataFrame:
     """T4c joined to T2 vendor totals, T5b brand count and T6a flags (COALESCE 0)."""
     t = vss2.groupBy("VendorNumber").agg(
-        F.sum(SQ).alias("TotalSalesQuantity"), F.sum(S).alias("TotalSalesDollars"),
-        F.sum(P).alias("TotalPurchaseDollars"), F.sum(FR).alias("FreightCost"))
+        F.sum(SQ()).alias("TotalSalesQuantity"), F.sum(S()).alias("TotalSalesDollars"),
+        F.sum(P()).alias("TotalPurchaseDollars"), F.sum(FR()).alias("FreightCost"))
     s = spend_named.select("VendorNumber", F.col("BrandCount").alias("_bc"))
     r = risk_flags
     neg = ["neg_SalesQty", "neg_SalesDol", "neg_PurchQty", "neg_PurchDol", "neg_Freight"]

@@ -505,7 +505,7 @@ FROM final_all ORDER BY md5(concat_ws('|', '0', coalesce(CAST(Level AS VARCHAR),
          ("FreightCost", "NeededPriceDeltaPerUnit"))
 
 # =============================================================================== H: inference
-from vendorlens.operators.inference import poisson_weight_sql, uniform_sql  # noqa: E402
+from vendorlens.operators.inference import poisson_weight_sql, row_hash_hex_sql, uniform_sql  # noqa: E402
 
 
 def _h3(s, d):
@@ -586,7 +586,7 @@ SELECT o.*, c.* FROM
 
 def _perm_sql(src: str, keys, a_name: str, b_name: str, B: int, seed: int, plus_one: bool) -> str:
     u = uniform_sql(seed, keys, "rep")
-    order = ", ".join(keys)
+    order = row_hash_hex_sql(seed, keys)
     p = "(k + 1) / (b + 1)" if plus_one else "k / b"
     return f"""
 , d AS (SELECT * FROM {src} WHERE "group" IN ('{a_name}', '{b_name}') AND value IS NOT NULL),

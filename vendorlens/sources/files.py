@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vendorlens.functions.frames import attach
+
 log = logging.getLogger(__name__)
 
 # Base-table schemas of the reference's raw CSVs (FIXTURES.md section 1).
@@ -185,7 +187,7 @@ def key_coverage(vss: DataFrame, final_vendor: DataFrame, final_brand: DataFrame
     a = vss.agg(F.countDistinct("VendorNumber").alias("summary_vendors"), F.countDistinct("Brand").alias("summary_brands"))
     b = final_vendor.agg(F.countDistinct("VendorNumber").alias("final_vendors"))
     c = final_brand.agg(F.countDistinct("Brand").alias("final_brands"))
-    return a.crossJoin(b).crossJoin(c)
+    return attach(attach(a, b), c)
 
 
 def sample_rows(df: DataFrame, n: int = 5000, seed: int = 0, keys=("VendorNumber",)) -> DataFrame:
