@@ -41,8 +41,8 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
     b = F.size(F.filter(F.col("_bounds"), lambda x: x < v))
     if not ascending:
         b = F.lit(buckets - 1) - b
-    # one small row per group: broadcast is bounded by the number of groups
-    x = (df.join(F.broadcast(bounds), by) if by else attach(df, bounds))
+    # one row per group; AQE broadcasts it when its measured size allows
+    x = df.join(bounds, by) if by else attach(df, bounds)
     x = x.withColumn("_bkt", b).drop("_bounds")
     vo = F.col(value).asc() if ascending else F.col(value).desc()
     order = [vo] + [F.col(t).asc() for t in tiebreak]
@@ -56,7 +56,8 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
     # at most groups x buckets rows: this window and the broadcast are bounded
     ow = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(ow), F.lit(0)))
-    x = x.join(F.broadcast(off.select(*by, "_bkt", "_off")), by + ["_bkt"])
+    off = off.select(*by, "_bkt", "_off")
+    x = x.join(off if by else F.broadcast(off), by + ["_bkt"])
     return x.withColumn(out, F.col("_off") + F.col("_run")).drop("_bkt", "_run", "_off")
 
 
@@ -124,18 +125,33 @@ def exact_quantiles(df: DataFrame, value: str, probs, names=None, buckets: int =
     return x.agg(*aggs).select(*outs)
 
 
-def percentiles_row(df: DataFrame, cols_probs: dict, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """One-row frame of quantiles: ``{alias: (column, prob)}``.
+def grouped_quantiles(df: DataFrame, by, value: str, probs, names=None, buckets: int = 16) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``value`` per ``by`` group -> (by..., names...).
 
-    Exact ``percentile`` (linear interpolation, like numpy/pandas) by default; its
-    partial aggregate holds a value->count map, fine for summary-grain tables. Use
-    ``exact=False`` for line-grain inputs.
+    Same rule as ``exact_quantiles`` (lo + (hi - lo) * d), computed from bucketed running
+    counts over each group's distinct values, so a large group is spread over buckets
+    instead of one task holding its whole value map.
     """
-    aggs = []
-    for alias, (c, p) in cols_probs.items():
-        e = F.col(c).cast("double")
-        aggs.append((F.percentile(e, p) if exact else F.percentile_approx(e, p, accuracy)).alias(alias))
-    return df.agg(*aggs)
+    from vendorlens.session import materialize
+    by = list(by)
+    names = names or [f"q{i}" for i in range(len(probs))]
+    vals = materialize(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k")))
+    cum = global_cumsum(vals, value, "_k", "_c", buckets=buckets, by=by)
+    n = vals.groupBy(*by).agg(F.sum("_k").alias("_n"))
+    x = cum.join(n, by)
+    v = F.col(value).cast("double")
+    aggs, outs = [], []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo_i, hi_i = F.floor(pos), F.ceil(pos)
+        start, end = F.col("_c") - F.col("_k"), F.col("_c")
+        aggs += [F.max(F.when((start <= lo_i) & (lo_i < end), v)).alias(f"_lo{i}"),
+                 F.max(F.when((start <= hi_i) & (hi_i < end), v)).alias(f"_hi{i}"),
+                 F.max(pos).alias(f"_pos{i}")]
+        d = F.col(f"_pos{i}") - F.floor(F.col(f"_pos{i}"))
+        outs.append(F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
+                     .otherwise(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * d).alias(names[i]))
+    return x.groupBy(*by).agg(*aggs).select(*by, *outs)
 
 
 def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large")) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from vendorlens.functions.frames import attach
 from pyspark.sql.types import DoubleType
 
-from vendorlens.functions.ranking import exact_quantiles, qcut
+from vendorlens.functions.ranking import exact_quantiles, grouped_quantiles, qcut
 from vendorlens.session import materialize
 
 POISSON_MAX = 15
@@ -337,9 +337,10 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
     skewness and kurtosis, replacing Shapiro-Wilk), equal variances (Levene, median
     centred = Brown-Forsythe) and IQR outlier counts (> 10 % warns). One row."""
     d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
-    g = d.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
-                               F.kurtosis("value").alias("kurt"), F.median("value").alias("med"),
-                               F.percentile("value", [0.25, 0.75]).alias("q"))
+    qs = grouped_quantiles(d, ["group"], "value", [0.5, 0.25, 0.75], ["med", "_q1", "_q3"])
+    g = (d.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
+                                F.kurtosis("value").alias("kurt"))
+          .join(qs, "group").withColumn("q", F.array("_q1", "_q3")))
     g = g.withColumn("jb", F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("kurt") ** 2 / 4.0)) \
          .withColumn("jb_p", F.exp(-F.col("jb") / 2.0))
     j = d.join(F.broadcast(g.select("group", "med", "q")), "group")

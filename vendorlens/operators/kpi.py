@@ -16,7 +16,7 @@ from vendorlens.functions.frames import attach
 
 from vendorlens.functions.expr import fmt_amount, safe_div
 from vendorlens.session import materialize
-from vendorlens.functions.ranking import exact_quantiles, global_cumsum, qcut, with_avg_rank_pct
+from vendorlens.functions.ranking import exact_quantiles, global_cumsum, grouped_quantiles, qcut, with_avg_rank_pct
 
 def S():
     return F.col("TotalSalesDollars")
@@ -262,11 +262,13 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
     """
     b = final_brand.withColumn("_st", F.when(PQ() > 0, SQ() / PQ())) \
                    .withColumn("_need", F.when(UP() > 0, 1).otherwise(0))
+    b = materialize(b)
     agg = b.groupBy("VendorNumber", "VendorName").agg(
         F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
         F.sum("_need").cast("bigint").alias("BrandsNeedingAction"),
-        F.count("Brand").alias("BrandCount"),
-        F.median("_st").alias("BrandTurnoverMedian"))
+        F.count("Brand").alias("BrandCount"))
+    med = grouped_quantiles(b, ["VendorNumber", "VendorName"], "_st", [0.5], ["BrandTurnoverMedian"], buckets=4)
+    agg = agg.join(med, ["VendorNumber", "VendorName"], "left")
     v = vendor_summary.select(
         "VendorNumber", "VendorName",
         F.col("TotalSalesDol_in_summary").alias("TotalSalesDollars"),
@@ -314,7 +316,7 @@ def executive_blurb(scorecard: DataFrame, n: int = 5) -> DataFrame:
 def brand_portfolio(brand: DataFrame) -> DataFrame:
     """Brand bubble size clip(40 + upside / median(upside, or 1 if 0) * 15, 40, 500)."""
     u = F.coalesce(UP(), F.lit(0.0))
-    med = brand.agg(F.median(u).alias("_med"))
+    med = exact_quantiles(brand.select(u.alias("_u")), "_u", [0.5], ["_med"])
     m = F.when((F.col("_med") == 0) | F.col("_med").isNull(), F.lit(1.0)).otherwise(F.col("_med"))
     return (attach(brand, med)
                  .withColumn("size", F.least(F.greatest(F.lit(40.0) + u / m * 15, F.lit(40.0)), F.lit(500.0)))

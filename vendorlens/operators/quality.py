@@ -80,26 +80,26 @@ def null_report(df: DataFrame, top: int = 20) -> DataFrame:
     return rows.orderBy(F.col("na_cnt").desc(), "position").limit(top).drop("position")
 
 
-def describe(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols=None) -> DataFrame:
     """Q5: pandas ``describe().T`` of numeric columns: count, mean, std (n-1), min, quartiles, max.
 
-    One aggregate pass; quartiles are exact linear-interpolated percentiles (like
-    pandas) unless ``exact=False``.
+    Moments in one aggregate over the unpivoted (column, x) frame; quartiles are exact,
+    linearly interpolated (like pandas) and computed per column from bucketed ranks.
     """
+    from vendorlens.functions.ranking import grouped_quantiles
+    from vendorlens.session import materialize
     cols = cols or numeric_columns(df)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-        aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}"),
-                 F.min(x).alias(f"_lo{i}"), q.alias(f"_q{i}"), F.max(x).alias(f"_hi{i}")]
-    row = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"_c{i}").alias("count"), F.col(f"_m{i}").alias("mean"),
-                        F.col(f"_s{i}").alias("std"), F.col(f"_lo{i}").alias("min"),
-                        F.col(f"_q{i}")[0].alias("p25"), F.col(f"_q{i}")[1].alias("p50"),
-                        F.col(f"_q{i}")[2].alias("p75"), F.col(f"_hi{i}").alias("max"))
-               for i, c in enumerate(cols)]
-    return row.select(F.inline(F.array(*structs)))
+    pos = {c: i for i, c in enumerate(cols)}
+    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
+    long = materialize(df.select(F.inline(F.array(*structs))))
+    mom = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"),
+                                     F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
+                                     F.max("x").alias("max"))
+    q = grouped_quantiles(long, ["column"], "x", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    order = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(pos[c]))])
+    return (mom.join(q, "column", "left")
+               .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+               .orderBy(order[F.col("column")]))
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -134,8 +134,9 @@ def validate_data_quality(df: DataFrame, extreme_price: float = 1000.0, exact: b
     financial columns, unit price (purchase dollars / sales qty, qty > 0) above
     ``extreme_price`` and its 99th percentile."""
     cols = df.columns
+    from vendorlens.functions.ranking import exact_quantiles
     up = F.when(F.col("TotalSalesQuantity") > 0, F.col("TotalPurchaseDollars") / F.col("TotalSalesQuantity"))
-    q99 = F.percentile(up, 0.99) if exact else F.percentile_approx(up, 0.99, 10000)
+    q99 = exact_quantiles(df.select(up.alias("_u")), "_u", [0.99], ["_q"]).select("_q").scalar()
     aggs = [F.count(F.lit(1)).cast("double").alias("_rows")]
     aggs += [F.count_if(F.col(c).isNull()).cast("double").alias(f"_n{i}") for i, c in enumerate(cols)]
     fin = [c for c in FINANCIAL if c in cols]
