@@ -33,10 +33,13 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
 
     ``value`` must be non-NULL and numeric. Returns ``df`` with column ``out``.
     """
+    from vendorlens.session import materialize
     by = list(by)
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = (df.groupBy(*by) if by else df).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
+    # approximate bounds only balance the buckets; they are checkpointed so that every
+    # consumer (and any task re-run after an executor loss) sees the same values
+    bounds = materialize((df.groupBy(*by) if by else df).agg(
+        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds")))
     v = F.col(value).cast("double")
     b = F.size(F.filter(F.col("_bounds"), lambda x: x < v))
     if not ascending:

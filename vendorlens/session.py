@@ -53,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local runs
     only) creates a fresh scratch folder and registers it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint location
+        return spark.conf.get("spark.checkpoint.dir", "")
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         base = os.environ.get("VENDORLENS_SCRATCH", tempfile.gettempdir())
