@@ -125,3 +125,13 @@ def test_canon_is_deterministic_and_tie_safe(spark):
     exp = [con.execute(f"SELECT {canon_sql('x')} FROM (SELECT {v!r}::DOUBLE AS x)").fetchone()[0] for v in vals]
     assert got == exp
     assert got[0] == pytest.approx(1004511.26050, rel=1e-9)
+
+
+def test_dense_codes_follow_binary_string_order(spark):
+    from vendorlens.functions.ranking import dense_codes
+    names = ["b", "a", None, "ab", "a", "Zz", "é", "abcdefgh", "abcdefg"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r["n"]: r["c"] for r in dense_codes(df, "n", "c", buckets=2).collect()}
+    distinct = sorted({n for n in names if n is not None}, key=lambda x: x.encode("utf-8"))
+    assert {k: v for k, v in got.items() if k is not None} == {n: i for i, n in enumerate(distinct)}
+    assert got[None] == len(distinct)

@@ -64,6 +64,29 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
     return x.withColumn(out, F.col("_off") + F.col("_run")).drop("_bkt", "_run", "_off")
 
 
+def string_prefix_key(c) -> Column:
+    """Monotone numeric proxy of a string's order: its first 6 UTF-8 bytes as an integer
+    (exact in a double). Equal prefixes share a bucket; the full string breaks ties."""
+    h = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8").cast("binary"), 1, 6)), 12, "0")
+    return F.conv(h, 16, 10).cast("double")
+
+
+def dense_codes(df: DataFrame, col: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """0-based dense rank of ``col`` in ascending string order, NULL last (``dense_rank() - 1``).
+
+    Distinct values are numbered by a bucketed running count ordered by a byte-prefix
+    proxy and then the full value, so the numbering never runs in a single task.
+    """
+    from vendorlens.session import materialize
+    vals = materialize(df.select(col).distinct().filter(F.col(col).isNotNull())
+                       .withColumn("_px", string_prefix_key(col)).withColumn("_one", F.lit(1)))
+    cum = global_cumsum(vals, "_px", "_one", "_c", tiebreak=(col,), buckets=buckets)
+    codes = cum.select(F.col(col).alias("_cv"), (F.col("_c") - 1).alias(out))
+    n = vals.agg(F.count(F.lit(1)).alias("_nn"))
+    j = df.join(codes, F.col(col) == F.col("_cv"), "left").drop("_cv")
+    return attach(j, n).withColumn(out, F.coalesce(F.col(out), F.col("_nn")).cast("int")).drop("_nn")
+
+
 def rank_table(df: DataFrame, cols, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """(column, x, r): pandas average-tie percent rank of every distinct value of each column.
 

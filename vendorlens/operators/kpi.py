@@ -16,7 +16,8 @@ from vendorlens.functions.frames import attach
 
 from vendorlens.functions.expr import fmt_amount, safe_div
 from vendorlens.session import materialize
-from vendorlens.functions.ranking import exact_quantiles, global_cumsum, grouped_quantiles, qcut, with_avg_rank_pct
+from vendorlens.functions.ranking import (dense_codes, exact_quantiles, global_cumsum, grouped_quantiles, qcut,
+                                          with_avg_rank_pct)
 
 def S():
     return F.col("TotalSalesDollars")
@@ -114,13 +115,10 @@ def top_brands_in_top_vendors(final_brand: DataFrame, vendors: int = 10, brands:
 
 def brand_bubbles(final_brand: DataFrame) -> DataFrame:
     """Brand bubble frame: size = sqrt(max(upside, 0) + 1), vendor code = index of the
-    vendor name in name order (labels only; distinct names are vendor-grain)."""
-    from pyspark.sql import Window
+    vendor name in name order (the reference numbers by first appearance, which depends on
+    row order; codes are labels only)."""
     b = _coalesced_brand(final_brand)
-    names = b.select("VendorName").distinct()
-    codes = names.withColumn("vendor_code", F.dense_rank().over(Window.orderBy(F.col("VendorName").asc_nulls_last())) - 1)
-    return (b.join(codes, b["VendorName"].eqNullSafe(codes["VendorName"]), "left").drop(codes["VendorName"])
-             .withColumn("size", F.sqrt(F.greatest(UP(), F.lit(0.0)) + 1)))
+    return dense_codes(b, "VendorName", "vendor_code").withColumn("size", F.sqrt(F.greatest(UP(), F.lit(0.0)) + 1))
 
 
 def vendor_bubbles(final_vendor: DataFrame, opps: DataFrame, eps: float = 1e-9) -> DataFrame:
