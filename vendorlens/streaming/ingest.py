@@ -3,7 +3,8 @@
 The reference reloads a folder of CSVs into tables. When files keep arriving, the
 same load is a Structured Streaming file source with an explicit schema, appended to
 a Parquet table by ``foreachBatch``; the checkpoint records which files were taken,
-so a restarted job (or a lost executor) neither skips nor repeats a file.
+so a restarted job (or a lost executor) neither skips nor repeats a file, and each
+micro-batch overwrites its own folder, so a replayed batch is not appended twice.
 ``trigger(availableNow=True)`` processes what is there and stops, which suits
 scheduled runs.
 """
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendorlens.session import checkpoint_dir
 from vendorlens.sources.files import BASE_SCHEMAS, normalise_nulls
 
 
@@ -23,14 +23,17 @@ def ingest_stream(spark: SparkSession, src_dir: str, table: str, dest_dir: str,
     Returns the ``StreamingQuery``; with ``available_now`` it stops after the backlog.
     """
     schema = schema or BASE_SCHEMAS[table]
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"
+    # the stream's progress belongs to its destination table: one checkpoint per table path
+    ckpt = checkpoint or f"{dest_dir.rstrip('/')}__stream_checkpoint"
     reader = spark.readStream.schema(schema).option("header", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = normalise_nulls(reader.csv(src_dir))
 
     def append(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("append").parquet(dest_dir)
+        # one folder per micro-batch, overwritten on replay: a batch re-run after a
+        # failure replaces its own output instead of appending it twice
+        batch.write.mode("overwrite").parquet(f"{dest_dir.rstrip('/')}/batch={epoch}")
 
     w = stream.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -41,4 +44,5 @@ def run_ingest(spark: SparkSession, src_dir: str, table: str, dest_dir: str, **k
     """Run ``ingest_stream`` to completion over the current backlog and return the table."""
     q = ingest_stream(spark, src_dir, table, dest_dir, available_now=True, **kw)
     q.awaitTermination()
-    return spark.read.schema(kw.get("schema") or BASE_SCHEMAS[table]).parquet(dest_dir)
+    out = spark.read.parquet(dest_dir)
+    return out.drop("batch") if "batch" in out.columns else out
