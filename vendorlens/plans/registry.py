@@ -34,10 +34,34 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
+        sql = bigint_counts(self.sql)
         if not self.floats:
-            return self.sql
+            return sql
         rep = ", ".join(f"{canon_sql(c)} AS {c}" for c in self.floats)
-        return f"SELECT * REPLACE ({rep}) FROM (\n{self.sql}\n) AS q"
+        return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
+
+
+def bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns HUGEINT
+    where Spark's ``count_if`` is BIGINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(count_if(" + bigint_counts(sql[j + len(key):k]) + ") AS BIGINT)")
+        i = k + 1
 
 
 REGISTRY: dict[str, Query] = {}
