@@ -135,3 +135,16 @@ def test_dense_codes_follow_binary_string_order(spark):
     distinct = sorted({n for n in names if n is not None}, key=lambda x: x.encode("utf-8"))
     assert {k: v for k, v in got.items() if k is not None} == {n: i for i, n in enumerate(distinct)}
     assert got[None] == len(distinct)
+
+
+def test_scorecard_join_on_vendor_number_keeps_other_spellings(spark):
+    vs = spark.createDataFrame([(1, "V", 10.0, 5, 5.0, 5, 1.0, 4.0, 40.0, 2)],
+                               "VendorNumber bigint, VendorName string, TotalSalesDol_in_summary double, "
+                               "TotalSalesQty bigint, TotalPurchaseDol double, TotalPurchaseQty bigint, "
+                               "FreightCost double, GrossProfit double, ProfitMargin double, BrandCount bigint")
+    opps = spark.createDataFrame([(1, "V", 1, 3.0), (1, "V ", 2, 4.0)],
+                                 "VendorNumber bigint, VendorName string, Brand bigint, UpsideDollars double")
+    both = A.scorecard_v1(vs, opps).first()
+    one = A.scorecard_v1(vs, opps, join_on=("VendorNumber",)).first()
+    assert (both["UpsideTotal"], both["BrandsNeedingAction"]) == (3.0, 1)
+    assert (one["UpsideTotal"], one["BrandsNeedingAction"]) == (7.0, 2)

@@ -36,10 +36,14 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
     from vendorlens.session import materialize
     by = list(by)
     probs = [i / buckets for i in range(1, buckets)]
-    # approximate bounds only balance the buckets; they are checkpointed so that every
-    # consumer (and any task re-run after an executor loss) sees the same values
-    bounds = materialize((df.groupBy(*by) if by else df).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds")))
+    # Approximate bounds only balance the buckets, but every task must see the same ones.
+    # Globally they are a scalar subquery (computed once per execution, shipped as a
+    # value); per group they are a join side, checkpointed so that a task re-run after
+    # an executor loss cannot see recomputed, slightly different bounds.
+    bounds = (df.groupBy(*by) if by else df).agg(
+        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
+    if by:
+        bounds = materialize(bounds)
     v = F.col(value).cast("double")
     b = F.size(F.filter(F.col("_bounds"), lambda x: x < v))
     if not ascending:

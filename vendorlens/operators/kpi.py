@@ -220,9 +220,10 @@ def canonical_vendor_columns(vsum: DataFrame) -> DataFrame:
     return vsum
 
 
-def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame) -> DataFrame:
+def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame, join_on=("VendorNumber", "VendorName")) -> DataFrame:
     """Vendor frame with purchase share, turnover (units, dollars if no units) and the
-    upside rollup of brand opportunities joined on (VendorNumber, VendorName)."""
+    upside rollup of brand opportunities joined on ``join_on`` (the reference uses both keys,
+    so brands filed under another spelling of the vendor name drop out)."""
     v = canonical_vendor_columns(vendor_summary)
     tot = v.agg(F.sum("TotalPurchaseDollars").alias("_tp"))
     has_units = v.agg(F.count("TotalPurchaseQty").alias("_hu"))
@@ -231,10 +232,10 @@ def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame) -> DataFrame:
     st = F.when(F.col("_hu") > 0, safe_div(F.col("TotalSalesQty"), F.col("TotalPurchaseQty"))) \
           .otherwise(safe_div(F.col("TotalSalesDollars"), F.col("TotalPurchaseDollars")))
     v = v.withColumn("PurchaseShare", share).withColumn("StockTurnover", st.cast("double"))
-    roll = opps.groupBy("VendorNumber", "VendorName").agg(
+    roll = opps.groupBy(*join_on).agg(
         F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
         F.count_if(UP() > 0).alias("BrandsNeedingAction"))
-    s = (v.join(roll, ["VendorNumber", "VendorName"], "left")
+    s = (v.join(roll, list(join_on), "left")
           .na.fill({"UpsideTotal": 0.0, "BrandsNeedingAction": 0}))
     return s.select("VendorNumber", "VendorName", "UpsideTotal", "BrandsNeedingAction", "CurrentMargin",
                     "StockTurnover", "PurchaseShare", "TotalSalesDollars", "TotalPurchaseDollars")
