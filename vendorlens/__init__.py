@@ -13,6 +13,16 @@ plans      the end-to-end table build and the registry of checked queries
 streaming  incremental ingest of arriving CSV drops into the base tables
 """
 
-from vendorlens.session import get_spark, checkpoint_dir  # noqa: F401
+import sys as _sys
+
+# Python code that runs inside tasks (pandas UDFs, applyInPandas) is shipped with the
+# task by value, so executors need no copy of this package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older pickler: workers import the package instead
+    pass
+
+from vendorlens.session import get_spark, checkpoint_dir  # noqa: E402,F401
 
 __all__ = ["get_spark", "checkpoint_dir"]
