@@ -111,14 +111,21 @@ def rank_table(df: DataFrame, cols, buckets: int = DEFAULT_BUCKETS) -> DataFrame
 def with_avg_rank_pct(df: DataFrame, cols, outs, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add pandas ``rank(pct=True, method='average')`` of each column in ``cols`` as ``outs``.
 
-    One rank table for all columns, then one equi-join per column on the value (the plan
-    grows linearly in the number of columns). NULL values get NULL ranks.
+    Rows get an id inside a checkpoint (so it is fixed for every later read), all
+    columns are ranked in one rank table, looked up in one long-format join and pivoted
+    back: a constant number of shuffles whatever the number of columns. NULL values get
+    NULL ranks.
     """
-    rt = rank_table(df, cols, buckets)
-    for c, o in zip(cols, outs):
-        t = rt.filter(F.col("column") == c).select(F.col("x").alias("_rx"), F.col("r").alias(o))
-        df = df.join(t, F.col(c).cast("double") == F.col("_rx"), "left").drop("_rx")
-    return df
+    from vendorlens.session import materialize
+    cols, outs = list(cols), list(outs)
+    base = materialize(df.withColumn("_rid", F.monotonically_increasing_id()))
+    rt = rank_table(base, cols, buckets)
+    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
+    long = base.select("_rid", F.inline(F.array(*structs)))
+    wide = (long.join(rt, ["column", "x"], "left")
+                .groupBy("_rid").pivot("column", cols).agg(F.first("r"))
+                .select("_rid", *[F.col(f"`{c}`").alias(o) for c, o in zip(cols, outs)]))
+    return base.join(wide, "_rid").drop("_rid")
 
 
 def avg_rank_pct(df: DataFrame, value: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
