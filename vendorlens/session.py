@@ -70,8 +70,15 @@ def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
     Used before steps that read a small derived frame several times (rank tables,
-    bucket bounds, broadcast totals), so the upstream joins run once and a lost
-    executor does not re-run the whole chain.
+    distinct values, pooled samples), so the upstream joins run once and a lost
+    executor re-reads checkpoint files instead of re-running the chain. The frame is
+    persisted only while the checkpoint is written, so its save job reads the cached
+    blocks instead of computing the input a second time.
     """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
