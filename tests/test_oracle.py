@@ -24,5 +24,5 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_documented():
     no_sql = {n for n, q in all_queries().items() if q.sql is None}
-    # formatted text, scalar p-value helper, composite report, engine-specific type names
-    assert no_sql == {"A21_executive_blurb", "H9_assumption_report", "H11_top_vs_low_report", "S9_schema_final_all"}
+    # scalar p-value helper, composite report, engine-specific type names
+    assert no_sql == {"H9_assumption_report", "H11_top_vs_low_report", "S9_schema_final_all"}

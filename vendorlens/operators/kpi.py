@@ -304,11 +304,11 @@ def scorecard_bubbles(scorecard: DataFrame, n: int = 15) -> DataFrame:
 def executive_blurb(scorecard: DataFrame, n: int = 5) -> DataFrame:
     """One formatted sentence per top-n scorecard vendor."""
     top = scorecard.orderBy(F.col("ActionScore").desc(), "VendorNumber").limit(n)
-    text = F.format_string("- %s: upside $%s, %d brands to fix, purchase share %s%%, margin %s%%.",
+    # upside with thousands separators; share and margin plain with one decimal
+    text = F.format_string("- %s: upside $%s, %d brands to fix, purchase share %.1f%%, margin %.1f%%.",
                            F.col("VendorName"), F.format_number(F.col("UpsideTotal"), 0),
                            F.col("BrandsNeedingAction").cast("int"),
-                           F.format_number(F.col("PurchaseShare") * 100, 1),
-                           F.format_number(F.col("CurrentMargin"), 1))
+                           F.col("PurchaseShare") * 100, F.col("CurrentMargin"))
     return top.select("VendorNumber", "ActionScore", text.alias("blurb"))
 
 

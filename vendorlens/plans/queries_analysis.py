@@ -304,7 +304,13 @@ register("A20_scorecard_bubbles", lambda s, d: A.scorecard_bubbles(A.action_scor
 SELECT *, CAST(least(greatest(50 + 20 * BrandsNeedingAction, 40), 400) AS DOUBLE) AS size FROM scorecard
 ORDER BY ActionScore DESC, VendorNumber LIMIT 15"""), _SCORE_F)
 register("A21_executive_blurb",
-         lambda s, d: A.executive_blurb(A.action_scorecard(tb.final_brand(s, d), tb.vsv(s, d))), None)
+         lambda s, d: A.executive_blurb(A.action_scorecard(tb.final_brand(s, d), tb.vsv(s, d))),
+         with_ctes(["scorecard"], """
+SELECT VendorNumber, ActionScore,
+       '- ' || VendorName || ': upside $' || format('{:,.0f}', UpsideTotal) || ', '
+       || CAST(CAST(BrandsNeedingAction AS INTEGER) AS VARCHAR) || ' brands to fix, purchase share '
+       || format('{:.1f}', PurchaseShare * 100) || '%, margin ' || format('{:.1f}', CurrentMargin) || '%.' AS blurb
+FROM scorecard ORDER BY ActionScore DESC, VendorNumber LIMIT 5"""), ("ActionScore",))
 register("A22_brand_portfolio", lambda s, d: A.brand_portfolio(tb.brand_frame(s, d)), with_ctes(["brand12"], """
 , m AS (SELECT median(coalesce(UpsideDollars, 0.0)) AS med FROM brand12)
 SELECT b.*, least(greatest(40.0 + coalesce(b.UpsideDollars, 0.0) / (CASE WHEN m.med = 0 OR m.med IS NULL THEN 1.0
