@@ -638,3 +638,38 @@ SELECT *, CASE WHEN lo > 0 THEN 'significant positive' WHEN hi < 0 THEN 'signifi
           CASE WHEN observed_diff > 0 THEN 'higher' ELSE 'lower' END AS direction FROM fin"""),
          ("observed_diff", "boot_mean_diff", "lo", "hi"))
 register("H11_top_vs_low_report", lambda s, d: H.top_vs_low_report(tb.vsv(s, d)), None)
+
+
+def _h9_stats_sql() -> str:
+    return _h4_sql(0.25) + """
+, d AS (SELECT * FROM h4 WHERE "group" IN ('top', 'low') AND value IS NOT NULL),
+m AS (SELECT "group", count(*) AS n, avg(value) AS mu, median(value) AS med,
+             quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM d GROUP BY "group"),
+mo AS (SELECT d."group", avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3,
+              avg(power(value - mu, 4)) AS m4,
+              count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers,
+              avg(abs(value - med)) AS zbar
+       FROM d JOIN m USING ("group") GROUP BY d."group"),
+g AS (SELECT m."group", n, outliers, zbar,
+             exp(-(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / power(m2, 2) - 3, 2) / 4.0)) / 2.0) AS jb_p
+      FROM m JOIN mo USING ("group")),
+z AS (SELECT abs(d.value - m.med) AS z, d."group" FROM d JOIN m USING ("group")),
+w AS (SELECT SUM(power(z.z - g.zbar, 2)) AS within, avg(z.z) AS zall, count(*) AS nn FROM z JOIN g USING ("group")),
+p AS (SELECT max(CASE WHEN "group" = 'top' THEN n END) AS n1, max(CASE WHEN "group" = 'low' THEN n END) AS n2,
+             max(CASE WHEN "group" = 'top' THEN jb_p END) AS normality_p1,
+             max(CASE WHEN "group" = 'low' THEN jb_p END) AS normality_p2,
+             max(CASE WHEN "group" = 'top' THEN outliers END) AS outliers1,
+             max(CASE WHEN "group" = 'low' THEN outliers END) AS outliers2,
+             max(CASE WHEN "group" = 'top' THEN zbar END) AS z1, max(CASE WHEN "group" = 'low' THEN zbar END) AS z2
+      FROM g)
+SELECT n1, n2, n1 >= 30 AND n2 >= 30 AS adequate_n, normality_p1, normality_p2,
+       normality_p1 > 0.05 AND normality_p2 > 0.05 AS normal,
+       CASE WHEN within > 0 THEN (nn - 2) * (n1 * power(z1 - zall, 2) + n2 * power(z2 - zall, 2)) / within END
+         AS levene_W,
+       outliers1, outliers2, outliers1 > n1 * 0.1 OR outliers2 > n2 * 0.1 AS high_outlier_share
+FROM p, w"""
+
+
+register("H9b_assumption_statistics",
+         lambda s, d: H.assumption_report(_h4(s, d, 0.25), "top", "low").drop("levene_p", "equal_variance"),
+         with_ctes(["vsv"], _h9_stats_sql()), ("normality_p1", "normality_p2", "levene_W"))
