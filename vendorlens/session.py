@@ -26,6 +26,18 @@ DEFAULT_CONF = {
 # Local runs only (the driver JVM is the whole cluster there); ignored when a session exists.
 LOCAL_CONF = {"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": "8"}
 
+# Cluster runs (100 TB class inputs): start shuffles wide and let AQE coalesce them to
+# ~128 MB partitions; split skewed join partitions; read files in 256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "vendorlens", extra: dict | None = None) -> SparkSession:
@@ -36,6 +48,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         conf.update(LOCAL_CONF)
+    elif master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
