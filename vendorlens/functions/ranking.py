@@ -26,13 +26,16 @@ def _bucket_bounds(df: DataFrame, value: str, buckets: int) -> DataFrame:
     return df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
 
 
-def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: bool = True,
+def global_cumsum(df: DataFrame, value: str, weight, out, ascending: bool = True,
                   tiebreak=(), buckets: int = DEFAULT_BUCKETS, inclusive: bool = True, by=()) -> DataFrame:
     """Running sum of ``weight`` over the order (``value``, then ``tiebreak``) within each
     ``by`` group (globally when ``by`` is empty).
 
-    ``value`` must be non-NULL and numeric. Returns ``df`` with column ``out``.
+    ``value`` must be non-NULL and numeric. ``weight`` / ``out`` may be lists to carry
+    several running sums in the same pass. Returns ``df`` with the ``out`` column(s).
     """
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    outs = [out] if isinstance(out, str) else list(out)
     from vendorlens.session import materialize
     by = list(by)
     probs = [i / buckets for i in range(1, buckets)]
@@ -58,14 +61,16 @@ def global_cumsum(df: DataFrame, value: str, weight: str, out: str, ascending: b
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         w = w.rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_run", F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    tot = x.groupBy(*by, "_bkt").agg(F.sum(weight).alias("_bt"))
+    k = range(len(weights))
+    x = x.withColumns({f"_run{i}": F.coalesce(F.sum(weights[i]).over(w), F.lit(0)) for i in k})
+    tot = x.groupBy(*by, "_bkt").agg(*[F.sum(weights[i]).alias(f"_bt{i}") for i in k])
     # at most groups x buckets rows: this window and the broadcast are bounded
     ow = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(ow), F.lit(0)))
-    off = off.select(*by, "_bkt", "_off")
+    off = tot.withColumns({f"_off{i}": F.coalesce(F.sum(f"_bt{i}").over(ow), F.lit(0)) for i in k})
+    off = off.select(*by, "_bkt", *[f"_off{i}" for i in k])
     x = x.join(off if by else F.broadcast(off), by + ["_bkt"])
-    return x.withColumn(out, F.col("_off") + F.col("_run")).drop("_bkt", "_run", "_off")
+    x = x.withColumns({outs[i]: F.col(f"_off{i}") + F.col(f"_run{i}") for i in k})
+    return x.drop("_bkt", *[f"_run{i}" for i in k], *[f"_off{i}" for i in k])
 
 
 def string_prefix_key(c) -> Column:

@@ -36,6 +36,7 @@ POISSON_CDF = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for
 
 
 M31 = 2147483647
+PERM_RTOL = 1e-12
 GOLDEN = 2654435761
 
 
@@ -279,7 +280,10 @@ def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 1
         s = r.groupBy("_rep").agg(F.sum(F.when(F.col("_rn") <= F.col("n_a"), F.col("value"))).alias("_sa"))
     s = attach(s, obs)
     diff = F.col("_sa") / F.col("n_a") - (F.col("_tot") - F.col("_sa")) / (F.col("_n") - F.col("n_a"))
-    s = s.withColumn("_ge", F.when(diff >= F.col("observed_diff"), 1).otherwise(0))
+    # a permutation that reproduces the observed split equals it up to summation order:
+    # count it as ">=" with a relative tolerance (as scipy's permutation_test does)
+    obs_lo = F.col("observed_diff") - F.abs(F.col("observed_diff")) * PERM_RTOL
+    s = s.withColumn("_ge", F.when(diff >= obs_lo, 1).otherwise(0))
     agg = s.agg(F.sum("_ge").alias("_k"), F.count(F.lit(1)).alias("_b"))
     p = (F.col("_k") + 1) / (F.col("_b") + 1) if plus_one else F.col("_k") / F.col("_b")
     return (attach(obs, agg)

@@ -153,9 +153,8 @@ def pareto(df: DataFrame, key: str, value: str, top: int | None = 20, buckets: i
     rank and a 'x.x%' label. The cumulative sum is a bucketed global prefix sum."""
     g = materialize(df.groupBy(key).agg(F.sum(value).alias(value)).filter(F.col(value).isNotNull()))
     tot = g.agg(F.sum(value).alias("_tot"))
-    c = global_cumsum(g.withColumn("_one", F.lit(1)), value, value, "_cum", ascending=False,
+    c = global_cumsum(g.withColumn("_one", F.lit(1)), value, [value, "_one"], ["_cum", "rank"], ascending=False,
                       tiebreak=(key,), buckets=buckets)
-    c = global_cumsum(c, value, "_one", "rank", ascending=False, tiebreak=(key,), buckets=buckets)
     out = (attach(c, tot)
             .select(key, value, (F.col(value) / F.col("_tot")).alias("pct"),
                     (F.col("_cum") / F.col("_tot")).alias("cum_pct"), F.col("rank").cast("bigint").alias("rank")))

@@ -602,7 +602,8 @@ o AS (SELECT count_if("group" = '{a_name}') AS n_a, count(*) AS n, SUM(value) AS
 r AS (SELECT rep, value, row_number() OVER (PARTITION BY rep ORDER BY {u}, {order}) AS rn
       FROM d, range(0, {B}) t(rep)),
 s AS (SELECT rep, SUM(CASE WHEN rn <= (SELECT n_a FROM o) THEN value END) AS sa FROM r GROUP BY rep),
-g AS (SELECT count_if(sa / o.n_a - (o.tot - sa) / (o.n - o.n_a) >= o.observed_diff) AS k, count(*) AS b FROM s, o)
+g AS (SELECT count_if(sa / o.n_a - (o.tot - sa) / (o.n - o.n_a) >= o.observed_diff - abs(o.observed_diff) * 1e-12)
+             AS k, count(*) AS b FROM s, o)
 SELECT o.n_a, o.n - o.n_a AS n_b, o.observed_diff, CAST({p} AS DOUBLE) AS p_value FROM o, g"""
 
 
