@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe
+from vendorlens.llm import bpe, decontaminate, quality
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -29,9 +29,22 @@ def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.verdicts(found)
+
+
 QUERIES = {
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": decontaminate.ORACLE_SQL,
+}
