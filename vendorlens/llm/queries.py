@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe, decontaminate, quality
+from vendorlens.llm import bpe, decontaminate, lines, quality
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -33,6 +33,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.verdicts(found)
@@ -41,10 +45,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op7_line_dedup": lines.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
 }
