@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe, decontaminate, lines, quality
+from vendorlens.llm import bpe, decontaminate, jaccard, lines, quality
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -29,6 +29,10 @@ def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
