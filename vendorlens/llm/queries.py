@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe, decontaminate, jaccard, lines, quality
+from vendorlens.llm import bpe, decontaminate, jaccard, lines, quality, repeats
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -46,12 +46,18 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(found)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
