@@ -125,7 +125,7 @@ def ranges_of(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, size: int):
     new = np.ones(len(pos), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (pos[1:] > pos[:-1] + size)
     at = np.flatnonzero(new)
-    return doc[at], tag[at], pos[at], pos[np.append(at[1:], len(pos)) - 1] + size
+    return doc[at], tag[at], pos[at], pos[np.append(at[1:], len(pos))[:len(at)] - 1] + size
 
 
 def settle(group: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -223,6 +223,8 @@ def removed_ranges(docs: DataFrame, key: str, text: str, size: int) -> DataFrame
             now = pa.Table.from_batches([batch])
             if held is not None:
                 now = pa.concat_tables([held, now])
+            if not len(now):
+                continue
             name = now.column("name").to_numpy()
             cut = int(np.searchsorted(name, name[-1]))
             held = now.slice(cut)
