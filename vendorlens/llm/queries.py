@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe, decontaminate, jaccard, lines, pages, quality, repeats
+from vendorlens.llm import bpe, chat, decontaminate, jaccard, lines, pages, quality, repeats
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -30,6 +30,13 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.turns_as_calls(table(spark, sf_dir, "conversations"))
+    return chat.link_calls(calls, results, chat.turn_schemas(spark)).select(
+        F.col("id").alias("call_id"), F.col("at").alias("turn"), "tool", "depth", "linked",
+        (F.size("errors") == 0).alias("valid"), F.sha2("line", 256).alias("line_sha256"))
+
+
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -58,6 +65,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
@@ -68,6 +76,7 @@ QUERIES = {
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op2_chat_formatting": chat.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
 }
