@@ -209,9 +209,15 @@ def load_vocabulary(spec) -> Vocabulary:
     key = hashlib.sha256(spec.value.encode()).hexdigest()
     if key not in cache:
         cache[key] = Vocabulary(spec.value)
+        cache[key].name = key
     return cache[key]
 
 
+def remembered(v: Vocabulary) -> tuple[dict, dict]:
+    """What a worker knows of a vocabulary's pre-tokens."""
+    return worker_cache(f"bpe_known_{v.name}", REMEMBERED), worker_cache(f"bpe_spaced_{v.name}", REMEMBERED)
+
+
 def encode_decode(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text and decode the ids again.
 
@@ -228,9 +234,7 @@ def encode_decode(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     def run(batches):
         v = load_vocabulary(shared)
         for block in text_blocks(batches):
-            known = worker_cache("bpe_known", REMEMBERED)
-            spaced = worker_cache("bpe_spaced", REMEMBERED)
-            ids = encode_block(texts(block), v, known, spaced)
+            ids = encode_block(texts(block), v, *remembered(v))
             yield pa.RecordBatch.from_arrays([
                 block.column("key"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array(ids, pa.binary()), pa.array([decode_ids(x, v) for x in ids], pa.string()),

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import bpe, chat, decontaminate, jaccard, lines, pages, quality, repeats
+from vendorlens.llm import attribution, bayes, bpe, chat, decontaminate, jaccard, lines, pages, quality, repeats
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -41,6 +41,11 @@ def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE).select(
+        "doc_id", "n_tokens", "n_sections", "n_crossing", "section_tokens")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(found)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -67,10 +76,12 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_bpe_encode_decode": op3_bpe_encode_decode,
+    "op4_token_counts": op4_token_counts,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
