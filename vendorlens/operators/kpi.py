@@ -222,7 +222,8 @@ def canonical_vendor_columns(vsum: DataFrame) -> DataFrame:
 def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame, join_on=("VendorNumber", "VendorName")) -> DataFrame:
     """Vendor frame with purchase share, turnover (units, dollars if no units) and the
     upside rollup of brand opportunities joined on ``join_on`` (the reference uses both keys,
-    so brands filed under another spelling of the vendor name drop out)."""
+    so brands filed under another spelling of the vendor name drop out). In descending
+    order of upside, numbered by ``rank``."""
     v = canonical_vendor_columns(vendor_summary)
     tot = v.agg(F.sum("TotalPurchaseDollars").alias("_tp"))
     has_units = v.agg(F.count("TotalPurchaseQty").alias("_hu"))
@@ -236,8 +237,11 @@ def scorecard_v1(vendor_summary: DataFrame, opps: DataFrame, join_on=("VendorNum
         F.count_if(UP() > 0).alias("BrandsNeedingAction"))
     s = (v.join(roll, list(join_on), "left")
           .na.fill({"UpsideTotal": 0.0, "BrandsNeedingAction": 0}))
+    s = global_cumsum(s.withColumn("_one", F.lit(1)), "UpsideTotal", "_one", "rank", ascending=False,
+                      tiebreak=("VendorNumber", "VendorName"))
     return s.select("VendorNumber", "VendorName", "UpsideTotal", "BrandsNeedingAction", "CurrentMargin",
-                    "StockTurnover", "PurchaseShare", "TotalSalesDollars", "TotalPurchaseDollars")
+                    "StockTurnover", "PurchaseShare", "TotalSalesDollars", "TotalPurchaseDollars",
+                    F.col("rank").cast("bigint").alias("rank")).orderBy("rank")
 
 
 # ActionScore weights.

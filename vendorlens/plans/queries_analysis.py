@@ -19,17 +19,6 @@ def _union(parts):
 
 
 # =============================================================================== Q: quality
-Q1_TYPES = [(c, e) for c, e in Q.EXPECTED_TYPES]
-_TYPE_CLASS = ("CASE WHEN t IN ('BIGINT','INTEGER','SMALLINT','TINYINT','HUGEINT') THEN 'INT' "
-               "WHEN t IN ('DOUBLE','FLOAT') OR t LIKE 'DECIMAL%' THEN 'NUM' WHEN t = 'VARCHAR' THEN 'TEXT' ELSE t END")
-register("Q1_expected_types", lambda s, d: Q.type_check(s, tb.vss2(s, d)), with_ctes(["vss2"], f"""
-SELECT e.col, e.expected, a.actual,
-       coalesce(e.expected = a.actual OR (e.expected = 'NUM' AND a.actual = 'INT'), false) AS ok
-FROM (VALUES {', '.join(f"('{c}', '{x}')" for c, x in Q1_TYPES)}) e(col, expected)
-LEFT JOIN (SELECT col, {_TYPE_CLASS} AS actual FROM (
-  {_union([f"SELECT '{c}' AS col, (SELECT typeof({c}) FROM vss2 LIMIT 1) AS t" for c, _ in Q1_TYPES])}) x) a
-ON a.col = e.col"""))
-
 Q2_COLS = {"nn_VendorNumber": "VendorNumber", "nn_VendorName": "VendorName", "nn_Brand": "Brand",
            "nn_TotalSalesDol": "TotalSalesDollars", "nn_TotalPurchaseDol": "TotalPurchaseDollars",
            "nn_TotalSalesQty": "TotalSalesQuantity", "nn_TotalPurchaseQty": "TotalPurchaseQuantity",
@@ -112,9 +101,8 @@ register("Q13_plotting_base", tb.plot_frame, with_ctes(["q13"], "SELECT * FROM q
 register("Q14_purchase_reconciliation",
          lambda s, d: Q.purchase_reconciliation(tb.base(s, d).vendor_invoice, tb.brand_pricing(s, d)),
          with_ctes(["bp"], """
-SELECT vi.vi_purch, bp.bp_purch, CASE WHEN vi.vi_purch IS NOT NULL AND vi.vi_purch <> 0
-                                      THEN bp.bp_purch / vi.vi_purch END AS ratio
-FROM (SELECT SUM(Dollars) AS vi_purch FROM vendor_invoice) vi, (SELECT SUM(TotalPurchaseDollars) AS bp_purch FROM bp) bp
+SELECT any_value(x) FILTER (k = 'vi') AS vi_purch, any_value(x) FILTER (k = 'bp') AS bp_purch, bp_purch / nullif(vi_purch, 0) AS ratio
+FROM (SELECT 'vi' AS k, sum(Dollars) AS x FROM vendor_invoice UNION ALL SELECT 'bp', sum(TotalPurchaseDollars) FROM bp)
 """), ("vi_purch", "bp_purch", "ratio"))
 register("Q15_vendor_inflation",
          lambda s, d: Q.vendor_inflation(tb.base(s, d).vendor_invoice, tb.brand_pricing(s, d)),
@@ -129,7 +117,7 @@ ORDER BY ratio DESC NULLS LAST, VendorNumber LIMIT 15"""), ("bp_purch", "vi_purc
 register("Q16_brand_purchase_preview",
          lambda s, d: T.brand_purchases(tb.base(s, d).purchases).select("VendorNumber", "Brand", "BrandPurchaseDollars")
          .orderBy("VendorNumber", "Brand").limit(20),
-         with_ctes(["t1_bp"], "SELECT VendorNumber, Brand, BrandPurchaseDollars FROM t1_bp "
+         with_ctes(["bought"], "SELECT VendorNumber, Brand, paid AS BrandPurchaseDollars FROM bought "
                               "ORDER BY VendorNumber, Brand LIMIT 20"), ("BrandPurchaseDollars",))
 register("Q17_canonical_vendor_columns", lambda s, d: A.canonical_vendor_columns(tb.vsv(s, d)), with_ctes(["vsv"], """
 SELECT VendorNumber, VendorName, TotalSalesDol_in_summary AS TotalSalesDollars, TotalSalesQty,
@@ -220,7 +208,12 @@ SELECT {key}, {value}, pct, cum_pct, rank, printf('%.1f', pct * 100) || '%' AS p
   FROM (SELECT {key}, SUM({value}) AS {value} FROM {frm} GROUP BY {key}) g WHERE {value} IS NOT NULL) x {lim}"""
 
 
-register("A13_purchase_pareto", lambda s, d: A.pareto(tb.final_vendor(s, d), "VendorName", "TotalPurchaseDollars"),
+register("A13_purchase_pareto",
+         lambda s, d: A.pareto(tb.final_vendor(s, d), "VendorName", "TotalPurchaseDollars", top=None),
+         with_ctes(["final_vendor"], _pareto_sql("final_vendor", "VendorName", "TotalPurchaseDollars", None)),
+         ("TotalPurchaseDollars", "pct", "cum_pct"))
+register("A13b_purchase_pareto_top20",
+         lambda s, d: A.pareto(tb.final_vendor(s, d), "VendorName", "TotalPurchaseDollars", top=20),
          with_ctes(["final_vendor"], _pareto_sql("final_vendor", "VendorName", "TotalPurchaseDollars", 20)),
          ("TotalPurchaseDollars", "pct", "cum_pct"))
 register("A14_brand_sales_pareto", lambda s, d: A.pareto(tb.final_brand(s, d), "Brand", "TotalSalesDollars", top=None),
@@ -264,7 +257,8 @@ SELECT v.VendorNumber, v.VendorName, coalesce(r.UpsideTotal, 0.0) AS UpsideTotal
        coalesce(r.BrandsNeedingAction, 0) AS BrandsNeedingAction, v.ProfitMargin AS CurrentMargin,
        CASE WHEN v.TotalPurchaseQty <> 0 THEN v.TotalSalesQty / v.TotalPurchaseQty END AS StockTurnover,
        v.TotalPurchaseDol / sum(v.TotalPurchaseDol) OVER () AS PurchaseShare,
-       v.TotalSalesDol_in_summary AS TotalSalesDollars, v.TotalPurchaseDol AS TotalPurchaseDollars
+       v.TotalSalesDol_in_summary AS TotalSalesDollars, v.TotalPurchaseDol AS TotalPurchaseDollars,
+       row_number() OVER (ORDER BY coalesce(r.UpsideTotal, 0.0) DESC, v.VendorNumber, v.VendorName) AS "rank"
 FROM vsv v LEFT JOIN (SELECT VendorNumber, VendorName, coalesce(SUM(UpsideDollars), 0.0) AS UpsideTotal,
                              count_if(UpsideDollars > 0) AS BrandsNeedingAction
                       FROM opps GROUP BY VendorNumber, VendorName) r
@@ -409,7 +403,9 @@ register("D3b_spearman_vendor",
                                                               & (F.col("TotalSalesQuantity") > 0)), VENDOR_CORR),
          with_ctes(["final_vendor"], _spearman_sql("final_vendor", "TotalSalesDollars > 0 AND TotalSalesQuantity > 0",
                                                    VENDOR_CORR)), ("rho",))
-OUTLIER_METRICS = ["TotalSalesDollars", "TotalSalesQuantity", "FreightCost", "GrossProfit", "CurrentMargin"]
+# every column of final_all that names a sales, profit, margin, cost or price figure
+OUTLIER_METRICS = ["TotalSalesDollars", "TotalSalesQuantity", "FreightCost", "GrossProfit", "CurrentMargin", "TargetMargin",
+                   "RequiredSalesDollars", "NeededPriceDeltaPerUnit"]
 
 
 def _iqr_sql(frm: str, cols, k: float, keep=()) -> str:
@@ -450,7 +446,7 @@ _H1_SQL = """
   WHERE TotalSalesQuantity > 0 AND TotalPurchaseDollars > 0)"""
 register("D5_iqr_outliers_by_group", lambda s, d: D.iqr_outliers(_h1(s, d), ["value"], 1.5, group="group"),
          with_ctes(["bp"], _H1_SQL + _iqr_sql("h1", ["value"], 1.5, keep=('"group"',))), _IQR_F)
-_ROLES = D.discover_roles(T.FINAL_ALL_COLUMNS)
+_ROLES = D.REPORT_COLUMNS
 register("D7_negative_summary", lambda s, d: D.negative_summary(tb.final_all(s, d)), with_ctes(["final_all"], f"""
 SELECT 'Negative Profit' AS "check", '{_ROLES['profit']}' AS "column", count_if({_ROLES['profit']} < 0) AS count,
        count_if({_ROLES['profit']} < 0) / count(*) * 100 AS pct FROM final_all

@@ -8,9 +8,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
-from vendorlens.operators.quality import schema_frame
 from vendorlens.plans import tables as tb
 from vendorlens.plans.build import BUILD_TABLES, build_final_tables
 from vendorlens.plans.oracle import with_ctes
@@ -49,7 +46,7 @@ def _s1b(spark, sf_dir):
 
 register("S1b_stream_ingest", _s1b, with_ctes([], "SELECT * FROM purchases"), ("PurchasePrice", "Dollars"))
 
-# column lists of the nine build tables (for the oracle of the export check)
+# The columns of the nine build tables, in order.
 _T1 = ["VendorNumber", "VendorName", "Brand", "TotalSalesQuantity", "TotalSalesDollars", "TotalPurchaseQuantity",
        "TotalPurchaseDollars", "FreightCost", "GrossProfit", "ProfitMargin"]
 BUILD_COLUMNS = {
@@ -122,7 +119,6 @@ def _s8(spark, sf_dir):
 
 register("S8_row_count_audit", _s8, with_ctes([v for v, _ in BUILD_COLUMNS.values()], "\nUNION ALL\n".join(
     f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {v}" for n, (v, _) in BUILD_COLUMNS.items())))
-register("S9_schema_final_all", lambda s, d: schema_frame(s, tb.final_all(s, d)), None)
 register("S11_analysis_scan", tb.analysis_frame, with_ctes(["s11"], "SELECT * FROM s11 ORDER BY TotalSalesDollars DESC"),
          ("TotalSalesDollars", "TotalPurchaseDollars", "FreightCost", "GrossProfit", "CurrentMargin", "TargetMargin",
           "RequiredSalesDollars", "UpsideDollars", "NeededPriceDeltaPerUnit"))
@@ -139,4 +135,3 @@ SELECT * FROM final_all ORDER BY md5(concat_ws('|', '0', coalesce(CAST(Level AS
                                                coalesce(CAST(Brand AS VARCHAR), ''))) LIMIT 5000"""),
          ("TotalSalesDollars", "TotalPurchaseDollars", "FreightCost", "GrossProfit", "CurrentMargin", "TargetMargin",
           "RequiredSalesDollars", "UpsideDollars", "NeededPriceDeltaPerUnit"))
-_ = F

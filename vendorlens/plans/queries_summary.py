@@ -16,8 +16,11 @@ T2F = ("AvgPurchasePrice", "AvgActualPrice", "Volume", "AvgSalesPrice") + T1F +
 OPPF = ("TargetMargin", "RequiredSalesDollars", "UpsideDollars", "NeededPriceDeltaPerUnit")
 
 
-def _sel(view):
-    return with_ctes([view], f"SELECT * FROM {view}")
+def _sel(view, columns="*"):
+    return with_ctes([view], f"SELECT {columns} FROM {view}")
+
+
+_SOLD = "CAST(sum(SalesQuantity) AS BIGINT) AS TotalSalesQuantity, sum(SalesDollars) AS TotalSalesDollars"
 
 
 # ---- T1 and its parts
@@ -25,15 +28,16 @@ register("T1_vendor_sales_summary", tb.vss, _sel("vss"), T1F,
          "brand summary with freight allocation (build variant)")
 register("T1a_fanout_sales",
          lambda s, d: T.fanout_sales(tb.base(s, d).sales, tb.base(s, d).purchases),
-         _sel("t1_sales"), ("TotalSalesDollars",), "sales over the InventoryId fan-out join")
+         with_ctes(["lots"], f"SELECT VendorNumber, VendorName, Brand, {_SOLD} FROM lots GROUP BY ALL"), ("TotalSalesDollars",), "sales over the InventoryId fan-out join")
 register("T1b_brand_purchases", lambda s, d: T.brand_purchases(tb.base(s, d).purchases),
-         _sel("t1_bp"), ("BrandPurchaseDollars",))
+         _sel("bought", "VendorNumber, Brand, CAST(units AS BIGINT) AS BrandPurchaseQuantity, paid AS BrandPurchaseDollars"),
+         ("BrandPurchaseDollars",))
 register("T1c_vendor_purchase_totals",
          lambda s, d: T.vendor_brand_purchase_totals(T.brand_purchases(tb.base(s, d).purchases)),
-         _sel("t1_vt"), ("VendorBrandPurchDollars",))
+         _sel("bought", "DISTINCT VendorNumber, vendor_paid AS VendorBrandPurchDollars"), ("VendorBrandPurchDollars",))
 register("T1d_invoice_by_vendor",
          lambda s, d: T.invoice_by_vendor(tb.base(s, d).vendor_invoice).select("VendorNumber", "Freight"),
-         _sel("t1_vi"), ("Freight",))
+         _sel("billed", "VendorNumber, freight AS Freight"), ("Freight",))
 
 # ---- T2 family
 register("T2_vendor_sales_summary_replicated", tb.vss2, _sel("vss2"), T2F,
@@ -41,13 +45,14 @@ register("T2_vendor_sales_summary_replicated", tb.vss2, _sel("vss2"), T2F,
 register("T2a_fanout_sales_avg",
          lambda s, d: T.fanout_sales(tb.base(s, d).sales, tb.base(s, d).purchases,
                                      vendor_keys=("VendorNumber",), with_avg_price=True),
-         _sel("t2_sales"), ("TotalSalesDollars", "AvgSalesPrice"))
+         with_ctes(["lots"], f"SELECT VendorNumber, Brand, {_SOLD}, avg(SalesPrice) AS AvgSalesPrice FROM lots GROUP BY ALL"), ("TotalSalesDollars", "AvgSalesPrice"))
 register("T2b_purchase_price_summary",
          lambda s, d: T.purchase_price_summary(tb.base(s, d).purchases, tb.base(s, d).purchase_prices),
-         _sel("t2_purch"), ("AvgPurchasePrice", "AvgActualPrice", "Volume"))
+         _sel("listed", "VendorNumber, VendorName, Brand, bid AS AvgPurchasePrice, ask AS AvgActualPrice, volume AS Volume"), ("AvgPurchasePrice", "AvgActualPrice", "Volume"))
 register("T2c_invoice_totals",
          lambda s, d: T.invoice_totals_by_vendor(tb.base(s, d).vendor_invoice),
-         _sel("t2_vi"), ("TotalPurchaseDollars", "FreightCost"))
+         _sel("billed", "VendorNumber, CAST(units AS BIGINT) AS TotalPurchaseQuantity, dollars AS TotalPurchaseDollars, "
+              "freight AS FreightCost"), ("TotalPurchaseDollars", "FreightCost"))
 register("T3_premerge_summary",
          lambda s, d: T.premerge_summary(*[getattr(tb.base(s, d), n) for n in
                                            ("sales", "purchases", "vendor_invoice", "purchase_prices")]),
@@ -159,3 +164,27 @@ register("T15c_risk_summary_preview",
                                      "VendorNumber LIMIT 15"),
          ("SalesAtRisk", "GrossProfit_FromBadBrands", "Freight_FromBadBrands", "AvgMargin_BadBrands",
           "MinMargin_BadBrands", "VendorTotalSales", "SalesAtRiskPct"))
+
+
+def _preview(name, frame, view, order, n, floats):
+    """The first ``n`` rows of a table in its order (SQL order terms), keys breaking ties."""
+    terms = [t.rsplit(" ", 1) if t.endswith((" DESC", " ASC")) else (t, "ASC") for t in order]
+    cols = [F.col(c).desc_nulls_last() if d == "DESC" else F.col(c).asc_nulls_last() for c, d in terms]
+    register(name, lambda s, d: frame(s, d).orderBy(*cols).limit(n),
+             with_ctes([view], f"SELECT * FROM {view} ORDER BY " + ", ".join(f"{c} {d} NULLS LAST" for c, d in terms)
+                       + f" LIMIT {n}"), floats)
+
+
+_KEYS = ["VendorNumber", "Brand", "VendorName"]
+_preview("T15d_underperforming_preview", tb.underperf, "underperf",
+         ["VendorNumber", "ProfitMargin ASC", "FreightPct DESC", "Brand", "VendorName"], 20, DIAGF)
+_preview("T15e_opportunities_preview", lambda s, d: T.pricing_opportunities_filtered(tb.vss2(s, d)), "opps_b",
+         ["UpsideDollars DESC", "CurrentMargin ASC", *_KEYS], 20,
+         ("TotalSalesDollars", "TotalPurchaseDollars", "FreightCost", "AvgSalesPrice", "CurrentMargin", "TargetMargin",
+          "UpsideDollars", "NeededPriceDeltaPerUnit", "SuggestedPriceLiftPct", "SuggestedNewAvgPrice"))
+_preview("T15f_kpi_flags_preview", lambda s, d: T.vendor_kpi_flags(tb.vss2(s, d)), "kpi_flags",
+         ["ProfitMarginPct ASC", "FreightSharePct DESC", "VendorNumber", "VendorName"], 20,
+         ("TotalSalesDollars", "TotalPurchaseDollars", "FreightCost", "ProfitMarginPct", "FreightSharePct",
+          "SalesToPurchaseRatio", "StockTurnover"))
+_preview("T15g_spend_preview", lambda s, d: T.spend_by_vendor_named(tb.vss2(s, d)), "spend_named",
+         ["GrossProfit DESC", "VendorNumber", "VendorName"], 15, MONEY + ("ProfitMargin", "SalesToPurchaseRatio"))

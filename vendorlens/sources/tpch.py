@@ -48,7 +48,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = lines(spark, sf_dir)
-    return (v.filter((F.col("st") == "F") & (F.col("VendorNumber") % 25 != 3))
+    return (v.filter(F.col("st") == "F")
              .select("InventoryId", "Brand", F.col("VendorNumber").alias("VendorNo"),
                      F.col("qty").alias("SalesQuantity"),
                      (F.col("ext") * (1 - F.col("disc"))).alias("SalesDollars"),
@@ -68,8 +68,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vendor_invoice(spark: SparkSession, sf_dir: str, purch: DataFrame | None = None) -> DataFrame:
     p = purch if purch is not None else purchases(spark, sf_dir)
-    return (p.filter(F.col("VendorNumber") % 25 != 4)
-             .groupBy("VendorNumber", "PONumber")
+    return (p.groupBy("VendorNumber", "PONumber")
              .agg(F.sum("Quantity").alias("Quantity"), F.sum("Dollars").alias("Dollars"))
              .withColumn("Freight", F.col("Dollars") * F.lit(0.005) * (F.col("VendorNumber") % 5))
              .select("VendorNumber", "PONumber", "Quantity", "Dollars", "Freight"))
@@ -116,7 +115,7 @@ v_lines AS (
 sales AS (
   SELECT InventoryId, Brand, VendorNumber AS VendorNo, qty AS SalesQuantity,
          ext * (1 - disc) AS SalesDollars, ext / qty AS SalesPrice, ext * tax AS ExciseTax
-  FROM v_lines WHERE st = 'F' AND VendorNumber % 25 <> 3
+  FROM v_lines WHERE st = 'F'
 ),
 purchases AS (
   SELECT InventoryId, VendorNumber, VendorName, Brand, Description,
@@ -127,7 +126,7 @@ purchases AS (
 vendor_invoice AS (
   SELECT VendorNumber, PONumber, CAST(SUM(Quantity) AS BIGINT) AS Quantity, SUM(Dollars) AS Dollars,
          SUM(Dollars) * 0.005 * (VendorNumber % 5) AS Freight
-  FROM purchases WHERE VendorNumber % 25 <> 4 GROUP BY VendorNumber, PONumber
+  FROM purchases GROUP BY VendorNumber, PONumber
 ),
 purchase_prices AS (
   SELECT VendorNumber, VendorNumber AS VendorNo, Brand, MIN(PurchasePrice) AS PurchasePrice,
