@@ -1,16 +1,19 @@
 """Resampling inference as distributed jobs.
 
-Bootstrap: each (row, replicate) gets a Poisson(1) weight from a uniform derived
-from ``md5(seed|key|rep)``. Replicates are generated by exploding a replicate id
-inside the scan's task and immediately summed by ``groupBy(rep)``; the partial
-aggregate runs map-side, so only (replicates x partitions) partial sums are shuffled,
-never rows x replicates. The md5 uniform is plain SQL, so DuckDB computes identical
-weights and the oracle checks values, not only row counts.
-
-Permutation tests assign the first n_a rows of each replicate's hash order to group A.
-That needs a window partitioned by replicate over the pooled sample; the pooled sample
-is a vendor- or brand-grain summary (bounded by distinct keys, not by raw lines), and
-replicates spread over tasks.
+Every (row, replicate) pair has one integer below 2**31 - 1, mixed from two independent
+30-bit lanes of ``md5(seed|key)`` and the replicate's number. The lanes are computed once
+a row; Spark, numpy and DuckDB mix them with the same exact integer arithmetic, so the
+oracle checks values.
+
+Bootstrap: the integer gives a Poisson(1) weight. A task adds up ``sum w`` and ``sum w*x``
+of its rows for all replicates and emits these partial sums, one row per replicate and
+group; rows are never multiplied by replicates.
+
+Permutation: a replicate puts the ``n_a`` rows with the smallest integers into group a.
+Tasks first count and sum their rows in a few value ranges around the expected cut;
+the totals name each replicate's boundary range. A second pass sends on the rows of that
+range only (about ``sqrt(n) / 2`` a replicate), of which the smallest complete the sum. The
+path is the same at any size, and no task holds the pool.
 
 Bootstrap draws are Poisson rather than the reference's exact-size resamples
 (numpy streams are not reproducible across engines); intervals agree in distribution.
@@ -20,79 +23,67 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendorlens.functions.frames import attach
-from pyspark.sql.types import DoubleType
-
 from vendorlens.functions.ranking import exact_quantiles, grouped_quantiles, qcut
 from vendorlens.session import materialize
 
-POISSON_MAX = 15
-# Poisson(1) cumulative probabilities P(X <= k), k = 0..POISSON_MAX (from the formula).
-POISSON_CDF = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(POISSON_MAX + 1)]
-
-
 M31 = 2147483647
 PERM_RTOL = 1e-12
 GOLDEN = 2654435761
+LANE = (1 << 30) - 1
 
 
-def row_hash(seed: int, keys) -> "F.Column":
-    """32-bit row hash from md5(seed|key...), computed once per row."""
-    parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
+def _poisson_cdf() -> list[float]:
+    """P(X <= k) of Poisson(1) up to the k beyond which no draw of 31 bits can fall."""
+    out, term, total = [], math.exp(-1.0), 0.0
+    while not out or 1.0 - out[-1] >= 1.0 / M31:
+        total += term
+        out.append(total)
+        term /= len(out)
+    return out
+
 
+POISSON_CDF = _poisson_cdf()
 
-def row_hash_hex(seed: int, keys) -> "F.Column":
-    """Full md5 text of the row key (deterministic tie-breaker)."""
+
+def _key_text(seed: int, keys):
     parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat_ws("|", *parts))
 
 
-def mix(h0, rep) -> "F.Column":
-    """Per-(row, replicate) integer in [0, 2^31 - 1) from the row hash and the replicate id.
-
-    Multiply / modulo / xor / shift on values below 2^48: exact bigint arithmetic, so
-    Spark, numpy and DuckDB produce the same numbers.
-    """
-    a = h0.bitwiseXOR((rep.cast("bigint") * GOLDEN) % 4294967296)
-    a = (a * 48271) % M31
-    a = a.bitwiseXOR(F.shiftright(a, 15))
-    a = (a * 69621) % M31
-    a = a.bitwiseXOR(F.shiftright(a, 13))
-    return (a * 48271) % M31
+def lanes(df: DataFrame, seed: int, keys) -> DataFrame:
+    """``df`` with the two hash lanes ``_h1`` and ``_h2`` of each row."""
+    d = df.withColumn("_md5", _key_text(seed, keys))
+    lane = [F.conv(F.substring("_md5", at, 8), 16, 10).cast("bigint").bitwiseAND(LANE) for at in (1, 9)]
+    return d.withColumn("_h1", lane[0]).withColumn("_h2", lane[1]).drop("_md5")
 
 
-def mix_np(h0, rep: int):
-    import numpy as np
-    a = np.bitwise_xor(h0, (rep * GOLDEN) % 4294967296)
+def _stir(a, rep: int):
+    a = a ^ ((rep * GOLDEN) % 4294967296)
     a = (a * 48271) % M31
-    a = np.bitwise_xor(a, a >> 15)
+    a = a ^ (a >> 15)
     a = (a * 69621) % M31
-    a = np.bitwise_xor(a, a >> 13)
+    a = a ^ (a >> 13)
     return (a * 48271) % M31
 
 
-def uniform(seed: int, keys, rep) -> "F.Column":
-    """U[0, 1) per (row, replicate)."""
-    return mix(row_hash(seed, keys), F.col(rep)) / float(M31)
+def mixed(h1: np.ndarray, h2: np.ndarray, rep: int) -> np.ndarray:
+    """The integer of each row in replicate ``rep``; products stay below 2**48."""
+    return _stir(_stir(h1, rep) ^ h2, rep)
 
 
-def _row_hash_sql(seed: int, keys) -> str:
+def lanes_sql(seed: int, keys) -> list[str]:
     parts = ", ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys])
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 8)) AS BIGINT)"
+    return [f"(CAST(('0x' || substr(md5(concat_ws('|', {parts})), {at}, 8)) AS BIGINT) & {LANE})" for at in (1, 9)]
 
 
-def row_hash_hex_sql(seed: int, keys) -> str:
-    parts = ", ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys])
-    return f"md5(concat_ws('|', {parts}))"
-
-
-def mix_sql(h0: str, rep: str) -> str:
-    a = f"xor({h0}, ({rep} * {GOLDEN}) % 4294967296)"
+def _stir_sql(a: str, rep: str) -> str:
+    a = f"xor({a}, ({rep} * {GOLDEN}) % 4294967296)"
     a = f"(({a}) * 48271) % {M31}"
     a = f"xor({a}, ({a}) >> 15)"
     a = f"(({a}) * 69621) % {M31}"
@@ -100,24 +91,14 @@ def mix_sql(h0: str, rep: str) -> str:
     return f"((({a}) * 48271) % {M31})"
 
 
-def uniform_sql(seed: int, keys, rep: str) -> str:
-    return f"({mix_sql(_row_hash_sql(seed, keys), rep)} / {float(M31)!r})"
-
+def mixed_ctes(src: str, rep: str, out: str, columns: str = "*") -> str:
+    """CTEs (from ``src`` with h1, h2 and ``rep``) ending in ``out`` with the integer ``mixed``."""
+    return (f"{out}_1 AS (SELECT {columns}, {_stir_sql('h1', rep)} AS m1 FROM {src}),\n"
+            f"{out} AS (SELECT *, {_stir_sql('xor(m1, h2)', rep)} AS mixed FROM {out}_1)")
 
-def poisson_weight(u) -> "F.Column":
-    w = F.lit(0)
-    for c in POISSON_CDF:
-        w = w + F.when(u >= F.lit(c), 1).otherwise(0)
-    return w
 
-
-def poisson_weight_sql(u: str) -> str:
-    return "(" + " + ".join(f"CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END" for c in POISSON_CDF) + ")"
-
-
-def effective_reps(n, B: int):
-    """The reference's rule: min(B, 5000) replicates when n > 100, else 1000."""
-    return F.when(n > 100, F.lit(min(B, 5000))).otherwise(F.lit(1000))
+def poisson_weight_sql(x: str) -> str:
+    return "(" + " + ".join(f"CASE WHEN {x} / {float(M31)!r} >= {c!r} THEN 1 ELSE 0 END" for c in POISSON_CDF) + ")"
 
 
 # --------------------------------------------------------------------------- groups
@@ -173,33 +154,53 @@ def groups_purchase_share(vendor_summary: DataFrame, low_q: float | None = None,
 # --------------------------------------------------------------------------- bootstrap
 
 
-def _replicate_means(df: DataFrame, keys, reps, seed: int, by=()) -> DataFrame:
-    """Weighted means per (by..., rep) over ``reps`` replicates (a Column or int)."""
-    r = df.withColumn("_rep", F.explode(F.sequence(F.lit(0), (reps if not isinstance(reps, int) else F.lit(reps)) - 1)))
-    w = poisson_weight(uniform(seed, keys, "_rep"))
-    r = r.withColumn("_w", w)
-    return (r.groupBy(*by, "_rep")
-             .agg(F.sum(F.col("_w") * F.col("value")).alias("_sw"), F.sum("_w").alias("_ww"))
-             .withColumn("_mean", F.when(F.col("_ww") > 0, F.col("_sw") / F.col("_ww"))))
+def _replicate_means(df: DataFrame, keys, reps: int, seed: int, group: str = "group") -> DataFrame:
+    """Weighted means of ``value``: (``group``, _rep, _mean)."""
+    edges = np.array(POISSON_CDF)
+
+    def run(batches):
+        total = {}
+        for batch in batches:
+            h1, h2, x = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_h1", "_h2", "value"))
+            names = np.array(batch.column("grp").to_pylist(), dtype=object)
+            for g in set(names.tolist()):
+                own = names == g
+                a, b, v = h1[own], h2[own], x[own]
+                w_sum, wx_sum = total.setdefault(g, (np.zeros(reps), np.zeros(reps)))
+                for r in range(reps):
+                    w = np.searchsorted(edges, mixed(a, b, r) / float(M31), side="right")
+                    w_sum[r] += w.sum()
+                    wx_sum[r] += (w * v).sum()
+        for g, (w, wx) in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g] * reps, pa.string()), pa.array(np.arange(reps)), pa.array(w), pa.array(wx)],
+                names=["grp", "_rep", "_w", "_wx"])
+
+    rows = lanes(df, seed, keys).select(F.col(group).cast("string").alias("grp"), "_h1", "_h2", F.col("value").cast("double").alias("value"))
+    part = rows.mapInArrow(run, "grp string, _rep long, _w double, _wx double")
+    return part.groupBy(F.col("grp").alias(group), "_rep").agg(F.sum("_w").alias("_w"), F.sum("_wx").alias("_wx")).select(
+        group, "_rep", F.when(F.col("_w") > 0, F.col("_wx") / F.col("_w")).alias("_mean"))
 
 
 def bootstrap_mean_ci(df: DataFrame, keys, B: int = 2000, confidence: float = 0.95, seed: int = 42,
-                      by=()) -> DataFrame:
-    """H5: mean with a percentile bootstrap interval per ``by`` group -> (by..., n, mean, lo, hi).
+                      by=("group",)) -> DataFrame:
+    """H5: mean with a percentile bootstrap interval per group -> (group, n, mean, lo, hi).
 
-    NULLs when n < 5; replicates min(B, 5000) if n > 100 else 1000.
+    ``B`` replicates for every group; NULLs when n < 5.
     """
-    a = (1 - confidence) / 2
-    d = materialize(df.filter(F.col("value").isNotNull()))
-    n = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
-    x = d.join(F.broadcast(n), list(by)) if by else attach(d, n)
-    x = x.filter(F.col("n") >= 5)
-    m = _replicate_means(x.drop("mean"), keys, effective_reps(F.col("n"), B), seed, by)
-    ci = m.groupBy(*by).agg(F.percentile("_mean", a).alias("lo"), F.percentile("_mean", 1 - a).alias("hi"))
-    out = n.join(ci, list(by), "left") if by else attach(n, ci)
-    small = F.col("n") < 5
-    return out.select(*by, "n", F.when(~small, F.col("mean")).alias("mean"),
-                      F.when(~small, F.col("lo")).alias("lo"), F.when(~small, F.col("hi")).alias("hi"))
+    (group,), a = by, (1 - confidence) / 2
+    d = materialize(df.filter(F.col("value").isNotNull() & F.col(group).isNotNull()))
+    n = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
+    ci = _replicate_means(d, keys, B, seed, group).groupBy(group).agg(  # B values a group
+        F.percentile("_mean", a).alias("lo"), F.percentile("_mean", 1 - a).alias("hi"))
+    enough = F.col("n") >= 5
+    return n.join(ci, group, "left").select(group, "n", *[F.when(enough, F.col(c)).alias(c) for c in ("mean", "lo", "hi")])
+
+
+def _observed(d: DataFrame, group_a: str, group_b: str) -> DataFrame:
+    is_a, is_b = F.col("group") == group_a, F.col("group") == group_b
+    return d.agg(F.count_if(is_a).alias("n_a"), F.count_if(is_b).alias("n_b"), F.sum("value").alias("_tot"),
+                 (F.avg(F.when(is_a, F.col("value"))) - F.avg(F.when(is_b, F.col("value")))).alias("observed_diff"))
 
 
 def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int = 5000,
@@ -210,136 +211,108 @@ def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int =
     """
     a = (1 - confidence) / 2
     d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
-    m = _replicate_means(d, keys, B, seed, by=("group",))
-    p = (m.groupBy("_rep").agg(F.max(F.when(F.col("group") == group_a, F.col("_mean"))).alias("_ma"),
-                               F.max(F.when(F.col("group") == group_b, F.col("_mean"))).alias("_mb"))
-          .withColumn("_d", F.col("_ma") - F.col("_mb")))
-    ci = p.agg(F.avg("_d").alias("boot_mean_diff"), F.percentile("_d", a).alias("lo"),
-               F.percentile("_d", 1 - a).alias("hi"))
-    obs = d.agg(F.count_if(F.col("group") == group_a).alias("n_a"), F.count_if(F.col("group") == group_b).alias("n_b"),
-                (F.avg(F.when(F.col("group") == group_a, F.col("value")))
-                 - F.avg(F.when(F.col("group") == group_b, F.col("value")))).alias("observed_diff"))
-    return attach(obs, ci)
-
-
-def _perm_sums_pandas(B: int, chunks: int):
-    import numpy as np
-    import pandas as pd
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = int(pdf["_chunk"].iloc[0])
-        n_a = int(pdf["n_a"].iloc[0])
-        h0 = pdf["_h0"].to_numpy(dtype=np.int64)
-        vals = pdf["value"].to_numpy(dtype=np.float64)
-        order = np.argsort(pdf["_hx"].to_numpy(dtype=object), kind="stable")
-        tie = np.empty(len(order), dtype=np.int64)
-        tie[order] = np.arange(len(order), dtype=np.int64)
-        n = len(vals)
-        reps = np.arange(c, B, chunks, dtype=np.int64)
-        out = np.empty(len(reps), dtype=np.float64)
-        for i, r in enumerate(reps):
-            key = mix_np(h0, int(r)) * n + tie
-            idx = np.argpartition(key, n_a - 1)[:n_a] if 0 < n_a < n else np.arange(n_a)
-            out[i] = vals[idx].sum()
-        return pd.DataFrame({"_rep": reps, "_sa": out})
-    return fn
+    ci = bootstrap_diffs(d, keys, group_a, group_b, B, seed).agg(
+        F.avg("diff").alias("boot_mean_diff"), F.percentile("diff", a).alias("lo"), F.percentile("diff", 1 - a).alias("hi"))
+    return attach(_observed(d, group_a, group_b).drop("_tot"), ci)
+
+
+def bootstrap_diffs(df: DataFrame, keys, group_a: str, group_b: str, B: int = 5000, seed: int = 0) -> DataFrame:
+    """The bootstrap differences of group means (a - b) themselves: (rep, diff)."""
+    d = df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+    mean = [F.max(F.when(F.col("group") == g, F.col("_mean"))) for g in (group_a, group_b)]
+    return _replicate_means(d, keys, B, seed).groupBy(F.col("_rep").alias("rep")).agg((mean[0] - mean[1]).alias("diff"))
+
+
+# --------------------------------------------------------------------------- permutation
+
+#: Ranges around the expected cut, in which rows are counted: four deviations to either side.
+CUTS = 17
+
+
+def _cut_edges(n_a: int, n: int) -> np.ndarray:
+    """The values between ranges; CUTS edges make CUTS + 1 ranges."""
+    p = n_a / n
+    reach = 4 * math.sqrt(p * (1 - p) / n)
+    return np.clip(np.floor((p + np.linspace(-reach, reach, CUTS)) * M31), 0, M31).astype(np.int64)
 
 
 def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 10000, seed: int = 42,
-                     plus_one: bool = False, chunks: int = 64, max_pool_rows: int = 2_000_000) -> DataFrame:
+                     plus_one: bool = False) -> DataFrame:
     """H7 / H8: one-sided permutation test of mean(a) - mean(b) >= observed.
 
-    Replicate r puts the n_a pooled rows with the smallest hash (row, r) into group a.
-    p = mean(perm >= obs) (H7) or (count + 1) / (B + 1) (H8, ``plus_one=True``).
-    -> one row: n_a, n_b, observed_diff, p_value.
-
-    The pooled sample is a summary (one row per vendor-brand). Up to ``max_pool_rows``
-    rows, replicates are split into ``chunks`` groups and each group draws its
-    permutations in numpy (O(rows) per replicate, hash + argpartition); above that, the
-    same permutations run as a window partitioned by replicate, so no task ever holds
-    more than one replicate.
+    Replicate r puts the n_a pooled rows with the smallest integers (then lanes) into
+    group a. p = mean(perm >= obs) (H7) or (count + 1) / (B + 1) (H8, ``plus_one=True``).
+    -> one row: n_a, n_b, observed_diff, p_value. What reaches the driver is one row of
+    observed statistics and a range number for each of the ``B`` replicates.
     """
-    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
-                      .select(*keys, "group", "value", row_hash(seed, keys).alias("_h0"),
-                              row_hash_hex(seed, keys).alias("_hx")))
-    obs = d.agg(F.count_if(F.col("group") == group_a).alias("n_a"), F.count(F.lit(1)).alias("_n"),
-                F.sum("value").alias("_tot"),
-                (F.avg(F.when(F.col("group") == group_a, F.col("value")))
-                 - F.avg(F.when(F.col("group") == group_b, F.col("value")))).alias("observed_diff"))
-    n_pool = obs.select("_n").first()[0] or 0
-    if n_pool <= max_pool_rows:
-        chunks = max(1, min(chunks, B))
-        x = attach(d.select("_h0", "_hx", "value"), obs.select("n_a"))
-        x = x.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-        s = x.groupBy("_chunk").applyInPandas(_perm_sums_pandas(B, chunks), "_rep long, _sa double")
-    else:
-        r = d.select("_h0", "_hx", "value").withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
-        r = r.withColumn("_u", mix(F.col("_h0"), F.col("_rep")))
-        w = Window.partitionBy("_rep").orderBy("_u", "_hx")
-        r = attach(r.withColumn("_rn", F.row_number().over(w)), obs.select("n_a"))
-        s = r.groupBy("_rep").agg(F.sum(F.when(F.col("_rn") <= F.col("n_a"), F.col("value"))).alias("_sa"))
-    s = attach(s, obs)
-    diff = F.col("_sa") / F.col("n_a") - (F.col("_tot") - F.col("_sa")) / (F.col("_n") - F.col("n_a"))
+    d = materialize(lanes(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()), seed, keys)
+                    .select("group", F.col("value").cast("double").alias("value"), "_h1", "_h2"))
+    obs = _observed(d, group_a, group_b)
+    seen = obs.first()
+    n_a, n = seen["n_a"], seen["n_a"] + seen["n_b"]
+    if not n_a or n_a == n:  # no two groups to compare
+        return obs.select("n_a", "n_b", "observed_diff", F.lit(None).cast("double").alias("p_value"))
+    edges, width = _cut_edges(n_a, n), CUTS + 1
+
+    def columns(batch):
+        return (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_h1", "_h2", "value"))
+
+    def count(batches):
+        rows, sums = np.zeros((B, width), np.int64), np.zeros((B, width))
+        for batch in batches:
+            h1, h2, v = columns(batch)
+            for r in range(B):
+                at = np.searchsorted(edges, mixed(h1, h2, r), side="right")
+                rows[r] += np.bincount(at, minlength=width)
+                sums[r] += np.bincount(at, weights=v, minlength=width)
+        reps, ranges = np.nonzero(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(ranges), pa.array(rows[reps, ranges]), pa.array(sums[reps, ranges])],
+                                         names=["rep", "range", "n", "s"])
+
+    spread = d.select("_h1", "_h2", "value")
+    counts = spread.mapInArrow(count, "rep long, range long, n long, s double").groupBy("rep", "range").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"))
+    upto = Window.partitionBy("rep").orderBy("range")  # CUTS + 1 rows each
+    run = materialize(counts.withColumn("_n", F.sum("n").over(upto)).withColumn("_s", F.sum("s").over(upto))
+                      .where((F.col("_n") >= n_a) & (F.col("_n") - F.col("n") < n_a))
+                      .select("rep", "range", (F.lit(n_a) - F.col("_n") + F.col("n")).alias("rest"), (F.col("_s") - F.col("s")).alias("sum_below")))
+    cut = run.select("rep", "range").toPandas().sort_values("rep")["range"].to_numpy()
+
+    def boundary(batches):
+        for batch in batches:
+            h1, h2, v = columns(batch)
+            reps, rows = [], []
+            for r in range(B):
+                at = np.flatnonzero(np.searchsorted(edges, mixed(h1, h2, r), side="right") == cut[r])
+                reps.append(np.full(len(at), r))
+                rows.append(at)
+            reps, rows = np.concatenate(reps), np.concatenate(rows)
+            key = np.concatenate([mixed(h1[x], h2[x], r) for r, x in enumerate(np.split(rows, np.searchsorted(reps, np.arange(1, B))))])
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(key), pa.array(h1[rows]), pa.array(h2[rows]), pa.array(v[rows])],
+                                             names=["rep", "key", "_h1", "_h2", "value"])
+
+    near = spread.mapInArrow(boundary, "rep long, key long, _h1 long, _h2 long, value double")
+    order = Window.partitionBy("rep").orderBy("key", "_h1", "_h2", "value")
+    near = near.withColumn("_rn", F.row_number().over(order)).join(run, "rep").where(F.col("_rn") <= F.col("rest"))
+    total = near.groupBy("rep", "sum_below").agg(F.sum("value").alias("_v"))
+    s = attach(total.select((F.col("sum_below") + F.col("_v")).alias("_sa")), obs)
+    diff = F.col("_sa") / F.col("n_a") - (F.col("_tot") - F.col("_sa")) / F.col("n_b")
     # a permutation that reproduces the observed split equals it up to summation order:
     # count it as ">=" with a relative tolerance (as scipy's permutation_test does)
-    obs_lo = F.col("observed_diff") - F.abs(F.col("observed_diff")) * PERM_RTOL
-    s = s.withColumn("_ge", F.when(diff >= obs_lo, 1).otherwise(0))
-    agg = s.agg(F.sum("_ge").alias("_k"), F.count(F.lit(1)).alias("_b"))
+    least = F.col("observed_diff") - F.abs(F.col("observed_diff")) * PERM_RTOL
+    agg = s.agg(F.count_if(diff >= least).alias("_k"), F.count(F.lit(1)).alias("_b"))
     p = (F.col("_k") + 1) / (F.col("_b") + 1) if plus_one else F.col("_k") / F.col("_b")
-    return (attach(obs, agg)
-            .select("n_a", (F.col("_n") - F.col("n_a")).alias("n_b"), "observed_diff", p.cast("double").alias("p_value")))
+    return attach(obs, agg).select("n_a", "n_b", "observed_diff", p.cast("double").alias("p_value"))
 
 
 # --------------------------------------------------------------------------- assumptions
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, m2 = 1e-300, 0
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((a + m2 - 1) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (a + b + m) * x / ((a + m2) * (a + m2 + 1))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 3e-16:
-            break
-    return h
-
-
-def f_survival(f: float, d1: float, d2: float) -> float:
-    """P(F(d1, d2) > f) via the regularized incomplete beta function."""
-    if f is None or not math.isfinite(f) or d1 <= 0 or d2 <= 0:
-        return float("nan")
-    if f <= 0:
-        return 1.0
-    x = d2 / (d2 + d1 * f)
-    a, b = d2 / 2.0, d1 / 2.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(math.log(x) * a + math.log1p(-x) * b + lbeta)
-    if x < (a + 1) / (a + b + 2):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1 - x) / b
-
-
-@F.pandas_udf(DoubleType())
-def _f_sf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([f_survival(a, b, c) if pd.notna(a) else float("nan") for a, b, c in zip(f, d1, d2)])
-
-
 def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float = 0.05) -> DataFrame:
     """H9: sample sizes, adequacy (>= 30 each), normality per group (Jarque-Bera from
-    skewness and kurtosis, replacing Shapiro-Wilk), equal variances (Levene, median
-    centred = Brown-Forsythe) and IQR outlier counts (> 10 % warns). One row."""
+    skewness and kurtosis, replacing Shapiro-Wilk; only if both groups have 8 rows),
+    the spread statistic (Levene, median centred = Brown-Forsythe) and IQR outlier
+    counts (> 10 % warns). One row."""
     d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
     qs = grouped_quantiles(d, ["group"], "value", [0.5, 0.25, 0.75], ["med", "_q1", "_q3"])
     g = (d.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
@@ -347,12 +320,12 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
           .join(qs, "group").withColumn("q", F.array("_q1", "_q3")))
     g = g.withColumn("jb", F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("kurt") ** 2 / 4.0)) \
          .withColumn("jb_p", F.exp(-F.col("jb") / 2.0))
-    j = d.join(F.broadcast(g.select("group", "med", "q")), "group")
+    j = d.join(g.select("group", "med", "q"), "group")
     iqr = F.col("q")[1] - F.col("q")[0]
     out_flag = (F.col("value") < F.col("q")[0] - 1.5 * iqr) | (F.col("value") > F.col("q")[1] + 1.5 * iqr)
     z = j.withColumn("_z", F.abs(F.col("value") - F.col("med"))).withColumn("_o", out_flag)
     zg = z.groupBy("group").agg(F.avg("_z").alias("zbar"), F.count_if("_o").alias("outliers"))
-    zz = z.join(F.broadcast(zg), "group").withColumn("_dev2", (F.col("_z") - F.col("zbar")) ** 2)
+    zz = z.join(zg, "group").withColumn("_dev2", (F.col("_z") - F.col("zbar")) ** 2)
     within = zz.agg(F.sum("_dev2").alias("_within"), F.avg("_z").alias("_zall"), F.count(F.lit(1)).alias("_N"))
     gg = g.join(zg, "group")
 
@@ -367,12 +340,11 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
     between = (F.col("n1") * (F.col("_z1") - F.col("_zall")) ** 2 + F.col("n2") * (F.col("_z2") - F.col("_zall")) ** 2)
     lev = F.when(F.col("_within") > 0, (F.col("_N") - 2) * between / F.col("_within"))
     row = row.withColumn("levene_W", lev)
-    row = row.withColumn("levene_p", _f_sf(F.col("levene_W"), F.lit(1.0), (F.col("_N") - 2).cast("double")))
+    tested = (F.col("n1") >= 8) & (F.col("n2") >= 8)
+    p1, p2 = F.when(tested, F.col("normality_p1")), F.when(tested, F.col("normality_p2"))
     return row.select("n1", "n2", ((F.col("n1") >= 30) & (F.col("n2") >= 30)).alias("adequate_n"),
-                      "normality_p1", "normality_p2",
-                      ((F.col("normality_p1") > alpha) & (F.col("normality_p2") > alpha)).alias("normal"),
-                      "levene_W", "levene_p", (F.col("levene_p") > alpha).alias("equal_variance"),
-                      "outliers1", "outliers2",
+                      p1.alias("normality_p1"), p2.alias("normality_p2"), ((p1 > alpha) & (p2 > alpha)).alias("normal"),
+                      "levene_W", "outliers1", "outliers2",
                       ((F.col("outliers1") > F.col("n1") * 0.1) | (F.col("outliers2") > F.col("n2") * 0.1))
                       .alias("high_outlier_share"))
 

@@ -507,7 +507,6 @@ FROM final_all ORDER BY md5(concat_ws('|', '0', coalesce(CAST(Level AS VARCHAR),
          ("FreightCost", "NeededPriceDeltaPerUnit"))
 
 # =============================================================================== H: inference
-from vendorlens.operators.inference import poisson_weight_sql, row_hash_hex_sql, uniform_sql  # noqa: E402
 
 
 def _h3(s, d):
@@ -552,52 +551,53 @@ register("H4_groups_purchase_share", _h4, with_ctes(["vsv"], _h4_sql(None) + "\n
          ("value",))
 
 
-def _boot_mean_sql(src: str, keys, B: int, seed: int, conf: float = 0.95) -> str:
+def _mixed_sql(src: str, keys, B: int, seed: int) -> str:
+    """CTE ``x`` with the integer ``mixed`` of every row of ``src`` in every replicate ``rep``."""
+    h1, h2 = H.lanes_sql(seed, keys)
+    return (f"hashed AS (SELECT *, {h1} AS h1, {h2} AS h2 FROM {src}),\n"
+            f"paired AS (SELECT * FROM hashed, range(0, {B}) t(rep)),\n" + H.mixed_ctes("paired", "rep", "x"))
+
+
+def _boot_mean_ctes(src: str, keys, B: int, seed: int, conf: float = 0.95) -> str:
     a = (1 - conf) / 2
-    u = uniform_sql(seed, keys, "rep")
     return f"""
 , d AS (SELECT * FROM {src} WHERE value IS NOT NULL),
-n AS (SELECT "group", count(*) AS n, avg(value) AS mean FROM d GROUP BY "group"),
-x AS (SELECT d.*, n.n FROM d JOIN n USING ("group") WHERE n.n >= 5),
-r AS (SELECT x.*, rep FROM x, LATERAL (SELECT range AS rep FROM range(0, CASE WHEN x.n > 100 THEN {min(B, 5000)}
-                                                                       ELSE 1000 END)) t),
-w AS (SELECT "group", rep, {poisson_weight_sql(u)} AS wt, value FROM r),
-m AS (SELECT "group", rep, CASE WHEN SUM(wt) > 0 THEN SUM(wt * value) / SUM(wt) END AS mean FROM w GROUP BY 1, 2),
-ci AS (SELECT "group", quantile_cont(mean, {a!r}) AS lo, quantile_cont(mean, {1 - a!r}) AS hi FROM m GROUP BY 1)
-SELECT n."group", n.n, CASE WHEN n.n >= 5 THEN n.mean END AS mean, CASE WHEN n.n >= 5 THEN ci.lo END AS lo,
-       CASE WHEN n.n >= 5 THEN ci.hi END AS hi
-FROM n LEFT JOIN ci USING ("group")"""
-
-
-def _boot_diff_sql(src: str, keys, a_name: str, b_name: str, B: int, seed: int, conf: float = 0.95) -> str:
+{_mixed_sql('d', keys, B, seed)},
+w AS (SELECT "group", rep, {H.poisson_weight_sql('mixed')} AS wt, value FROM x),
+m AS (SELECT "group", rep, sum(wt * value) / nullif(sum(wt), 0) AS mean FROM w GROUP BY ALL),
+ci AS (SELECT "group", quantile_cont(mean, {a!r}) AS lo, quantile_cont(mean, {1 - a!r}) AS hi FROM m GROUP BY ALL),
+boot AS (SELECT "group", count(*) AS n, CASE WHEN count(*) >= 5 THEN avg(value) END AS mean,
+                CASE WHEN count(*) >= 5 THEN any_value(ci.lo) END AS lo, CASE WHEN count(*) >= 5 THEN any_value(ci.hi) END AS hi
+         FROM d LEFT JOIN ci USING ("group") GROUP BY "group")"""
+
+
+def _boot_diff_ctes(src: str, keys, a_name: str, b_name: str, B: int, seed: int, conf: float = 0.95, tag: str = "") -> str:
     a = (1 - conf) / 2
-    u = uniform_sql(seed, keys, "rep")
-    return f"""
+    body = f"""
 , d AS (SELECT * FROM {src} WHERE "group" IN ('{a_name}', '{b_name}') AND value IS NOT NULL),
-w AS (SELECT "group", rep, {poisson_weight_sql(u)} AS wt, value FROM d, range(0, {B}) t(rep)),
-m AS (SELECT "group", rep, CASE WHEN SUM(wt) > 0 THEN SUM(wt * value) / SUM(wt) END AS mean FROM w GROUP BY 1, 2),
-p AS (SELECT rep, max(CASE WHEN "group" = '{a_name}' THEN mean END) - max(CASE WHEN "group" = '{b_name}' THEN mean END)
-             AS diff FROM m GROUP BY rep)
-SELECT o.*, c.* FROM
-  (SELECT count_if("group" = '{a_name}') AS n_a, count_if("group" = '{b_name}') AS n_b,
-          avg(CASE WHEN "group" = '{a_name}' THEN value END) - avg(CASE WHEN "group" = '{b_name}' THEN value END)
-            AS observed_diff FROM d) o,
-  (SELECT avg(diff) AS boot_mean_diff, quantile_cont(diff, {a!r}) AS lo, quantile_cont(diff, {1 - a!r}) AS hi
-   FROM p) c"""
+{_mixed_sql('d', keys, B, seed)},
+w AS (SELECT "group", rep, {H.poisson_weight_sql('mixed')} AS wt, value FROM x),
+m AS (SELECT "group", rep, sum(wt * value) / nullif(sum(wt), 0) AS mean FROM w GROUP BY ALL),
+diffs AS (SELECT rep, any_value(mean) FILTER ("group" = '{a_name}') - any_value(mean) FILTER ("group" = '{b_name}') AS diff
+          FROM m GROUP BY rep),
+fin AS (SELECT (SELECT count(*) FROM d WHERE "group" = '{a_name}') AS n_a, (SELECT count(*) FROM d WHERE "group" = '{b_name}') AS n_b,
+               (SELECT avg(value) FROM d WHERE "group" = '{a_name}') - (SELECT avg(value) FROM d WHERE "group" = '{b_name}') AS observed_diff,
+               avg(diff) AS boot_mean_diff, quantile_cont(diff, {a!r}) AS lo, quantile_cont(diff, {1 - a!r}) AS hi FROM diffs)"""
+    if tag:  # a second set of resamples in one statement
+        import re
+        body = re.sub(r"\b(d|hashed|paired|x|x_1|w|m|diffs|fin)\b(?= AS \()|(?<=FROM )\b(d|hashed|paired|x|x_1|w|m|diffs)\b", lambda k: k.group() + tag, body)
+    return body
 
 
 def _perm_sql(src: str, keys, a_name: str, b_name: str, B: int, seed: int, plus_one: bool) -> str:
-    u = uniform_sql(seed, keys, "rep")
-    order = row_hash_hex_sql(seed, keys)
     p = "(k + 1) / (b + 1)" if plus_one else "k / b"
     return f"""
 , d AS (SELECT * FROM {src} WHERE "group" IN ('{a_name}', '{b_name}') AND value IS NOT NULL),
-o AS (SELECT count_if("group" = '{a_name}') AS n_a, count(*) AS n, SUM(value) AS tot,
-             avg(CASE WHEN "group" = '{a_name}' THEN value END) - avg(CASE WHEN "group" = '{b_name}' THEN value END)
-               AS observed_diff FROM d),
-r AS (SELECT rep, value, row_number() OVER (PARTITION BY rep ORDER BY {u}, {order}) AS rn
-      FROM d, range(0, {B}) t(rep)),
-s AS (SELECT rep, SUM(CASE WHEN rn <= (SELECT n_a FROM o) THEN value END) AS sa FROM r GROUP BY rep),
+o AS (SELECT count(*) FILTER ("group" = '{a_name}') AS n_a, count(*) AS n, sum(value) AS tot,
+             avg(value) FILTER ("group" = '{a_name}') - avg(value) FILTER ("group" = '{b_name}') AS observed_diff FROM d),
+{_mixed_sql('d', keys, B, seed)},
+r AS (SELECT rep, value, row_number() OVER (PARTITION BY rep ORDER BY mixed, h1, h2, value) AS rn FROM x),
+s AS (SELECT rep, sum(value) AS sa FROM r WHERE rn <= (SELECT n_a FROM o) GROUP BY rep),
 g AS (SELECT count_if(sa / o.n_a - (o.tot - sa) / (o.n - o.n_a) >= o.observed_diff - abs(o.observed_diff) * 1e-12)
              AS k, count(*) AS b FROM s, o)
 SELECT o.n_a, o.n - o.n_a AS n_b, o.observed_diff, CAST({p} AS DOUBLE) AS p_value FROM o, g"""
@@ -605,68 +605,90 @@ SELECT o.n_a, o.n - o.n_a AS n_b, o.observed_diff, CAST({p} AS DOUBLE) AS p_valu
 
 _K3 = ("VendorNumber", "VendorName", "Brand")
 _K2 = ("VendorNumber", "VendorName")
+_CI = ("observed_diff", "boot_mean_diff", "lo", "hi")
+_H2_SQL = """
+, h2 AS (SELECT VendorNumber, VendorName, Brand, TotalPurchaseDollars / TotalPurchaseQuantity AS value,
+       CASE WHEN TotalSalesQuantity <= e1 THEN 'Small' WHEN TotalSalesQuantity <= e2 THEN 'Medium' ELSE 'Large' END AS "group"
+FROM vss, (SELECT quantile_cont(CAST(TotalSalesQuantity AS DOUBLE), 1.0 / 3) AS e1, quantile_cont(CAST(TotalSalesQuantity AS DOUBLE), 2.0 / 3) AS e2
+           FROM vss WHERE TotalPurchaseQuantity > 0 AND TotalPurchaseDollars > 0) e
+WHERE TotalPurchaseQuantity > 0 AND TotalPurchaseDollars > 0)"""
+
+
+def _h2(s, d):
+    return H.groups_unit_cost_terciles(tb.vss(s, d))
+
+
 register("H5_bootstrap_mean_ci",
          lambda s, d: H.bootstrap_mean_ci(_h4(s, d), _K2, B=2000, seed=42, by=("group",)),
          with_ctes(["vsv"], _h4_sql(None) + ", h4b AS (SELECT * FROM h4 WHERE \"group\" IS NOT NULL)"
-                   + _boot_mean_sql("h4b", _K2, 2000, 42)), ("mean", "lo", "hi"))
+                   + _boot_mean_ctes("h4b", _K2, 2000, 42) + "\nSELECT * FROM boot"), ("mean", "lo", "hi"))
 register("H6_bootstrap_diff_ci",
          lambda s, d: H.bootstrap_diff_ci(_h4(s, d), _K2, "top", "rest", B=5000, seed=0),
-         with_ctes(["vsv"], _h4_sql(None) + _boot_diff_sql("h4", _K2, "top", "rest", 5000, 0)),
-         ("observed_diff", "boot_mean_diff", "lo", "hi"))
+         with_ctes(["vsv"], _h4_sql(None) + _boot_diff_ctes("h4", _K2, "top", "rest", 5000, 0) + "\nSELECT * FROM fin"), _CI)
 register("H6b_bootstrap_diff_terciles",
          lambda s, d: H.bootstrap_diff_ci(_h1(s, d), _K3, "Small", "Large", B=10000, seed=42),
-         with_ctes(["bp"], _H1_SQL + _boot_diff_sql("h1", _K3, "Small", "Large", 10000, 42)),
-         ("observed_diff", "boot_mean_diff", "lo", "hi"))
+         with_ctes(["bp"], _H1_SQL + _boot_diff_ctes("h1", _K3, "Small", "Large", 10000, 42) + "\nSELECT * FROM fin"), _CI)
+register("H6c_bootstrap_diff_unit_cost",
+         lambda s, d: H.bootstrap_diff_ci(_h2(s, d), _K3, "Small", "Large", B=5000, seed=0),
+         with_ctes(["vss"], _H2_SQL + _boot_diff_ctes("h2", _K3, "Small", "Large", 5000, 0) + "\nSELECT * FROM fin"), _CI)
 register("H7_permutation_test",
          lambda s, d: H.permutation_test(_h1(s, d), _K3, "Small", "Large", B=10000, seed=42),
          with_ctes(["bp"], _H1_SQL + _perm_sql("h1", _K3, "Small", "Large", 10000, 42, False)),
          ("observed_diff", "p_value"))
+register("H7b_permutation_unit_cost",
+         lambda s, d: H.permutation_test(_h2(s, d), _K3, "Small", "Large", B=5000, seed=0),
+         with_ctes(["vss"], _H2_SQL + _perm_sql("h2", _K3, "Small", "Large", 5000, 0, False)), ("observed_diff", "p_value"))
 register("H8_permutation_test_plus_one",
          lambda s, d: H.permutation_test(_h3(s, d), _K3, "small", "large", B=5000, seed=1, plus_one=True),
          with_ctes(["brand12"], _H3_SQL + _perm_sql("h3", _K3, "small", "large", 5000, 1, True)),
          ("observed_diff", "p_value"))
-register("H9_assumption_report", lambda s, d: H.assumption_report(_h4(s, d, 0.25), "top", "low"), None)
+_VERDICT_SQL = """CASE WHEN lo > 0 THEN 'significant positive' WHEN hi < 0 THEN 'significant negative' ELSE 'not significant' END AS verdict,
+       CASE WHEN observed_diff > 0 THEN 'higher' ELSE 'lower' END AS direction"""
 register("H10_verdict",
          lambda s, d: H.verdict(H.bootstrap_diff_ci(_h4(s, d), _K2, "top", "rest", B=5000, seed=0)),
-         with_ctes(["vsv"], _h4_sql(None) + _boot_diff_sql("h4", _K2, "top", "rest", 5000, 0).replace(
-             "SELECT o.*, c.* FROM", ", fin AS (SELECT o.*, c.* FROM", 1) + """)
-SELECT *, CASE WHEN lo > 0 THEN 'significant positive' WHEN hi < 0 THEN 'significant negative'
-               ELSE 'not significant' END AS verdict,
-          CASE WHEN observed_diff > 0 THEN 'higher' ELSE 'lower' END AS direction FROM fin"""),
-         ("observed_diff", "boot_mean_diff", "lo", "hi"))
-register("H11_top_vs_low_report", lambda s, d: H.top_vs_low_report(tb.vsv(s, d)), None)
-
-
-def _h9_stats_sql() -> str:
-    return _h4_sql(0.25) + """
-, d AS (SELECT * FROM h4 WHERE "group" IN ('top', 'low') AND value IS NOT NULL),
-m AS (SELECT "group", count(*) AS n, avg(value) AS mu, median(value) AS med,
-             quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM d GROUP BY "group"),
-mo AS (SELECT d."group", avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3,
+         with_ctes(["vsv"], _h4_sql(None) + _boot_diff_ctes("h4", _K2, "top", "rest", 5000, 0)
+                   + f"\nSELECT *, {_VERDICT_SQL} FROM fin"), _CI)
+
+
+def _h9_stats_ctes() -> str:
+    return """
+, d9 AS (SELECT * FROM h4 WHERE "group" IN ('top', 'low') AND value IS NOT NULL),
+m9 AS (SELECT "group", count(*) AS n, avg(value) AS mu, median(value) AS med,
+             quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM d9 GROUP BY "group"),
+mo AS (SELECT d9."group", avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3,
               avg(power(value - mu, 4)) AS m4,
               count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers,
               avg(abs(value - med)) AS zbar
-       FROM d JOIN m USING ("group") GROUP BY d."group"),
-g AS (SELECT m."group", n, outliers, zbar,
+       FROM d9 JOIN m9 USING ("group") GROUP BY d9."group"),
+g9 AS (SELECT m9."group", n, outliers, zbar,
              exp(-(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / power(m2, 2) - 3, 2) / 4.0)) / 2.0) AS jb_p
-      FROM m JOIN mo USING ("group")),
-z AS (SELECT abs(d.value - m.med) AS z, d."group" FROM d JOIN m USING ("group")),
-w AS (SELECT SUM(power(z.z - g.zbar, 2)) AS within, avg(z.z) AS zall, count(*) AS nn FROM z JOIN g USING ("group")),
-p AS (SELECT max(CASE WHEN "group" = 'top' THEN n END) AS n1, max(CASE WHEN "group" = 'low' THEN n END) AS n2,
+      FROM m9 JOIN mo USING ("group")),
+z9 AS (SELECT abs(d9.value - m9.med) AS z, d9."group" FROM d9 JOIN m9 USING ("group")),
+w9 AS (SELECT SUM(power(z9.z - g9.zbar, 2)) AS within, avg(z9.z) AS zall, count(*) AS nn FROM z9 JOIN g9 USING ("group")),
+p9 AS (SELECT max(CASE WHEN "group" = 'top' THEN n END) AS n1, max(CASE WHEN "group" = 'low' THEN n END) AS n2,
              max(CASE WHEN "group" = 'top' THEN jb_p END) AS normality_p1,
              max(CASE WHEN "group" = 'low' THEN jb_p END) AS normality_p2,
              max(CASE WHEN "group" = 'top' THEN outliers END) AS outliers1,
              max(CASE WHEN "group" = 'low' THEN outliers END) AS outliers2,
              max(CASE WHEN "group" = 'top' THEN zbar END) AS z1, max(CASE WHEN "group" = 'low' THEN zbar END) AS z2
-      FROM g)
-SELECT n1, n2, n1 >= 30 AND n2 >= 30 AS adequate_n, normality_p1, normality_p2,
-       normality_p1 > 0.05 AND normality_p2 > 0.05 AS normal,
+      FROM g9),
+h9 AS (SELECT n1, n2, n1 >= 30 AND n2 >= 30 AS adequate_n,
+       CASE WHEN n1 >= 8 AND n2 >= 8 THEN normality_p1 END AS normality_p1, CASE WHEN n1 >= 8 AND n2 >= 8 THEN normality_p2 END AS normality_p2,
+       CASE WHEN n1 >= 8 AND n2 >= 8 THEN normality_p1 > 0.05 AND normality_p2 > 0.05 END AS normal,
        CASE WHEN within > 0 THEN (nn - 2) * (n1 * power(z1 - zall, 2) + n2 * power(z2 - zall, 2)) / within END
          AS levene_W,
        outliers1, outliers2, outliers1 > n1 * 0.1 OR outliers2 > n2 * 0.1 AS high_outlier_share
-FROM p, w"""
-
-
-register("H9b_assumption_statistics",
-         lambda s, d: H.assumption_report(_h4(s, d, 0.25), "top", "low").drop("levene_p", "equal_variance"),
-         with_ctes(["vsv"], _h9_stats_sql()), ("normality_p1", "normality_p2", "levene_W"))
+FROM p9, w9)"""
+
+
+_H9_F = ("normality_p1", "normality_p2", "levene_W")
+register("H9_assumption_report",
+         lambda s, d: H.assumption_report(_h4(s, d, 0.25), "top", "low"),
+         with_ctes(["vsv"], _h4_sql(0.25) + _h9_stats_ctes() + "\nSELECT * FROM h9"), _H9_F)
+_H11_SQL = (_h4_sql(0.25) + _h9_stats_ctes() + ", h4b AS (SELECT * FROM h4 WHERE \"group\" IN ('top', 'low'))"
+            + _boot_mean_ctes("h4b", _K2, 2000, 42) + _boot_diff_ctes("h4", _K2, "top", "low", 2000, 42, tag="_2") + f"""
+SELECT h9.*, {", ".join(f"(SELECT {c} FROM boot WHERE \"group\" = '{g}') AS {g}_{c}" for g in ("top", "low") for c in ("mean", "lo", "hi"))},
+       observed_diff, boot_mean_diff, lo, hi, {_VERDICT_SQL}
+FROM h9, fin_2""")
+register("H11_top_vs_low_report", lambda s, d: H.top_vs_low_report(tb.vsv(s, d)), with_ctes(["vsv"], _H11_SQL),
+         _H9_F + _CI + tuple(f"{g}_{c}" for g in ("top", "low") for c in ("mean", "lo", "hi")))

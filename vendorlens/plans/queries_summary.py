@@ -169,10 +169,13 @@ register("T15c_risk_summary_preview",
 def _preview(name, frame, view, order, n, floats):
     """The first ``n`` rows of a table in its order (SQL order terms), keys breaking ties."""
     terms = [t.rsplit(" ", 1) if t.endswith((" DESC", " ASC")) else (t, "ASC") for t in order]
-    cols = [F.col(c).desc_nulls_last() if d == "DESC" else F.col(c).asc_nulls_last() for c, d in terms]
-    register(name, lambda s, d: frame(s, d).orderBy(*cols).limit(n),
-             with_ctes([view], f"SELECT * FROM {view} ORDER BY " + ", ".join(f"{c} {d} NULLS LAST" for c, d in terms)
-                       + f" LIMIT {n}"), floats)
+
+    def first(spark, sf_dir):
+        cols = [F.col(c).desc_nulls_last() if d == "DESC" else F.col(c).asc_nulls_last() for c, d in terms]
+        return frame(spark, sf_dir).orderBy(*cols).limit(n)
+
+    register(name, first, with_ctes([view], f"SELECT * FROM {view} ORDER BY " + ", ".join(
+        f"{c} {d} NULLS LAST" for c, d in terms) + f" LIMIT {n}"), floats)
 
 
 _KEYS = ["VendorNumber", "Brand", "VendorName"]
