@@ -30,7 +30,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6)) if abs(v) < 1e15 else repr(v)
+        return f"{v:.9g}"  # relative, so that small values count too
     if v is None:
         return "None"
     if hasattr(v, "tolist"):

@@ -13,17 +13,35 @@ def _tmp(spark):
     return f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex[:8]}"
 
 
-def test_load_raw_data_skips_bad_file(spark, sf_dir):
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def test_load_raw_data_keeps_files_with_odd_cells(spark, sf_dir):
     root = _tmp(spark)
     b = tb.base(spark, sf_dir)
-    S.export_csvs({"vendor_invoice": b.vendor_invoice}, f"{root}/raw")
-    local = root[len("file:"):] if root.startswith("file:") else root
-    with open(f"{local}/raw/broken.csv", "w") as f:
-        f.write("a,b\n1,2,3,4\n\"unterminated\n")
-    rep = {r["table"]: r for r in S.load_raw_data(spark, f"{root}/raw", f"{root}/out",
-                                                  {**S.BASE_SCHEMAS, "broken": "a int, b int"}).collect()}
-    assert rep["vendor_invoice"]["status"] == "ok" and rep["vendor_invoice"]["rows"] == b.vendor_invoice.count()
-    assert rep["broken"]["status"] == "error"
+    S.export_csvs({"sales": b.sales}, f"{root}/raw")
+    with open(f"{_local(root)}/raw/vendor_invoice.csv", "w") as f:
+        f.write("VendorNumber,PONumber,Quantity,Dollars,Freight\n1,10,5,2.5,NA\n2,11,6.0,3.5,0.1\n3,12,x,4.5,#N/A\n4,13, 7 ,nan,1e2\n")
+    rep = {r["table"]: r for r in S.load_raw_data(spark, f"{root}/raw", f"{root}/out").collect()}
+    assert rep["sales"]["status"] == "ok" and rep["sales"]["rows"] == b.sales.count() and rep["sales"]["error"] is None
+    assert rep["vendor_invoice"]["status"] == "ok" and rep["vendor_invoice"]["error"] == "Quantity: 1 not parsed"
+    got = sorted(map(tuple, spark.table("vendor_invoice").collect()))
+    assert got == [(1, 10, 5, 2.5, None), (2, 11, 6, 3.5, 0.1), (3, 12, None, 4.5, None), (4, 13, 7, None, 100.0)]
+
+
+def test_failed_reload_leaves_the_old_table(spark):
+    root = _tmp(spark)
+    import os
+    os.makedirs(f"{_local(root)}/raw")
+    path = f"{_local(root)}/raw/vendor_invoice.csv"
+    with open(path, "w") as f:
+        f.write("VendorNumber,PONumber,Quantity,Dollars,Freight\n1,10,5,2.5,0.5\n")
+    assert S.load_raw_data(spark, f"{root}/raw", f"{root}/out").first()["status"] == "ok"
+    with open(path, "w") as f:
+        f.write("Vendor,Other\n1,2\n")
+    assert S.load_raw_data(spark, f"{root}/raw", f"{root}/out").first()["status"] == "error"
+    assert [tuple(r) for r in spark.table("vendor_invoice").collect()] == [(1, 10, 5, 2.5, 0.5)]
 
 
 def test_build_and_export_round_trip(spark, sf_dir):

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from vendorlens.functions.expr import (div_if_positive, least_null, safe_div,
                                        sqlite_real, trim_or_empty, typed_null)
+from vendorlens.session import materialize
 
 
 def S():
@@ -59,8 +60,18 @@ def _margin_pct(sales, gp):
 # --------------------------------------------------------------------------- T1
 
 
+def purchase_lots(purchases: DataFrame) -> DataFrame:
+    """Purchases once over: lines ``_n``, units ``_q`` and dollars ``_d`` per InventoryId, vendor and brand.
+
+    All that T1 and T2 need of the purchase lines follows from these sums.
+    """
+    return purchases.groupBy("InventoryId", "VendorNumber", "VendorName", "Brand").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("Quantity").alias("_q"),
+        F.sum(F.col("PurchasePrice") * F.col("Quantity")).alias("_d"))
+
+
 def fanout_sales(sales: DataFrame, purchases: DataFrame, vendor_keys=("VendorNumber", "VendorName"),
-                 with_avg_price: bool = False, method: str = "preaggregate") -> DataFrame:
+                 with_avg_price: bool = False, method: str = "preaggregate", lots: DataFrame | None = None) -> DataFrame:
     """Sales summed per (vendor keys, Brand) over the InventoryId fan-out join.
 
     ``method='naive'`` joins line to line like the reference (kept for tests);
@@ -81,7 +92,8 @@ def fanout_sales(sales: DataFrame, purchases: DataFrame, vendor_keys=("VendorNum
     if with_avg_price:
         s_aggs += [F.sum("SalesPrice").alias("_ps"), F.count("SalesPrice").alias("_pc")]
     s = sales.groupBy("InventoryId", "Brand").agg(*s_aggs)
-    p = purchases.groupBy("InventoryId", *vendor_keys).agg(F.count(F.lit(1)).alias("_n"))
+    p = (purchases.groupBy("InventoryId", *vendor_keys).agg(F.count(F.lit(1)).alias("_n")) if lots is None
+         else lots.groupBy("InventoryId", *vendor_keys).agg(F.sum("_n").alias("_n")))
     j = s.join(p, "InventoryId")
     n = F.col("_n")
     aggs = [F.sum(F.col("_q") * n).alias("TotalSalesQuantity"),
@@ -127,8 +139,10 @@ def vendor_sales_summary(sales: DataFrame, purchases: DataFrame, vendor_invoice:
     -> VendorNumber, VendorName, Brand, TotalSalesQuantity, TotalSalesDollars,
        TotalPurchaseQuantity, TotalPurchaseDollars, FreightCost, GrossProfit, ProfitMargin(%)
     """
-    sa = fanout_sales(sales, purchases, method=method)
-    bp = brand_purchases(purchases)
+    lots = materialize(purchase_lots(purchases))
+    sa = fanout_sales(sales, purchases, method=method, lots=lots)
+    bp = lots.groupBy("VendorNumber", "Brand").agg(F.sum("_q").alias("BrandPurchaseQuantity"),
+                                                   F.sum("_d").alias("BrandPurchaseDollars"))
     t = vendor_brand_purchase_totals(bp)
     vi = invoice_by_vendor(vendor_invoice).select("VendorNumber", "Freight")
     j = (sa.join(bp, ["VendorNumber", "Brand"], "left")
@@ -149,14 +163,15 @@ def vendor_sales_summary(sales: DataFrame, purchases: DataFrame, vendor_invoice:
 # --------------------------------------------------------------------------- T2 / T3
 
 
-def purchase_price_summary(purchases: DataFrame, purchase_prices: DataFrame) -> DataFrame:
+def purchase_price_summary(purchases: DataFrame, purchase_prices: DataFrame, lots: DataFrame | None = None) -> DataFrame:
     """Average list prices and max volume per (VendorNumber, VendorName, Brand).
 
     The reference left-joins every purchase line to the price list and averages over
     the lines. Averages weighted by the line count give the same value, so purchases
     are counted per key first and the join sees one row per key.
     """
-    p = purchases.groupBy("VendorNumber", "VendorName", "Brand").agg(F.count(F.lit(1)).alias("_n"))
+    p = (purchases if lots is None else lots).groupBy("VendorNumber", "VendorName", "Brand").agg(
+        (F.count(F.lit(1)) if lots is None else F.sum("_n")).alias("_n"))
     pp = purchase_prices.select("VendorNumber", "Brand", F.col("PurchasePrice").alias("_pp"),
                                 F.col("Price").alias("_pr"), sqlite_real("Volume").alias("_vol"))
     j = p.join(pp, ["VendorNumber", "Brand"], "left")
@@ -181,8 +196,9 @@ def invoice_totals_by_vendor(vendor_invoice: DataFrame) -> DataFrame:
 def vendor_sales_summary_replicated(sales: DataFrame, purchases: DataFrame, vendor_invoice: DataFrame,
                                     purchase_prices: DataFrame, method: str = "preaggregate") -> DataFrame:
     """Brand rows with vendor-level purchases and freight repeated on each brand row."""
-    sa = fanout_sales(sales, purchases, vendor_keys=("VendorNumber",), with_avg_price=True, method=method)
-    pa = purchase_price_summary(purchases, purchase_prices)
+    lots = materialize(purchase_lots(purchases))
+    sa = fanout_sales(sales, purchases, vendor_keys=("VendorNumber",), with_avg_price=True, method=method, lots=lots)
+    pa = purchase_price_summary(purchases, purchase_prices, lots)
     vi = invoice_totals_by_vendor(vendor_invoice)
     j = (sa.join(pa, ["VendorNumber", "Brand"], "left")
            .join(vi, "VendorNumber", "left"))

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vendorlens.operators import summary as T
-from vendorlens.session import checkpoint_dir
 from vendorlens.sources.files import export_csvs, ingest
 from vendorlens.sources.tpch import BaseTables
 
@@ -23,14 +22,10 @@ BUILD_TABLES = ["vendor_sales_summary", "vendor_summary_by_vendor", "spend_by_ve
                 "brand_pricing", "brand_pricing_opportunities", "final_vendor", "final_brand", "final_all"]
 
 
-def _out(spark: SparkSession, out_dir: str | None) -> str:
-    return (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/tables").rstrip("/")
-
-
-def build_final_tables(spark: SparkSession, base: BaseTables, target: float = 0.35, out_dir: str | None = None,
+def build_final_tables(spark: SparkSession, base: BaseTables, out_dir: str, target: float = 0.35,
                        csv_dir: str | None = None) -> dict[str, DataFrame]:
     """The nine build tables, each written under ``out_dir`` and registered as a view."""
-    root = _out(spark, out_dir)
+    root = out_dir.rstrip("/")
     t = {}
 
     def put(name, df):
@@ -51,10 +46,10 @@ def build_final_tables(spark: SparkSession, base: BaseTables, target: float = 0.
     return t
 
 
-def build_notebook_tables(spark: SparkSession, base: BaseTables, target: float = 0.35,
-                          out_dir: str | None = None) -> dict[str, DataFrame]:
+def build_notebook_tables(spark: SparkSession, base: BaseTables, out_dir: str,
+                          target: float = 0.35) -> dict[str, DataFrame]:
     """The notebook chain (replicated variant T2 and its dependants), written like E1."""
-    root = _out(spark, out_dir) + "/notebook"
+    root = out_dir.rstrip("/") + "/notebook"
     t = {}
 
     def put(name, df):

@@ -102,6 +102,11 @@ register("S7_table_counts", _s7, with_ctes(["vss"], "\nUNION ALL\n".join(
      ("purchase_prices", "purchase_prices"), ("vendor_sales_summary", "vss")])))
 
 
+_INVOICE = "VendorNumber, PONumber, Quantity, Dollars, Freight"
+register("S7b_invoice_preview", lambda s, d: S.preview(tb.base(s, d).vendor_invoice, ["VendorNumber", "PONumber"]),
+         with_ctes([], f"SELECT {_INVOICE} FROM vendor_invoice ORDER BY {_INVOICE} LIMIT 5"), ("Dollars", "Freight"))
+
+
 def _s8(spark, sf_dir):
     from vendorlens.operators import summary as T
     b = tb.base(spark, sf_dir)

@@ -7,8 +7,10 @@ the way the reference's scripts chain their tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vendorlens.operators import summary as T
+from vendorlens.session import materialize
 from vendorlens.sources import tpch
 
 
@@ -26,6 +28,16 @@ def vss2(spark, sf_dir) -> DataFrame:
     return T.vendor_sales_summary_replicated(b.sales, b.purchases, b.vendor_invoice, b.purchase_prices)
 
 
+def vss_once(spark, sf_dir) -> DataFrame:
+    """T1 computed once, for chains that read it several times."""
+    return materialize(vss(spark, sf_dir))
+
+
+def vss2_once(spark, sf_dir) -> DataFrame:
+    """T2 computed once, for chains that read it several times."""
+    return materialize(vss2(spark, sf_dir))
+
+
 def vsv(spark, sf_dir) -> DataFrame:
     return T.vendor_rollup(vss(spark, sf_dir))
 
@@ -47,12 +59,12 @@ def final_vendor(spark, sf_dir) -> DataFrame:
 
 
 def final_brand(spark, sf_dir, target: float = 0.35) -> DataFrame:
-    v = vss(spark, sf_dir)
+    v = vss_once(spark, sf_dir)
     return T.final_brand(v, T.brand_pricing_opportunities(T.brand_pricing(v), target))
 
 
 def final_all(spark, sf_dir, target: float = 0.35) -> DataFrame:
-    v = vss(spark, sf_dir)
+    v = vss_once(spark, sf_dir)
     fv = T.final_vendor(T.vendor_rollup(v))
     fb = T.final_brand(v, T.brand_pricing_opportunities(T.brand_pricing(v), target))
     return T.final_all(fv, fb)
@@ -67,24 +79,24 @@ def underperf(spark, sf_dir) -> DataFrame:
 
 
 def risk_summary(spark, sf_dir) -> DataFrame:
-    v2 = vss2(spark, sf_dir)
+    v2 = vss2_once(spark, sf_dir)
     return T.vendor_risk_summary(T.underperforming_brands(T.brand_pricing_diagnostics(v2)),
                                  T.vendor_rollup_avgs(v2))
 
 
 def final_vendor_b(spark, sf_dir) -> DataFrame:
-    v2 = vss2(spark, sf_dir)
+    v2 = vss2_once(spark, sf_dir)
     return T.final_vendor_enriched(T.vendor_rollup_avgs(v2), v2, T.spend_by_vendor_named(v2),
                                    T.vendor_risk_flags(v2))
 
 
 def final_brand_b(spark, sf_dir) -> DataFrame:
-    v2 = vss2(spark, sf_dir)
+    v2 = vss2_once(spark, sf_dir)
     return T.final_brand_replicated(v2, T.pricing_opportunities_all(v2))
 
 
 def final_all_b(spark, sf_dir) -> DataFrame:
-    v2 = vss2(spark, sf_dir)
+    v2 = vss2_once(spark, sf_dir)
     fv = T.final_vendor_enriched(T.vendor_rollup_avgs(v2), v2, T.spend_by_vendor_named(v2),
                                  T.vendor_risk_flags(v2))
     fb = T.final_brand_replicated(v2, T.pricing_opportunities_all(v2))
@@ -97,9 +109,12 @@ def brand_pricing(spark, sf_dir) -> DataFrame:
 
 def analysis_frame(spark, sf_dir) -> DataFrame:
     """final_all rows with sales, largest first (the analysis notebook's input)."""
-    from pyspark.sql import functions as F
-    return final_all(spark, sf_dir).filter(F.col("TotalSalesDollars") > 0).orderBy(
-        F.col("TotalSalesDollars").desc(), "Level", "VendorNumber", "Brand")
+    return sold_frame(spark, sf_dir).orderBy(F.col("TotalSalesDollars").desc(), "Level", "VendorNumber", "Brand")
+
+
+def sold_frame(spark, sf_dir) -> DataFrame:
+    """final_all rows with sales, in no order."""
+    return final_all(spark, sf_dir).filter(F.col("TotalSalesDollars") > 0)
 
 
 def vendor_frame(spark, sf_dir) -> DataFrame:

@@ -64,15 +64,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local runs
-    only) creates a fresh scratch folder and registers it.
+    Uses ``spark.checkpoint.dir``, which a cluster must name: executors can't see a folder of
+    the driver's machine. Only a local master gets a fresh scratch folder where it is unset.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the checkpoint location
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.environ.get("VENDORLENS_SCRATCH", tempfile.gettempdir())
         d = tempfile.mkdtemp(prefix="vendorlens-ckpt-", dir=base)
     if not sc.getCheckpointDir():

@@ -8,6 +8,7 @@ the driver; the data itself is only ever read and written by Spark tasks.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,9 @@ BASE_SCHEMAS = {
                        "Volume string",
 }
 
-# Strings pandas read_csv treats as missing, beyond the empty field.
-PANDAS_NULLS = ["NA", "N/A", "NULL", "nan", "NaN", "None", "null", "n/a", "<NA>"]
+# Strings that pandas read_csv takes as missing, beyond the empty field.
+PANDAS_NULLS = ["#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -55,32 +57,68 @@ def _stem(path: str) -> str:
 
 
 def normalise_nulls(df: DataFrame) -> DataFrame:
-    """Map pandas' missing-value spellings in text columns to NULL."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.when(F.trim(c).isin(PANDAS_NULLS), F.lit(None).cast("string")).otherwise(c)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    """Map pandas' missing-value spellings in text columns to NULL (exact spellings, as pandas has them)."""
+    return df.select(*[F.when(~F.col(f"`{f.name}`").isin(PANDAS_NULLS), F.col(f"`{f.name}`")).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def read_text_csv(spark: SparkSession, path: str, names=None) -> DataFrame:
+    """A CSV with header, all columns as text, missing-value spellings as NULL. ``names``: expected columns."""
+    r = spark.read.option("header", "true")
+    if names:
+        r = r.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).option("enforceSchema", "false")
+    return normalise_nulls(r.csv(path))
+
+
+def _typed(schema: str) -> T.StructType:
+    return T.StructType.fromDDL(schema)
+
+
+def _cast(f: T.StructField):
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.StringType):
+        return c
+    c = F.trim(c)
+    if isinstance(f.dataType, (T.LongType, T.IntegerType)):  # a whole float is a whole number, as in pandas
+        x = c.try_cast("double")
+        return F.coalesce(c.try_cast(f.dataType), F.when(x % 1 == 0, x.try_cast(f.dataType)))
+    return c.try_cast(f.dataType)
+
+
+def cast_csv(text: DataFrame, schema: str) -> DataFrame:
+    """Columns of ``schema`` from text: what doesn't parse becomes NULL."""
+    return text.select(*[_cast(f).alias(f.name) for f in T.StructType.fromDDL(schema).fields])
+
+
+def bad_cells(text: DataFrame, schema: str):
+    """A map of typed columns to the number of cells with text that doesn't parse (only those with any)."""
+    typed = [f for f in T.StructType.fromDDL(schema).fields if not isinstance(f.dataType, T.StringType)]
+    counts = [F.struct(F.lit(f.name).alias("column"), F.count_if(F.col(f"`{f.name}`").isNotNull() & _cast(f).isNull()).alias("n"))
+              for f in typed]
+    if not counts:
+        return {}
+    row = text.agg(F.array(*counts).alias("x")).first()
+    return {c["column"]: c["n"] for c in row["x"] if c["n"]}
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with header; explicit schema when known, else all columns as text."""
-    r = spark.read.option("header", "true").option("mode", "FAILFAST")
-    r = r.schema(schema) if schema else r.option("inferSchema", "false")
-    return normalise_nulls(r.csv(path))
+    if not schema:
+        return read_text_csv(spark, path)
+    return cast_csv(read_text_csv(spark, path, T.StructType.fromDDL(schema).names), schema)
 
 
 def ingest(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> DataFrame:
     """Write a frame as a named table, replacing it.
 
-    With ``path`` the table is Parquet files there (re-read and registered as a view);
-    without it, a catalog table via ``saveAsTable``.
+    With ``path`` the table is Parquet files under it: a new version is written in full to a
+    folder of its own, and only then does the name point there, so a load that fails
+    leaves the old version as it is. Without it, a catalog table via ``saveAsTable``.
     """
     if path:
-        df.write.mode(mode).parquet(path)
-        out = df.sparkSession.read.parquet(path)
+        version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
+        df.write.parquet(version)
+        out = df.sparkSession.read.schema(df.schema).parquet(version)
         out.createOrReplaceTempView(name)
         return out
     df.write.mode(mode).saveAsTable(name)
@@ -90,16 +128,20 @@ def ingest(df: DataFrame, name: str, path: str | None = None, mode: str = "overw
 def load_raw_data(spark: SparkSession, src_dir: str, dest_dir: str | None = None, schemas=BASE_SCHEMAS) -> DataFrame:
     """Every ``*.csv`` under ``src_dir`` becomes a table named by its file stem.
 
-    A file that fails to load is logged and skipped. Returns the report
-    (table, rows, columns, status, error).
+    Cells that don't parse as their column's type become NULL and are counted in ``error``; a
+    file that can't be read is logged and skipped, and its old table stays. Returns the
+    report (table, rows, columns, status, error).
     """
     rows = []
     for f in list_files(spark, src_dir, ".csv"):
         name = _stem(f)
         try:
-            df = read_csv(spark, f, schemas.get(name))
-            out = ingest(df, name, f"{dest_dir.rstrip('/')}/{name}" if dest_dir else None)
-            rows.append((name, out.count(), len(out.columns), "ok", None))
+            schema = schemas.get(name)
+            text = read_text_csv(spark, f, T.StructType.fromDDL(schema).names if schema else None)
+            out = ingest(cast_csv(text, schema) if schema else text, name, f"{dest_dir.rstrip('/')}/{name}" if dest_dir else None)
+            bad = bad_cells(text, schema) if schema else {}
+            note = ", ".join(f"{c}: {n} not parsed" for c, n in bad.items()) or None
+            rows.append((name, out.count(), len(out.columns), "ok", note))
         except Exception as e:  # one bad file must not stop the others
             log.warning("failed to load %s: %s", f, e)
             rows.append((name, None, None, "error", str(e)[:500]))
@@ -168,9 +210,9 @@ def table_counts(tables: dict) -> DataFrame:
     return out
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First rows of a table (a sample for eyes, not a result)."""
-    return df.limit(n)
+def preview(df: DataFrame, order, n: int = 5) -> DataFrame:
+    """The first rows of a table in the order of ``order`` and then of all its columns."""
+    return df.orderBy(*order, *[c for c in df.columns if c not in order]).limit(n)
 
 
 def require_tables(spark: SparkSession, names) -> DataFrame:

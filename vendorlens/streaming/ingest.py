@@ -12,8 +12,9 @@ scheduled runs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from vendorlens.sources.files import BASE_SCHEMAS, normalise_nulls
+from vendorlens.sources.files import BASE_SCHEMAS, cast_csv, normalise_nulls
 
 
 def ingest_stream(spark: SparkSession, src_dir: str, table: str, dest_dir: str, schema: str | None = None,
@@ -25,10 +26,11 @@ def ingest_stream(spark: SparkSession, src_dir: str, table: str, dest_dir: str,
     schema = schema or BASE_SCHEMAS[table]
     # the stream's progress belongs to its destination table: one checkpoint per table path
     ckpt = checkpoint or f"{dest_dir.rstrip('/')}__stream_checkpoint"
-    reader = spark.readStream.schema(schema).option("header", "true")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in T.StructType.fromDDL(schema).names])
+    reader = spark.readStream.schema(text).option("header", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = normalise_nulls(reader.csv(src_dir))
+    stream = cast_csv(normalise_nulls(reader.csv(src_dir)), schema)
 
     def append(batch: DataFrame, epoch: int) -> None:
         # one folder per micro-batch, overwritten on replay: a batch re-run after a
