@@ -82,7 +82,7 @@ def test_least_null(spark):
 def test_average_tie_percent_rank(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([0.0, 0.0, 0.0, 0.0, 0.0, 3.0, 1.0, None])],
                                "k int, v double")
-    got = {r["k"]: r["r"] for r in avg_rank_pct(df, "v", "r", buckets=3).collect()}
+    got = {r["k"]: r["r"] for r in avg_rank_pct(df, "v", "r").collect()}
     # pandas: ranks of five zeros average 3, then 1.0 -> 6, 3.0 -> 7, over 7 values
     assert got[0] == pytest.approx(3 / 7) and got[6] == pytest.approx(6 / 7) and got[5] == pytest.approx(1.0)
     assert got[7] is None
@@ -90,7 +90,7 @@ def test_average_tie_percent_rank(spark):
 
 def test_exact_quantiles_match_linear_interpolation(spark):
     df = spark.createDataFrame([(x,) for x in [1.0, 2.0, 4.0, 9.0]], "x double")
-    q = exact_quantiles(df, "x", [0.25, 0.75, 0.5], buckets=2).collect()[0]
+    q = exact_quantiles(df, "x", [0.25, 0.75, 0.5]).collect()[0]
     assert (q["q0"], q["q1"], q["q2"]) == (1.75, 5.25, 3.0)
 
 
@@ -131,7 +131,7 @@ def test_dense_codes_follow_binary_string_order(spark):
     from vendorlens.functions.ranking import dense_codes
     names = ["b", "a", None, "ab", "a", "Zz", "é", "abcdefgh", "abcdefg"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    got = {r["n"]: r["c"] for r in dense_codes(df, "n", "c", buckets=2).collect()}
+    got = {r["n"]: r["c"] for r in dense_codes(df, "n", "c").collect()}
     distinct = sorted({n for n in names if n is not None}, key=lambda x: x.encode("utf-8"))
     assert {k: v for k, v in got.items() if k is not None} == {n: i for i, n in enumerate(distinct)}
     assert got[None] == len(distinct)

@@ -1,102 +1,71 @@
 """Global order statistics without a single-partition window.
 
-An unpartitioned ``Window.orderBy`` pulls every row into one task. The helpers here
-split the ordered domain into value buckets (bounds from ``percentile_approx``, one
-small row broadcast to every task), compute running sums inside each bucket with a
-window partitioned by bucket, and add per-bucket offsets (at most ``buckets`` rows,
-broadcast). A bucket is a function of the value alone, so ties never straddle two
-buckets and results are exact; the approximate bounds only balance the work.
-
-Ranks are computed on distinct values (``groupBy(value).count()``), so one value
-holding a third of the rows is a single row here.
+An unpartitioned ``Window.orderBy`` pulls every row into one task. Here rows are first
+partitioned by range over their whole order key, tie-breakers included, so a value that
+many rows share spreads over partitions too. The partition number is fixed in a
+checkpoint; running sums are taken inside each partition, and offsets (a row per
+group and partition) are added. Every result is exact; the sampled range bounds only
+balance the work.
+
+Ranks and quantiles are computed on distinct values (``groupBy(value).count()``), so one
+value holding a third of the rows is a single row there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendorlens.functions.frames import attach
+from vendorlens.session import materialize
 
-DEFAULT_BUCKETS = 64
 
+def range_partitions(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _bucket_bounds(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    probs = [i / buckets for i in range(1, buckets)]
-    return df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
 
+def in_ranges(df: DataFrame, order) -> DataFrame:
+    """``df`` with ``_bkt``, the number of its range in the total order ``order`` (written once)."""
+    return materialize(df.repartitionByRange(range_partitions(df), *order).withColumn("_bkt", F.spark_partition_id()))
 
-def global_cumsum(df: DataFrame, value: str, weight, out, ascending: bool = True,
-                  tiebreak=(), buckets: int = DEFAULT_BUCKETS, inclusive: bool = True, by=()) -> DataFrame:
-    """Running sum of ``weight`` over the order (``value``, then ``tiebreak``) within each
-    ``by`` group (globally when ``by`` is empty).
 
-    ``value`` must be non-NULL and numeric. ``weight`` / ``out`` may be lists to carry
-    several running sums in the same pass. Returns ``df`` with the ``out`` column(s).
+def global_cumsum(df: DataFrame, value: str, weight, out, ascending: bool = True, tiebreak=(), by=()) -> DataFrame:
+    """Running sum of ``weight``, the row's own included, over the order (``value``, then
+    ``tiebreak``) within each ``by`` group (globally when ``by`` is empty).
+
+    ``weight`` / ``out`` may be lists to carry several running sums in the same pass.
+    Returns ``df`` with the ``out`` column(s).
     """
     weights = [weight] if isinstance(weight, str) else list(weight)
     outs = [out] if isinstance(out, str) else list(out)
-    from vendorlens.session import materialize
-    by = list(by)
-    probs = [i / buckets for i in range(1, buckets)]
-    # Approximate bounds only balance the buckets, but every task must see the same ones.
-    # Globally they are a scalar subquery (computed once per execution, shipped as a
-    # value); per group they are a join side, checkpointed so that a task re-run after
-    # an executor loss cannot see recomputed, slightly different bounds.
-    bounds = (df.groupBy(*by) if by else df).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
-    if by:
-        bounds = materialize(bounds)
-    v = F.col(value).cast("double")
-    b = F.size(F.filter(F.col("_bounds"), lambda x: x < v))
-    if not ascending:
-        b = F.lit(buckets - 1) - b
-    # one row per group; AQE broadcasts it when its measured size allows
-    x = df.join(bounds, by) if by else attach(df, bounds)
-    x = x.withColumn("_bkt", b).drop("_bounds")
-    vo = F.col(value).asc() if ascending else F.col(value).desc()
-    order = [vo] + [F.col(t).asc() for t in tiebreak]
-    w = Window.partitionBy(*by, "_bkt").orderBy(*order)
-    if inclusive:
-        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-    k = range(len(weights))
-    x = x.withColumns({f"_run{i}": F.coalesce(F.sum(weights[i]).over(w), F.lit(0)) for i in k})
+    by, k = list(by), range(len(weights))
+    order = [F.col(value).asc() if ascending else F.col(value).desc(), *[F.col(t).asc() for t in tiebreak]]
+    x = in_ranges(df, [F.col(c).asc() for c in by] + order)
+    w = Window.partitionBy(*by, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = x.withColumns({f"_run{i}": F.sum(weights[i]).over(w) for i in k})
     tot = x.groupBy(*by, "_bkt").agg(*[F.sum(weights[i]).alias(f"_bt{i}") for i in k])
-    # at most groups x buckets rows: this window and the broadcast are bounded
-    ow = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumns({f"_off{i}": F.coalesce(F.sum(f"_bt{i}").over(ow), F.lit(0)) for i in k})
-    off = off.select(*by, "_bkt", *[f"_off{i}" for i in k])
-    x = x.join(off if by else F.broadcast(off), by + ["_bkt"])
-    x = x.withColumns({outs[i]: F.col(f"_off{i}") + F.col(f"_run{i}") for i in k})
-    return x.drop("_bkt", *[f"_run{i}" for i in k], *[f"_off{i}" for i in k])
-
+    # a row per group and range: this window is bounded
+    before = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*by, "_bkt", *[F.coalesce(F.sum(f"_bt{i}").over(before), F.lit(0)).alias(f"_off{i}") for i in k])
+    run = run.join(off, by + ["_bkt"]).withColumns({outs[i]: F.col(f"_off{i}") + F.coalesce(F.col(f"_run{i}"), F.lit(0)) for i in k})
+    return run.drop("_bkt", *[f"_run{i}" for i in k], *[f"_off{i}" for i in k])
 
-def string_prefix_key(c) -> Column:
-    """Monotone numeric proxy of a string's order: its first 6 UTF-8 bytes as an integer
-    (exact in a double). Equal prefixes share a bucket; the full string breaks ties."""
-    h = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8").cast("binary"), 1, 6)), 12, "0")
-    return F.conv(h, 16, 10).cast("double")
 
-
-def dense_codes(df: DataFrame, col: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def dense_codes(df: DataFrame, col: str, out: str) -> DataFrame:
     """0-based dense rank of ``col`` in ascending string order, NULL last (``dense_rank() - 1``).
 
-    Distinct values are numbered by a bucketed running count ordered by a byte-prefix
-    proxy and then the full value, so the numbering never runs in a single task.
+    Distinct values are numbered by a running count over ranges of the whole strings.
     """
-    from vendorlens.session import materialize
-    vals = materialize(df.select(col).distinct().filter(F.col(col).isNotNull())
-                       .withColumn("_px", string_prefix_key(col)).withColumn("_one", F.lit(1)))
-    cum = global_cumsum(vals, "_px", "_one", "_c", tiebreak=(col,), buckets=buckets)
+    vals = df.select(col).distinct().filter(F.col(col).isNotNull()).withColumn("_one", F.lit(1))
+    cum = global_cumsum(vals, col, "_one", "_c")
     codes = cum.select(F.col(col).alias("_cv"), (F.col("_c") - 1).alias(out))
-    n = vals.agg(F.count(F.lit(1)).alias("_nn"))
+    n = cum.agg(F.count(F.lit(1)).alias("_nn"))
     j = df.join(codes, F.col(col) == F.col("_cv"), "left").drop("_cv")
     return attach(j, n).withColumn(out, F.coalesce(F.col(out), F.col("_nn")).cast("int")).drop("_nn")
 
 
-def rank_table(df: DataFrame, cols, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def rank_table(df: DataFrame, cols) -> DataFrame:
     """(column, x, r): pandas average-tie percent rank of every distinct value of each column.
 
     Per distinct value with running count c (inclusive) and own count k, the average
@@ -105,15 +74,13 @@ def rank_table(df: DataFrame, cols, buckets: int = DEFAULT_BUCKETS) -> DataFrame
     """
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
     long = df.select(F.inline(F.array(*structs))).filter(F.col("x").isNotNull())
-    from vendorlens.session import materialize
-    vals = materialize(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("_k")))
-    cum = global_cumsum(vals, "x", "_k", "_c", buckets=buckets, by=("column",))
-    n = vals.groupBy("column").agg(F.sum("_k").alias("_n"))
+    cum = global_cumsum(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("_k")), "x", "_k", "_c", by=("column",))
+    n = cum.groupBy("column").agg(F.max("_c").alias("_n"))
     return (cum.join(F.broadcast(n), "column")
                .select("column", "x", ((F.col("_c") - (F.col("_k") - 1) / 2.0) / F.col("_n")).alias("r")))
 
 
-def with_avg_rank_pct(df: DataFrame, cols, outs, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def with_avg_rank_pct(df: DataFrame, cols, outs) -> DataFrame:
     """Add pandas ``rank(pct=True, method='average')`` of each column in ``cols`` as ``outs``.
 
     Rows get an id inside a checkpoint (so it is fixed for every later read), all
@@ -121,10 +88,9 @@ def with_avg_rank_pct(df: DataFrame, cols, outs, buckets: int = DEFAULT_BUCKETS)
     back: a constant number of shuffles whatever the number of columns. NULL values get
     NULL ranks.
     """
-    from vendorlens.session import materialize
     cols, outs = list(cols), list(outs)
     base = materialize(df.withColumn("_rid", F.monotonically_increasing_id()))
-    rt = rank_table(base, cols, buckets)
+    rt = rank_table(base, cols)
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
     long = base.select("_rid", F.inline(F.array(*structs)))
     wide = (long.join(rt, ["column", "x"], "left")
@@ -133,24 +99,23 @@ def with_avg_rank_pct(df: DataFrame, cols, outs, buckets: int = DEFAULT_BUCKETS)
     return base.join(wide, "_rid").drop("_rid")
 
 
-def avg_rank_pct(df: DataFrame, value: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def avg_rank_pct(df: DataFrame, value: str, out: str) -> DataFrame:
     """pandas ``rank(pct=True, method='average')`` of one column (see ``with_avg_rank_pct``)."""
-    return with_avg_rank_pct(df, [value], [out], buckets)
+    return with_avg_rank_pct(df, [value], [out])
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, names=None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs, names=None) -> DataFrame:
     """One row of exact, linearly interpolated quantiles of ``value`` (NULLs ignored).
 
     Position pos = (n - 1) * p; result = lo + (hi - lo) * (pos - floor(pos)) with lo/hi
     the order statistics at floor/ceil(pos) (exactly ``lo`` when they coincide). The
-    order statistics are located from bucketed running counts over distinct values,
-    so no task holds more than one bucket of distinct values.
+    order statistics are located from running counts over distinct values, so no task
+    holds more than one range of them.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    from vendorlens.session import materialize
-    vals = materialize(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k")))
-    cum = global_cumsum(vals, value, "_k", "_c", buckets=buckets)
-    n = vals.agg(F.sum("_k").alias("_n"))
+    vals = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k"))
+    cum = global_cumsum(vals, value, "_k", "_c")
+    n = cum.agg(F.max("_c").alias("_n"))
     x = attach(cum, n)
     v = F.col(value).cast("double")
     aggs, outs = [], []
@@ -167,19 +132,18 @@ def exact_quantiles(df: DataFrame, value: str, probs, names=None, buckets: int =
     return x.agg(*aggs).select(*outs)
 
 
-def grouped_quantiles(df: DataFrame, by, value: str, probs, names=None, buckets: int = 16) -> DataFrame:
+def grouped_quantiles(df: DataFrame, by, value: str, probs, names=None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per ``by`` group -> (by..., names...).
 
-    Same rule as ``exact_quantiles`` (lo + (hi - lo) * d), computed from bucketed running
-    counts over each group's distinct values, so a large group is spread over buckets
+    Same rule as ``exact_quantiles`` (lo + (hi - lo) * d), computed from running
+    counts over each group's distinct values, so a large group is spread over ranges
     instead of one task holding its whole value map.
     """
-    from vendorlens.session import materialize
     by = list(by)
     names = names or [f"q{i}" for i in range(len(probs))]
-    vals = materialize(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k")))
-    cum = global_cumsum(vals, value, "_k", "_c", buckets=buckets, by=by)
-    n = vals.groupBy(*by).agg(F.sum("_k").alias("_n"))
+    vals = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
+    cum = global_cumsum(vals, value, "_k", "_c", by=by)
+    n = cum.groupBy(*by).agg(F.max("_c").alias("_n"))
     x = cum.join(n, by)
     v = F.col(value).cast("double")
     aggs, outs = [], []
@@ -202,7 +166,6 @@ def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large"
     Bins are right-closed with the lowest edge included. Repeated edges raise, as in
     pandas. Edges come from one exact quantile aggregate broadcast to every task.
     """
-    from vendorlens.session import materialize
     df = materialize(df)
     q = len(labels)
     probs = [i / q for i in range(q + 1)]
@@ -216,8 +179,3 @@ def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large"
         lab = lab.when(v <= F.element_at(e, i + 2), F.lit(name))
     lab = F.when(dup, F.raise_error(F.lit("qcut: bin edges must be unique"))).otherwise(lab)
     return x.withColumn(out, lab.cast("string")).drop("_edges")
-
-
-def with_scalar(df: DataFrame, agg_col: Column, alias: str) -> DataFrame:
-    """Attach a global scalar aggregate (one row, broadcast) to every row."""
-    return attach(df, df.agg(agg_col.alias(alias)))

@@ -148,13 +148,13 @@ def top_brands_by_sales(final_brand: DataFrame, n: int = 10) -> DataFrame:
             .withColumn("label", fmt_amount("Sales")))
 
 
-def pareto(df: DataFrame, key: str, value: str, top: int | None = 20, buckets: int = 64) -> DataFrame:
+def pareto(df: DataFrame, key: str, value: str, top: int | None = 20) -> DataFrame:
     """Value summed per key, share, cumulative share in descending order,
     rank and a 'x.x%' label. The cumulative sum is a bucketed global prefix sum."""
     g = materialize(df.groupBy(key).agg(F.sum(value).alias(value)).filter(F.col(value).isNotNull()))
     tot = g.agg(F.sum(value).alias("_tot"))
     c = global_cumsum(g.withColumn("_one", F.lit(1)), value, [value, "_one"], ["_cum", "rank"], ascending=False,
-                      tiebreak=(key,), buckets=buckets)
+                      tiebreak=(key,))
     out = (attach(c, tot)
             .select(key, value, (F.col(value) / F.col("_tot")).alias("pct"),
                     (F.col("_cum") / F.col("_tot")).alias("cum_pct"), F.col("rank").cast("bigint").alias("rank")))
@@ -253,7 +253,7 @@ SCORECARD_COLUMNS = ["VendorNumber", "VendorName", "UpsideTotal", "BrandsNeeding
 
 
 def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=ACTION_WEIGHTS,
-                     join_on=("VendorNumber", "VendorName"), buckets: int = 64) -> DataFrame:
+                     join_on=("VendorNumber", "VendorName")) -> DataFrame:
     """Composite ActionScore per vendor.
 
     Brand needs (upside, NeedsAction, turnover) are rolled up per (VendorNumber,
@@ -269,7 +269,7 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
         F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
         F.sum("_need").cast("bigint").alias("BrandsNeedingAction"),
         F.count("Brand").alias("BrandCount"))
-    med = grouped_quantiles(b, ["VendorNumber", "VendorName"], "_st", [0.5], ["BrandTurnoverMedian"], buckets=4)
+    med = grouped_quantiles(b, ["VendorNumber", "VendorName"], "_st", [0.5], ["BrandTurnoverMedian"])
     agg = agg.join(med, ["VendorNumber", "VendorName"], "left")
     v = vendor_summary.select(
         "VendorNumber", "VendorName",
@@ -289,7 +289,7 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
           .withColumn("_t0", F.coalesce("StockTurnover", F.lit(0.0))))
     s = materialize(s)
     s = with_avg_rank_pct(s, ["UpsideTotal", "PurchaseShare", "BrandsNeedingAction", "_m0", "_t0"],
-                          ["_r_upside", "_r_share", "_r_brands", "_r_mgn", "_r_tn"], buckets=buckets)
+                          ["_r_upside", "_r_share", "_r_brands", "_r_mgn", "_r_tn"])
     score = (F.lit(weights["upside"]) * F.col("_r_upside") + F.lit(weights["share"]) * F.col("_r_share")
              + F.lit(weights["brands"]) * F.col("_r_brands") + F.lit(weights["low_mgn"]) * (1.0 - F.col("_r_mgn"))
              + F.lit(weights["low_tn"]) * (1.0 - F.col("_r_tn")))
