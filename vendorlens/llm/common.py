@@ -37,6 +37,16 @@ def row_key(*cols: str):
     return F.xxhash64(*[F.col(c) for c in cols])
 
 
+def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], how: str = "left", salts: int = 32) -> DataFrame:
+    """Join ``groups``, one row a key, to ``rows`` of which one key may hold any share.
+
+    Each group row is repeated for every salt, so a key's rows meet it in ``salts`` tasks.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
+    every = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(every, [*on, "__salt"], how).drop("__salt")
+
+
 def worker_cache(name: str, limit: int = 0) -> dict:
     """A dict that lives as long as the Python worker process, shared by its tasks.
 
