@@ -36,9 +36,11 @@ def first_of(rows: DataFrame, *rest: str) -> DataFrame:
 def depths(calls: DataFrame) -> DataFrame:
     """``id`` and ``depth`` of calls (``id``, ``after``) that are unique by id: 1 without a call before, else one more."""
     ids = calls.select(F.col("id").alias("after"), F.lit(True).alias("is_call"))
-    todo = calls.join(ids, "after", "left").select(
-        "id", F.when(F.col("is_call"), F.col("after")).alias("up"), F.lit(1).cast("long").alias("depth"))
-    todo = stored(todo, "chains")
+    one = F.lit(1).cast("long").alias("depth")
+    first = calls.where("after IS NULL").select("id", F.col("after").alias("up"), one)  # not in the join: all share that key
+    rest = calls.where("after IS NOT NULL").join(ids, "after", "left").select(
+        "id", F.when(F.col("is_call"), F.col("after")).alias("up"), one)
+    todo = stored(first.unionByName(rest), "chains")
     left = todo.where("up IS NOT NULL").count()
     while left:
         above = todo.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import row_key, stored
+from vendorlens.llm.common import row_key, salted_join, stored
 
 FIELDS = 8
 _SPACE = r"[ \t\r\f\x0B]"
@@ -67,7 +67,7 @@ def recurring(docs: DataFrame, text: str, depth: int, min_tokens: int, similarit
     """The recurring lines of each document row: ``row``, ``drop`` (hashes of masked lines)."""
     lines = stored(parsed(docs, text, depth, min_tokens), "lines")
     full = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    distinct = stored(lines.join(full, "leaf").groupBy("leaf", "line")
+    distinct = stored(salted_join(lines, full, ["leaf"], "inner", salts=8).groupBy("leaf", "line")
                       .agg(F.first("fields").alias("fields"), F.count("*").alias("docs")), "line-kinds")
     agree = F.aggregate(F.zip_with("fields", "template", lambda a, b: F.when(a == b, 1).otherwise(0)),
                         F.lit(0), lambda s, x: s + x)
@@ -83,6 +83,8 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", key: str = "doc_id
                          similarity: float = 0.6, min_docs: int = 10, max_share: float = 0.5) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``; same rows and columns, and two more:
     ``__lines`` and ``__dropped`` count the lines before and those that went."""
+    if not 0 < depth < min_tokens:
+        raise ValueError("a line needs more tokens than the tree's depth")
     own = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), row_key(key, text).alias("row"))
     gone = recurring(rows.select("row", F.col(f"doc.{text}").alias(text)), text, depth, min_tokens, similarity, min_docs)
