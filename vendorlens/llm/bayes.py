@@ -1,10 +1,12 @@
 """Quality classifier by hierarchical empirical Bayes.
 
 Document evidence: word, prefix, shape and repetition features, weighted by their
-presence in labelled documents of either class (naive Bayes on the significant ones,
-calibrated on a held-out fifth). It is fitted on at most ``train_rows`` labelled
-documents, those with the least hash of their key, and has at most ``max_features``
-weights; both bounds hold at any corpus size and make the joins with it broadcasts.
+presence in labelled documents of either class (naive Bayes on the significant and
+strong ones, calibrated on a held-out fifth). It is fitted on at most ``train_rows``
+labelled documents, those with the least hash of their key, and has at most
+``max_features`` weights; both bounds hold at any corpus size and make the joins with
+it broadcasts. Of sampled texts with the same min-hash of word triples, which near copies
+share, one counts: else the words of a copied text would pass for signs of its class.
 
 Site evidence: Spark sums the documents' probabilities per host and per path of all
 documents. Host means are shrunk toward the global mean and path means toward their
@@ -29,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendorlens.llm.common import as_sql_type, salted_join, stored, text_blocks, texts, worker_cache
@@ -76,8 +79,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, tra
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     first = own.where("quality IS NOT NULL AND toxic IS NOT NULL").orderBy(F.xxhash64("key"), "key").limit(train_rows)
     held = F.pmod(F.xxhash64(F.lit("held"), "key"), F.lit(5)) == 0
-    return docs.select(docs[key].alias("key"), docs[text].alias("text")).join(
-        F.broadcast(first.withColumn("held", held)), "key")
+
+    def sign(batches):
+        for block in text_blocks(batches):
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array([signature(t.split()) for t in texts(block)], pa.int64())],
+                                             names=[*block.schema.names, "sign"])
+
+    rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).join(F.broadcast(first.withColumn("held", held)), "key")
+    signed = rows.mapInArrow(sign, f"key {as_sql_type(docs, key)}, text string, quality {as_sql_type(rows, 'quality')}, "
+                                   f"toxic {as_sql_type(rows, 'toxic')}, held boolean, sign long")
+    one = W.partitionBy("sign").orderBy("key")  # a part of the sample
+    return stored(signed.withColumn("copy", F.row_number().over(one)).where("copy = 1").drop("copy", "sign"), "sample")
+
+
+def signature(tokens: list[str]) -> int:
+    """The least hash of the text's word triples."""
+    return min((hashed(" ".join(tokens[i:i + 3]).lower()) for i in range(max(1, len(tokens) - 2))), default=0)
 
 
 def count_features(sample: DataFrame) -> DataFrame:
@@ -99,7 +116,7 @@ def count_features(sample: DataFrame) -> DataFrame:
     return rows.groupBy("feature").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)])
 
 
-def feature_weights(counts: DataFrame, max_features: int, least: float):
+def feature_weights(counts: DataFrame, max_features: int, least: float, strong: float):
     """Weights of the most significant features and the prior log-odds of both targets (None: not both classes)."""
     n = counts.where("feature = 0").select("c0", "c1", "c2", "c3").first() or (0, 0, 0, 0)
     yes = {"quality": ((n[2] or 0) + (n[3] or 0)), "toxic": ((n[1] or 0) + (n[3] or 0))}
@@ -116,7 +133,8 @@ def feature_weights(counts: DataFrame, max_features: int, least: float):
         both = (a + b) / (y + o)
         rows = rows.withColumn(f"z_{t}", F.abs(a / y - b / o) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / y + 1 / o)))
         weight = F.log((a + 0.5) / (y + 1)) - F.log((b + 0.5) / (o + 1))
-        rows = rows.withColumn(f"w_{t}", F.when((F.col(f"z_{t}") >= least) & (a + b >= 5), weight).otherwise(0.0))
+        counts_for = (F.col(f"z_{t}") >= least) & (a + b >= 5) & (F.abs(weight) >= strong)
+        rows = rows.withColumn(f"w_{t}", F.when(counts_for, weight).otherwise(0.0))
         z.append(f"z_{t}")
     best = F.greatest(F.col("z_quality"), F.col("z_toxic"))
     top = rows.where("w_quality <> 0 OR w_toxic <> 0").orderBy(best.desc(), "feature").limit(max_features).toArrow()
@@ -148,19 +166,27 @@ def scores_of(block_texts: list[str], features: np.ndarray, weights, known: dict
 
 
 def calibration(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the log-odds of ``label`` over ``score``: logistic regression by Newton steps
-    with a weak pull to slope 1 and offset 0."""
-    w = np.array([1.0, 0.0])
-    x = np.stack([score, np.ones(len(score))], 1)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (label - p) - (w - (1.0, 0.0))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w = w + step
-        if np.abs(step).max() < 1e-8:
+    """Slope and offset of the log-odds of ``label`` over ``score``: logistic regression by damped Newton
+    steps, with a weak pull to 0 that keeps separable labels finite."""
+    scale = max(float(np.abs(score).max(initial=0.0)), 1e-9)
+    x, pull = np.stack([score / scale, np.ones(len(score))], 1), 1e-3
+
+    def loss(w):
+        z = x @ w
+        return float(np.logaddexp(0.0, z).sum() - label @ z + pull / 2 * w @ w)
+
+    w = np.zeros(2)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        grad = x.T @ (p - label) + pull * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(2), grad)
+        t, now = 1.0, loss(w)
+        while t > 1e-6 and loss(w - t * step) > now - 1e-4 * t * grad @ step:
+            t /= 2
+        w = w - t * step
+        if np.abs(t * step).max() < 1e-8:
             break
-    return float(max(w[0], 0.0)), float(w[1])
+    return float(max(w[0], 0.0) / scale), float(w[1])
 
 
 def scored(rows: DataFrame, model, keep: list[str]) -> DataFrame:
@@ -180,10 +206,10 @@ def scored(rows: DataFrame, model, keep: list[str]) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = 20_000,
-        max_features: int = 20_000, least: float = 5.0):
+        max_features: int = 20_000, least: float = 5.0, strong: float = 2.0):
     """The document classifier: (features, weights) and per target (prior, slope, offset), None without labels."""
     sample = labelled_sample(docs, labels, key, text, train_rows)
-    features, weights, priors = feature_weights(stored(count_features(sample), "features"), max_features, least)
+    features, weights, priors = feature_weights(stored(count_features(sample), "features"), max_features, least, strong)
     held = scored(sample.where("held"), (features, weights), ["key", "quality", "toxic"]).toArrow()  # a part of train_rows
     links = {}
     for t in TARGETS:
