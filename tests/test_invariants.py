@@ -61,5 +61,22 @@ def test_resampling_independent_of_partitioning(spark, sf_dir):
     b = H.bootstrap_diff_ci(g.repartition(7), keys, "top", "rest", B=200, seed=3).first()
     assert a["lo"] == pytest.approx(b["lo"], rel=1e-12) and a["hi"] == pytest.approx(b["hi"], rel=1e-12)
     p1 = H.permutation_test(g, keys, "top", "rest", B=300, seed=5).first()["p_value"]
-    p2 = H.permutation_test(g.repartition(3), keys, "top", "rest", B=300, seed=5, max_pool_rows=0).first()["p_value"]
-    assert p1 == p2      # numpy-chunk path and distributed window path draw the same permutations
+    p2 = H.permutation_test(g.repartition(3), keys, "top", "rest", B=300, seed=5).first()["p_value"]
+    assert p1 == p2
+
+
+def test_permutations_against_sorting_all_rows(spark):
+    import numpy as np
+    rows = [(i, "a" if i % 3 == 0 else "b", float((i * 7919) % 101)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, group string, value double").repartition(6)
+    got = H.permutation_test(df, ("k",), "a", "b", B=40, seed=9).first()
+    lanes = H.lanes(df, 9, ("k",)).select("value", "group", "_h1", "_h2").toPandas()
+    h1, h2, v = lanes["_h1"].to_numpy(), lanes["_h2"].to_numpy(), lanes["value"].to_numpy()
+    n_a = int((lanes["group"] == "a").sum())
+    seen = v[lanes["group"] == "a"].mean() - v[lanes["group"] == "b"].mean()
+    over = 0
+    for r in range(40):
+        first = np.lexsort((v, h2, h1, H.mixed(h1, h2, r)))[:n_a]
+        rest = v.sum() - v[first].sum()
+        over += v[first].mean() - rest / (len(v) - n_a) >= seen - abs(seen) * 1e-12
+    assert got["n_a"] == n_a and got["p_value"] == over / 40
