@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import as_sql_type, salted_join, text_blocks, texts
+from vendorlens.llm.common import as_sql_type, stored, text_blocks, texts
 
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -263,18 +263,33 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def winning_paths(cast: DataFrame, share: float) -> DataFrame:
-    """The paths with at least ``share`` of a host's votes, most voted first: ``host``, ``winners``."""
-    paths = cast.groupBy("host", "path").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("score"))
-    total = paths.groupBy("host").agg(F.sum("n").alias("all"))
-    won = paths.join(total, "host").where(F.col("n") >= share * F.col("all"))  # 1 / share rows a host at most
+    """The paths with at least ``share`` of a host's votes, most voted first: ``host``, ``winners``, ``votes``."""
+    paths = stored(cast.groupBy("host", "path").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("score")), "votes")
+    total = paths.groupBy("host").agg(F.sum("n").alias("votes"))
+    won = paths.join(total, "host").where(F.col("n") >= share * F.col("votes"))  # 1 / share rows a host at most
     ranked = F.sort_array(F.collect_list(F.struct("n", "score", "path")), asc=False)
-    return won.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
+    return won.groupBy("host", "votes").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
+
+
+#: Hosts with at least this part of all votes (so at most as many) are joined by broadcast.
+HOT_HOSTS = 1000
+
+
+def with_winners(rows: DataFrame, won: DataFrame) -> DataFrame:
+    """``rows`` with their host's ``winners``. Pages of the large hosts aren't shuffled, so none is hot."""
+    won = stored(won, "winners")
+    every = won.agg(F.sum("votes").alias("n")).first()["n"] or 0
+    large = won.where(F.col("votes") * HOT_HOSTS >= every).select("host", "winners")
+    rows = rows.join(F.broadcast(large), "host", "left")
+    rest = F.col("winners").isNull() & F.col("host").isNotNull()
+    small = won.where(F.col("votes") * HOT_HOSTS < every).select("host", "winners")
+    return rows.where(~rest).unionByName(rows.where(rest).drop("winners").join(small, "host", "left"))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", share: float = 0.2) -> DataFrame:
     """The main text of every page row: ``key``, ``url``, ``text``, ``path`` (where it was found)."""
     rows = pages.select(pages[key].alias("key"), pages[url].alias("url"), host_of(pages[url]).alias("host"), pages[page].alias("html"))
-    rows = salted_join(rows, winning_paths(votes(rows), share), ["host"])
+    rows = with_winners(rows, winning_paths(votes(rows), share))
 
     def run(batches):
         for block in text_blocks(batches, "html"):
