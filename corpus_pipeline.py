@@ -28,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.drop_recurring_lines(docs)
+    out = lines.drop_all_recurring_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__dropped") > 0, F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

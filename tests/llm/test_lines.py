@@ -1,5 +1,6 @@
 import duckdb
 
+import corpus_pipeline as cp
 from tests.llm.fixtures import documents, empty
 from vendorlens.llm import lines
 
@@ -38,3 +39,33 @@ def test_edges(spark):
     assert out.count() == docs.count()
     assert out.where("text IS NULL").count() == docs.where("text IS NULL").count()
     assert lines.drop_recurring_lines(empty(spark)).count() == 0
+
+
+def all_dropped(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["text"] for r in cp.line_dedup(spark, docs, "").collect()}
+
+
+WORDS = "anna bert carl dora emil fred gina hugo ida jens karl lena".split()
+
+
+def own(i, n=14):
+    """A line that no other text has, as long as ``n`` words."""
+    return " ".join(WORDS[i % 12] * 2 + chr(97 + (i + j) % 26) + chr(97 + i // 26) + chr(97 + j) for j in range(n))
+
+
+def test_short_lines_and_copies(spark):
+    rows = [(i, f"All rights reserved.\n\n{own(i)}\n{i}") for i in range(12)]
+    copy = "a whole article that was copied often\nits second line also stands in all copies"
+    rows += [(100 + i, copy) for i in range(30)]
+    out = all_dropped(spark, rows)
+    assert all(out[i] == f"\n{own(i)}\n{i}" for i in range(12))  # numbers and empty lines stay
+    assert all(out[100 + i] == copy for i in range(30))
+
+
+def test_mostly_recurring_texts(spark):
+    notice = "this notice stands below very many of our pages and is much longer than their own text " * 3
+    rows = [(i, f"{notice}\n{own(i, 6)}") for i in range(15)] + [(50, f"{notice}\n{own(3, 6)}")] * 2
+    out = all_dropped(spark, rows)
+    assert len({t for t in out.values() if notice in t}) == 1  # one text keeps it
+    assert all(t == own(i, 6) for i, t in out.items() if i < 15 and notice not in t)

@@ -10,13 +10,29 @@ that is the leaf's template. A line follows it if it has the constant value in a
 from all of them. A document keeps its text if more than ``max_share`` of it would go:
 whole copies are for document dedup, not boilerplate.
 
-Lines of fewer than ``min_tokens`` tokens are never dropped. Defined results: a null text
+Lines of fewer than ``min_tokens`` tokens are never dropped. This is what ``ORACLE_SQL``
+states, and so what ``digests`` gives.
+
+``drop_all_recurring_lines``, which the corpus pipeline uses, has none of these exemptions.
+Lines of any length are parsed; one of at most ``depth`` tokens has a leaf of its own. A leaf
+has any number of templates: each choice of ``similarity`` of the fields, with their values,
+that lines of ``min_docs`` distinct texts share, and each masked line that ``min_docs``
+distinct texts hold. Exact copies count once, so they don't make their own lines recurring. Of
+texts that would lose more than half of themselves and share their longest recurring line
+(near copies), the one with the least hash keeps its text, so that it stays in the corpus
+once; all others lose their recurring lines. A line of numbers only is compared as it
+stands, and lines without tokens stay.
+
+Defined results: a null text
 stays null and has no lines; documents are counted as rows; all columns are kept; rows
 that are repeated get the same text; an empty table stays empty.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +117,87 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", key: str = "doc_id
         F.when(F.col("cut"), count - F.size("kept")).otherwise(0).cast("long").alias("__dropped"))
 
 
+def every_line(docs: DataFrame, text: str, depth: int) -> DataFrame:
+    """The distinct compared lines of each distinct text: ``text``, ``line``, ``leaf``, ``fields`` as hashes,
+    ``size`` in characters and the ``total`` of the text."""
+    own = F.filter(F.array_distinct(F.transform(lines_of(F.col(text)), compared)), lambda x: x != "")
+    each = (docs.select("text_hash", own.alias("own"))
+            .withColumn("total", F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + F.length(x)))
+            .select("text_hash", "total", F.explode("own").alias("masked"))
+            .withColumn("tokens", F.split("masked", " ")).withColumn("n", F.size("tokens"))
+            .withColumn("m", F.greatest(F.col("n") - depth, F.lit(0))).withColumn("k", F.least(F.col("m"), F.lit(FIELDS))))
+    cut = F.expr(f"if(k = 0, cast(array() as array<bigint>), transform(sequence(0, greatest(k - 1, 0)), j -> xxhash64(array_join("
+                 f"slice(tokens, {depth + 1} + cast(j * m div k as int), cast((j + 1) * m div k - j * m div k as int)), ' '))))")
+    return each.select("text_hash", F.xxhash64("masked").alias("line"),
+                       F.xxhash64("n", F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"), cut.alias("fields"),
+                       F.length("masked").alias("size"), "total").dropDuplicates(["text_hash", "line"])
+
+
+def compared(line: Column) -> Column:
+    """A line with its fields masked, or as it stands if nothing else is left of it."""
+    to = masked(line)
+    return F.when(to.rlike(r"^<\*>( <\*>)*$"), F.regexp_replace(F.regexp_replace(
+        line, rf"^{_SPACE}+|{_SPACE}+$", ""), f"{_SPACE}+", " ")).otherwise(to)
+
+
+def choices(similarity: float) -> Column:
+    """The sets of fields, as bits, that make a template of a line with ``k`` fields."""
+    every = [[sum(1 << i for i in c) for c in combinations(range(k), max(1, ceil(similarity * k - 1e-9)))] for k in range(1, FIELDS + 1)]
+    return F.expr(f"element_at(array({', '.join('array(' + ', '.join(map(str, c)) + ')' for c in every)}), size(fields))")
+
+
+def every_recurring(docs: DataFrame, text: str, depth: int, similarity: float, min_docs: int) -> DataFrame:
+    """The recurring lines of each distinct text: ``text_hash``, ``drop`` (hashes of compared lines)."""
+    lines = stored(every_line(docs, text, depth), "every-line")
+    kinds = stored(lines.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("fields").alias("fields"),
+                                             F.count("*").alias("docs")), "every-kind")
+    often = kinds.where(F.col("docs") >= min_docs).select("line")
+    # fields whose value is frequent at their place, those of a frequent line among them
+    fields = kinds.select("line", "docs", "leaf", F.posexplode("fields").alias("pos", "value"))
+    frequent = (fields.groupBy("leaf", "pos", "value").agg(F.sum("docs").alias("n"))
+                .where(F.col("n") >= min_docs).select("leaf", "pos", "value"))
+    bits = (salted_join(fields, frequent, ["leaf", "pos", "value"], "inner", salts=8)
+            .groupBy("line").agg(F.expr("bit_or(shiftleft(1, pos))").alias("bits")))
+    of = F.expr("xxhash64(leaf, choice, transform(fields, (v, i) -> if((shiftright(choice, i) & 1) = 1, v, null)))")
+    chosen = stored(kinds.where(F.size("fields") > 0).join(bits, "line")
+                    .withColumn("choice", F.explode(F.filter(choices(similarity), lambda c: c.bitwiseAND(F.col("bits")) == c)))
+                    .select("line", "docs", of.alias("template")), "line-choices")
+    # a template with a frequent line recurs; any other has rare lines only, in fewer than min_docs texts each
+    sums = chosen.groupBy("template").agg(F.sum("docs").alias("n"), F.max("docs").alias("most"), F.count("*").alias("lines"))
+    sums = stored(sums.where((F.col("n") >= min_docs) & (F.col("lines") > 1)), "line-templates")
+    open_ = sums.where(F.col("most") < min_docs).select("template")
+    rare = chosen.where(F.col("docs") < min_docs).select("line", "template")
+    counted = (lines.select("text_hash", "line").join(salted_join(rare, open_, ["template"], "inner", salts=8), "line")
+               .select("template", "text_hash").distinct().groupBy("template").agg(F.count("*").alias("n"))
+               .where(F.col("n") >= min_docs).select("template"))
+    found = sums.where(F.col("most") >= min_docs).select("template").unionByName(counted)
+    follow = stored(salted_join(rare, found, ["template"], "inner", salts=8).select("line").distinct().unionByName(often), "every-follow")
+    hits = salted_join(lines.select("text_hash", "line", "size", "total"), follow, ["line"], "inner", salts=8)
+    gone = stored(hits.groupBy("text_hash").agg(
+        F.collect_list("line").alias("drop"), F.max(F.struct("size", "line"))["line"].alias("longest"),
+        (2 * F.sum("size") > F.first("total")).alias("most")), "every-hit")  # a text's own lines
+    stays = gone.where("most").groupBy("longest").agg(F.min("text_hash").alias("text_hash")).select("text_hash")
+    return gone.select("text_hash", "drop").join(stays, "text_hash", "left_anti")
+
+
+def drop_all_recurring_lines(docs: DataFrame, text: str = "text", depth: int = 3, similarity: float = 0.6,
+                             min_docs: int = 10) -> DataFrame:
+    """As ``drop_recurring_lines``, but of any length, by any number of templates a leaf and whatever their share."""
+    own = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"))
+    whole = F.col(f"doc.`{text}`")
+    gone = every_recurring(rows.select("text_hash", whole.alias("text")), "text", depth, similarity, min_docs)
+    out = salted_join(rows, gone, ["text_hash"], salts=8)
+    kept = F.filter(lines_of(whole), lambda x: ~F.array_contains("drop", F.xxhash64(compared(x))))
+    out = out.withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
+    count = F.size(lines_of(whole))
+    return out.select(
+        *[F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(whole).alias(c) if c == text
+          else F.col(f"doc.`{c}`") for c in own],
+        F.when(whole.isNull(), 0).otherwise(count).cast("long").alias("__lines"),
+        F.when(F.col("kept").isNotNull(), count - F.size("kept")).otherwise(0).cast("long").alias("__dropped"))
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """Lines, dropped lines and the digest of the text that stays, a row per document."""
     out = drop_recurring_lines(docs.select("doc_id", "text"))
