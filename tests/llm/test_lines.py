@@ -69,3 +69,19 @@ def test_mostly_recurring_texts(spark):
     out = all_dropped(spark, rows)
     assert len({t for t in out.values() if notice in t}) == 1  # one text keeps it
     assert all(t == own(i, 6) for i, t in out.items() if i < 15 and notice not in t)
+
+
+def test_many_templates_in_a_leaf(spark):
+    heads = ["common head words then alpha beta gamma delta", "common head words then eins zwei drei vier",
+             "common head words then unus duo tres quattuor"]
+    rows = [(i, f"{heads[i % 3]}\n{own(i, 20)}") for i in range(36)]
+    # a field that varies, and prose with the same head and length
+    rows += [(100 + i, f"common head words by {own(i, 1)} at the mill\n{own(40 + i, 20)}") for i in range(12)]
+    prose = [f"common head words {own(60 + i, 5)}" for i in range(60)]
+    rows += [(200 + i, f"{t}\n{own(130 + i, 20)}") for i, t in enumerate(prose)]
+    # many variants of a line in one text only
+    rows.append((300, "\n".join(f"other head words by {own(i, 1)} at the mill" for i in range(20))))
+    out = all_dropped(spark, rows)
+    assert all(out[i] == own(i, 20) for i in range(36))
+    assert all(out[100 + i] == own(40 + i, 20) for i in range(12))
+    assert all(out[200 + i] == rows[48 + i][1] for i in range(60)) and out[300] == rows[-1][1]
