@@ -56,3 +56,24 @@ def test_driver_pages(spark, sf_dir):
         parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", inner.replace("<br>", " ")))
         want = [" ".join(html.unescape(p).split()) for p in parts]
         assert r["text"] == "\n\n".join(w for w in want if w)
+
+
+def test_article_in_several_containers():
+    long, short = "the first part, longer " * 20, "the second part " * 20
+    parts = f"{long.strip()}\n\n{short.strip()}"
+    assert text(f'<body><div id=c><div class=a><p>{long}</div><div class=b><p>{short}</div></div><div class=menu>x</div>') == parts
+    items = "".join(f"<li>item {i} of a long list" for i in range(60))
+    got = text(f"<body><div><p>before the list</p><ul>{items}</ul><p>and after it</p></div>")
+    assert got.startswith("before the list") and got.endswith("and after it") and "item 59" in got
+    links = "".join(f"<li><a href=x>link {i} elsewhere</a>" for i in range(60))
+    assert text(f"<body><ul>{links}</ul><div class=post><p>{long}</div>") == long.strip()
+    assert text(f"<p>{short}</p><p>more</p><div>small</div>").startswith(short.strip())
+
+
+def test_classes_that_only_mention_boilerplate():
+    long = "the article itself, with text " * 20
+    for name in ("page has-sidebar", "layout-sidebar-right", "mainWithSidebar"):
+        page = f"<body><div class='{name}'><div class=post><p>{long}</p></div><div class=sidebar>links</div></div><div>legal</div>"
+        assert text(page) == long.strip(), name
+    for name in ("site-footer", "cookie-banner", "ad-1", "comment-list", "sidebar"):
+        assert text(f"<body><div class=post><p>{long}</p><div class='{name}'>no part of it</div></div>") == long.strip(), name

@@ -9,7 +9,13 @@ that it has, else at its own best container.
 Blocks are runs of text between block-level tags. Boilerplate is left out: navigation,
 asides, headers and footers of the page, forms, scripts, styles, embedded objects, and
 elements whose class, id or role names a menu, sidebar, notice, advert or reader comment.
-If nothing else is left on a page, its articles count even inside such an element.
+If nothing else is left on a page, its articles count even inside such an element. A class
+that has such a word as a part of it only (``site-footer``) leaves the element out of the containers around
+it, but not of those inside it or of itself, so the best container is never lost by it.
+
+A block counts for every container around it. The best container is the smallest one with
+``NEARLY`` all of the unlinked text of the fullest one; lists, tables' parts and quotes are
+parts of it, not the whole. One marked as article or main is preferred if it has half.
 
 Defined results: a null or empty page gives the empty text; a page without a url belongs to
 no host and is extracted by itself; repeated rows vote and come out as often as given.
@@ -32,6 +38,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Containers that may be a page's whole article.
+WHOLE = frozenset("article body center div main section table td".split())
+#: The part of the fullest container's unlinked text that the best one has at least.
+NEARLY = 0.9
 CONTAINERS = frozenset("article body blockquote center div main section table tbody td tr ul ol dl".split())
 #: An open element of the second set ends where one of the first begins.
 ENDS = [(frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
@@ -56,15 +66,19 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Words before another that tell what a page has or shows, not what the element is.
+STATES = frozenset("has have with without no not is show hide".split())
+READERS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 
 
 class Block:
     """A run of text: the paths of the containers around it, what it is and how much is linked."""
 
-    __slots__ = ("text", "paths", "skip", "article", "linked")
+    __slots__ = ("text", "paths", "skip", "article", "linked", "inside")
 
-    def __init__(self, text, paths, skip, article, linked):
+    def __init__(self, text, paths, skip, article, linked, inside=0):
         self.text, self.paths, self.skip, self.article, self.linked = text, paths, skip, article, linked
+        self.inside = inside  # the first of its containers that it counts for
 
 
 def tag_end(page: str, at: int, missing: set[str]) -> int:
@@ -88,16 +102,26 @@ def tag_end(page: str, at: int, missing: set[str]) -> int:
         i = close + 1
 
 
-def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return (tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes
-            or any(w.lower() in BOILERPLATE for w in WORD.findall(names)))
+def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool | None:
+    """Whether an element is boilerplate; None if only a part of a class or id says so."""
+    if tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
+        return True
+    part = False
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w.lower() for w in WORD.findall(name)]
+        listed = [w in BOILERPLATE for w in words]
+        if not any(listed) or words[0] in STATES:
+            continue
+        if all(listed) or words[0] in READERS:
+            return True
+        part = True
+    return None if part else False
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, from tags as they come; tags needn't be closed."""
     out: list[Block] = []
-    stack = [("", "", False, False, ())]  # tag, path, skip, in an article, container paths
+    stack = [("", "", False, False, (), 0)]  # tag, path, skip, in an article, container paths, first that counts
     run: list[str] = []
     linked = 0
     missing: set[str] = set()
@@ -106,8 +130,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(run)).split())
         if text:
-            _, _, skip, article, paths = top_block()
-            out.append(Block(text, paths, skip, article, min(linked, len(text))))
+            _, _, skip, article, paths, inside = top_block()
+            out.append(Block(text, paths, skip, article, min(linked, len(text)), inside))
         run.clear()
         linked = 0
 
@@ -179,7 +203,7 @@ def blocks_of(page: str) -> list[Block]:
         attributes = {}
         if end > name.end():
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(page, name.end(), end)}
-        _, path, skip, article, paths = stack[-1]
+        _, path, skip, article, paths, inside = stack[-1]
         if tag not in INLINE:
             classes = sorted(set(re.sub(r"\d+", "#", attributes.get("class", "").lower()).split()))
             path = f"{path}>{'.'.join([tag, *classes])}"
@@ -189,7 +213,10 @@ def blocks_of(page: str) -> list[Block]:
             if tag == "header":
                 skip = skip or not article
             elif tag not in ("html", "body"):
-                skip = skip or is_boilerplate(tag, attributes)
+                named = is_boilerplate(tag, attributes)
+                skip = skip or bool(named)
+                if named is None:  # counts for itself, if it is a container, and those inside
+                    inside = len(paths) - (tag in CONTAINERS)
             if article and tag in HEADINGS and not skip:
                 skip = False
         elif "hidden" in attributes:
@@ -202,7 +229,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in INLINE and skip != stack[-1][2]:
             flush()
-        stack.append((tag, path, skip, article, paths))
+        stack.append((tag, path, skip, article, paths, inside))
     flush()
     return out
 
@@ -212,30 +239,49 @@ def usable(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if not b.skip] or [b for b in blocks if b.article]
 
 
+def last_tag(path: str) -> str:
+    return path.rpartition(">")[2].split(".")[0]
+
+
 def best_path(blocks: list[Block]) -> tuple[str, float]:
-    """The container with the most own text that isn't linked, and its score."""
-    score: dict[str, float] = {}
+    """The smallest container with nearly all text that isn't linked, and its score."""
+    own: dict[tuple, float] = {}
     for b in blocks:
-        path = b.paths[-1] if b.paths else ""
-        score[path] = score.get(path, 0.0) + len(b.text) - 2 * b.linked + 20 * b.text.count(",")
+        at = (b.paths, b.inside)
+        own[at] = own.get(at, 0.0) + len(b.text) - 2 * b.linked + 20 * b.text.count(",")
+    score: dict[str, float] = {}
+    depth: dict[str, int] = {}
+    for (paths, inside), x in own.items():
+        for i, p in enumerate(dict.fromkeys(paths[inside:])):
+            if last_tag(p) in WHOLE:
+                score[p] = score.get(p, 0.0) + x
+                depth[p] = max(depth.get(p, 0), inside + i)
     if not score:
-        return "", 0.0
-    path = max(sorted(score), key=score.__getitem__)
-    around = next((b.paths for b in blocks if b.paths and b.paths[-1] == path), ())
-    for p in around:  # the article around the text, if it is marked as such
-        if p.rpartition(">")[2].split(".")[0] in ("article", "main"):
-            return p, score[path]
-    return path, score[path]
+        return "", sum(own.values())
+    path = top = max(sorted(score), key=lambda p: (score[p], depth[p]))
+    most = score[top]
+    loose = sum(x for (paths, inside), x in own.items() if not inside and not any(p in score for p in paths))
+    if most < NEARLY * (most + max(loose, 0.0)):  # much of the text is in no container
+        return "", most + loose
+    for p in sorted(score):
+        if p.startswith(f"{top}>") and score[p] >= NEARLY * most and depth[p] > depth[path]:
+            path = p
+    marked = [p for p in score if last_tag(p) in ("article", "main")]
+    around = [p for p in marked if path == p or path.startswith(f"{p}>")]
+    around = around or [p for p in marked if p.startswith(f"{path}>") and 2 * score[p] >= most]
+    if around:  # the outermost article around or in the text, if it is marked as such
+        path = min(around, key=lambda p: (len(p), p))
+    return path, most
 
 
 def extract(page: str, winners: list[str]) -> tuple[str, str]:
     """The text of a page and the path that gave it."""
     blocks = usable(blocks_of(page))
     for path in [*winners, best_path(blocks)[0]]:
-        inside = [b.text for b in blocks if path in b.paths]
-        if inside:
-            return "\n\n".join(inside), path
-    return "\n\n".join(b.text for b in blocks), ""
+        found = [b.text for b in blocks if path in b.paths[b.inside:]]
+        if found:
+            return "\n\n".join(found), path
+    return "\n\n".join([b.text for b in blocks if not b.inside] or [b.text for b in blocks]), ""
 
 
 def host_of(url: Column) -> Column:
