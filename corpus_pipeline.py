@@ -4,7 +4,9 @@ removal, benchmark decontamination and BPE encoding.
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept;
 ``run`` writes every stage's result as Parquet under the shared checkpoint folder and
 reads it back for the next. All stages but the last return the columns of ``docs``.
-Rows that share a doc_id share their fate: if one is rejected, none of them stays.
+A verdict applies to its own row, whatever its doc_id: rows are known by a 64-bit hash of
+all their columns, so only rows that are equal throughout share it. Of equal rows with words the near-duplicate
+stage keeps one; of a component the row with the smallest doc_id, null being the largest.
 """
 
 from __future__ import annotations
@@ -17,14 +19,20 @@ from vendorlens.llm.common import stored, table
 from vendorlens.llm.queries import bpe_digests
 
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key ``__row`` of each row's content (nulls are told apart by their place)."""
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.withColumn("__row", F.xxhash64(*[c.isNull() for c in cols], *cols))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in ``gone`` (null equals null)."""
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """Tagged ``docs`` less the rows whose ``__row`` is in ``gone``."""
+    return docs.join(gone.select("__row").distinct(), "__row", "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, quality.assess(docs).where(~F.col("kept")))
+    rows = _tagged(docs)
+    return _without(rows, quality.assess(rows, "__row").where(~F.col("kept"))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +44,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(docs)
-    return _without(docs, found.where(F.col("component_id") != F.col("doc_id")))
+    rows = _tagged(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    found = jaccard.near_duplicates(rows.select(key.alias("__key"), "text"), "__key")
+    gone = found.where(F.col("component_id.row") != F.col("__key.row")).select(F.col("__key.row").alias("__row"))
+    left = _without(rows, gone)
+    copies = (found.where(F.col("n_shingles") > 0).groupBy(F.col("__key.row").alias("__row")).agg(F.count("*").alias("n"))
+              .where("n > 1").select("__row"))
+    one = left.join(copies, "__row", "left_semi").dropDuplicates(["__row"])
+    return left.join(copies, "__row", "left_anti").unionByName(one).select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.verdicts(decontaminate.find_spans(docs, table(spark, sf_dir, "benchmark")))
-    return _without(docs, found.where("contaminated"))
+    rows = _tagged(docs)
+    found = decontaminate.verdicts(decontaminate.find_spans(rows, table(spark, sf_dir, "benchmark"), "__row"), "__row")
+    return _without(rows, found.where("contaminated")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,20 @@ def test_edge_rows(spark, folder):
             assert out.columns == docs.columns
             docs = cp.stored(out, "edges")
         cp.STAGES[-1][1](spark, docs, folder).count()
+
+
+def test_verdicts_apply_to_their_own_rows(spark, folder):
+    from tests.llm.fixtures import sentence
+    import random
+    rng = random.Random(3)
+    texts = [sentence(rng, 60) for _ in range(6)]
+    table = [(None, t, "en") for t in texts] + [(7, "too short", "en"), (None, "bad", "en"), (7, sentence(rng, 60), "en")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    out = cp.quality_rules(spark, docs, folder).collect()
+    assert {r["text"] for r in out if r["doc_id"] is None} == set(texts) and [r["text"] for r in out if r["doc_id"] == 7] == [table[-1][1]]
+    rows = [(None, texts[0], "en"), (None, texts[0] + " end", "en"), (5, texts[1], "en"), (5, texts[1], "en"), (None, texts[1], "en"),
+            (5, texts[2], "en"), (None, None, "en"), (None, None, "en")]
+    out = cp.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), folder).collect()
+    got = [(r["doc_id"], r["text"]) for r in out]
+    assert sorted(t for k, t in got if k == 5) == sorted(texts[1:3])
+    assert len(got) == 5 and len([t for k, t in got if k is None and t]) == 1
