@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.llm import attribution, bayes, bpe, chat, decontaminate, jaccard, lines, pages, quality, repeats
+from vendorlens.llm import (attribution, bayes, bpe, chat, decontaminate, divergence, jaccard, lines, pages, quality,
+                            repeats, search)
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -72,6 +73,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_chat_formatting": op2_chat_formatting,
@@ -83,6 +92,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -90,4 +101,6 @@ ORACLES: dict[str, str] = {
     "op2_chat_formatting": chat.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
+    "op12_ranked_search": search.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }
