@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,24 @@ def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], how: str = "l
     return salted.join(every, [*on, "__salt"], how).drop("__salt")
 
 
+def bit_table(rows: DataFrame, slots: int, slot: str = "slot") -> np.ndarray:
+    """Which of ``slots`` (a multiple of 32,768) numbers occur in column ``slot``.
+
+    Spark builds the bits in pieces, so slots / 8 bytes reach the driver at any number of rows.
+    """
+    at = F.col(slot) + 1
+    pieces = rows.groupBy(F.bitmap_bucket_number(at).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    table = np.zeros(slots // 8, np.uint8)
+    for piece, bits in pieces.toLocalIterator():
+        table[(piece - 1) * len(bits):piece * len(bits)] = np.frombuffer(bytes(bits), np.uint8)
+    return table
+
+
+def has_bit(table: np.ndarray, slot):
+    """Whether the bits of ``slot`` (a number or an array) are set in a ``bit_table``."""
+    return table[slot >> 3] >> (slot & 7) & 1 == 1
+
+
 def worker_cache(name: str, limit: int = 0) -> dict:
     """A dict that lives as long as the Python worker process, shared by its tasks.
 

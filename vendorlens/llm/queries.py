@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendorlens.llm import (attribution, bayes, bpe, chat, decontaminate, divergence, jaccard, lines, pages, quality,
-                            repeats, search)
+                            repeats, search, suffixes)
 from vendorlens.llm.common import table
 
 #: Where the public vocabulary files lie; every operator takes the path as a parameter.
@@ -73,6 +73,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_ranked_search": op12_ranked_search,
     "op13_source_divergence": op13_source_divergence,
 }

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import as_sql_type, stored, text_blocks, utf8
+from vendorlens.llm.common import as_sql_type, bit_table, has_bit, stored, text_blocks, utf8
 
 #: Bits of the table that lets terms through, a multiple of 32,768.
 SLOTS = 1 << 22
@@ -65,17 +65,6 @@ def item_terms(items: DataFrame, item: str, text: str) -> DataFrame:
     return rows.mapInArrow(split, f"item {as_sql_type(items, item)}, term binary, slot long").distinct()
 
 
-def bit_table(terms: DataFrame) -> np.ndarray:
-    """One bit per slot; Spark builds it in pieces of 32,768, so SLOTS / 8 bytes reach the driver."""
-    at = F.col("slot") + 1
-    pieces = terms.groupBy(F.bitmap_bucket_number(at).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    table = np.zeros(SLOTS, bool)
-    for piece, bits in pieces.collect():
-        whole = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
-        table[(piece - 1) * len(whole):piece * len(whole)] = whole
-    return table
-
-
 class Passing(dict):
     """Whether a term's bit is set, remembered per term."""
 
@@ -86,7 +75,7 @@ class Passing(dict):
     def __missing__(self, term):
         if len(self) > 300_000:
             self.clear()
-        self[term] = out = bool(self.table[slot(term)])
+        self[term] = out = bool(has_bit(self.table, slot(term)))
         return out
 
 
@@ -227,7 +216,7 @@ def rank(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     kind = as_sql_type(items, item)
     asked = stored(item_terms(items, item, item_text), "search-terms")
-    table = spark.sparkContext.broadcast(bit_table(asked))
+    table = spark.sparkContext.broadcast(bit_table(asked, SLOTS))
     lists = stored(index(docs, key, text, table), "search-index")
     n_docs, n_terms = lists.where("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     groups = 1 + asked.select(F.count_distinct("item")).first()[0] // ITEM_GROUP
