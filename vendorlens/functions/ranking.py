@@ -3,21 +3,21 @@
 An unpartitioned ``Window.orderBy`` pulls every row into one task. Here rows are first
 partitioned by range over their whole order key, tie-breakers included, so a value that
 many rows share spreads over partitions too. The partition number is fixed in a
-checkpoint; running sums are taken inside each partition, and offsets (a row per
+written table; running sums are taken inside each partition, and offsets (a row per
 group and partition) are added. Every result is exact; the sampled range bounds only
-balance the work.
-
-Ranks and quantiles are computed on distinct values (``groupBy(value).count()``), so one
-value holding a third of the rows is a single row there.
+balance the work. Average-tie ranks are taken in place with a carry of the ties at the ranges'
+edges; quantiles are found by counting (``selection``).
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendorlens.functions.frames import attach
-from vendorlens.session import materialize
+from vendorlens.functions.selection import Selection
+from vendorlens.session import stored
 
 
 def range_partitions(df: DataFrame) -> int:
@@ -27,7 +27,7 @@ def range_partitions(df: DataFrame) -> int:
 
 def in_ranges(df: DataFrame, order) -> DataFrame:
     """``df`` with ``_bkt``, the number of its range in the total order ``order`` (written once)."""
-    return materialize(df.repartitionByRange(range_partitions(df), *order).withColumn("_bkt", F.spark_partition_id()))
+    return stored(df.repartitionByRange(range_partitions(df), *order).withColumn("_bkt", F.spark_partition_id()))
 
 
 def global_cumsum(df: DataFrame, value: str, weight, out, ascending: bool = True, tiebreak=(), by=()) -> DataFrame:
@@ -65,38 +65,77 @@ def dense_codes(df: DataFrame, col: str, out: str) -> DataFrame:
     return attach(j, n).withColumn(out, F.coalesce(F.col(out), F.col("_nn")).cast("int")).drop("_nn")
 
 
-def rank_table(df: DataFrame, cols) -> DataFrame:
-    """(column, x, r): pandas average-tie percent rank of every distinct value of each column.
+def literal(values):
+    """An array literal of doubles in one expression, whatever its length."""
+    text = ",".join("NaN" if x != x else repr(float(x)).replace("inf", "Infinity") for x in values)
+    return F.split(F.lit(text), ",").cast("array<double>") if len(values) else F.array().cast("array<double>")
 
-    Per distinct value with running count c (inclusive) and own count k, the average
-    rank is c - (k - 1) / 2, divided by the column's non-NULL count. All columns are
-    ranked in one pass over a long (column, value) frame.
-    """
-    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    long = df.select(F.inline(F.array(*structs))).filter(F.col("x").isNotNull())
-    cum = global_cumsum(long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("_k")), "x", "_k", "_c", by=("column",))
-    n = cum.groupBy("column").agg(F.max("_c").alias("_n"))
-    return (cum.join(F.broadcast(n), "column")
-               .select("column", "x", ((F.col("_c") - (F.col("_k") - 1) / 2.0) / F.col("_n")).alias("r")))
+
+def below(bounds: list[float], x, inclusive: bool):
+    """How many of the ascending ``bounds`` are below ``x`` (or equal to it), by binary search."""
+    steps = [1 << j for j in reversed(range(len(bounds).bit_length()))]
+    if not steps:
+        return F.lit(0)
+    at = literal(bounds + [float("inf")] * (2 * steps[0] - 1 - len(bounds)))
+    under = (lambda b: b <= x) if inclusive else (lambda b: b < x)
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda i, s: F.when(under(F.element_at(at, i + s)), i + s).otherwise(i))
+    return F.least(found, F.lit(len(bounds)))
 
 
 def with_avg_rank_pct(df: DataFrame, cols, outs) -> DataFrame:
     """Add pandas ``rank(pct=True, method='average')`` of each column in ``cols`` as ``outs``.
 
-    Rows get an id inside a checkpoint (so it is fixed for every later read), all
-    columns are ranked in one rank table, looked up in one long-format join and pivoted
-    back: a constant number of shuffles whatever the number of columns. NULL values get
-    NULL ranks.
+    Ranked in place: per column the rows are dealt to ranges (bounds of all columns from one
+    aggregate; a value that fills several ranges is spread over them by the row's content), and two windows
+    inside a range give the rank and the number of equals there. Each range then tells its
+    count, its first and its last value and how often they occur, a row per range; from these come the ranges'
+    offsets and the ranks of tie groups that reach over an edge. No join and no second frame: a row keeps its
+    place. The bounds only balance the work. ``df`` is read twice and should be a table. NULL values get NULL ranks.
     """
     cols, outs = list(cols), list(outs)
-    base = materialize(df.withColumn("_rid", F.monotonically_increasing_id()))
-    rt = rank_table(base, cols)
-    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    long = base.select("_rid", F.inline(F.array(*structs)))
-    wide = (long.join(rt, ["column", "x"], "left")
-                .groupBy("_rid").pivot("column", cols).agg(F.first("r"))
-                .select("_rid", *[F.col(f"`{c}`").alias(o) for c, o in zip(cols, outs)]))
-    return base.join(wide, "_rid").drop("_rid")
+    parts = range_partitions(df)
+    xs = [F.col(c).cast("double") for c in cols]
+    probs = [i / parts for i in range(1, parts)]
+    found = df.agg(*[F.percentile_approx(x, probs, 10 * parts).alias(f"b{i}") for i, x in enumerate(xs)]).first() if probs else [None] * len(cols)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranked = df
+    for i, x in enumerate(xs):
+        bounds = list(found[i] or [])
+        low, high = below(bounds, x, False), below(bounds, x, True)
+        spread = F.when(x.isNull(), F.pmod(content, F.lit(parts))).otherwise(low + F.pmod(content, high - low + 1)).cast("int")
+        ranked = ranked.withColumn(f"_b{i}", spread)
+        inside = Window.partitionBy(f"_b{i}").orderBy(x.asc_nulls_last())
+        ranked = ranked.withColumn(f"_r{i}", F.rank().over(inside)).withColumn(
+            f"_k{i}", F.count(x).over(inside.rangeBetween(Window.currentRow, Window.currentRow)))
+    ranked = stored(ranked, "ranked")
+    each = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_b{i}").alias("b"), x.alias("x"), F.col(f"_k{i}").alias("k"))
+                     for i, x in enumerate(xs)])
+    edges = (ranked.select(F.inline(each)).where("x IS NOT NULL").groupBy("c", "b")
+             .agg(F.count("x"), F.min("x"), F.max("x"), F.min_by("k", "x"), F.max_by("k", "x")).collect())
+    out = ranked
+    for i, x in enumerate(xs):
+        n, offset, first, last = 0, [0.0] * parts, [0.0] * parts, [0.0] * parts
+        ties: dict = {}  # value at an edge: the rows below it, its own rows
+        mine = sorted(e[1:] for e in edges if e[0] == i)
+        same = lambda v: "NaN" if v != v else v
+        for b, count, lo, hi, n_lo, n_hi in mine:
+            offset[b] = n
+            ends = [(lo, n, n_lo)] if same(lo) == same(hi) else [(lo, n, n_lo), (hi, n + count - n_hi, n_hi)]
+            for v, start, k in ends:
+                seen = ties.setdefault(same(v), [start, 0])
+                seen[1] += k
+            n += count
+        for b, _, lo, hi, *_ in mine:
+            first[b], last[b] = (ties[same(v)][0] + (ties[same(v)][1] + 1) / 2 for v in (lo, hi))
+        at = F.col(f"_b{i}") + 1
+        lows, highs = [0.0] * parts, [0.0] * parts
+        for b, _, lo, hi, *_ in mine:
+            lows[b], highs[b] = lo, hi
+        rank = (F.when(x == F.element_at(literal(lows), at), F.element_at(literal(first), at))
+                .when(x == F.element_at(literal(highs), at), F.element_at(literal(last), at))
+                .otherwise(F.element_at(literal(offset), at) + F.col(f"_r{i}") + (F.col(f"_k{i}") - 1) / 2))
+        out = out.withColumn(outs[i], F.when(x.isNotNull(), rank / F.lit(float(n or 1))))
+    return out.drop(*[f"_{t}{i}" for t in "brk" for i in range(len(cols))])
 
 
 def avg_rank_pct(df: DataFrame, value: str, out: str) -> DataFrame:
@@ -104,43 +143,36 @@ def avg_rank_pct(df: DataFrame, value: str, out: str) -> DataFrame:
     return with_avg_rank_pct(df, [value], [out])
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, names=None) -> DataFrame:
-    """One row of exact, linearly interpolated quantiles of ``value`` (NULLs ignored).
+def exact_quantiles(df: DataFrame, value: str, probs, names=None, reread: bool = False) -> DataFrame:
+    """One row of exact, linearly interpolated quantiles of ``value`` (missing values ignored).
 
     Position pos = (n - 1) * p; result = lo + (hi - lo) * (pos - floor(pos)) with lo/hi
-    the order statistics at floor/ceil(pos) (exactly ``lo`` when they coincide). The
-    order statistics are located from running counts over distinct values, so no task
-    holds more than one range of them.
+    the order statistics at floor/ceil(pos) (exactly ``lo`` when they coincide). The order statistics
+    are found by counting (``Selection``), without a sort. ``reread``: ``df`` is a table already.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    vals = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k"))
-    cum = global_cumsum(vals, value, "_k", "_c")
-    n = cum.agg(F.max("_c").alias("_n"))
-    x = attach(cum, n)
-    v = F.col(value).cast("double")
-    aggs, outs = [], []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo_i, hi_i = F.floor(pos), F.ceil(pos)
-        start, end = F.col("_c") - F.col("_k"), F.col("_c")
-        aggs += [F.max(F.when((start <= lo_i) & (lo_i < end), v)).alias(f"_lo{i}"),
-                 F.max(F.when((start <= hi_i) & (hi_i < end), v)).alias(f"_hi{i}"),
-                 F.max(pos).alias(f"_pos{i}")]
-        d = F.col(f"_pos{i}") - F.floor(F.col(f"_pos{i}"))
-        outs.append(F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
-                     .otherwise(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * d).alias(names[i]))
-    return x.agg(*aggs).select(*outs)
+    _, found = Selection(df, [value], reread=reread).quantiles(probs).get(0, (0, [None] * len(probs)))
+    return df.sparkSession.createDataFrame(pa.table([pa.array([q], pa.float64()) for q in found], names=list(names)))
 
 
-def grouped_quantiles(df: DataFrame, by, value: str, probs, names=None) -> DataFrame:
+def grouped_quantiles(df: DataFrame, by, value: str, probs, names=None, reread: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per ``by`` group -> (by..., names...).
 
-    Same rule as ``exact_quantiles`` (lo + (hi - lo) * d), computed from running
-    counts over each group's distinct values, so a large group is spread over ranges
-    instead of one task holding its whole value map.
+    Same rule as ``exact_quantiles``. Up to ``selection.MOST_GROUPS`` groups are counted all at once; with more,
+    which are small on average, running counts over each group's distinct values in range partitions
+    give the same values. Groups without a value have no row.
     """
     by = list(by)
     names = names or [f"q{i}" for i in range(len(probs))]
+    chosen = Selection(df, [value], by, reread=reread)
+    if chosen.countable:
+        return chosen.frame({t: q for t, (_, q) in chosen.quantiles(probs).items()}, [(n, pa.float64()) for n in names]).drop("column")
+    back = chosen.rows.select(*[F.col(f"_by{i}").alias(b) for i, b in enumerate(by)], F.col("_c0").alias(value))
+    return quantiles_by_ranges(back.where(~F.isnan(value)), by, value, probs, names)
+
+
+def quantiles_by_ranges(df: DataFrame, by: list[str], value: str, probs, names) -> DataFrame:
+    """``grouped_quantiles`` for any number of groups: a large group is spread over ranges."""
     vals = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
     cum = global_cumsum(vals, value, "_k", "_c", by=by)
     n = cum.groupBy(*by).agg(F.max("_c").alias("_n"))
@@ -166,10 +198,10 @@ def qcut(df: DataFrame, value: str, out: str, labels=("Small", "Medium", "Large"
     Bins are right-closed with the lowest edge included. Repeated edges raise, as in
     pandas. Edges come from one exact quantile aggregate broadcast to every task.
     """
-    df = materialize(df)
+    df = stored(df)
     q = len(labels)
     probs = [i / q for i in range(q + 1)]
-    edges = exact_quantiles(df, value, probs).select(F.array(*[f"q{i}" for i in range(q + 1)]).alias("_edges"))
+    edges = exact_quantiles(df, value, probs, reread=True).select(F.array(*[f"q{i}" for i in range(q + 1)]).alias("_edges"))
     x = attach(df, edges)
     e = F.col("_edges")
     dup = F.exists(F.sequence(F.lit(1), F.lit(q)), lambda i: F.element_at(e, i) >= F.element_at(e, i + 1))

@@ -11,8 +11,9 @@ group; rows are never multiplied by replicates.
 
 Permutation: a replicate puts the ``n_a`` rows with the smallest integers into group a.
 Tasks first count and sum their rows in a few value ranges around the expected cut;
-the totals name each replicate's boundary range. A second pass sends on the rows of that
-range only (about ``sqrt(n) / 2`` a replicate), of which the smallest complete the sum. The
+the totals name each replicate's boundary range. Where that holds more than about ``sqrt(n)`` rows (the cut
+lies outside the expected window), only this range is cut and counted again. A last pass sends on the
+rows of the boundary ranges only, of which the smallest complete the sum. The
 path is the same at any size, and no task holds the pool.
 
 Bootstrap draws are Poisson rather than the reference's exact-size resamples
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from vendorlens.functions.frames import attach
 from vendorlens.functions.ranking import exact_quantiles, grouped_quantiles, qcut
-from vendorlens.session import materialize
+from vendorlens.session import stored
 
 M31 = 2147483647
 PERM_RTOL = 1e-12
@@ -51,6 +52,39 @@ def _poisson_cdf() -> list[float]:
 POISSON_CDF = _poisson_cdf()
 
 
+def _thresholds() -> np.ndarray:
+    """The least integers whose share of M31 reaches each step of the distribution."""
+    out = []
+    for c in POISSON_CDF:
+        t = int(c * M31)
+        while t / float(M31) >= c:
+            t -= 1
+        while t / float(M31) < c:
+            t += 1
+        out.append(t)
+    return np.array(out)
+
+
+POISSON_STEPS = _thresholds()
+#: Integers that a step of a task mixes: rows times replicates.
+CELLS = 1 << 16
+
+
+def blocks(reps, rows: int):
+    """``reps`` in slices that make about ``CELLS`` integers with ``rows`` rows each."""
+    step = max(1, CELLS // max(1, rows))
+    for i in range(0, len(reps), step):
+        yield slice(i, min(i + step, len(reps)))
+
+
+def reached(x: np.ndarray, steps) -> np.ndarray:
+    """How many of ``steps`` (numbers, or a column for each) each integer of ``x`` reaches."""
+    out = np.zeros(x.shape, np.int64)
+    for s in steps:
+        out += x >= s
+    return out
+
+
 def _key_text(seed: int, keys):
     parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat_ws("|", *parts))
@@ -63,7 +97,7 @@ def lanes(df: DataFrame, seed: int, keys) -> DataFrame:
     return d.withColumn("_h1", lane[0]).withColumn("_h2", lane[1]).drop("_md5")
 
 
-def _stir(a, rep: int):
+def _stir(a, rep):
     a = a ^ ((rep * GOLDEN) % 4294967296)
     a = (a * 48271) % M31
     a = a ^ (a >> 15)
@@ -72,8 +106,8 @@ def _stir(a, rep: int):
     return (a * 48271) % M31
 
 
-def mixed(h1: np.ndarray, h2: np.ndarray, rep: int) -> np.ndarray:
-    """The integer of each row in replicate ``rep``; products stay below 2**48."""
+def mixed(h1: np.ndarray, h2: np.ndarray, rep) -> np.ndarray:
+    """The integer of each row in replicate ``rep`` (a column of replicates: a line for each); products stay below 2**48."""
     return _stir(_stir(h1, rep) ^ h2, rep)
 
 
@@ -123,7 +157,7 @@ def groups_unit_cost_terciles(vss: DataFrame) -> DataFrame:
 def groups_purchase_qty_median(brand: DataFrame) -> DataFrame:
     """H3: purchase quantity <= median -> 'small', above -> 'large'; value = unit price."""
     b = brand.filter((F.col("TotalPurchaseQuantity") > 0) & (F.col("TotalPurchaseDollars") > 0))
-    b = materialize(b.withColumn("value", F.col("TotalPurchaseDollars") / F.col("TotalPurchaseQuantity")))
+    b = stored(b.withColumn("value", F.col("TotalPurchaseDollars") / F.col("TotalPurchaseQuantity")))
     med = exact_quantiles(b, "TotalPurchaseQuantity", [0.5], ["_med"])
     return (attach(b, med)
              .withColumn("group", F.when(F.col("TotalPurchaseQuantity") <= F.col("_med"), F.lit("small"))
@@ -137,7 +171,7 @@ def groups_purchase_share(vendor_summary: DataFrame, low_q: float | None = None,
     v = vendor_summary.select("VendorNumber", "VendorName", F.col("TotalPurchaseDol").alias("_tp"),
                               F.col("ProfitMargin").alias("value"))
     tot = v.agg(F.sum("_tp").alias("_t"))
-    v = materialize(attach(v, tot).withColumn("share", F.col("_tp") / F.col("_t")))
+    v = stored(attach(v, tot).withColumn("share", F.col("_tp") / F.col("_t")))
     probs, names = [high_q], ["_hi"]
     if low_q is not None:
         probs, names = [high_q, low_q], ["_hi", "_lo"]
@@ -156,7 +190,7 @@ def groups_purchase_share(vendor_summary: DataFrame, low_q: float | None = None,
 
 def _replicate_means(df: DataFrame, keys, reps: int, seed: int, group: str = "group") -> DataFrame:
     """Weighted means of ``value``: (``group``, _rep, _mean)."""
-    edges = np.array(POISSON_CDF)
+    numbers = np.arange(reps)
 
     def run(batches):
         total = {}
@@ -167,10 +201,10 @@ def _replicate_means(df: DataFrame, keys, reps: int, seed: int, group: str = "gr
                 own = names == g
                 a, b, v = h1[own], h2[own], x[own]
                 w_sum, wx_sum = total.setdefault(g, (np.zeros(reps), np.zeros(reps)))
-                for r in range(reps):
-                    w = np.searchsorted(edges, mixed(a, b, r) / float(M31), side="right")
-                    w_sum[r] += w.sum()
-                    wx_sum[r] += (w * v).sum()
+                for part in blocks(numbers, len(v)):
+                    w = reached(mixed(a, b, numbers[part, None]), POISSON_STEPS)
+                    w_sum[part] += w.sum(1)
+                    wx_sum[part] += w @ v
         for g, (w, wx) in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([g] * reps, pa.string()), pa.array(np.arange(reps)), pa.array(w), pa.array(wx)],
@@ -189,7 +223,7 @@ def bootstrap_mean_ci(df: DataFrame, keys, B: int = 2000, confidence: float = 0.
     ``B`` replicates for every group; NULLs when n < 5.
     """
     (group,), a = by, (1 - confidence) / 2
-    d = materialize(df.filter(F.col("value").isNotNull() & F.col(group).isNotNull()))
+    d = stored(df.filter(F.col("value").isNotNull() & F.col(group).isNotNull()))
     n = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
     ci = _replicate_means(d, keys, B, seed, group).groupBy(group).agg(  # B values a group
         F.percentile("_mean", a).alias("lo"), F.percentile("_mean", 1 - a).alias("hi"))
@@ -210,7 +244,7 @@ def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int =
     -> one row: n_a, n_b, observed_diff, boot_mean_diff, lo, hi.
     """
     a = (1 - confidence) / 2
-    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
+    d = stored(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
     ci = bootstrap_diffs(d, keys, group_a, group_b, B, seed).agg(
         F.avg("diff").alias("boot_mean_diff"), F.percentile("diff", a).alias("lo"), F.percentile("diff", 1 - a).alias("hi"))
     return attach(_observed(d, group_a, group_b).drop("_tot"), ci)
@@ -225,17 +259,74 @@ def bootstrap_diffs(df: DataFrame, keys, group_a: str, group_b: str, B: int = 50
 
 # --------------------------------------------------------------------------- permutation
 
-#: Ranges around the expected cut, in which rows are counted: four deviations to either side.
+#: Edges of the ranges in which rows are counted, and how many deviations they reach to either side of the expected cut.
 CUTS = 17
+REACH = 4.0
 
 
 def _cut_edges(n_a: int, n: int) -> np.ndarray:
     """The values between ranges; CUTS edges make CUTS + 1 ranges."""
     p = n_a / n
-    reach = 4 * math.sqrt(p * (1 - p) / n)
+    reach = REACH * math.sqrt(p * (1 - p) / n)
     return np.clip(np.floor((p + np.linspace(-reach, reach, CUTS)) * M31), 0, M31).astype(np.int64)
 
 
+def _columns(batch):
+    return (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_h1", "_h2", "value"))
+
+
+def _range_counts(rows: DataFrame, reps: np.ndarray, low: np.ndarray, high: np.ndarray, edges: np.ndarray) -> DataFrame:
+    """(at, range, n, s): rows and their sum in each range of replicate ``reps[at]``, between ``low`` and ``high`` only."""
+    width = edges.shape[1] + 1
+
+    def count(batches):
+        n, s = np.zeros((len(reps), width), np.int64), np.zeros((len(reps), width))
+        for batch in batches:
+            h1, h2, v = _columns(batch)
+            for part in blocks(reps, len(v)):
+                x = mixed(h1, h2, reps[part, None])
+                inside = (x >= low[part, None]) & (x < high[part, None])
+                place = np.arange(len(x))[:, None] * width + reached(x, [e[:, None] for e in edges[part].T])
+                size = len(x) * width
+                n[part] += np.bincount(place[inside], minlength=size).reshape(-1, width)
+                s[part] += np.bincount(place[inside], weights=np.broadcast_to(v, x.shape)[inside], minlength=size).reshape(-1, width)
+        at, ranges = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ranges), pa.array(n[at, ranges]), pa.array(s[at, ranges])],
+                                         names=["at", "range", "n", "s"])
+
+    return rows.mapInArrow(count, "at long, range long, n long, s double").groupBy("at", "range").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"))
+
+
+def _boundaries(rows: DataFrame, n_a: int, n: int, B: int):
+    """For each replicate the range [low, high) that its ``n_a``-th smallest integer lies in, how
+    many of the range's rows belong to group a, and the sum of the rows below it.
+
+    Ranges that hold more rows than about sqrt(n), which happens where the cut escapes the
+    expected window, are cut again until they don't (or are a single integer)."""
+    low, high = np.zeros(B, np.int64), np.full(B, M31, np.int64)
+    rest, below = np.full(B, n_a, np.int64), np.zeros(B)
+    todo, edges = np.arange(B), np.broadcast_to(_cut_edges(n_a, n), (B, CUTS))
+    few = math.isqrt(n) + 64
+    upto = Window.partitionBy("at").orderBy("range")  # CUTS + 1 rows each
+    while len(todo):
+        want = rows.sparkSession.createDataFrame(pa.table([pa.array(np.arange(len(todo))), pa.array(rest[todo])], names=["at", "rest"]))
+        counts = (_range_counts(rows, todo, low[todo], high[todo], edges)
+                  .withColumn("_n", F.sum("n").over(upto)).withColumn("_s", F.sum("s").over(upto)).join(want, "at")
+                  .where((F.col("_n") >= F.col("rest")) & (F.col("_n") - F.col("n") < F.col("rest")))
+                  .select("at", "range", "n", (F.col("rest") - F.col("_n") + F.col("n")).alias("rest"), (F.col("_s") - F.col("s")).alias("s")))
+        found = counts.toPandas().sort_values("at")
+        at, j = found["at"].to_numpy(), found["range"].to_numpy()
+        reps = todo[at]
+        ends = np.concatenate((low[todo, None], edges, high[todo, None]), axis=1)
+        rest[reps], below[reps] = found["rest"].to_numpy(), below[reps] + found["s"].to_numpy()
+        low[reps], high[reps] = np.maximum(ends[at, j], low[reps]), np.minimum(ends[at, j + 1], high[reps])
+        todo = reps[(found["n"].to_numpy() > few) & (high[reps] - low[reps] > 1)]
+        wide = high[todo] - low[todo]
+        edges = low[todo, None] + np.arange(1, CUTS + 1) * wide[:, None] // (CUTS + 1)
+    return low, high, rest, below
+
+
 def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 10000, seed: int = 42,
                      plus_one: bool = False) -> DataFrame:
     """H7 / H8: one-sided permutation test of mean(a) - mean(b) >= observed.
@@ -243,55 +334,32 @@ def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 1
     Replicate r puts the n_a pooled rows with the smallest integers (then lanes) into
     group a. p = mean(perm >= obs) (H7) or (count + 1) / (B + 1) (H8, ``plus_one=True``).
     -> one row: n_a, n_b, observed_diff, p_value. What reaches the driver is one row of
-    observed statistics and a range number for each of the ``B`` replicates.
+    observed statistics and a range for each of the ``B`` replicates.
     """
-    d = materialize(lanes(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()), seed, keys)
+    d = stored(lanes(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()), seed, keys)
                     .select("group", F.col("value").cast("double").alias("value"), "_h1", "_h2"))
     obs = _observed(d, group_a, group_b)
     seen = obs.first()
     n_a, n = seen["n_a"], seen["n_a"] + seen["n_b"]
     if not n_a or n_a == n:  # no two groups to compare
         return obs.select("n_a", "n_b", "observed_diff", F.lit(None).cast("double").alias("p_value"))
-    edges, width = _cut_edges(n_a, n), CUTS + 1
-
-    def columns(batch):
-        return (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_h1", "_h2", "value"))
-
-    def count(batches):
-        rows, sums = np.zeros((B, width), np.int64), np.zeros((B, width))
-        for batch in batches:
-            h1, h2, v = columns(batch)
-            for r in range(B):
-                at = np.searchsorted(edges, mixed(h1, h2, r), side="right")
-                rows[r] += np.bincount(at, minlength=width)
-                sums[r] += np.bincount(at, weights=v, minlength=width)
-        reps, ranges = np.nonzero(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(ranges), pa.array(rows[reps, ranges]), pa.array(sums[reps, ranges])],
-                                         names=["rep", "range", "n", "s"])
-
     spread = d.select("_h1", "_h2", "value")
-    counts = spread.mapInArrow(count, "rep long, range long, n long, s double").groupBy("rep", "range").agg(
-        F.sum("n").alias("n"), F.sum("s").alias("s"))
-    upto = Window.partitionBy("rep").orderBy("range")  # CUTS + 1 rows each
-    run = materialize(counts.withColumn("_n", F.sum("n").over(upto)).withColumn("_s", F.sum("s").over(upto))
-                      .where((F.col("_n") >= n_a) & (F.col("_n") - F.col("n") < n_a))
-                      .select("rep", "range", (F.lit(n_a) - F.col("_n") + F.col("n")).alias("rest"), (F.col("_s") - F.col("s")).alias("sum_below")))
-    cut = run.select("rep", "range").toPandas().sort_values("rep")["range"].to_numpy()
+    low, high, rest, below = _boundaries(spread, n_a, n, B)
+    numbers = np.arange(B)
 
     def boundary(batches):
         for batch in batches:
-            h1, h2, v = columns(batch)
-            reps, rows = [], []
-            for r in range(B):
-                at = np.flatnonzero(np.searchsorted(edges, mixed(h1, h2, r), side="right") == cut[r])
-                reps.append(np.full(len(at), r))
-                rows.append(at)
-            reps, rows = np.concatenate(reps), np.concatenate(rows)
-            key = np.concatenate([mixed(h1[x], h2[x], r) for r, x in enumerate(np.split(rows, np.searchsorted(reps, np.arange(1, B))))])
-            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(key), pa.array(h1[rows]), pa.array(h2[rows]), pa.array(v[rows])],
-                                             names=["rep", "key", "_h1", "_h2", "value"])
+            h1, h2, v = _columns(batch)
+            for part in blocks(numbers, len(v)):
+                x = mixed(h1, h2, numbers[part, None])
+                rep, at = np.nonzero((x >= low[part, None]) & (x < high[part, None]))
+                if len(rep):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[part][rep]), pa.array(x[rep, at]), pa.array(h1[at]), pa.array(h2[at]), pa.array(v[at])],
+                        names=["rep", "key", "_h1", "_h2", "value"])
 
     near = spread.mapInArrow(boundary, "rep long, key long, _h1 long, _h2 long, value double")
+    run = d.sparkSession.createDataFrame(pa.table([pa.array(numbers), pa.array(rest), pa.array(below)], names=["rep", "rest", "sum_below"]))
     order = Window.partitionBy("rep").orderBy("key", "_h1", "_h2", "value")
     near = near.withColumn("_rn", F.row_number().over(order)).join(run, "rep").where(F.col("_rn") <= F.col("rest"))
     total = near.groupBy("rep", "sum_below").agg(F.sum("value").alias("_v"))
@@ -313,7 +381,7 @@ def assumption_report(df: DataFrame, group_a: str, group_b: str, alpha: float =
     skewness and kurtosis, replacing Shapiro-Wilk; only if both groups have 8 rows),
     the spread statistic (Levene, median centred = Brown-Forsythe) and IQR outlier
     counts (> 10 % warns). One row."""
-    d = materialize(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
+    d = stored(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
     qs = grouped_quantiles(d, ["group"], "value", [0.5, 0.25, 0.75], ["med", "_q1", "_q3"])
     g = (d.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
                                 F.kurtosis("value").alias("kurt"))
@@ -361,7 +429,7 @@ def verdict(ci: DataFrame, lo: str = "lo", hi: str = "hi", diff: str = "observed
 def top_vs_low_report(vendor_summary: DataFrame, B_each: int = 2000, B_diff: int = 2000) -> DataFrame:
     """Top-quartile vs bottom-quartile purchase-share vendors: assumptions, per-group
     bootstrap means, the bootstrap difference and its verdict (one row)."""
-    g = materialize(groups_purchase_share(vendor_summary, low_q=0.25, high_q=0.75))
+    g = stored(groups_purchase_share(vendor_summary, low_q=0.25, high_q=0.75))
     keys = ("VendorNumber", "VendorName")
     a = assumption_report(g, "top", "low")
     m = bootstrap_mean_ci(g, keys, B=B_each, seed=42, by=("group",))

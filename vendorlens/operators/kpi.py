@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vendorlens.functions.frames import attach
 
 from vendorlens.functions.expr import fmt_amount, safe_div
-from vendorlens.session import materialize
+from vendorlens.session import stored
 from vendorlens.functions.ranking import (dense_codes, exact_quantiles, global_cumsum, grouped_quantiles, qcut,
                                           with_avg_rank_pct)
 
@@ -151,7 +151,7 @@ def top_brands_by_sales(final_brand: DataFrame, n: int = 10) -> DataFrame:
 def pareto(df: DataFrame, key: str, value: str, top: int | None = 20) -> DataFrame:
     """Value summed per key, share, cumulative share in descending order,
     rank and a 'x.x%' label. The cumulative sum is a bucketed global prefix sum."""
-    g = materialize(df.groupBy(key).agg(F.sum(value).alias(value)).filter(F.col(value).isNotNull()))
+    g = stored(df.groupBy(key).agg(F.sum(value).alias(value)).filter(F.col(value).isNotNull()))
     tot = g.agg(F.sum(value).alias("_tot"))
     c = global_cumsum(g.withColumn("_one", F.lit(1)), value, [value, "_one"], ["_cum", "rank"], ascending=False,
                       tiebreak=(key,))
@@ -162,10 +162,15 @@ def pareto(df: DataFrame, key: str, value: str, top: int | None = 20) -> DataFra
     return out.filter(F.col("rank") <= top) if top else out
 
 
-def size_terciles(brand_pricing: DataFrame) -> DataFrame:
-    """Unit cost (purchase + freight) / sales qty by sales-quantity tercile (qcut)."""
+def order_sizes(brand_pricing: DataFrame) -> DataFrame:
+    """Rows with sales: unit cost (purchase + freight) / sales qty and its sales-quantity tercile (qcut)."""
     b = brand_pricing.filter(SQ() > 0).withColumn("UnitPurchasePrice", (P() + FR()) / SQ())
-    b = qcut(b, "TotalSalesQuantity", "OrderSize")
+    return qcut(b, "TotalSalesQuantity", "OrderSize")
+
+
+def size_terciles(brand_pricing: DataFrame) -> DataFrame:
+    """Mean unit cost by sales-quantity tercile."""
+    b = order_sizes(brand_pricing)
     return b.groupBy("OrderSize").agg(F.round(F.avg("UnitPurchasePrice"), 2).alias("UnitPurchasePrice"))
 
 
@@ -264,7 +269,7 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
     """
     b = final_brand.withColumn("_st", F.when(PQ() > 0, SQ() / PQ())) \
                    .withColumn("_need", F.when(UP() > 0, 1).otherwise(0))
-    b = materialize(b)
+    b = stored(b)
     agg = b.groupBy("VendorNumber", "VendorName").agg(
         F.coalesce(F.sum(UP()), F.lit(0.0)).alias("UpsideTotal"),
         F.sum("_need").cast("bigint").alias("BrandsNeedingAction"),
@@ -287,7 +292,7 @@ def action_scorecard(final_brand: DataFrame, vendor_summary: DataFrame, weights=
           .na.fill({"UpsideTotal": 0.0, "BrandsNeedingAction": 0, "BrandCount": 0})
           .withColumn("_m0", F.coalesce("CurrentMargin", F.lit(0.0)))
           .withColumn("_t0", F.coalesce("StockTurnover", F.lit(0.0))))
-    s = materialize(s)
+    s = stored(s)
     s = with_avg_rank_pct(s, ["UpsideTotal", "PurchaseShare", "BrandsNeedingAction", "_m0", "_t0"],
                           ["_r_upside", "_r_share", "_r_brands", "_r_mgn", "_r_tn"])
     score = (F.lit(weights["upside"]) * F.col("_r_upside") + F.lit(weights["share"]) * F.col("_r_share")

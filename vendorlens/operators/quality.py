@@ -7,54 +7,22 @@ Reports are DataFrames, never driver-side prints.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from vendorlens.functions.frames import attach
 from pyspark.sql import types as T
 
 from vendorlens.functions.expr import finite_or_null
-
-# The expected-type table of the notebook's sanity check.
-EXPECTED_TYPES = [
-    ("VendorNumber", "INT"), ("VendorName", "TEXT"), ("Brand", "TEXT"), ("TotalSalesDollars", "NUM"),
-    ("TotalPurchaseDollars", "NUM"), ("TotalSalesQuantity", "NUM"), ("TotalPurchaseQuantity", "NUM"),
-    ("FreightCost", "NUM"),
-]
+from vendorlens.functions.frames import attach
+from vendorlens.functions.selection import Selection
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def type_class(dt: T.DataType) -> str:
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "INT"
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return "NUM"
-    if isinstance(dt, T.StringType):
-        return "TEXT"
-    return dt.simpleString().upper()
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
 
 
-def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column listing (position, name, type, nullable) - schema metadata only."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean")
-
-
-def type_check(spark: SparkSession, df: DataFrame, expected=EXPECTED_TYPES) -> DataFrame:
-    """Q1: expected-type table joined to the actual schema; INT counts as NUM."""
-    actual = {f.name: type_class(f.dataType) for f in df.schema.fields}
-    exp = spark.createDataFrame(expected, "col string, expected string")
-    act = spark.createDataFrame(list(actual.items()), "col string, actual string")
-    j = exp.join(F.broadcast(act), "col", "left")
-    ok = (F.col("expected") == F.col("actual")) | ((F.col("expected") == "NUM") & (F.col("actual") == "INT"))
-    return j.select("col", "expected", "actual", F.coalesce(ok, F.lit(False)).alias("ok"))
-
-
 def null_counts(df: DataFrame, cols: dict) -> DataFrame:
     """Q2: one row of NULL counts, ``{output_name: column}``."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(n) for n, c in cols.items()])
@@ -83,23 +51,20 @@ def null_report(df: DataFrame, top: int = 20) -> DataFrame:
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """Q5: pandas ``describe().T`` of numeric columns: count, mean, std (n-1), min, quartiles, max.
 
-    Moments in one aggregate over the unpivoted (column, x) frame; quartiles are exact,
-    linearly interpolated (like pandas) and computed per column from bucketed ranks.
+    Moments of all columns in one aggregate; quartiles are exact, linearly interpolated (like
+    pandas) and found for all columns at once by counting (``Selection``).
     """
-    from vendorlens.functions.ranking import grouped_quantiles
-    from vendorlens.session import materialize
     cols = cols or numeric_columns(df)
-    pos = {c: i for i, c in enumerate(cols)}
-    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    long = materialize(df.select(F.inline(F.array(*structs))))
-    mom = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"),
-                                     F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-                                     F.max("x").alias("max"))
-    q = grouped_quantiles(long, ["column"], "x", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    order = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(pos[c]))])
-    return (mom.join(q, "column", "left")
-               .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
-               .orderBy(order[F.col("column")]))
+    chosen = Selection(df, cols)
+    stats = [(F.count, "count"), (F.avg, "mean"), (F.stddev_samp, "std"), (F.min, "min"), (F.max, "max")]
+    row = chosen.rows.agg(*[f(f"_c{i}").alias(f"_{name}{i}") for i in range(len(cols)) for f, name in stats]).first()
+    quartiles = chosen.quantiles([0.25, 0.5, 0.75])
+    rows = {}
+    for i in range(len(cols)):
+        count, mean, std, low, high = (row[f"_{name}{i}"] for _, name in stats)
+        rows[i] = (count, mean, std, low, *quartiles.get(i, (0, [None] * 3))[1], high)
+    real = pa.float64()
+    return chosen.frame(rows, [("count", pa.int64()), *[(f, real) for f in ("mean", "std", "min", "p25", "p50", "p75", "max")]])
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vendorlens.functions.expr import (div_if_positive, least_null, safe_div,
                                        sqlite_real, trim_or_empty, typed_null)
-from vendorlens.session import materialize
+from vendorlens.session import stored
 
 
 def S():
@@ -139,7 +139,7 @@ def vendor_sales_summary(sales: DataFrame, purchases: DataFrame, vendor_invoice:
     -> VendorNumber, VendorName, Brand, TotalSalesQuantity, TotalSalesDollars,
        TotalPurchaseQuantity, TotalPurchaseDollars, FreightCost, GrossProfit, ProfitMargin(%)
     """
-    lots = materialize(purchase_lots(purchases))
+    lots = stored(purchase_lots(purchases))
     sa = fanout_sales(sales, purchases, method=method, lots=lots)
     bp = lots.groupBy("VendorNumber", "Brand").agg(F.sum("_q").alias("BrandPurchaseQuantity"),
                                                    F.sum("_d").alias("BrandPurchaseDollars"))
@@ -196,7 +196,7 @@ def invoice_totals_by_vendor(vendor_invoice: DataFrame) -> DataFrame:
 def vendor_sales_summary_replicated(sales: DataFrame, purchases: DataFrame, vendor_invoice: DataFrame,
                                     purchase_prices: DataFrame, method: str = "preaggregate") -> DataFrame:
     """Brand rows with vendor-level purchases and freight repeated on each brand row."""
-    lots = materialize(purchase_lots(purchases))
+    lots = stored(purchase_lots(purchases))
     sa = fanout_sales(sales, purchases, vendor_keys=("VendorNumber",), with_avg_price=True, method=method, lots=lots)
     pa = purchase_price_summary(purchases, purchase_prices, lots)
     vi = invoice_totals_by_vendor(vendor_invoice)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendorlens.operators import summary as T
-from vendorlens.session import materialize
+from vendorlens.session import stored
 from vendorlens.sources import tpch
 
 
@@ -30,12 +30,12 @@ def vss2(spark, sf_dir) -> DataFrame:
 
 def vss_once(spark, sf_dir) -> DataFrame:
     """T1 computed once, for chains that read it several times."""
-    return materialize(vss(spark, sf_dir))
+    return stored(vss(spark, sf_dir))
 
 
 def vss2_once(spark, sf_dir) -> DataFrame:
     """T2 computed once, for chains that read it several times."""
-    return materialize(vss2(spark, sf_dir))
+    return stored(vss2(spark, sf_dir))
 
 
 def vsv(spark, sf_dir) -> DataFrame:
@@ -63,6 +63,12 @@ def final_brand(spark, sf_dir, target: float = 0.35) -> DataFrame:
     return T.final_brand(v, T.brand_pricing_opportunities(T.brand_pricing(v), target))
 
 
+def scorecard_inputs(spark, sf_dir, target: float = 0.35):
+    """The brand table and the vendor rollup of one T1."""
+    v = vss_once(spark, sf_dir)
+    return T.final_brand(v, T.brand_pricing_opportunities(T.brand_pricing(v), target)), T.vendor_rollup(v)
+
+
 def final_all(spark, sf_dir, target: float = 0.35) -> DataFrame:
     v = vss_once(spark, sf_dir)
     fv = T.final_vendor(T.vendor_rollup(v))

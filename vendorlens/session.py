@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,19 +80,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def stored(df, name: str = "step"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
-    Used before steps that read a small derived frame several times (rank tables,
-    distinct values, pooled samples), so the upstream joins run once and a lost
-    executor re-reads checkpoint files instead of re-running the chain. The frame is
-    persisted only while the checkpoint is written, so its save job reads the cached
-    blocks instead of computing the input a second time.
+    Used for a derived frame that several later steps read: the upstream joins run a single
+    time, a lost executor re-reads files instead of re-running the chain, and the scan keeps column
+    pruning, filter pushdown and size statistics, which a ``checkpoint()`` lacks.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist(blocking=False)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

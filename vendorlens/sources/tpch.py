@@ -46,8 +46,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("p_retailprice").alias("retail")))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = lines(spark, sf_dir)
+def sales(spark: SparkSession, sf_dir: str, v: DataFrame | None = None) -> DataFrame:
+    v = lines(spark, sf_dir) if v is None else v
     return (v.filter(F.col("st") == "F")
              .select("InventoryId", "Brand", F.col("VendorNumber").alias("VendorNo"),
                      F.col("qty").alias("SalesQuantity"),
@@ -56,8 +56,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("ext") * F.col("tax")).alias("ExciseTax")))
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = lines(spark, sf_dir)
+def purchases(spark: SparkSession, sf_dir: str, v: DataFrame | None = None) -> DataFrame:
+    v = lines(spark, sf_dir) if v is None else v
     price = F.col("retail") * (1 + (F.col("VendorNumber") * 7 + F.col("Brand")) % 40)
     return (v.filter(F.col("st") == "O")
              .select("InventoryId", "VendorNumber", "VendorName", "Brand", "Description",
@@ -94,8 +94,9 @@ class BaseTables:
 
 
 def base_tables(spark: SparkSession, sf_dir: str) -> BaseTables:
-    purch = purchases(spark, sf_dir)
-    return BaseTables(sales=sales(spark, sf_dir), purchases=purch,
+    v = lines(spark, sf_dir)  # its files are listed and their schemas read once
+    purch = purchases(spark, sf_dir, v)
+    return BaseTables(sales=sales(spark, sf_dir, v), purchases=purch,
                       vendor_invoice=vendor_invoice(spark, sf_dir, purch),
                       purchase_prices=purchase_prices(spark, sf_dir, purch))
 
