@@ -77,6 +77,12 @@ def blocks(reps, rows: int):
         yield slice(i, min(i + step, len(reps)))
 
 
+def dealt(d: DataFrame) -> DataFrame:
+    """A small table dealt to all cores: a row costs a step for each replicate, however few its bytes."""
+    cores = d.sparkSession.sparkContext.defaultParallelism
+    return d if d.rdd.getNumPartitions() >= cores else d.repartition(cores)
+
+
 def reached(x: np.ndarray, steps) -> np.ndarray:
     """How many of ``steps`` (numbers, or a column for each) each integer of ``x`` reaches."""
     out = np.zeros(x.shape, np.int64)
@@ -97,13 +103,20 @@ def lanes(df: DataFrame, seed: int, keys) -> DataFrame:
     return d.withColumn("_h1", lane[0]).withColumn("_h2", lane[1]).drop("_md5")
 
 
+def _mod31(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo M31 = 2**31 - 1 for 0 <= x < 2**61, without a division."""
+    y = (x & M31) + (x >> 31)
+    np.subtract(y, M31, out=y, where=y >= M31)
+    return y
+
+
 def _stir(a, rep):
     a = a ^ ((rep * GOLDEN) % 4294967296)
-    a = (a * 48271) % M31
+    a = _mod31(a * 48271)
     a = a ^ (a >> 15)
-    a = (a * 69621) % M31
+    a = _mod31(a * 69621)
     a = a ^ (a >> 13)
-    return (a * 48271) % M31
+    return _mod31(a * 48271)
 
 
 def mixed(h1: np.ndarray, h2: np.ndarray, rep) -> np.ndarray:
@@ -211,7 +224,7 @@ def _replicate_means(df: DataFrame, keys, reps: int, seed: int, group: str = "gr
                 names=["grp", "_rep", "_w", "_wx"])
 
     rows = lanes(df, seed, keys).select(F.col(group).cast("string").alias("grp"), "_h1", "_h2", F.col("value").cast("double").alias("value"))
-    part = rows.mapInArrow(run, "grp string, _rep long, _w double, _wx double")
+    part = dealt(rows).mapInArrow(run, "grp string, _rep long, _w double, _wx double")
     return part.groupBy(F.col("grp").alias(group), "_rep").agg(F.sum("_w").alias("_w"), F.sum("_wx").alias("_wx")).select(
         group, "_rep", F.when(F.col("_w") > 0, F.col("_wx") / F.col("_w")).alias("_mean"))
 
@@ -245,14 +258,17 @@ def bootstrap_diff_ci(df: DataFrame, keys, group_a: str, group_b: str, B: int =
     """
     a = (1 - confidence) / 2
     d = stored(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull()))
-    ci = bootstrap_diffs(d, keys, group_a, group_b, B, seed).agg(
+    ci = _diffs(d, keys, group_a, group_b, B, seed).agg(
         F.avg("diff").alias("boot_mean_diff"), F.percentile("diff", a).alias("lo"), F.percentile("diff", 1 - a).alias("hi"))
     return attach(_observed(d, group_a, group_b).drop("_tot"), ci)
 
 
 def bootstrap_diffs(df: DataFrame, keys, group_a: str, group_b: str, B: int = 5000, seed: int = 0) -> DataFrame:
     """The bootstrap differences of group means (a - b) themselves: (rep, diff)."""
-    d = df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())
+    return _diffs(stored(df.filter(F.col("group").isin(group_a, group_b) & F.col("value").isNotNull())), keys, group_a, group_b, B, seed)
+
+
+def _diffs(d: DataFrame, keys, group_a: str, group_b: str, B: int, seed: int) -> DataFrame:
     mean = [F.max(F.when(F.col("group") == g, F.col("_mean"))) for g in (group_a, group_b)]
     return _replicate_means(d, keys, B, seed).groupBy(F.col("_rep").alias("rep")).agg((mean[0] - mean[1]).alias("diff"))
 
@@ -277,7 +293,7 @@ def _columns(batch):
 
 def _range_counts(rows: DataFrame, reps: np.ndarray, low: np.ndarray, high: np.ndarray, edges: np.ndarray) -> DataFrame:
     """(at, range, n, s): rows and their sum in each range of replicate ``reps[at]``, between ``low`` and ``high`` only."""
-    width = edges.shape[1] + 1
+    width, whole = edges.shape[1] + 1, not low.any() and (high == M31).all()
 
     def count(batches):
         n, s = np.zeros((len(reps), width), np.int64), np.zeros((len(reps), width))
@@ -285,11 +301,14 @@ def _range_counts(rows: DataFrame, reps: np.ndarray, low: np.ndarray, high: np.n
             h1, h2, v = _columns(batch)
             for part in blocks(reps, len(v)):
                 x = mixed(h1, h2, reps[part, None])
-                inside = (x >= low[part, None]) & (x < high[part, None])
                 place = np.arange(len(x))[:, None] * width + reached(x, [e[:, None] for e in edges[part].T])
-                size = len(x) * width
-                n[part] += np.bincount(place[inside], minlength=size).reshape(-1, width)
-                s[part] += np.bincount(place[inside], weights=np.broadcast_to(v, x.shape)[inside], minlength=size).reshape(-1, width)
+                weight, size = np.broadcast_to(v, x.shape), len(x) * width
+                if not whole:
+                    inside = (x >= low[part, None]) & (x < high[part, None])
+                    place, weight = place[inside], weight[inside]
+                place, weight = place.ravel(), weight.ravel()
+                n[part] += np.bincount(place, minlength=size).reshape(-1, width)
+                s[part] += np.bincount(place, weights=weight, minlength=size).reshape(-1, width)
         at, ranges = np.nonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ranges), pa.array(n[at, ranges]), pa.array(s[at, ranges])],
                                          names=["at", "range", "n", "s"])
@@ -343,7 +362,7 @@ def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 1
     n_a, n = seen["n_a"], seen["n_a"] + seen["n_b"]
     if not n_a or n_a == n:  # no two groups to compare
         return obs.select("n_a", "n_b", "observed_diff", F.lit(None).cast("double").alias("p_value"))
-    spread = d.select("_h1", "_h2", "value")
+    spread = dealt(d.select("_h1", "_h2", "value"))
     low, high, rest, below = _boundaries(spread, n_a, n, B)
     numbers = np.arange(B)
 
