@@ -22,6 +22,14 @@ BUILD_TABLES = ["vendor_sales_summary", "vendor_summary_by_vendor", "spend_by_ve
                 "brand_pricing", "brand_pricing_opportunities", "final_vendor", "final_brand", "final_all"]
 
 
+#: The keys that order the rows of an exported table.
+EXPORT_ORDER = {n: ["VendorNumber", "VendorName", "Brand"] for n in
+                ("vendor_sales_summary", "brand_pricing", "brand_pricing_opportunities", "final_brand")}
+EXPORT_ORDER |= {n: ["VendorNumber", "VendorName"] for n in ("vendor_summary_by_vendor", "final_vendor")}
+EXPORT_ORDER |= {n: ["VendorNumber"] for n in ("spend_by_vendor", "vendor_risk_flags")}
+EXPORT_ORDER["final_all"] = ["Level", "VendorNumber", "VendorName", "Brand"]
+
+
 def build_final_tables(spark: SparkSession, base: BaseTables, out_dir: str, target: float = 0.35,
                        csv_dir: str | None = None) -> dict[str, DataFrame]:
     """The nine build tables, each written under ``out_dir`` and registered as a view."""
@@ -42,7 +50,7 @@ def build_final_tables(spark: SparkSession, base: BaseTables, out_dir: str, targ
     put("final_brand", T.final_brand(vss, t["brand_pricing_opportunities"]))
     put("final_all", T.final_all(t["final_vendor"], t["final_brand"]))
     if csv_dir:
-        export_csvs({n: t[n] for n in BUILD_TABLES}, csv_dir)
+        export_csvs({n: t[n] for n in BUILD_TABLES}, csv_dir, EXPORT_ORDER)
     return t
 
 

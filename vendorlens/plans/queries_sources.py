@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
+from vendorlens.operators import summary as T
 from vendorlens.plans import tables as tb
-from vendorlens.plans.build import BUILD_TABLES, build_final_tables
+from vendorlens.plans.build import BUILD_TABLES, EXPORT_ORDER, build_final_tables
 from vendorlens.plans.oracle import with_ctes
 from vendorlens.plans.registry import register
-from vendorlens.session import checkpoint_dir
+from vendorlens.session import checkpoint_dir, stored
 from vendorlens.sources import files as S
+from vendorlens.sources.versions import read_table
 from vendorlens.streaming.ingest import run_ingest
 
 
@@ -90,6 +94,46 @@ register("S13_export_validation", _s13, with_ctes([v for v, _ in BUILD_COLUMNS.v
     for n, (v, cols) in BUILD_COLUMNS.items() for c in cols)))
 
 
+def _s13b(spark, sf_dir):
+    root = _scratch(spark)
+    build_final_tables(spark, tb.base(spark, sf_dir), out_dir=f"{root}/tables", csv_dir=f"{root}/csv")
+    rows = S.first_rows(spark, f"{root}/csv")
+    text = F.col("column").isin(*SAMPLE_TEXT)  # numbers are compared as numbers, not by how an engine prints them
+    return rows.select("file", "row", "column", F.when(text, F.col("value")).alias("text"),
+                       F.when(~text, F.col("value").try_cast("double")).alias("number"))
+
+
+SAMPLE_TEXT = ("VendorName", "Level")
+_SAMPLES = []
+for _n, (_v, _cols) in BUILD_COLUMNS.items():
+    _keys = ", ".join(f"{k} NULLS FIRST" for k in EXPORT_ORDER[_n])
+    _SAMPLES += [f"""SELECT '{_n}' AS file, CAST(r AS INTEGER) AS "row", '{c}' AS "column", {f'CAST({c} AS VARCHAR)' if c in SAMPLE_TEXT else 'NULL'} AS text,
+       {'NULL' if c in SAMPLE_TEXT else f'CAST({c} AS DOUBLE)'} AS number FROM (SELECT *, row_number() OVER (ORDER BY {_keys}) AS r FROM {_v}) WHERE r <= 3"""
+                 for c in _cols]
+register("S13b_export_sample_rows", _s13b, with_ctes([v for v, _ in BUILD_COLUMNS.values()], "\nUNION ALL\n".join(_SAMPLES)), ("number",))
+
+
+def _s12(spark, sf_dir):
+    """The insight tables are written and read again by their path, as another session would."""
+    root = _scratch(spark)
+    rollup = stored(tb.vsv_c(spark, sf_dir), "rollup")
+    cols = ["VendorNumber", "VendorName", "GrossProfit", "ProfitMargin", "TotalSalesDol"]
+    S.ingest(T.top_n(rollup, "GrossProfit", 10, columns=cols), "top_vendors_by_grossprofit", f"{root}/top_vendors_by_grossprofit")
+    S.ingest(T.top_n(rollup, "ProfitMargin", 10, ascending=True, columns=cols), "bottom_vendors_by_margin",
+             f"{root}/bottom_vendors_by_margin")
+    parts = [read_table(spark, f"{root}/{n}").select(F.lit(n).alias("table"), *cols)
+             for n in ("top_vendors_by_grossprofit", "bottom_vendors_by_margin")]
+    return parts[0].unionByName(parts[1])
+
+
+register("S12_persisted_insights", _s12, with_ctes(["vsv_c"], """
+SELECT * FROM (SELECT 'top_vendors_by_grossprofit' AS "table", VendorNumber, VendorName, GrossProfit, ProfitMargin, TotalSalesDol
+               FROM vsv_c ORDER BY GrossProfit DESC, VendorNumber LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'bottom_vendors_by_margin', VendorNumber, VendorName, GrossProfit, ProfitMargin, TotalSalesDol
+               FROM vsv_c ORDER BY ProfitMargin, VendorNumber LIMIT 10)"""), ("GrossProfit", "ProfitMargin", "TotalSalesDol"))
+
+
 def _s7(spark, sf_dir):
     b = tb.base(spark, sf_dir)
     return S.table_counts({"purchases": b.purchases, "sales": b.sales, "vendor_invoice": b.vendor_invoice,
@@ -108,18 +152,9 @@ register("S7b_invoice_preview", lambda s, d: S.preview(tb.base(s, d).vendor_invo
 
 
 def _s8(spark, sf_dir):
-    from vendorlens.operators import summary as T
-    b = tb.base(spark, sf_dir)
-    vss = tb.vss(spark, sf_dir)
-    vsv = T.vendor_rollup(vss)
-    bp = T.brand_pricing(vss)
-    opps = T.brand_pricing_opportunities(bp)
-    fv, fb = T.final_vendor(vsv), T.final_brand(vss, opps)
-    frames = {"vendor_sales_summary": vss, "vendor_summary_by_vendor": vsv,
-              "spend_by_vendor": T.spend_by_vendor(b.vendor_invoice, vss), "vendor_risk_flags": T.vendor_risk_flags(vss),
-              "brand_pricing": bp, "brand_pricing_opportunities": opps, "final_vendor": fv, "final_brand": fb,
-              "final_all": T.final_all(fv, fb)}
-    return S.table_counts({n: frames[n] for n in BUILD_TABLES})
+    root = f"{_scratch(spark)}/tables"
+    build_final_tables(spark, tb.base(spark, sf_dir), out_dir=root)
+    return S.written_counts(spark, {n: f"{root}/{n}" for n in BUILD_TABLES})
 
 
 register("S8_row_count_audit", _s8, with_ctes([v for v, _ in BUILD_COLUMNS.values()], "\nUNION ALL\n".join(

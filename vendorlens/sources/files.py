@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vendorlens.functions.frames import attach
+from vendorlens.sources.versions import manifest, publish, replace_table
 
 log = logging.getLogger(__name__)
 
@@ -90,15 +93,11 @@ def cast_csv(text: DataFrame, schema: str) -> DataFrame:
     return text.select(*[_cast(f).alias(f.name) for f in T.StructType.fromDDL(schema).fields])
 
 
-def bad_cells(text: DataFrame, schema: str):
-    """A map of typed columns to the number of cells with text that doesn't parse (only those with any)."""
+def unparsed(schema: str, where=None) -> list:
+    """For each typed column the count of cells with text that doesn't parse, of rows with ``where``."""
     typed = [f for f in T.StructType.fromDDL(schema).fields if not isinstance(f.dataType, T.StringType)]
-    counts = [F.struct(F.lit(f.name).alias("column"), F.count_if(F.col(f"`{f.name}`").isNotNull() & _cast(f).isNull()).alias("n"))
-              for f in typed]
-    if not counts:
-        return {}
-    row = text.agg(F.array(*counts).alias("x")).first()
-    return {c["column"]: c["n"] for c in row["x"] if c["n"]}
+    rows = F.lit(True) if where is None else where
+    return [(f.name, F.count_if(rows & F.col(f"`{f.name}`").isNotNull() & _cast(f).isNull())) for f in typed]
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -111,42 +110,133 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 def ingest(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> DataFrame:
     """Write a frame as a named table, replacing it.
 
-    With ``path`` the table is Parquet files under it: a new version is written in full to a
-    folder of its own, and only then does the name point there, so a load that fails
-    leaves the old version as it is. Without it, a catalog table via ``saveAsTable``.
+    With ``path`` the table is a folder of versions with a manifest (``versions``), which any session reads
+    with ``read_table``; a load that fails leaves the old version as it is. Without it, a catalog
+    table via ``saveAsTable``.
     """
     if path:
-        version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
-        df.write.parquet(version)
-        out = df.sparkSession.read.schema(df.schema).parquet(version)
+        out = replace_table(df, path)
         out.createOrReplaceTempView(name)
         return out
     df.write.mode(mode).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+#: Files that one job loads together, and jobs that run at a time.
+TOGETHER = 32
+JOBS = 4
+
+
 def load_raw_data(spark: SparkSession, src_dir: str, dest_dir: str | None = None, schemas=BASE_SCHEMAS) -> DataFrame:
     """Every ``*.csv`` under ``src_dir`` becomes a table named by its file stem.
 
-    Cells that don't parse as their column's type become NULL and are counted in ``error``; a
-    file that can't be read is logged and skipped, and its old table stays. Returns the
-    report (table, rows, columns, status, error).
+    Files with the same columns load as one job, told apart by ``_metadata.file_path``, and each is read once:
+    rows and cells that don't parse as their column's type are observed while the tables are written. Such
+    cells become NULL and are counted in ``error``; a file that can't be read is logged and skipped (its
+    group's other files are loaded without it), and its old table stays. Returns the report (table, rows,
+    columns, status, error).
     """
-    rows = []
+    groups, report = defaultdict(list), []
     for f in list_files(spark, src_dir, ".csv"):
-        name = _stem(f)
+        schema = schemas.get(_stem(f))
         try:
-            schema = schemas.get(name)
-            text = read_text_csv(spark, f, T.StructType.fromDDL(schema).names if schema else None)
-            out = ingest(cast_csv(text, schema) if schema else text, name, f"{dest_dir.rstrip('/')}/{name}" if dest_dir else None)
-            bad = bad_cells(text, schema) if schema else {}
-            note = ", ".join(f"{c}: {n} not parsed" for c, n in bad.items()) or None
-            rows.append((name, out.count(), len(out.columns), "ok", note))
-        except Exception as e:  # one bad file must not stop the others
-            log.warning("failed to load %s: %s", f, e)
-            rows.append((name, None, None, "error", str(e)[:500]))
+            key = schema or ", ".join(f"`{c}` string" for c in spark.read.option("header", "true").csv(f).columns)
+            groups[key].append(f)
+        except Exception as e:
+            report.append(_failed(f, e))
+    jobs = [(schema, files[i:i + TOGETHER]) for schema, files in groups.items() for i in range(0, len(files), TOGETHER)]
+    with ThreadPoolExecutor(JOBS) as pool:
+        for rows in pool.map(lambda job: _load(spark, *job, dest_dir), jobs):
+            report += rows
     schema = "table string, rows bigint, columns int, status string, error string"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(sorted(report, key=lambda r: r[0]), schema)
+
+
+def _failed(path: str, e: Exception):
+    log.warning("failed to load %s: %s", path, e)
+    return _stem(path), None, None, "error", str(e)[:500]
+
+
+def _load(spark: SparkSession, schema: str, files: list[str], dest_dir: str | None) -> list[tuple]:
+    """Load ``files`` of one schema in a job; if that fails and there are several, one by one."""
+    try:
+        return _load_together(spark, schema, files, dest_dir)
+    except Exception as e:  # one bad file must not stop the others
+        if len(files) == 1:
+            return [_failed(files[0], e)]
+        return [row for f in files for row in _load(spark, schema, [f], dest_dir)]
+
+
+def _load_together(spark: SparkSession, schema: str, files: list[str], dest_dir: str | None) -> list[tuple]:
+    fields = T.StructType.fromDDL(schema)
+    names = [_stem(f) for f in files]
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").schema(
+        T.StructType([T.StructField(n, T.StringType()) for n in fields.names]))
+    text = reader.csv(files)
+    # an exported table is a folder x.csv of part files, a raw one a file x.csv: the path holds x.csv last or last but one
+    steps = F.split(F.url_decode("_metadata.file_path"), "/")
+    ends = [F.element_at(steps, -1), F.element_at(steps, -2)]
+    name = F.coalesce(*[F.when(e == f.rstrip("/").rsplit("/", 1)[-1], F.lit(n)) for e in ends for f, n in zip(files, names)])
+    text = normalise_nulls(text.select(*[F.col(f"`{n}`") for n in fields.names], name.alias("__table")))
+    seen = Observation()
+    metrics = []
+    for i, n in enumerate(names):
+        mine = F.col("__table") == n
+        metrics.append(F.count_if(mine).alias(f"rows {i}"))
+        metrics += [count.alias(f"bad {i} {c}") for c, count in unparsed(schema, mine)]
+    rows = text.observe(seen, *metrics).select(*[_cast(f).alias(f.name) for f in fields.fields], "__table")
+    if dest_dir is None:
+        if len(files) > 1:
+            raise ValueError("catalog tables are written one by one")
+        rows.drop("__table").write.mode("overwrite").saveAsTable(names[0])
+    else:
+        root = f"{dest_dir.rstrip('/')}/_loads/{uuid.uuid4().hex}"
+        rows.write.partitionBy("__table").parquet(root)
+    got, out = seen.get, []
+    for i, n in enumerate(names):
+        if dest_dir is not None:
+            version = f"{root}/__table={n}"
+            _make_folder(spark, version)  # a file without rows has none
+            path = f"{dest_dir.rstrip('/')}/{n}"
+            publish(spark, path, version, fields, {"rows": got[f"rows {i}"]})
+            spark.read.schema(fields).parquet(version).createOrReplaceTempView(f"`{n}`")
+        bad = {c: got[f"bad {i} {c}"] for c, _ in unparsed(schema)}
+        note = ", ".join(f"{c}: {k} not parsed" for c, k in bad.items() if k) or None
+        out.append((n, got[f"rows {i}"], len(fields.names), "ok", note))
+    return out
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def written_counts(spark: SparkSession, paths: dict) -> DataFrame:
+    """Rows of each written table {name: path}, as observed while it was written."""
+    rows = [(n, manifest(spark, p)["rows"]) for n, p in paths.items()]
+    return spark.createDataFrame(rows, "table string, rows bigint")
+
+
+def first_rows(spark: SparkSession, out_dir: str, k: int = 3) -> DataFrame:
+    """The first ``k`` rows of each exported CSV in file order -> (file, row, column, value as text).
+
+    The order is that of part file, block and place within the block; each task passes on its first ``k``
+    rows of a file, so no file is sorted as a whole.
+    """
+    parts = []
+    for p in list_files(spark, out_dir, ".csv"):
+        df = spark.read.option("header", "true").csv(p)
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in df.columns])
+        parts.append(df.select(F.lit(_stem(p)).alias("file"), F.col("_metadata.file_name").alias("_part"),
+                               F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"),
+                               cells.alias("_cells")))
+    if not parts:
+        return spark.createDataFrame([], "file string, row int, column string, value string")
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    order = Window.partitionBy("file").orderBy("_part", "_block", "_at")
+    return every.withColumn("row", F.row_number().over(order)).where(F.col("row") <= k).select("file", "row", F.inline("_cells"))
 
 
 def void_safe(df: DataFrame) -> DataFrame:
@@ -155,11 +245,16 @@ def void_safe(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def export_csvs(tables: dict, out_dir: str) -> list[str]:
-    """Write each named frame as a CSV folder ``out_dir/name.csv`` (header, overwrite)."""
+def export_csvs(tables: dict, out_dir: str, order=None) -> list[str]:
+    """Write each named frame as a CSV folder ``out_dir/name.csv`` (header, overwrite).
+
+    ``order``: {name: columns}; such a table's rows stand in that order through its part files.
+    """
     paths = []
     for name, df in tables.items():
         p = f"{out_dir.rstrip('/')}/{name}.csv"
+        if order and name in order:
+            df = df.orderBy(*order[name])
         void_safe(df).write.options(**CSV_WRITE).mode("overwrite").csv(p)
         paths.append(p)
     return paths
