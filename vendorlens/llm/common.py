@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.session import checkpoint_dir
+from vendorlens.session import stored  # noqa: F401
 
 #: Text bytes that one Python task handles at a time; bounds its memory, not its input.
 BLOCK_BYTES = 4 << 20
@@ -21,18 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage: a lost executor re-reads the files instead of re-running the job.
-    Unlike ``checkpoint()`` the rows are computed a single time.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_key(*cols: str):
     """A 64-bit key of a row's content: equal rows share it, null identifiers spread."""
     return F.xxhash64(*[F.col(c) for c in cols])

@@ -1,31 +1,20 @@
 """Line dedup with a log-template tree, in DataFrame functions only.
 
 A line's tokens are its runs of characters other than ASCII white space; a token with a
-digit is a variable field. The tree has a fixed depth: the token count, then the leading
-``depth`` tokens; a leaf holds all lines that agree in both. The other tokens of a line
-are cut into up to ``FIELDS`` runs (one token each in a short line). In a leaf, a field
-that one value fills in more than half of the lines is constant, any other is variable:
-that is the leaf's template. A line follows it if it has the constant value in at least
-``similarity`` of its fields. Templates that ``min_docs`` documents follow are dropped
-from all of them. A document keeps its text if more than ``max_share`` of it would go:
-whole copies are for document dedup, not boilerplate.
-
-Lines of fewer than ``min_tokens`` tokens are never dropped. This is what ``ORACLE_SQL``
-states, and so what ``digests`` gives.
-
-``drop_all_recurring_lines``, which the corpus pipeline uses, has none of these exemptions.
-Lines of any length are parsed; one of at most ``depth`` tokens has a leaf of its own. A leaf
-has any number of templates: each choice of ``similarity`` of the fields, with their values,
-that lines of ``min_docs`` distinct texts share, and each masked line that ``min_docs``
-distinct texts hold. Exact copies count once, so they don't make their own lines recurring. Of
-texts that would lose more than half of themselves and share their longest recurring line
-(near copies), the one with the least hash keeps its text, so that it stays in the corpus
-once; all others lose their recurring lines. A line of numbers only is compared as it
-stands, and lines without tokens stay.
-
-Defined results: a null text
-stays null and has no lines; documents are counted as rows; all columns are kept; rows
-that are repeated get the same text; an empty table stays empty.
+digit is a variable field. A line that is nothing but such fields is compared as it stands, and lines
+without tokens stay. The tree has a fixed depth: the token count, then the leading ``depth`` tokens; a leaf holds
+all lines that agree in both. The other tokens of a line are cut into up to ``FIELDS`` runs (one
+token each in a short line); a line of at most ``depth`` tokens has a leaf of its own.
+
+A leaf has any number of templates: each choice of ``similarity`` of the fields, with their values, that
+lines of ``min_docs`` distinct texts share, and each masked line that ``min_docs`` distinct texts hold. All
+lines that follow one are dropped. Exact copies count once, so they don't make their own lines recurring. Of
+texts that would lose more than half of themselves (by the characters of their distinct lines) and share their longest
+recurring line (the first of equally long ones), that with the least md5 keeps its text, so that it
+stays in the corpus once; all others lose their recurring lines.
+
+Defined results: a null text stays null and has no lines; documents are counted by text; all columns are
+kept, whatever their names; rows that are repeated get the same text; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -36,7 +25,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import row_key, salted_join, stored
+from vendorlens.llm.common import salted_join, stored
 
 FIELDS = 8
 _SPACE = r"[ \t\r\f\x0B]"
@@ -54,83 +43,20 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def parsed(docs: DataFrame, text: str, depth: int, min_tokens: int) -> DataFrame:
-    """The distinct masked lines of each document row: ``row``, ``line``, ``leaf``, ``fields`` as hashes."""
-    each = docs.select("row", F.explode(F.array_distinct(F.transform(lines_of(F.col(text)), masked))).alias("masked"))
-    each = (each.withColumn("tokens", F.split("masked", " "))
-            .withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens)
-            .withColumn("m", F.col("n") - depth).withColumn("k", F.least(F.col("m"), F.lit(FIELDS))))
-    cut = F.expr(f"transform(sequence(0, k - 1), j -> xxhash64(array_join(slice(tokens, "
-                 f"{depth + 1} + j * m div k, (j + 1) * m div k - j * m div k), ' ')))")
-    return each.select("row", F.xxhash64("masked").alias("line"),
-                       F.xxhash64("n", F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"), cut.alias("fields"))
-
-
-def templates(lines: DataFrame) -> DataFrame:
-    """The constant fields of each leaf: ``leaf``, ``template`` (null where variable).
-
-    ``lines`` has ``leaf``, ``fields`` and the number of documents ``docs`` of each line.
-    """
-    values = (lines.select("leaf", "docs", F.posexplode("fields").alias("pos", "value"))
-              .groupBy("leaf", "pos", "value").agg(F.sum("docs").alias("docs")))
-    best = values.groupBy("leaf", "pos").agg(F.max(F.struct("docs", "value")).alias("most"), F.sum("docs").alias("docs"))
-    value = F.when(2 * F.col("most.docs") > F.col("docs"), F.col("most.value"))
-    slots = F.array_sort(F.collect_list(F.struct("pos", value.alias("value"))))  # a leaf has FIELDS slots at most
-    return best.groupBy("leaf").agg(F.transform(slots, lambda s: s["value"]).alias("template"))
-
-
-def recurring(docs: DataFrame, text: str, depth: int, min_tokens: int, similarity: float, min_docs: int) -> DataFrame:
-    """The recurring lines of each document row: ``row``, ``drop`` (hashes of masked lines)."""
-    lines = stored(parsed(docs, text, depth, min_tokens), "lines")
-    full = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    distinct = stored(salted_join(lines, full, ["leaf"], "inner", salts=8).groupBy("leaf", "line")
-                      .agg(F.first("fields").alias("fields"), F.count("*").alias("docs")), "line-kinds")
-    agree = F.aggregate(F.zip_with("fields", "template", lambda a, b: F.when(a == b, 1).otherwise(0)),
-                        F.lit(0), lambda s, x: s + x)
-    follow = (distinct.join(templates(distinct), "leaf")
-              .where(agree >= similarity * F.size("fields")).select("leaf", "line"))
-    hits = stored(lines.select("row", "leaf", "line").join(follow, ["leaf", "line"]), "line-hits")
-    often = (hits.select("leaf", "row").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
-             .where(F.col("n") >= min_docs).select("leaf"))
-    return hits.join(often, "leaf").groupBy("row").agg(F.collect_set("line").alias("drop"))
-
-
-def drop_recurring_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", depth: int = 3, min_tokens: int = 4,
-                         similarity: float = 0.6, min_docs: int = 10, max_share: float = 0.5) -> DataFrame:
-    """``docs`` with recurring lines taken out of ``text``; same rows and columns, and two more:
-    ``__lines`` and ``__dropped`` count the lines before and those that went."""
-    if not 0 < depth < min_tokens:
-        raise ValueError("a line needs more tokens than the tree's depth")
-    own = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), row_key(key, text).alias("row"))
-    gone = recurring(rows.select("row", F.col(f"doc.{text}").alias(text)), text, depth, min_tokens, similarity, min_docs)
-    out = rows.join(gone, "row", "left")
-    whole = F.col(f"doc.{text}")
-    kept = F.filter(lines_of(whole), lambda x: ~F.array_contains("drop", F.xxhash64(masked(x))))
-    out = (out.withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
-           .withColumn("new", F.array_join("kept", "\n"))
-           .withColumn("cut", F.coalesce((1 - max_share) * F.length(whole) <= F.length("new"), F.lit(False))))
-    count = F.coalesce(F.size(lines_of(whole)), F.lit(0))
-    return out.select(
-        *[F.when(F.col("cut"), F.col("new")).otherwise(whole).alias(c) if c == text else F.col(f"doc.`{c}`") for c in own],
-        F.when(whole.isNull(), 0).otherwise(count).cast("long").alias("__lines"),
-        F.when(F.col("cut"), count - F.size("kept")).otherwise(0).cast("long").alias("__dropped"))
-
-
 def every_line(docs: DataFrame, text: str, depth: int) -> DataFrame:
-    """The distinct compared lines of each distinct text: ``text``, ``line``, ``leaf``, ``fields`` as hashes,
-    ``size`` in characters and the ``total`` of the text."""
+    """The distinct compared lines of each distinct text: ``text_hash``, ``line``, ``leaf``, ``fields`` as hashes,
+    ``pos`` among them, ``size`` in characters and the ``total`` of the text."""
     own = F.filter(F.array_distinct(F.transform(lines_of(F.col(text)), compared)), lambda x: x != "")
     each = (docs.select("text_hash", own.alias("own"))
             .withColumn("total", F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + F.length(x)))
-            .select("text_hash", "total", F.explode("own").alias("masked"))
+            .select("text_hash", "total", F.posexplode("own").alias("pos", "masked"))
             .withColumn("tokens", F.split("masked", " ")).withColumn("n", F.size("tokens"))
             .withColumn("m", F.greatest(F.col("n") - depth, F.lit(0))).withColumn("k", F.least(F.col("m"), F.lit(FIELDS))))
     cut = F.expr(f"if(k = 0, cast(array() as array<bigint>), transform(sequence(0, greatest(k - 1, 0)), j -> xxhash64(array_join("
                  f"slice(tokens, {depth + 1} + cast(j * m div k as int), cast((j + 1) * m div k - j * m div k as int)), ' '))))")
     return each.select("text_hash", F.xxhash64("masked").alias("line"),
                        F.xxhash64("n", F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"), cut.alias("fields"),
-                       F.length("masked").alias("size"), "total").dropDuplicates(["text_hash", "line"])
+                       "pos", F.length("masked").alias("size"), "total").dropDuplicates(["text_hash", "line"])
 
 
 def compared(line: Column) -> Column:
@@ -167,73 +93,71 @@ def every_recurring(docs: DataFrame, text: str, depth: int, similarity: float, m
     sums = stored(sums.where((F.col("n") >= min_docs) & (F.col("lines") > 1)), "line-templates")
     open_ = sums.where(F.col("most") < min_docs).select("template")
     rare = chosen.where(F.col("docs") < min_docs).select("line", "template")
-    counted = (lines.select("text_hash", "line").join(salted_join(rare, open_, ["template"], "inner", salts=8), "line")
+    counted = (salted_join(lines.select("text_hash", "line"), salted_join(rare, open_, ["template"], "inner", salts=8), ["line"], "inner", salts=8)
                .select("template", "text_hash").distinct().groupBy("template").agg(F.count("*").alias("n"))
                .where(F.col("n") >= min_docs).select("template"))
     found = sums.where(F.col("most") >= min_docs).select("template").unionByName(counted)
     follow = stored(salted_join(rare, found, ["template"], "inner", salts=8).select("line").distinct().unionByName(often), "every-follow")
-    hits = salted_join(lines.select("text_hash", "line", "size", "total"), follow, ["line"], "inner", salts=8)
+    hits = salted_join(lines.select("text_hash", "line", "pos", "size", "total"), follow, ["line"], "inner", salts=8)
     gone = stored(hits.groupBy("text_hash").agg(
-        F.collect_list("line").alias("drop"), F.max(F.struct("size", "line"))["line"].alias("longest"),
+        F.collect_list("line").alias("drop"), F.max(F.struct("size", -F.col("pos"), "line"))["line"].alias("longest"),
         (2 * F.sum("size") > F.first("total")).alias("most")), "every-hit")  # a text's own lines
     stays = gone.where("most").groupBy("longest").agg(F.min("text_hash").alias("text_hash")).select("text_hash")
     return gone.select("text_hash", "drop").join(stays, "text_hash", "left_anti")
 
 
-def drop_all_recurring_lines(docs: DataFrame, text: str = "text", depth: int = 3, similarity: float = 0.6,
-                             min_docs: int = 10) -> DataFrame:
-    """As ``drop_recurring_lines``, but of any length, by any number of templates a leaf and whatever their share."""
+def drop_recurring_lines(docs: DataFrame, text: str = "text", depth: int = 3, similarity: float = 0.6,
+                         min_docs: int = 10) -> DataFrame:
+    """``doc``, a struct of the columns of ``docs`` with recurring lines taken out of ``text``; ``n_lines`` and
+    ``n_dropped`` count the lines before and those that went. A row per row of ``docs``."""
     own = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("text_hash"))
     whole = F.col(f"doc.`{text}`")
     gone = every_recurring(rows.select("text_hash", whole.alias("text")), "text", depth, similarity, min_docs)
     out = salted_join(rows, gone, ["text_hash"], salts=8)
     kept = F.filter(lines_of(whole), lambda x: ~F.array_contains("drop", F.xxhash64(compared(x))))
     out = out.withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
     count = F.size(lines_of(whole))
+    new = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(whole)
     return out.select(
-        *[F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(whole).alias(c) if c == text
-          else F.col(f"doc.`{c}`") for c in own],
-        F.when(whole.isNull(), 0).otherwise(count).cast("long").alias("__lines"),
-        F.when(F.col("kept").isNotNull(), count - F.size("kept")).otherwise(0).cast("long").alias("__dropped"))
+        F.struct(*[new.alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in own]).alias("doc"),
+        F.when(whole.isNull(), 0).otherwise(count).cast("long").alias("n_lines"),
+        F.when(F.col("kept").isNotNull(), count - F.size("kept")).otherwise(0).cast("long").alias("n_dropped"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """Lines, dropped lines and the digest of the text that stays, a row per document."""
-    out = drop_recurring_lines(docs.select("doc_id", "text"))
-    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
-                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return drop_recurring_lines(docs.select("doc_id", "text")).select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("doc.text", F.lit("")), 256).alias("kept_sha256"))
 
 
 ORACLE_SQL = r"""
 WITH line AS (
-  SELECT doc_id, i, raw, list_transform(list_filter(regexp_split_to_array(raw, '[ \t\r\f\x0B]+'), lambda t: t <> ''),
-         lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS w
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i
-        FROM documents WHERE text IS NOT NULL)),
-own AS (SELECT DISTINCT doc_id, w, len(w) AS n, w[1:3] AS head, len(w) - 3 AS m, least(8, len(w) - 3) AS k
-        FROM line WHERE len(w) >= 4),
-kinds AS (SELECT n, head, w, m, k, count(*) AS docs FROM own GROUP BY ALL),
-leaf AS (SELECT n, head FROM kinds GROUP BY ALL HAVING sum(docs) >= 10),
-kind AS (SELECT kinds.*, list_transform(range(k), lambda j: w[4 + (j * m) // k : 3 + ((j + 1) * m) // k]) AS fields
-         FROM kinds JOIN leaf USING (n, head)),
-val AS (SELECT n, head, pos, value, sum(docs) AS docs
-        FROM (SELECT n, head, docs, unnest(range(k)) AS pos, unnest(fields) AS value FROM kind) GROUP BY ALL),
-const AS (SELECT n, head, pos, value FROM (SELECT *, sum(docs) OVER (PARTITION BY n, head, pos) AS every FROM val)
-          WHERE 2 * docs > every),
-agree AS (SELECT f.n, f.head, f.w, f.k, count(const.value) AS same
-          FROM (SELECT n, head, w, k, unnest(range(k)) AS pos, unnest(fields) AS value FROM kind) f
-          LEFT JOIN const ON const.n = f.n AND const.head = f.head AND const.pos = f.pos AND const.value = f.value
-          GROUP BY ALL),
-hits AS (SELECT own.doc_id, own.n, own.head, own.w FROM own JOIN agree USING (n, head, w) WHERE same >= 0.6 * agree.k),
-often AS (SELECT n, head FROM hits GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
-gone AS (SELECT DISTINCT doc_id, w FROM hits JOIN often USING (n, head)),
-cut AS (SELECT line.doc_id, count(*) AS n_lines, count(gone.w) AS n_gone, count(*) - count(gone.w) AS n_kept,
-               string_agg(raw, chr(10) ORDER BY i) FILTER (gone.w IS NULL) AS rest
-        FROM line LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.w = line.w GROUP BY line.doc_id)
-SELECT doc.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-       CAST(CASE WHEN n_gone > 0 AND 0.5 * length(text) <= length(coalesce(rest, '')) THEN n_gone ELSE 0 END AS BIGINT) AS n_dropped,
-       sha256(CASE WHEN n_gone > 0 AND 0.5 * length(text) <= length(coalesce(rest, '')) THEN coalesce(rest, '')
-              ELSE coalesce(text, '') END) AS kept_sha256
-FROM documents doc LEFT JOIN cut ON cut.doc_id = doc.doc_id
+  SELECT text, i, raw, list_filter(regexp_split_to_array(raw, '[ \t\r\f\x0B]+'), lambda t: t <> '') AS t
+  FROM (SELECT text, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL))),
+compared AS (
+  SELECT text, i, raw, CASE WHEN len(list_filter(t, lambda x: NOT regexp_matches(x, '[0-9]') AND x <> '<*>')) = 0 THEN t
+         ELSE list_transform(t, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS w FROM line),
+own AS (SELECT text, w, min(i) AS i, length(array_to_string(w, ' ')) AS size FROM compared WHERE len(w) > 0 GROUP BY text, w),
+kind AS (SELECT w, len(w) AS n, greatest(len(w) - 3, 0) AS m, least(8, greatest(len(w) - 3, 0)) AS k, count(*) AS docs FROM own GROUP BY w),
+fields AS (SELECT w, n, k, list_transform(range(k), lambda j: w[4 + (j * m) // k : 3 + ((j + 1) * m) // k]) AS f FROM kind WHERE k > 0),
+choice AS (
+  SELECT w, n, w[1:3] AS head, mask, list_transform(range(k), lambda j: CASE WHEN (mask >> j) & 1 = 1 THEN f[j + 1] END) AS v
+  FROM fields JOIN (SELECT range AS mask FROM range(1, 256)) ON mask < (1 << k) AND bit_count(mask) = greatest(1, CAST(ceil(0.6 * k - 1e-9) AS INT))),
+template AS (SELECT n, head, mask, v FROM choice JOIN own USING (w) GROUP BY ALL HAVING count(DISTINCT text) >= 10),
+follow AS (SELECT w FROM kind WHERE docs >= 10 UNION SELECT DISTINCT c.w FROM choice c JOIN template t
+           ON t.n = c.n AND t.head = c.head AND t.mask = c.mask AND t.v IS NOT DISTINCT FROM c.v),
+share AS (SELECT text, sum(size) AS total FROM own GROUP BY text),
+hit AS (SELECT own.text, arg_max(own.w, (own.size, -own.i)) AS longest, 2 * sum(own.size) > any_value(share.total) AS most
+        FROM own JOIN follow USING (w) JOIN share ON share.text = own.text GROUP BY own.text),
+stays AS (SELECT arg_min(text, md5(text)) AS text FROM hit WHERE most GROUP BY longest),
+cut AS (
+  SELECT c.text, count(follow.w) AS n_dropped, string_agg(c.raw, chr(10) ORDER BY c.i) FILTER (follow.w IS NULL) AS rest
+  FROM compared c JOIN hit ON hit.text = c.text LEFT JOIN follow ON follow.w = c.w
+  WHERE c.text NOT IN (SELECT text FROM stays) GROUP BY c.text)
+SELECT doc_id, CAST(CASE WHEN doc.text IS NULL THEN 0 ELSE len(string_split(doc.text, chr(10))) END AS BIGINT) AS n_lines,
+       CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
+       sha256(CASE WHEN cut.text IS NULL THEN coalesce(doc.text, '') ELSE coalesce(rest, '') END) AS kept_sha256
+FROM documents doc LEFT JOIN cut ON cut.text = doc.text
 """
