@@ -36,11 +36,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.drop_all_recurring_lines(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__dropped") > 0, F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    out = lines.drop_recurring_lines(docs)
+    cols = {c: F.col(f"doc.`{c}`") for c in docs.columns}
+    if "n_chars" in cols:
+        cols["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("doc.text").cast(docs.schema["n_chars"].dataType)).otherwise(cols["n_chars"])
+    return out.select(*[x.alias(c) for c, x in cols.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
