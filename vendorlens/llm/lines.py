@@ -31,12 +31,21 @@ FIELDS = 8
 _SPACE = r"[ \t\r\f\x0B]"
 
 
-def masked(line: Column) -> Column:
-    """The tokens of a line joined by one space, those with a digit as ``<*>``."""
-    tidy = F.when(line.rlike(rf"[\t\r\f\x0B]|  |^ | $"),
-                  F.regexp_replace(F.regexp_replace(line, rf"^{_SPACE}+|{_SPACE}+$", ""), f"{_SPACE}+", " ")).otherwise(line)
+def tidied(line: Column) -> Column:
+    """The tokens of a line joined by one space."""
+    return F.regexp_replace(F.regexp_replace(line, rf"^{_SPACE}+|{_SPACE}+$", ""), f"{_SPACE}+", " ")
+
+
+def compared(line: Column) -> Column:
+    """The tokens of a line joined by one space, those with a digit as ``<*>`` unless nothing else is left.
+
+    Most lines are neither untidy nor hold a digit: they pass as they are, after plain searches.
+    """
+    tidy = F.when(line.startswith(" ") | line.endswith(" ") | F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t"))
+                  | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\x0b")), tidied(line)).otherwise(line)
     # from the start of a token, without backtracking over its characters
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", "<*>")).otherwise(tidy)
+    masked = F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", "<*>")
+    return F.when(line.rlike("[0-9<]"), F.when(masked.rlike(r"^<\*>( <\*>)*$"), tidy).otherwise(masked)).otherwise(tidy)
 
 
 def lines_of(text: Column) -> Column:
@@ -59,13 +68,6 @@ def every_line(docs: DataFrame, text: str, depth: int) -> DataFrame:
                        "pos", F.length("masked").alias("size"), "total").dropDuplicates(["text_hash", "line"])
 
 
-def compared(line: Column) -> Column:
-    """A line with its fields masked, or as it stands if nothing else is left of it."""
-    to = masked(line)
-    return F.when(to.rlike(r"^<\*>( <\*>)*$"), F.regexp_replace(F.regexp_replace(
-        line, rf"^{_SPACE}+|{_SPACE}+$", ""), f"{_SPACE}+", " ")).otherwise(to)
-
-
 def choices(similarity: float) -> Column:
     """The sets of fields, as bits, that make a template of a line with ``k`` fields."""
     every = [[sum(1 << i for i in c) for c in combinations(range(k), max(1, ceil(similarity * k - 1e-9)))] for k in range(1, FIELDS + 1)]
