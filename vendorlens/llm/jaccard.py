@@ -281,18 +281,20 @@ def count_sketch(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, order, num: int, den: int) -> DataFrame:
-    """The prefix shingles of each class and their places in it: ``h``, ``node``, ``pos``."""
+    """The prefix shingles of each class, their places in it and its size: ``h``, ``node``, ``pos``, ``n``."""
 
     def run(batches):
         for batch in batches:
-            got = [(node, order.value.prefix(s, len(s) - -(-len(s) * num // den) + 1)) for node, s in sets_of(batch)]
+            got = [(node, order.value.prefix(s, len(s) - -(-len(s) * num // den) + 1), len(s)) for node, s in sets_of(batch)]
             if got:
+                size = [len(p) for _, p, _ in got]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([p for _, p in got]).view(np.int64)),
-                     pa.array(np.repeat(np.array([n for n, _ in got], np.int64), [len(p) for _, p in got])),
-                     pa.array(np.concatenate([np.arange(len(p), dtype=np.int32) for _, p in got]))], names=["h", "node", "pos"])
+                    [pa.array(np.concatenate([p for _, p, _ in got]).view(np.int64)),
+                     pa.array(np.repeat(np.array([n for n, _, _ in got], np.int64), size)),
+                     pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in size])),
+                     pa.array(np.repeat(np.array([n for _, _, n in got], np.int32), size))], names=["h", "node", "pos", "n"])
 
-    return sets.mapInArrow(run, "h long, node long, pos int")
+    return sets.mapInArrow(run, "h long, node long, pos int, n int")
 
 
 def filter_of(nodes: DataFrame) -> np.ndarray:
@@ -365,12 +367,12 @@ class Join:
         return pairs.join(a, "a").join(b, "b").where(self.reaches(F.least("na", "nb", most))).select("a", "b", "na", "nb")
 
     def mixed(self, labels: DataFrame | None) -> DataFrame:
-        """The buckets that hold several components, with these: ``h``, ``node``, ``pos``, ``root``."""
+        """The buckets that hold several components, with these: ``h``, ``node``, ``pos``, ``n``, ``root``."""
         rows = self.buckets
         rows = (rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")) if labels is not None
                 else rows.withColumn("root", F.col("node")))
         several = rows.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-        return stored(rows.join(several, "h").select("h", "node", "pos", "root"), "mixed")
+        return stored(rows.join(several, "h").select("h", "node", "pos", "n", "root"), "mixed")
 
     def star_pairs(self, mixed: DataFrame, number: int) -> DataFrame:
         """Each class with up to ``HUBS`` of other components: in every one of so many orders of the classes,
@@ -385,9 +387,17 @@ class Join:
         return pairs.select("a", "b", F.lit(0).alias("c"), F.lit(-1).alias("pa"), F.lit(-1).alias("pb"))  # not counted
 
     def all_pairs(self, mixed: DataFrame) -> DataFrame:
-        """All pairs of a bucket that lie in different components, with their shared prefix shingles."""
-        a, b = (mixed.select("h", F.col("node").alias(x), F.col("root").alias(f"r{x}"), F.col("pos").alias(f"p{x}")) for x in "ab")
-        return a.join(b, "h").where("a < b AND ra <> rb").groupBy("a", "b").agg(
+        """All pairs of a bucket that lie in different components, with their shared prefix shingles.
+
+        Two sets that reach the threshold with sizes na and nb have an overlap of at least some k, so they share a shingle
+        among the first na - k + 1 of one and nb - k + 1 of the other: shorter prefixes than those
+        that serve sets of any size, and none at all where the sizes differ too much."""
+        a, b = (mixed.select("h", F.col("node").alias(x), F.col("root").alias(f"r{x}"), F.col("pos").alias(f"p{x}"), F.col("n").alias(f"n{x}"))
+                for x in "ab")
+        both = self.num + self.den
+        shared = (F.expr(f"{both} * cast(na - pa as long) >= {self.num} * cast(na + nb as long)")
+                  & F.expr(f"{both} * cast(nb - pb as long) >= {self.num} * cast(na + nb as long)"))
+        return a.join(b, "h").where("a < b AND ra <> rb").where(shared).groupBy("a", "b").agg(
             F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
