@@ -63,6 +63,25 @@ def test_edge_rows(spark, folder):
         cp.STAGES[-1][1](spark, docs, folder).count()
 
 
+def test_clashing_columns_and_long_texts(spark, folder):
+    """Columns named like ours keep their values; texts beyond a block go through every stage."""
+    import random
+    from tests.llm.fixtures import sentence
+    rng = random.Random(11)
+    ours = ["__lines", "__row", "__salt", "row", "doc", "n_lines", "kept", "component_id", "key", "h", "text_hash"]
+    texts = [sentence(rng, 700_000), sentence(rng, 300), sentence(rng, 80) + "\n" * 300_000] + [sentence(rng, 60) for _ in range(8)]
+    table = [(i, t, "en", *[f"{c}{i}" for c in ours]) for i, t in enumerate(texts)]
+    given = spark.createDataFrame(table, "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in ours)).repartition(4)
+    docs = given
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.stored(stage(spark, docs, folder), "clash")
+        assert docs.columns == given.columns, name
+        rows = docs.collect()
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in ours), name
+    assert {r["doc_id"]: r["text"] for r in rows}.items() <= dict(enumerate(texts)).items() and len(rows) >= 8
+    assert cp.STAGES[-1][1](spark, docs, folder).count() == len(rows)
+
+
 def test_verdicts_apply_to_their_own_rows(spark, folder):
     from tests.llm.fixtures import sentence
     import random

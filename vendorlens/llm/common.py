@@ -20,19 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_key(*cols: str):
-    """A 64-bit key of a row's content: equal rows share it, null identifiers spread."""
-    return F.xxhash64(*[F.col(c) for c in cols])
-
-
 def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], how: str = "left", salts: int = 32) -> DataFrame:
     """Join ``groups``, one row a key, to ``rows`` of which one key may hold any share.
 
     Each group row is repeated for every salt, so a key's rows meet it in ``salts`` tasks.
     """
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
-    every = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(every, [*on, "__salt"], how).drop("__salt")
+    salt = "__salt"
+    while salt in rows.columns or salt in groups.columns:
+        salt += "_"
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
+    every = groups.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(every, [*on, salt], how).drop(salt)
 
 
 def bit_table(rows: DataFrame, slots: int, slot: str = "slot") -> np.ndarray:
