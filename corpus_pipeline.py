@@ -20,19 +20,25 @@ from vendorlens.llm.queries import bpe_digests
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """``docs`` with the key ``__row`` of each row's content (nulls are told apart by their place)."""
+    """Each row as a struct ``doc``, with the key ``row`` of its content (nulls are told apart by their place)
+    and what the operators read, so that no column of the table meets a name of ours."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.withColumn("__row", F.xxhash64(*[c.isNull() for c in cols], *cols))
+    return docs.select(F.struct(*cols).alias("doc"), F.xxhash64(*[c.isNull() for c in cols], *cols).alias("row")).withColumns(
+        {c: F.col(f"doc.`{c}`") for c in ("doc_id", "text", "lang") if c in docs.columns})
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Tagged ``docs`` less the rows whose ``__row`` is in ``gone``."""
-    return docs.join(gone.select("__row").distinct(), "__row", "left_anti")
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Tagged ``rows`` less those whose ``row`` is in ``gone``."""
+    return rows.join(gone.select("row").distinct(), "row", "left_anti")
+
+
+def _plain(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _tagged(docs)
-    return _without(rows, quality.assess(rows, "__row").where(~F.col("kept"))).select(*[f"`{c}`" for c in docs.columns])
+    return _plain(_without(rows, quality.assess(rows, "row").where(~F.col("kept"))), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,20 +51,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _tagged(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    found = jaccard.near_duplicates(rows.select(key.alias("__key"), "text"), "__key")
-    gone = found.where(F.col("component_id.row") != F.col("__key.row")).select(F.col("__key.row").alias("__row"))
-    left = _without(rows, gone)
-    copies = (found.where(F.col("n_shingles") > 0).groupBy(F.col("__key.row").alias("__row")).agg(F.count("*").alias("n"))
-              .where("n > 1").select("__row"))
-    one = left.join(copies, "__row", "left_semi").dropDuplicates(["__row"])
-    return left.join(copies, "__row", "left_anti").unionByName(one).select(*[f"`{c}`" for c in docs.columns])
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row"))
+    found = jaccard.near_duplicates(rows.select(key.alias("key"), "text"), "key")
+    left = _without(rows, found.where(F.col("component_id.row") != F.col("key.row")).select("key.row"))
+    copies = (found.where(F.col("n_shingles") > 0).groupBy("key.row").agg(F.count("*").alias("n"))
+              .where("n > 1").select("row"))
+    one = left.join(copies, "row", "left_semi").dropDuplicates(["row"])
+    return _plain(left.join(copies, "row", "left_anti").unionByName(one), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _tagged(docs)
-    found = decontaminate.verdicts(decontaminate.find_spans(rows, table(spark, sf_dir, "benchmark"), "__row"), "__row")
-    return _without(rows, found.where("contaminated")).select(*[f"`{c}`" for c in docs.columns])
+    found = decontaminate.verdicts(decontaminate.find_spans(rows, table(spark, sf_dir, "benchmark"), "row"), "row")
+    return _plain(_without(rows, found.where("contaminated")), docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
