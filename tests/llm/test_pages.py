@@ -77,3 +77,48 @@ def test_classes_that_only_mention_boilerplate():
         assert text(page) == long.strip(), name
     for name in ("site-footer", "cookie-banner", "ad-1", "comment-list", "sidebar"):
         assert text(f"<body><div class=post><p>{long}</p><div class='{name}'>no part of it</div></div>") == long.strip(), name
+
+
+def test_parts_of_articles_stay():
+    para = "a paragraph of the paper with its own words " * 8
+    page = (f"<article><p>{para}</p><section class='discussion'><p>we discuss</p></section><div class='related work'><p>others did</p></div>"
+            f"<p class='alert'>mind the gap</p><aside>by the way</aside><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here</p>"
+            f"<object>drawn <canvas>so</canvas></object><div class='related'><a href=x>more of this</a> <a href=y>and that</a></div>"
+            f"<aside><a href=z>all our offers</a></aside><div class='comments'>first!</div><form>mail</form><div class='ad'>buy</div></article>")
+    assert text(page) == f"{para.strip()}\n\nwe discuss\n\nothers did\n\nmind the gap\n\nby the way\n\nEnergy is E=m here\n\ndrawn\n\nso"
+    assert text(f"<div class=post><p>{para}</p><section class=discussion><p>we discuss</p></section></div><div class=related>x</div>") == f"{para.strip()}\n\nwe discuss"
+    assert text(f"<body><div class=post><p>{para}</p></div><div class=notice>cookies</div><aside>side</aside>") == para.strip()
+
+
+def test_winner_must_hold_the_article(spark):
+    story = "the story of this page, told at length " * 60
+    post = "<body><div class=post><p>{}</p></div></body>"
+    rows = [(i, "http://a.example/", post.format(f"post {i}, with text " * 20)) for i in range(20)]
+    rows.append((50, "http://a.example/", f"<body><div class=story><p>{story}</p></div><div class=post><p>a teaser here</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[50] == story.strip() and got[3] == ("post 3, with text " * 20).strip()
+
+
+def test_host_without_articles_in_several_layouts(spark):
+    """Pages of one host in three layouts, none with an article element, against text cut by hand."""
+    def words(i, n):
+        return " ".join(f"word{i}x{k}" for k in range(n))
+    rows, want = [], {}
+    for i in range(45):
+        a, b, c = words(i, 60), words(100 + i, 30), words(200 + i, 8)
+        layout = [f"<div id=wrap><div class='entry e{i}'><h2>{c}</h2><p>{a}<p>{b}</div><div class=sidebar>{words(7, 40)}</div></div>",
+                  f"<table><tr><td class=menu><a href=x>{words(8, 20)}</a></td><td class=text><p>{a}</p><ul><li>{b}<li>{c}</ul></td></tr></table>",
+                  f"<section class=story><p>{a}</p><blockquote>{b}</blockquote><p>{c}</p></section><section class=teasers><a href=y>{words(9, 30)}</a></section>"][i % 3]
+        rows.append((i, "https://mixed.example/p", f"<html><body><header>{words(1, 9)}</header>{layout}<footer>{words(2, 30)}</footer></body></html>"))
+        want[i] = "\n\n".join([[c, a, b], [a, b, c], [a, b, c]][i % 3])
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r["page_id"]: r["text"] for r in pages.main_text(docs).collect()} == want
+
+
+def test_long_pages(spark):
+    para = "a long article with many words " * 30
+    page = "<body><div class=post>" + f"<p>{para}</p>" * 6000 + "</div></body>"
+    assert len(page) > 4 << 20
+    rows = [(1, "http://l.example/", page), (2, "http://l.example/", "<p>" + "x" * (5 << 20)), (3, "http://l.example/", "<div>" * 200_000 + "deep")]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "\n\n".join([para.strip()] * 6000) and got[2] == "x" * (5 << 20) and got[3] == "deep"

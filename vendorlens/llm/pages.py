@@ -3,12 +3,16 @@
 A first pass scores the containers of each page by their own text less what is linked,
 and votes for the best one's generalised path (tags with their classes, digits folded).
 Spark sums the votes per host and path; a host's winning paths are those with at least
-``share`` of its votes. A second pass extracts each page again at the first winning path
-that it has, else at its own best container.
+``share`` of its votes, its losing ones those that stand on as many pages without winning. A second pass extracts each
+page again at the first winning path that holds ``NEARLY`` all of what its own best container has. If none does, the page
+has its text elsewhere: its own best container counts, unless that is a losing path of the host
+(a box that is long for once), which leaves the first winning path that the page has.
 
 Blocks are runs of text between block-level tags. Boilerplate is left out: navigation,
-asides, headers and footers of the page, forms, scripts, styles, embedded objects, and
-elements whose class, id or role names a menu, sidebar, notice, advert or reader comment.
+asides, headers and footers of the page, forms, scripts, styles, embedded media, and
+elements whose class, id or role names a menu, sidebar, notice, advert or reader comment. Some of these words also
+name parts of an article (a paper's discussion, related work, a warning in the text, an aside): such an element goes
+only where at least half of it is linked (``TOPICS`` anywhere, asides and ``REMARKS`` within an article).
 If nothing else is left on a page, its articles count even inside such an element. A class
 that has such a word as a part of it only (``site-footer``) leaves the element out of the containers around
 it, but not of those inside it or of itself, so the best container is never lost by it.
@@ -36,7 +40,8 @@ from vendorlens.llm.common import as_sql_type, stored, text_blocks, texts
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
+MATH = "math menclose mfenced mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics"
+INLINE = frozenset(MATH.split()) | frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Containers that may be a page's whole article.
 WHOLE = frozenset("article body center div main section table td".split())
@@ -50,17 +55,22 @@ ENDS = [(frozenset("address article aside blockquote center details div dl field
         (frozenset({"td", "th"}), frozenset({"td", "th"})), (frozenset({"tr"}), frozenset({"td", "th", "tr"})),
         (frozenset({"tbody", "thead", "tfoot"}), frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"})),
         (frozenset({"option", "optgroup"}), frozenset({"option"})), (frozenset({"body"}), frozenset({"head"}))]
+# Fixed value: browsers don't nest elements deeper; what is below belongs to the innermost container.
+DEPTH = 512
 #: Where looking for an element to end stops.
 SCOPE = frozenset("article aside body div html main nav section table td th ul ol dl form blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-SKIPPED = frozenset("aside button canvas dialog embed footer form iframe math menu nav noscript object option select "
+SKIPPED = frozenset("annotation annotation-xml aside button dialog embed footer form iframe menu nav noscript option select "
                     "svg template audio video".split()) | RAW
 BOILERPLATE = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments "
-    "commentlist consent cookie cookies copyright dialog discussion disqus disclaimer footer gdpr header login masthead menu "
+    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies dialog discussion disqus disclaimer footer gdpr header login masthead menu "
     "modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion reader reactions "
     "recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar topbar widget widgets".split())
+#: Listed words that may name a part of an article as well.
+TOPICS = frozenset("discussion reactions reader recommended related".split())
+REMARKS = TOPICS | frozenset("alert disclaimer notice notices notification".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form navigation search toolbar".split())
 
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -74,11 +84,12 @@ READERS = frozenset("comment comments commentlist discussion disqus reply replie
 class Block:
     """A run of text: the paths of the containers around it, what it is and how much is linked."""
 
-    __slots__ = ("text", "paths", "skip", "article", "linked", "inside")
+    __slots__ = ("text", "paths", "skip", "article", "linked", "inside", "doubt")
 
-    def __init__(self, text, paths, skip, article, linked, inside=0):
+    def __init__(self, text, paths, skip, article, linked, inside=0, doubt=0):
         self.text, self.paths, self.skip, self.article, self.linked = text, paths, skip, article, linked
         self.inside = inside  # the first of its containers that it counts for
+        self.doubt = doubt  # the element around it that goes if it is mostly linked, 0 if none
 
 
 def tag_end(page: str, at: int, missing: set[str]) -> int:
@@ -102,6 +113,14 @@ def tag_end(page: str, at: int, missing: set[str]) -> int:
         i = close + 1
 
 
+def is_doubtful(tag: str, attributes: dict[str, str], article: bool) -> bool:
+    """Whether what names an element boilerplate may also name a part of an article."""
+    if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or tag in SKIPPED and not (tag == "aside" and article):
+        return False
+    listed = {w.lower() for w in WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")} & BOILERPLATE
+    return listed <= (REMARKS if article else TOPICS)
+
+
 def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool | None:
     """Whether an element is boilerplate; None if only a part of a class or id says so."""
     if tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
@@ -121,7 +140,8 @@ def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool | None:
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, from tags as they come; tags needn't be closed."""
     out: list[Block] = []
-    stack = [("", "", False, False, (), 0)]  # tag, path, skip, in an article, container paths, first that counts
+    stack = [("", "", False, False, (), 0, 0)]  # tag, path, skip, in an article, container paths, first that counts, doubt
+    doubts = 0
     run: list[str] = []
     linked = 0
     missing: set[str] = set()
@@ -130,14 +150,11 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(run)).split())
         if text:
-            _, _, skip, article, paths, inside = top_block()
-            out.append(Block(text, paths, skip, article, min(linked, len(text)), inside))
+            _, _, skip, article, paths, inside, doubt = stack[-1]
+            out.append(Block(text, paths, skip, article, min(linked, len(text)), inside, doubt))
         run.clear()
         linked = 0
 
-    def top_block():
-        return stack[-1]
-
     def add(text):
         nonlocal linked
         if text:
@@ -203,20 +220,27 @@ def blocks_of(page: str) -> list[Block]:
         attributes = {}
         if end > name.end():
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(page, name.end(), end)}
-        _, path, skip, article, paths, inside = stack[-1]
+        _, path, skip, article, paths, inside, doubt = stack[-1]
         if tag not in INLINE:
             classes = sorted(set(re.sub(r"\d+", "#", attributes.get("class", "").lower()).split()))
-            path = f"{path}>{'.'.join([tag, *classes])}"
             article = article or tag in ("article", "main")
-            if tag in CONTAINERS:
+            container = tag in CONTAINERS and len(stack) < DEPTH
+            if len(stack) < DEPTH:
+                path = f"{path}>{'.'.join([tag, *classes])}"
+            if container:
                 paths = (*paths, path)
             if tag == "header":
                 skip = skip or not article
             elif tag not in ("html", "body"):
                 named = is_boilerplate(tag, attributes)
+                if named is not False and is_doubtful(tag, attributes, article):
+                    named = False
+                    if not doubt:
+                        doubts += 1
+                        doubt = doubts
                 skip = skip or bool(named)
                 if named is None:  # counts for itself, if it is a container, and those inside
-                    inside = len(paths) - (tag in CONTAINERS)
+                    inside = len(paths) - container
             if article and tag in HEADINGS and not skip:
                 skip = False
         elif "hidden" in attributes:
@@ -229,13 +253,19 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in INLINE and skip != stack[-1][2]:
             flush()
-        stack.append((tag, path, skip, article, paths, inside))
+        stack.append((tag, path, skip, article, paths, inside, doubt))
     flush()
     return out
 
 
 def usable(blocks: list[Block]) -> list[Block]:
     """The blocks outside boilerplate; if there are none, those of articles."""
+    size: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for b in blocks:
+        size[b.doubt] = size.get(b.doubt, 0) + len(b.text)
+        linked[b.doubt] = linked.get(b.doubt, 0) + b.linked
+    blocks = [b for b in blocks if not b.doubt or 2 * linked[b.doubt] < size[b.doubt]]
     return [b for b in blocks if not b.skip] or [b for b in blocks if b.article]
 
 
@@ -274,13 +304,28 @@ def best_path(blocks: list[Block]) -> tuple[str, float]:
     return path, most
 
 
-def extract(page: str, winners: list[str]) -> tuple[str, str]:
+def within(blocks: list[Block], path: str) -> list[Block]:
+    return [b for b in blocks if path in b.paths[b.inside:]]
+
+
+def unlinked(blocks: list[Block]) -> int:
+    return sum(len(b.text) - b.linked for b in blocks)
+
+
+def extract(page: str, winners: list[str], losers=()) -> tuple[str, str]:
     """The text of a page and the path that gave it."""
     blocks = usable(blocks_of(page))
-    for path in [*winners, best_path(blocks)[0]]:
-        found = [b.text for b in blocks if path in b.paths[b.inside:]]
-        if found:
-            return "\n\n".join(found), path
+    own = best_path(blocks)[0]
+    mine = within(blocks, own)
+    most = unlinked(mine)
+    tried = [(path, found) for path in winners if (found := within(blocks, path))]
+    for path, found in tried:
+        if unlinked(found) >= NEARLY * most:
+            return "\n\n".join([b.text for b in found]), path
+    if tried and own in losers:
+        return "\n\n".join([b.text for b in tried[0][1]]), tried[0][0]
+    if mine:
+        return "\n\n".join([b.text for b in mine]), own
     return "\n\n".join([b.text for b in blocks if not b.inside] or [b.text for b in blocks]), ""
 
 
@@ -291,30 +336,44 @@ def host_of(url: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """A vote per page of a host: ``host``, ``path``, ``score``."""
+    """For each host and path, of a block of pages: ``host``, ``path``, its votes ``n``, their ``score`` and the pages
+    that have it, ``seen``."""
 
     def run(batches):
         for block in text_blocks(batches, "html"):
-            hosts, paths, scores = [], [], []
+            cast: dict[tuple, list] = {}
             for host, page in zip(block.column("host").to_pylist(), texts(block, "html")):
-                path, score = best_path(usable(blocks_of(page)))
+                blocks = usable(blocks_of(page))
+                path, score = best_path(blocks)
+                for p in {p for b in blocks for p in b.paths[b.inside:]}:
+                    cast.setdefault((host, p), [0, 0.0, 0])[2] += 1
                 if path and score > 0:
-                    hosts.append(host)
-                    paths.append(path)
-                    scores.append(math.log1p(score))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
-                                             names=["host", "path", "score"])
+                    vote = cast.setdefault((host, path), [0, 0.0, 0])
+                    vote[0] += 1
+                    vote[1] += math.log1p(score)
+            keys = list(cast)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()),
+                 *[pa.array([cast[k][i] for k in keys], kind) for i, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))]],
+                names=["host", "path", "n", "score", "seen"])
 
-    return pages.where(F.col("host").isNotNull()).select("host", "html").mapInArrow(run, "host string, path string, score double")
+    return pages.where(F.col("host").isNotNull()).select("host", "html").mapInArrow(
+        run, "host string, path string, n long, score double, seen long")
 
 
 def winning_paths(cast: DataFrame, share: float) -> DataFrame:
-    """The paths with at least ``share`` of a host's votes, most voted first: ``host``, ``winners``, ``votes``."""
-    paths = stored(cast.groupBy("host", "path").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("score")), "votes")
+    """The paths with at least ``share`` of a host's votes, most voted first, and those on as many pages without: ``host``,
+    ``winners``, ``losers``, ``votes``."""
+    paths = stored(cast.groupBy("host", "path").agg(F.sum("n").alias("n"), F.round(F.sum("score"), 6).alias("score"),
+                                                    F.sum("seen").alias("seen")), "votes")
     total = paths.groupBy("host").agg(F.sum("n").alias("votes"))
-    won = paths.join(total, "host").where(F.col("n") >= share * F.col("votes"))  # 1 / share rows a host at most
-    ranked = F.sort_array(F.collect_list(F.struct("n", "score", "path")), asc=False)
-    return won.groupBy("host", "votes").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
+    # of either kind at most 1 / share times as many a host as a page has containers
+    known = paths.join(total, "host").where(F.greatest("n", "seen") >= share * F.col("votes"))
+    won = F.col("n") >= share * F.col("votes")
+    ranked = F.sort_array(F.collect_list(F.when(won, F.struct("n", "score", "path"))), asc=False)
+    return (known.groupBy("host", "votes").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"),
+                                               F.collect_list(F.when(~won, F.col("path"))).alias("losers"))
+            .where(F.size("winners") > 0))
 
 
 #: Hosts with at least this part of all votes (so at most as many) are joined by broadcast.
@@ -322,14 +381,14 @@ HOT_HOSTS = 1000
 
 
 def with_winners(rows: DataFrame, won: DataFrame) -> DataFrame:
-    """``rows`` with their host's ``winners``. Pages of the large hosts aren't shuffled, so none is hot."""
+    """``rows`` with their host's ``winners`` and ``losers``. Pages of the large hosts aren't shuffled, so none is hot."""
     won = stored(won, "winners")
     every = won.agg(F.sum("votes").alias("n")).first()["n"] or 0
-    large = won.where(F.col("votes") * HOT_HOSTS >= every).select("host", "winners")
+    large = won.where(F.col("votes") * HOT_HOSTS >= every).select("host", "winners", "losers")
     rows = rows.join(F.broadcast(large), "host", "left")
     rest = F.col("winners").isNull() & F.col("host").isNotNull()
-    small = won.where(F.col("votes") * HOT_HOSTS < every).select("host", "winners")
-    return rows.where(~rest).unionByName(rows.where(rest).drop("winners").join(small, "host", "left"))
+    small = won.where(F.col("votes") * HOT_HOSTS < every).select("host", "winners", "losers")
+    return rows.where(~rest).unionByName(rows.where(rest).drop("winners", "losers").join(small, "host", "left"))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", share: float = 0.2) -> DataFrame:
@@ -339,11 +398,12 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
 
     def run(batches):
         for block in text_blocks(batches, "html"):
-            got = [extract(p, w or []) for p, w in zip(texts(block, "html"), block.column("winners").to_pylist())]
+            got = [extract(p, w or [], frozenset(x or ())) for p, w, x in
+                   zip(texts(block, "html"), block.column("winners").to_pylist(), block.column("losers").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [block.column("key"), block.column("url"), pa.array([t for t, _ in got], pa.string()),
                  pa.array([p for _, p in got], pa.string())], names=["key", "url", "text", "path"])
 
-    out = rows.select("key", "url", "html", "winners").mapInArrow(
+    out = rows.select("key", "url", "html", "winners", "losers").mapInArrow(
         run, f"key {as_sql_type(pages, key)}, url string, text string, path string")
     return out.withColumnsRenamed({"key": key, "url": url})
