@@ -35,6 +35,49 @@ def test_held_out_accuracy(spark):
     assert np.mean([r["kept"] for r, q, t in held if q and not t]) >= 0.97
 
 
+def test_each_target_uses_its_own_labels(spark):
+    """Half of the documents have a quality label only, the others a toxic label only."""
+    docs, labels = corpus()
+    half = [(i, q if i % 2 else None, None if i % 2 else t, x) for i, q, t, x in labels[:500]]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    out = {r["doc_id"]: r for r in bayes.classify(frame, spark.createDataFrame(half, LABELS)).collect()}
+    held = [(out[i], q, t) for i, q, t, _ in labels[500:]]
+    assert np.mean([r["toxic"] == bool(t) for r, _, t in held]) >= 0.97 and np.mean([(r["p_quality"] >= 0.5) == bool(q) for r, q, _ in held]) >= 0.97
+    counts = bayes.count_features(bayes.labelled_sample(frame, spark.createDataFrame(half, LABELS), "doc_id", "text", 1000)).where("feature = 0").first()
+    assert counts["quality0"] + counts["quality1"] > 150 and counts["toxic0"] + counts["toxic1"] > 150
+
+
+def brute_features(rows):
+    """(quality0, quality1, toxic0, toxic1) of each feature, counted by hand; rows: (text, quality, toxic)."""
+    out = {}
+    for text, q, t in rows:
+        tokens = text.split()
+        have = {bayes.repetition(tokens)} | {f for x in tokens for f in bayes.token_features(x)} if tokens else set()
+        for i, label in ((0, q), (2, t)):
+            if label is not None:
+                for f in have:
+                    out.setdefault(f, [0] * 4)[i + (label > 0)] += 1
+    return {bayes.hashed(f): tuple(c) for f, c in out.items()}
+
+
+def test_counts_against_brute_force(spark):
+    docs, labels = corpus(80)
+    rows = [(d[1], None if i % 3 == 0 else q, None if i % 4 == 0 else t) for i, (d, (_, q, t, _)) in enumerate(zip(docs, labels))]
+    rows += [("", 1, 0), ("x" * 40 + "-12-YES" * 5, 0, 1)]
+    sample = spark.createDataFrame([(*r, False) for r in rows], "text string, quality int, toxic int, held boolean").repartition(4)
+    got = {r["feature"]: tuple(r[c] for c in bayes.CLASSES) for r in bayes.count_features(sample).collect()}
+    got.pop(0)
+    assert got == brute_features(rows)
+
+
+def test_long_texts(spark):
+    docs, labels = corpus(60)
+    docs += [(900, "river " * 900_000, "s1", "en"), (901, "y" * (5 << 20), None, None), (902, "\n" * 300_000, "s1", None)]
+    labels += [(900, 1, 0, "x"), (901, 0, None, "x")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").repartition(3)
+    assert bayes.classify(frame, spark.createDataFrame(labels, LABELS)).count() == len(docs)
+
+
 def test_train_rows_bound_the_sample(spark):
     docs, labels = corpus(100)
     sample = bayes.labelled_sample(spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string"),

@@ -3,13 +3,12 @@
 Document evidence: word, prefix, shape and repetition features, weighted by their
 presence in labelled documents of either class (naive Bayes on the significant and
 strong ones, calibrated on a held-out fifth). It is fitted on at most ``train_rows``
-labelled documents, those with the least hash of their key, and has at most
-``max_features`` weights; both bounds hold at any corpus size and make the joins with
-it broadcasts. Of sampled texts with the same min-hash of word triples, which near copies
+labelled documents, those with the least hash of their key; this bound holds at any corpus size and bounds the
+weights too, so they are broadcast. Each target is fitted on all documents of the sample that have its own label. Of sampled texts with the same min-hash of word triples, which near copies
 share, one counts: else the words of a copied text would pass for signs of its class.
 
 Site evidence: Spark sums the documents' probabilities per host and per path of all
-documents. Host means are shrunk toward the global mean and path means toward their
+documents (the columns given as ``host`` and ``path``; the documents have no url, so ``source`` and ``lang`` stand for them). Host means are shrunk toward the global mean and path means toward their
 host's, with strengths from the observed spread (method of moments), so sparse sites
 keep the prior of the level above. A document's posterior log-odds are its own plus
 what its path's posterior differs from the global prior.
@@ -47,7 +46,7 @@ def token_features(token: str) -> list[str]:
     shape = token
     for pattern, to in _SHAPES:
         shape = pattern.sub(to, shape)
-    out = [f"s:{shape[:12]}"]
+    out = [f"s:{shape}"]
     letters = re.sub(r"[\W\d_]+", "", token).lower()
     if letters:
         out.append(f"w:{letters}")
@@ -77,7 +76,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, tra
     """At most ``train_rows`` labelled documents: ``key``, ``text``, ``quality``, ``toxic``, ``held``."""
     own = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    first = own.where("quality IS NOT NULL AND toxic IS NOT NULL").orderBy(F.xxhash64("key"), "key").limit(train_rows)
+    first = own.where("quality IS NOT NULL OR toxic IS NOT NULL").orderBy(F.xxhash64("key"), "key").limit(train_rows)
     held = F.pmod(F.xxhash64(F.lit("held"), "key"), F.lit(5)) == 0
 
     def sign(batches):
@@ -97,47 +96,46 @@ def signature(tokens: list[str]) -> int:
     return min((hashed(" ".join(tokens[i:i + 3]).lower()) for i in range(max(1, len(tokens) - 2))), default=0)
 
 
+#: The columns of counts: documents with the label 0 and 1 of each target.
+CLASSES = ("quality0", "quality1", "toxic0", "toxic1")
+
+
 def count_features(sample: DataFrame) -> DataFrame:
-    """In how many documents of each class a feature occurs: ``feature``, ``c0`` .. ``c3`` (quality, then toxic, as bits)."""
+    """In how many documents with each label a feature occurs: ``feature`` and ``CLASSES``."""
 
     def run(batches):
-        counts = [Counter() for _ in range(4)]
+        counts = [Counter() for _ in CLASSES]
         for block in text_blocks(batches):
-            cls = (2 * (block.column("quality").to_numpy() > 0) + (block.column("toxic").to_numpy() > 0)).tolist()
-            for t, c in zip(texts(block), cls):
-                counts[c].update(document_features(t.split(), worker_cache("token_features", REMEMBERED)))
-                counts[c][0] += 1  # the number of documents
+            for t, *labels in zip(texts(block), *(block.column(c).to_pylist() for c in TARGETS)):
+                have = document_features(t.split(), worker_cache("token_features", REMEMBERED))
+                for i, label in enumerate(labels):
+                    if label is not None:
+                        counts[2 * i + (label > 0)].update(have)
+                        counts[2 * i + (label > 0)][0] += 1  # the number of documents
         features = sorted(set().union(*counts))
         yield pa.RecordBatch.from_arrays([pa.array(features, pa.int64())] + [
-            pa.array([c[f] for f in features], pa.int64()) for c in counts], names=["feature", "c0", "c1", "c2", "c3"])
+            pa.array([c[f] for f in features], pa.int64()) for c in counts], names=["feature", *CLASSES])
 
-    rows = sample.where(~F.col("held")).select("text", "quality", "toxic").mapInArrow(
-        run, "feature long, c0 long, c1 long, c2 long, c3 long")
-    return rows.groupBy("feature").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)])
+    rows = sample.where(~F.col("held")).select("text", *TARGETS).mapInArrow(run, ", ".join(f"{c} long" for c in ("feature", *CLASSES)))
+    return rows.groupBy("feature").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
 
-def feature_weights(counts: DataFrame, max_features: int, least: float, strong: float):
-    """Weights of the most significant features and the prior log-odds of both targets (None: not both classes)."""
-    n = counts.where("feature = 0").select("c0", "c1", "c2", "c3").first() or (0, 0, 0, 0)
-    yes = {"quality": ((n[2] or 0) + (n[3] or 0)), "toxic": ((n[1] or 0) + (n[3] or 0))}
-    no = {"quality": ((n[0] or 0) + (n[1] or 0)), "toxic": ((n[0] or 0) + (n[2] or 0))}
-    have = {"quality": ("c2 + c3", "c0 + c1"), "toxic": ("c1 + c3", "c0 + c2")}
-    rows, priors, z = counts.where("feature <> 0"), {}, []
-    for t in TARGETS:
-        y, o = float(yes[t]), float(no[t])
+def feature_weights(counts: DataFrame, least: float, strong: float):
+    """Weights of the significant and strong features and the prior log-odds of both targets (None: not both classes)."""
+    n = counts.where("feature = 0").select(*CLASSES).first() or (0, 0, 0, 0)
+    rows, priors = counts.where("feature <> 0"), {}
+    for i, t in enumerate(TARGETS):
+        o, y = float(n[2 * i] or 0), float(n[2 * i + 1] or 0)
         priors[t] = math.log(y / o) if y and o else None
         if priors[t] is None:
-            rows = rows.withColumn(f"z_{t}", F.lit(0.0)).withColumn(f"w_{t}", F.lit(0.0))
+            rows = rows.withColumn(f"w_{t}", F.lit(0.0))
             continue
-        a, b = (F.expr(e).cast("double") for e in have[t])
+        b, a = (F.col(f"{t}{k}").cast("double") for k in (0, 1))
         both = (a + b) / (y + o)
-        rows = rows.withColumn(f"z_{t}", F.abs(a / y - b / o) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / y + 1 / o)))
+        z = F.abs(a / y - b / o) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / y + 1 / o))
         weight = F.log((a + 0.5) / (y + 1)) - F.log((b + 0.5) / (o + 1))
-        counts_for = (F.col(f"z_{t}") >= least) & (a + b >= 5) & (F.abs(weight) >= strong)
-        rows = rows.withColumn(f"w_{t}", F.when(counts_for, weight).otherwise(0.0))
-        z.append(f"z_{t}")
-    best = F.greatest(F.col("z_quality"), F.col("z_toxic"))
-    top = rows.where("w_quality <> 0 OR w_toxic <> 0").orderBy(best.desc(), "feature").limit(max_features).toArrow()
+        rows = rows.withColumn(f"w_{t}", F.when((z >= least) & (a + b >= 5) & (F.abs(weight) >= strong), weight).otherwise(0.0))
+    top = rows.where("w_quality <> 0 OR w_toxic <> 0").toArrow()  # of the sample's features
     f = top.column("feature").to_numpy()
     order = np.argsort(f)
     return f[order], {t: top.column(f"w_{t}").to_numpy()[order] for t in TARGETS}, priors
@@ -206,18 +204,19 @@ def scored(rows: DataFrame, model, keep: list[str]) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = 20_000,
-        max_features: int = 20_000, least: float = 5.0, strong: float = 2.0):
+        least: float = 5.0, strong: float = 2.0):
     """The document classifier: (features, weights) and per target (prior, slope, offset), None without labels."""
     sample = labelled_sample(docs, labels, key, text, train_rows)
-    features, weights, priors = feature_weights(stored(count_features(sample), "features"), max_features, least, strong)
+    features, weights, priors = feature_weights(stored(count_features(sample), "features"), least, strong)
     held = scored(sample.where("held"), (features, weights), ["key", "quality", "toxic"]).toArrow()  # a part of train_rows
     links = {}
     for t in TARGETS:
         if priors[t] is None:
             links[t] = None
             continue
-        label = (held.column(t).to_numpy() > 0).astype(float)
-        links[t] = (priors[t], *calibration(held.column(f"score_{t}").to_numpy() + priors[t], label))
+        given = [(x, float(y > 0)) for x, y in zip(held.column(f"score_{t}").to_pylist(), held.column(t).to_pylist()) if y is not None]
+        x, label = (np.array(c, float) for c in zip(*given)) if given else (np.zeros(0), np.zeros(0))
+        links[t] = (priors[t], *calibration(x + priors[t], label))
     return (features, weights), links
 
 
