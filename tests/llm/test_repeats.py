@@ -51,6 +51,33 @@ def test_shifted_passages(spark):
     assert ordered(map(tuple, repeats.remove_repeats(docs).collect())) == ordered(brute(table))
 
 
+@pytest.mark.parametrize("rows_a_batch", [1, 3])
+def test_names_that_go_on_in_the_next_batch(spark, rows_a_batch):
+    """Passages that all texts share, in blocks of one text each and batches of a few rows."""
+    rng = random.Random(6)
+    shared = [f"s{i}" for i in range(70)]
+    table = [(i, " ".join([f"{rng.randint(0, 10 ** 6)}" for _ in range(8)] + shared[rng.randint(0, 9):] + [f"e{i}"])) for i in range(60)]
+    table += [(None, table[5][1]), (7, table[9][1])]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(60)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        got = ordered(map(tuple, repeats.remove_repeats(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == ordered(brute(table))
+
+
+def test_long_texts(spark):
+    rng = random.Random(7)
+    long = " ".join(f"{rng.randint(0, 10 ** 9)}" for _ in range(450_000))
+    assert len(long) > 4 << 20
+    table = [(1, long), (2, long[1_000_000:2_000_000]), (3, "same " * 900_000), (4, "z" * (5 << 20)), (5, "\n" * 200_000)]
+    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(table, "doc_id long, text string").repartition(3)).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["n_words"] - got[2]["n_removed"] <= 2 and got[5]["n_words"] == 0
+    assert got[3]["n_removed"] == 899_980 + 19 and got[4]["kept"] == "z" * (5 << 20)
+
+
 def test_equal_windows_share_their_anchor():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 40, 4000).astype(np.uint64)

@@ -218,23 +218,16 @@ def removed_ranges(docs: DataFrame, key: str, text: str, size: int) -> DataFrame
                      pa.array([bytes([SETTLED]) + int(e).to_bytes(4, "little") for e in end], pa.binary())], names=NAMES)
 
     def settle_names(batches):
-        held = None  # rows of the last name, which may go on in the next batch
+        """Rows come by name, then by place: of the name that goes on in the next batch only the windows' first places are kept."""
+        held = None  # (name, kinds, docs, positions)
         for batch in batches:
-            now = pa.Table.from_batches([batch])
-            if held is not None:
-                now = pa.concat_tables([held, now])
-            if not len(now):
-                continue
-            name = now.column("name").to_numpy()
-            cut = int(np.searchsorted(name, name[-1]))
-            held = now.slice(cut)
-            yield from settled(now.slice(0, cut))
-        if held is not None:
-            yield from settled(held)
+            if len(batch):
+                parts, held = settled(batch, held)
+                if parts:
+                    cols = [np.concatenate(c) for c in zip(*parts)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["doc", "tag", "begin", "end"])
 
-    def settled(rows):
-        if not len(rows):
-            return
+    def settled(rows, held):
         name, doc, at = (rows.column(c).to_numpy() for c in NAMES[:3])
         windows = rows.column("windows").to_pylist()
         own = np.fromiter((w[0] == SETTLED for w in windows), bool, len(windows))
@@ -244,27 +237,34 @@ def removed_ranges(docs: DataFrame, key: str, text: str, size: int) -> DataFrame
             end = np.fromiter((int.from_bytes(windows[i][1:], "little") for i in done), np.int64, len(done))
             parts.append((doc[done], at[done] & 0x7FFFFFFF, at[done] >> 32, end))
         same = np.concatenate(([False], name[1:] == name[:-1]))
-        several = np.flatnonzero((same | np.append(same[1:], False)) & ~own)
-        if len(several):
-            row, step, off, digest = expanded([windows[i] for i in several], size)
-            row, step, off, digest = (x[digest != 0] for x in (row, step, off, digest))
-            row = several[row]
-            d, p, tag = doc[row], (at[row] >> 32) + step, at[row] & 0x7FFFFFFF
-            kind = digest | off.astype(np.uint64) << np.uint64(48)
-            order = np.lexsort((p, d, kind, name[row]))
-            group = np.cumsum(np.concatenate(([True], (kind[order][1:] != kind[order][:-1])
-                                              | (name[row][order][1:] != name[row][order][:-1]))))
-            gone = order[settle(group, d[order], p[order])]
-            if len(gone):
-                parts.append(ranges_of(d[gone], tag[gone], p[gone], size))
-        if parts:
-            cols = [np.concatenate(c) for c in zip(*parts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["doc", "tag", "begin", "end"])
+        some = same | np.append(same[1:], False) | (name == name[-1])
+        if held is not None:
+            some |= name == held[0]
+        several = np.flatnonzero(some & ~own)
+        if not len(several):
+            return parts, held if held is not None and held[0] == name[-1] else None
+        row, step, off, digest = expanded([windows[i] for i in several], size)
+        row, step, off, digest = (x[digest != 0] for x in (row, step, off, digest))
+        row = several[row]
+        n, d, p, tag = name[row], doc[row], (at[row] >> 32) + step, at[row] & 0x7FFFFFFF
+        kind = digest | off.astype(np.uint64) << np.uint64(48)
+        if held is not None:
+            n = np.append(n, np.full(len(held[1]), held[0]))
+            kind, d, p = (np.append(x, y) for x, y in zip((kind, d, p), held[1:]))
+            tag = np.append(tag, np.full(len(held[1]), -1))
+        order = np.lexsort((p, d, kind, n))
+        n, kind, d, p, tag = (x[order] for x in (n, kind, d, p, tag))
+        new = np.concatenate(([True], (kind[1:] != kind[:-1]) | (n[1:] != n[:-1])))
+        gone = settle(np.cumsum(new), d, p) & (tag >= 0)
+        if gone.any():
+            parts.append(ranges_of(d[gone], tag[gone], p[gone], size))
+        first = new & (n == name[-1])
+        return parts, (name[-1], kind[first], d[first], p[first])
 
     rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(int(LAST))).alias("doc"), tag_of(docs, text).alias("tag"),
                        docs[text].alias("text"))
     named_rows = rows.mapInArrow(name_windows, "name long, doc long, at long, windows binary")
-    return named_rows.repartition("name").sortWithinPartitions("name").mapInArrow(
+    return named_rows.repartition("name").sortWithinPartitions("name", "doc", "at").mapInArrow(
         settle_names, "doc long, tag long, begin long, end long")
 
 
