@@ -11,6 +11,7 @@ from vendorlens.operators import quality as Q
 from vendorlens.operators import summary as T
 from vendorlens.plans import tables as tb
 from vendorlens.plans.oracle import avg_rank_pct_sql, cte, exact_quantile_sql, with_ctes
+from vendorlens.functions.expr import canon, canon_sql
 from vendorlens.plans.registry import register
 
 
@@ -748,7 +749,10 @@ register("H11_top_vs_low_report", lambda s, d: H.top_vs_low_report(tb.vsv(s, d))
 register("D1d_top_low_histogram", lambda s, d: D.histogram(_h4(s, d, 0.25), ["value"], 24, group="group", density=True),
          with_ctes(["vsv"], _h4_sql(0.25) + ", both_groups AS (SELECT * FROM h4 WHERE \"group\" IN ('top', 'low'))"
                    + _present("both_groups", ["value"], ('"group"',)) + _hist_sql(24, '"group"', True)), ("lo", "hi", "density"))
+# few vendors have few different resamples, some of them on an edge: rounded, so that the order of a sum doesn't choose the bin
 register("D1e_bootstrap_diff_histogram",
-         lambda s, d: D.histogram(H.bootstrap_diffs(_h4(s, d, 0.25), _K2, "top", "low", B=2000, seed=42), ["diff"], 30, density=True),
-         with_ctes(["vsv"], _h4_sql(0.25) + _boot_diff_ctes("h4", _K2, "top", "low", 2000, 42) + _present("diffs", ["diff"])
+         lambda s, d: D.histogram(H.bootstrap_diffs(_h4(s, d, 0.25), _K2, "top", "low", B=2000, seed=42).select(canon("diff").alias("diff")),
+                                  ["diff"], 30, density=True),
+         with_ctes(["vsv"], _h4_sql(0.25) + _boot_diff_ctes("h4", _K2, "top", "low", 2000, 42)
+                   + f", rounded AS (SELECT {canon_sql('diff')} AS diff FROM diffs)" + _present("rounded", ["diff"])
                    + _hist_sql(30, density=True)), ("lo", "hi", "density"))
