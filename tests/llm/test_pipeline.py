@@ -82,6 +82,14 @@ def test_clashing_columns_and_long_texts(spark, folder):
     assert cp.STAGES[-1][1](spark, docs, folder).count() == len(rows)
 
 
+def test_near_duplicates_of_several_tasks(spark, folder):
+    """Shingles that meet only after the shuffle, with keys whose parts are never null."""
+    docs = documents(spark, 9)
+    out = cp.near_duplicates(spark, docs, folder).collect()
+    texts = [r["text"] for r in out if r["text"] and r["text"].split()]
+    assert 0 < len(out) < docs.count() and len(texts) == len(set(texts))
+
+
 def test_verdicts_apply_to_their_own_rows(spark, folder):
     from tests.llm.fixtures import sentence
     import random

@@ -124,7 +124,9 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     have, it counts these and sends on one row for all, so a passage that all documents share is one row a block.
     """
     from pyspark.sql.pandas.types import to_arrow_type
-    key_type = to_arrow_type(docs.schema[key].dataType)
+    from pyspark.sql.types import StructType
+    kind = as_sql_type(docs, key)
+    key_type = to_arrow_type(StructType.fromDDL(f"key {kind}")["key"].dataType)  # as tasks get it: any part of a key may be null
     names = ["range", "key", "n", "node", "shared", "blob"]
 
     def rows(size, **columns):
@@ -193,8 +195,7 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(len(found), key_type), pa.nulls(len(found), pa.int64()), pa.array(found), pa.array(count, pa.int64())],
                                              names=["key", "n", "node", "shared"])
 
-    kind = as_sql_type(docs, key)
-    cut = docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(
+    cut = docs.select(docs[key].cast(kind).alias("key"), docs[text].alias("text")).mapInArrow(
         cut_up, f"range int, key {kind}, n long, node long, shared long, blob binary")
     return cut.repartition("range").sortWithinPartitions("range").mapInArrow(settle, f"key {kind}, n long, node long, shared long")
 
