@@ -29,7 +29,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", 8)
     lines = ["# Physical plans of selected queries", "",
-             f"Plans that ran at `{sf}` (`tools/plan_report.py`), after adaptive changes; jobs of checkpoints are apart. "
+             f"Plans that ran at `{sf}` (`tools/plan_report.py`), after adaptive changes; what was written or counted before (stored frames, counts of ranges) is apart. "
              "`Exchange SinglePartition` only ever carries one-row aggregates or bucket offsets.", "",
              "| query | " + " | ".join(o.replace("Exchange ", "Ex ") for o in OPS) + " |",
              "| --- |" + " --- |" * len(OPS)]
