@@ -1,5 +1,6 @@
 """Golden invariants and metamorphic checks on the driver tables."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,36 @@ def test_permutations_against_sorting_all_rows(spark):
         rest = v.sum() - v[first].sum()
         over += v[first].mean() - rest / (len(v) - n_a) >= seen - abs(seen) * 1e-12
     assert got["n_a"] == n_a and got["p_value"] == over / 40
+
+
+def test_range_counts_against_all_comparisons(spark, monkeypatch):
+    """Rows and sums per range, and only rows near the cut are placed edge by edge."""
+    import numpy as np
+
+    from vendorlens.operators import inference as inf
+    rng = np.random.default_rng(2)
+    n, reps = 4000, np.arange(12)
+    h1, h2 = rng.integers(0, 1 << 30, (2, n))
+    v = rng.normal(5, 2, n)
+    placed = []
+    reached = inf.reached
+    monkeypatch.setattr(inf, "reached", lambda x, steps: placed.append(x.size) or reached(x, steps))
+    x = inf.mixed(h1, h2, reps[:, None])
+    edges = np.broadcast_to(inf._cut_edges(1500, n), (12, inf.CUTS))
+    inner = edges[:, 3:4] + np.arange(1, inf.CUTS + 1) * (edges[:, 9:10] - edges[:, 3:4]) // (inf.CUTS + 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(v)], names=["_h1", "_h2", "value"])
+
+    class Rows:  # runs the function of a task here
+        def mapInArrow(self, run, schema):
+            (out,) = run([batch])
+            return spark.createDataFrame(out.to_pandas(), schema)
+
+    for low, high, e in ((np.zeros(12, np.int64), np.full(12, inf.M31), edges), (edges[:, 3], edges[:, 9], inner)):
+        got = {(r["at"], r["range"]): (r["n"], r["s"]) for r in inf._range_counts(Rows(), reps, low, high, e).collect()}
+        for i in reps.tolist():
+            own = (x[i] >= low[i]) & (x[i] < high[i])
+            place = np.searchsorted(e[i], x[i], "right")
+            for k in range(inf.CUTS + 1):
+                mine = own & (place == k)
+                assert got.get((i, k), (0, 0.0))[0] == mine.sum() and np.isclose(got.get((i, k), (0, 0.0))[1], v[mine].sum(), rtol=1e-12)
+    assert sum(placed) < 2 * x.size / 5

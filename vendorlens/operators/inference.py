@@ -67,7 +67,7 @@ def _thresholds() -> np.ndarray:
 
 POISSON_STEPS = _thresholds()
 #: Integers that a step of a task mixes: rows times replicates.
-CELLS = 1 << 16
+CELLS = 1 << 15
 
 
 def blocks(reps, rows: int):
@@ -105,18 +105,24 @@ def lanes(df: DataFrame, seed: int, keys) -> DataFrame:
 
 def _mod31(x: np.ndarray) -> np.ndarray:
     """``x`` modulo M31 = 2**31 - 1 for 0 <= x < 2**61, without a division."""
-    y = (x & M31) + (x >> 31)
-    np.subtract(y, M31, out=y, where=y >= M31)
-    return y
+    y = x >> 31
+    y += x & M31
+    less = y - M31
+    return np.minimum(y.view(np.uint64), less.view(np.uint64)).view(np.int64)  # a negative number is the larger one
+
+
+def _fold(a, by: int):
+    """``a`` times ``by``, modulo M31; ``a`` is overwritten."""
+    a *= by
+    return _mod31(a)
 
 
 def _stir(a, rep):
-    a = a ^ ((rep * GOLDEN) % 4294967296)
-    a = _mod31(a * 48271)
-    a = a ^ (a >> 15)
-    a = _mod31(a * 69621)
-    a = a ^ (a >> 13)
-    return _mod31(a * 48271)
+    a = _fold(a ^ ((rep * GOLDEN) % 4294967296), 48271)
+    a ^= a >> 15
+    a = _fold(a, 69621)
+    a ^= a >> 13
+    return _fold(a, 48271)
 
 
 def mixed(h1: np.ndarray, h2: np.ndarray, rep) -> np.ndarray:
@@ -278,6 +284,8 @@ def _diffs(d: DataFrame, keys, group_a: str, group_b: str, B: int, seed: int) ->
 #: Edges of the ranges in which rows are counted, and how many deviations they reach to either side of the expected cut.
 CUTS = 17
 REACH = 4.0
+#: Boundary rows that a task sends on together.
+SENT = 1 << 16
 
 
 def _cut_edges(n_a: int, n: int) -> np.ndarray:
@@ -299,16 +307,23 @@ def _range_counts(rows: DataFrame, reps: np.ndarray, low: np.ndarray, high: np.n
         n, s = np.zeros((len(reps), width), np.int64), np.zeros((len(reps), width))
         for batch in batches:
             h1, h2, v = _columns(batch)
+            finite = np.isfinite(v).all()
             for part in blocks(reps, len(v)):
                 x = mixed(h1, h2, reps[part, None])
-                place = np.arange(len(x))[:, None] * width + reached(x, [e[:, None] for e in edges[part].T])
-                weight, size = np.broadcast_to(v, x.shape), len(x) * width
+                e = edges[part]
+                lower, mid = x < e[:, :1], x < e[:, -1:]  # all but a few are in the first or the last range
                 if not whole:
-                    inside = (x >= low[part, None]) & (x < high[part, None])
-                    place, weight = place[inside], weight[inside]
-                place, weight = place.ravel(), weight.ravel()
-                n[part] += np.bincount(place, minlength=size).reshape(-1, width)
-                s[part] += np.bincount(place, weights=weight, minlength=size).reshape(-1, width)
+                    above, inside = x >= low[part, None], x < high[part, None]
+                    lower, mid, inside = lower & above, mid & above & inside, above & inside
+                upper = x >= e[:, -1:] if whole else inside & ~mid
+                mid ^= lower
+                ends = [(np.count_nonzero(m, axis=1), np.einsum("ij,j->i", m, v) if finite else np.where(m, v, 0.0).sum(1)) for m in (lower, upper)]
+                line, at = np.nonzero(mid)
+                place, size = line * width + reached(x[line, at], e[line].T), len(x) * width
+                n_in, s_in = (np.bincount(place, weights=w, minlength=size).reshape(-1, width) for w in (None, v[at]))
+                for total, inner, below, beyond in zip((n, s), (n_in, s_in), *ends):
+                    inner[:, 0], inner[:, -1] = below, beyond
+                    total[part] += inner
         at, ranges = np.nonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ranges), pa.array(n[at, ranges]), pa.array(s[at, ranges])],
                                          names=["at", "range", "n", "s"])
@@ -367,15 +382,25 @@ def permutation_test(df: DataFrame, keys, group_a: str, group_b: str, B: int = 1
     numbers = np.arange(B)
 
     def boundary(batches):
+        held, size = [], 0  # a block of replicates has but a few rows
+
+        def out():
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["rep", "key", "_h1", "_h2", "value"])
+                held.clear()
+
         for batch in batches:
             h1, h2, v = _columns(batch)
             for part in blocks(numbers, len(v)):
                 x = mixed(h1, h2, numbers[part, None])
                 rep, at = np.nonzero((x >= low[part, None]) & (x < high[part, None]))
                 if len(rep):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(numbers[part][rep]), pa.array(x[rep, at]), pa.array(h1[at]), pa.array(h2[at]), pa.array(v[at])],
-                        names=["rep", "key", "_h1", "_h2", "value"])
+                    held.append((numbers[part][rep], x[rep, at], h1[at], h2[at], v[at]))
+                    size += len(rep)
+                    if size >= SENT:
+                        yield from out()
+                        size = 0
+        yield from out()
 
     near = spread.mapInArrow(boundary, "rep long, key long, _h1 long, _h2 long, value double")
     run = d.sparkSession.createDataFrame(pa.table([pa.array(numbers), pa.array(rest), pa.array(below)], names=["rep", "rest", "sum_below"]))
