@@ -155,6 +155,33 @@ def test_buckets_and_parts_of_contexts(spark, monkeypatch):
     assert set(word_scores(spark, texts)) == set(texts)
 
 
+def test_losses_do_not_depend_on_buckets_and_parts(spark, monkeypatch):
+    texts = random_texts(n=80)
+    want = word_model(texts)
+    monkeypatch.setattr(wordgrams, "BLOCK", 3000)
+    for bucket, part in ((300, 1 << 20), (150, 40), (1 << 20, 25)):
+        monkeypatch.setattr(wordgrams, "BUCKET", bucket)
+        monkeypatch.setattr(wordgrams, "PART", part)
+        got = word_scores(spark, texts + texts[:20])
+        assert set(got) == set(want) and all(math.isclose(got[t], want[t], rel_tol=1e-6) for t in want), (bucket, part)
+
+
+def test_tabulated_probabilities(spark):
+    texts = ["the mill turns", "the hill turns the mill", "Über 12% of mills!", "turn, turn; turn"]
+    for given in (texts, [""]):
+        model = quality.train(spark.createDataFrame([(t,) for t in given], "text string"))
+        begin, logs = quality.tabulated(model)
+        grams = np.concatenate((np.arange(0, 1 << 24, 37, np.int32), model[0]["gram"].astype(np.int32)))
+        assert (logs[begin[grams >> 6] + (grams & 63)] == np.log(quality.probabilities(grams, model))).all()
+
+
+def test_sketch_of_contexts_is_that_of_the_texts(spark):
+    docs = documents(spark)
+    found = quality.measured(docs, quality.train(docs))
+    ours = wordgrams.added_sketch(found.where("piece IS NOT NULL").select("piece", "counts"))
+    assert (ours == wordgrams.added_sketch(wordgrams.context_counts(docs))).all() and ours[0].sum() > 0
+
+
 def test_bands_against_brute_force(spark):
     rng = np.random.default_rng(6)
     table = [(i, float(np.exp(rng.normal(1, 0.3)) * (50 if i % 40 == 0 else 1)), int(rng.integers(5, 400)), [None, "en"][i % 2]) for i in range(600)]
