@@ -28,13 +28,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendorlens.llm.common import BLOCK_BYTES, as_sql_type, salted_join, stored, text_blocks, utf8, worker_cache
-from vendorlens.llm.wordgrams import word_losses
+from vendorlens.llm.wordgrams import LINES, PIECES, SLOTS, sketch_of, sketch_pieces, word_losses, words_of
 
 ORDER = 4
 BITS = 6
@@ -42,7 +41,6 @@ SYMBOLS = b"#*$%&|<>"
 BREAKS = b" \t\n\r\x0b\x0c"
 #: Marks with a class of their own, in the order of their classes from 31 on.
 MARKS = b".,;:'\"!?-()/%#$&*|@_="
-REMEMBERED = 300_000
 
 
 def symbol_classes() -> np.ndarray:
@@ -176,8 +174,24 @@ def probabilities(grams: np.ndarray, model, k: int = 0) -> np.ndarray:
     return out
 
 
-def base_counts(raw: list[bytes], known: dict[bytes, int]) -> dict[str, np.ndarray]:
-    """The counts of the base rules for each text."""
+def tabulated(model) -> tuple[np.ndarray, np.ndarray]:
+    """The logarithms of all probabilities: where the line of each context begins, and lines with a place for each symbol.
+
+    A context that the model has not seen gets the line of the context one shorter; lines of these are first."""
+    upto = 1 << BITS * (ORDER - 1)
+    seen = np.unique(model[0]["gram"] >> BITS)
+    line = np.arange(upto, dtype=np.int32) & (upto - 1 >> BITS)
+    line[seen] = np.arange(len(seen), dtype=np.int32) + (upto >> BITS)
+    logs = np.empty(upto + (len(seen) << BITS), np.float32)
+    logs[:upto] = np.log(probabilities(np.arange(upto, dtype=np.int32), model, 1))
+    for i in range(0, len(seen), 4096):
+        grams = (seen[i:i + 4096, None].astype(np.int32) << BITS | np.arange(1 << BITS, dtype=np.int32)).ravel()
+        logs[upto + (i << BITS):][:len(grams)] = np.log(probabilities(grams, model))
+    return line << BITS, logs
+
+
+def base_counts(raw: list[bytes]):
+    """The counts of the base rules for each text, and the hashes of all words."""
     size = np.fromiter(map(len, raw), np.int64, len(raw))
     flat = np.frombuffer(b"".join(raw) + b"\0", np.uint8)
     at = np.concatenate(([0], np.cumsum(size)))
@@ -191,16 +205,11 @@ def base_counts(raw: list[bytes], known: dict[bytes, int]) -> dict[str, np.ndarr
     char = np.ones(256, bool)
     char[0x80:0xC0] = False
     char[list(BREAKS)] = False
-    words = [t.split() for t in raw]
-    n_words = np.fromiter(map(len, words), np.int64, len(raw))
+    h, n_words = words_of(raw)
     lines = [[x for x in t.split(b"\n") if x and not x.isspace()] for t in raw]
     out = {"n_words": n_words, "word_chars": per_text(char[flat]), "n_symbols": per_text(of[flat]),
            "n_dup_lines": np.fromiter((len(x) - len(set(x)) for x in lines), np.int64, len(raw)),
            "n_repeat_words": np.zeros(len(raw), np.int64)}
-    every = [w for x in words for w in x]
-    for w in set(every).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(known.__getitem__, every), np.uint64, len(every))
     if len(h) >= 8:
         text = np.repeat(np.arange(len(raw), dtype=np.uint64), n_words)
         g = text[:-7] * np.uint64(0x9E3779B97F4A7C15)  # windows of other texts differ
@@ -217,33 +226,50 @@ def base_counts(raw: list[bytes], known: dict[bytes, int]) -> dict[str, np.ndarr
         np.add.at(edge, order[twice], 1)
         np.add.at(edge, order[twice] + 8, -1)
         out["n_repeat_words"] = np.bincount(text[np.cumsum(edge[:-1]) > 0].astype(np.int64), minlength=len(raw))
-    return out
+    return out, h
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def measured(docs: DataFrame, model, key: str = "doc_id", text: str = "text", group: str = "lang") -> DataFrame:
-    """Per document row: ``text_hash``, the base counts and ``log_perplexity`` (null without words)."""
+    """Per document row: ``text_hash``, the base counts and ``log_perplexity`` (null without words).
+
+    Rows with a ``piece`` are no documents: they hold the ``context_counts`` of the texts, from the same words."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(f"key {as_sql_type(docs, key)}, grp {as_sql_type(docs, group)}, text_hash long, "
+                                + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double, piece int, counts binary")
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
+        lines = worker_cache("character_model")  # of the last model only
+        if name not in lines:
+            lines.clear()
+            lines[name] = tabulated(shared.value)
+        begin, logs = lines[name]
+        sketch, kinds = np.zeros((LINES, SLOTS), np.int64), dict(zip(arrow.names, arrow.types))
+
+        def rows(size, **columns):
+            kinds.update({c: x.type for c, x in columns.items()})  # the types that came in, in every batch
+            return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, kind) for c, kind in kinds.items()], names=arrow.names)
+
         for block in text_blocks(batches, block_bytes=BLOCK_BYTES // 2):  # some 40 bytes of arrays a byte of text
             raw = utf8(block)
             g, size = grams_of(raw)
-            total = np.concatenate(([0.0], np.cumsum(np.log(probabilities(g, shared.value)), dtype=np.float64)))
+            total = np.concatenate(([0.0], np.cumsum(logs[begin[g >> BITS] + (g & (1 << BITS) - 1)], dtype=np.float64)))
             at = np.concatenate(([0], np.cumsum(size)))
             loss = total[at[:-1]] - total[at[1:]]
-            counts = base_counts(raw, worker_cache("word_hashes", REMEMBERED))
-            yield pa.RecordBatch.from_arrays(
-                [block.column("key"), block.column("grp"), block.column("text_hash"), *[pa.array(counts[c], pa.int64()) for c in COUNTS],
-                 pa.array(loss / np.maximum(counts["n_words"], 1), pa.float64(), mask=counts["n_words"] == 0)],
-                names=["key", "grp", "text_hash", *COUNTS, "log_perplexity"])
+            counts, words = base_counts(raw)
+            sketch += sketch_of(words, counts["n_words"])
+            yield rows(len(raw), key=block.column("key"), grp=block.column("grp"), text_hash=block.column("text_hash"),
+                       **{c: pa.array(counts[c], pa.int64()) for c in COUNTS},
+                       log_perplexity=pa.array(loss / np.maximum(counts["n_words"], 1), pa.float64(), mask=counts["n_words"] == 0))
+        yield rows(PIECES, piece=pa.array(range(PIECES), pa.int32()), counts=pa.array(sketch_pieces(sketch), pa.binary()))
 
     out = docs.select(docs[key].alias("key"), docs[group].alias("grp"), docs[text].alias("text"),
-                      F.xxhash64(docs[text]).alias("text_hash")).mapInArrow(
-        run, f"key {as_sql_type(docs, key)}, grp {as_sql_type(docs, group)}, text_hash long, "
-        + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double")
+                      F.xxhash64(docs[text]).alias("text_hash")).mapInArrow(run, schema)
     return out.withColumnsRenamed({"key": key, "grp": group})
 
 
@@ -289,8 +315,9 @@ def assess(docs: DataFrame, key: str = "doc_id", text: str = "text", group: str
     language's bands. Returns ``key``, the counts, ``base_failed``, ``kept``, ``log_perplexity``
     (by characters) and ``word_log_perplexity``.
     """
-    rows = stored(measured(docs, train(docs, text), key, text, group), "measured")  # so that no re-planned join runs it twice
-    rows = salted_join(rows, stored(word_losses(docs, discounts, text), "word-losses"), ["text_hash"], salts=4)
+    found = stored(measured(docs, train(docs, text), key, text, group), "measured")  # so that no re-planned join runs it twice
+    rows, contexts = found.where("piece IS NULL").drop("piece", "counts"), found.where("piece IS NOT NULL").select("piece", "counts")
+    rows = salted_join(rows, stored(word_losses(docs, discounts, text, contexts), "word-losses"), ["text_hash"], salts=4)
     rows = stored(rows.withColumn("word_log_perplexity", F.col("word_loss") / F.when(F.col("n_words") > 0, F.col("n_words"))).drop("word_loss"), "quality")
     grp = F.struct(F.col(group).alias("g"))
     out = rows.withColumn("grp", grp)
