@@ -80,3 +80,48 @@ def test_component_labels(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (103, 102), (101, 103)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "u long, v long")).collect()))
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 104)}}
+
+
+def unlike_copies(n=150):
+    """Texts that share most shingles with one another, and changes with some, but few of them enough."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(300)]
+    table = []
+    for i in range(n):
+        w = list(words)
+        for j in rng.choice(300, 10, replace=False):
+            w[j] = f"x{j}y{rng.integers(3)}"
+        table.append((i, " ".join(w)))
+    return table
+
+
+def test_pairs_below_the_threshold_are_not_counted(spark):
+    """Signatures settle pairs that can't link, so the overlaps that are counted grow with the links, not with a group's square."""
+    table = unlike_copies()
+    join = jaccard.Join(spark.createDataFrame(table, "doc_id long, text string").repartition(5), "doc_id", "text", 5, 4, 5)
+    pairs = jaccard.stored(join.all_pairs(join.mixed(None)))
+    assert pairs.count() > 500 and join.sized(pairs).count() <= join.verify(pairs).count() + pairs.count() // 10
+
+
+def test_signatures_bound_the_overlap():
+    rng = np.random.default_rng(7)
+    for size in (1, 5, 400, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate((a[size // 7:], rng.integers(0, 1 << 63, size // 5).astype(np.uint64))))
+        bits = np.bitwise_count((jaccard.signature(a) ^ jaccard.signature(b)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b)) and jaccard.signature(a).size * 64 == jaccard.SIGNATURE
+
+
+def test_rows_without_a_partner_leave_the_buckets(spark):
+    """A row stays if its set and place allow a link with another set of its shingle: with brute force over all pairs."""
+    table = unlike_copies(40) + [(100 + i, t) for i, (_, t) in enumerate(unlike_copies(40))] + [(200, " ".join(f"w{i}" for i in range(60)))]
+    join = jaccard.Join(spark.createDataFrame(table, "doc_id long, text string").repartition(5), "doc_id", "text", 5, 4, 5)
+    index = jaccard.prefixes(join.sets, join.order, 4, 5).collect()
+    by = defaultdict(list)
+    for r in index:
+        by[r["h"]].append(r)
+    need = {(x["h"], x["node"]) for group in by.values() for x in group for y in group if x["node"] != y["node"]
+            and 9 * (x["n"] - x["pos"]) >= 4 * (x["n"] + y["n"]) and 9 * (y["n"] - y["pos"]) >= 4 * (x["n"] + y["n"])}
+    got = {(r["h"], r["node"]) for r in join.buckets.collect()}
+    several = {(x["h"], x["node"]) for group in by.values() for x in group if len(group) > 1}
+    assert need <= got < several

@@ -13,7 +13,8 @@ Equal sets are one class from the start. Candidates are first the pairs of one c
 each prefix shingle, another in every round, with the others of its list; when that
 stops joining components, all pairs of a list that lie in different components. So a group
 of many near copies isn't expanded into all its pairs, and no link that joins two
-components is missed. ``all_links`` verifies all candidate pairs instead and returns
+components is missed. Before a pair's overlap is counted, the signatures of its sets bound it: a bit of a signature is the parity of a
+set's shingles there, so two signatures differ in no more bits than their sets in shingles. ``all_links`` verifies all candidate pairs instead and returns
 every link.
 
 Shingles are 64-bit hashes and a class is known by a 64-bit digest of its set. What is
@@ -46,6 +47,8 @@ HUBS = 6
 #: The sketch travels in this many parts.
 PARTS = 64
 FRAGMENTS = 4
+#: Bits of a set's signature.
+SIGNATURE = 1024
 REMEMBERED = 300_000
 
 
@@ -219,7 +222,7 @@ class Order:
 
 
 def wanted_sets(docs: DataFrame, wanted, text: str, words: int) -> DataFrame:
-    """The shingle sets of the classes in the filter: ``node``, ``grams``; a task writes a class once."""
+    """The shingle sets of the classes in the filter: ``node``, ``grams``, ``sig``; a task writes a class once."""
 
     def run(batches):
         done = set()
@@ -234,13 +237,20 @@ def wanted_sets(docs: DataFrame, wanted, text: str, words: int) -> DataFrame:
                     sets.append(s)
             yield from set_batches(nodes, sets)
 
-    return docs.select(docs[text].alias("text")).mapInArrow(run, "node long, grams binary")
+    return docs.select(docs[text].alias("text")).mapInArrow(run, "node long, grams binary, sig array<long>")
+
+
+def signature(s: np.ndarray) -> np.ndarray:
+    """The parities of the shingles by the last bits of their hashes, in 64-bit numbers."""
+    odd = np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
 
 
 def set_batches(nodes, sets):
     for i in range(0, len(nodes), 1000):
         yield pa.RecordBatch.from_arrays([pa.array(nodes[i:i + 1000], pa.int64()),
-                                          pa.array([s.tobytes() for s in sets[i:i + 1000]], pa.binary())], names=["node", "grams"])
+                                          pa.array([s.tobytes() for s in sets[i:i + 1000]], pa.binary()),
+                                          pa.array([signature(s) for s in sets[i:i + 1000]], pa.list_(pa.int64()))], names=["node", "grams", "sig"])
 
 
 def sets_of(batch):
@@ -251,11 +261,12 @@ def count_sketch(sets: DataFrame) -> np.ndarray:
     """How many sets have a shingle in each slot; tasks add up their counts, then a stream for each part does."""
 
     def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             grams = [s for _, s in sets_of(batch)]
             if grams:
-                total += np.bincount(slots(np.concatenate(grams)), minlength=len(total))
+                at, n = np.unique(slots(np.concatenate(grams)), return_counts=True)
+                total[at] += n.astype(np.uint32)
         if total.any():
             cut = np.split(np.minimum(total, 65535).astype("<u2"), PARTS)
             yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in cut], pa.binary())],
@@ -350,30 +361,39 @@ class Join:
         some = stored(self.nodes.join(shared, "node").where(den * F.col("shared") >= num * F.col("n")).select("node", "n"), "wanted")
         wanted = sc.broadcast(np.packbits(filter_of(some)).tobytes())
         sets = wanted_sets(docs, wanted, text, words).dropDuplicates(["node"])  # the same class in several tasks
-        self.sets = stored(sets.join(some, "node").select("node", "grams"), "sets")
+        self.sets = stored(sets.join(some, "node").select("node", "n", "grams", "sig"), "sets")
         self.order = sc.broadcast(Order(count_sketch(self.sets)))
         index = stored(prefixes(self.sets, self.order, num, den), "prefixes")
-        several = (index.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("h"))
-        self.buckets = stored(index.join(several, "h"), "buckets")
+        self.buckets = stored(self.matching(index, "node"), "buckets")
         self.segments = stored(segments(self.sets, self.order), "segments")
 
+    def matching(self, rows: DataFrame, part: str) -> DataFrame:
+        """The rows that may share their shingle, within the prefixes that ``all_pairs`` names, with one of another ``part``: sets of
+        sizes n and m do if num * m is at most den * n less (num + den) * pos, and the same the other way round."""
+        room = self.den * F.col("n").cast("long") - (self.num + self.den) * F.col("pos").cast("long")
+        several = rows.groupBy("h").agg(F.min(part).alias("lo"), F.max(part).alias("hi"), F.min("n").cast("long").alias("least"), F.max(room).alias("most")).where(
+            "lo <> hi").select("h", "least", "most")
+        return rows.join(several, "h").where((self.num * F.col("least") <= room) & (self.num * F.col("n").cast("long") <= F.col("most"))).drop("least", "most")
+
     def reaches(self, overlap):
         return (self.num + self.den) * overlap >= self.num * (F.col("na") + F.col("nb"))
 
     def sized(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b, and ``c`` shared prefix shingles with their last places ``pa``, ``pb``) that may link, with
-        their sizes: all shared shingles up to the last of them are counted, later ones are at most what is left."""
-        a, b = (self.nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+        their sizes: all shared shingles up to the last of them are counted, later ones are at most what is left; and the
+        shingles of one set only are at least as many as the bits in which the signatures differ."""
+        a, b = (self.sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab")
         most = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-        return pairs.join(a, "a").join(b, "b").where(self.reaches(F.least("na", "nb", most))).select("a", "b", "na", "nb")
+        apart = F.expr(" + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(SIGNATURE // 64)))
+        return pairs.join(a, "a").join(b, "b").where(self.reaches(F.least("na", "nb", most)) & (
+            (self.num + self.den) * apart <= (self.den - self.num) * (F.col("na") + F.col("nb")))).select("a", "b", "na", "nb")
 
     def mixed(self, labels: DataFrame | None) -> DataFrame:
         """The buckets that hold several components, with these: ``h``, ``node``, ``pos``, ``n``, ``root``."""
-        rows = self.buckets
-        rows = (rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")) if labels is not None
-                else rows.withColumn("root", F.col("node")))
-        several = rows.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-        return stored(rows.join(several, "h").select("h", "node", "pos", "n", "root"), "mixed")
+        if labels is None:  # each class is one
+            return self.buckets.withColumn("root", F.col("node"))
+        rows = self.buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return stored(self.matching(rows, "root").select("h", "node", "pos", "n", "root"), "mixed")
 
     def star_pairs(self, mixed: DataFrame, number: int) -> DataFrame:
         """Each class with up to ``HUBS`` of other components: in every one of so many orders of the classes,
