@@ -2,10 +2,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import documents, empty, rows, sentence
 from vendorlens.llm import suffixes
+from vendorlens.llm.common import worker_cache
 
 
 def brute(table, size=200):
@@ -110,3 +112,18 @@ def test_anchors_are_sparse_and_follow_content():
 
 def test_empty(spark):
     assert result(empty(spark)) == []
+
+
+def test_memory_of_a_piece():
+    """What a task holds for its texts' anchors is bounded well below an executor's share, whatever the texts' length."""
+    import tracemalloc
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 2000).astype(np.uint8).tobytes().decode() for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array([1] * 1500), pa.array(texts)], names=["h", "tag", "text"])
+    worker_cache("suffix_powers").clear()
+    tracemalloc.start()
+    for held in suffixes.pieces_of([batch], 200):
+        suffixes.Shape(200).anchors([x[3] for x in held])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80 << 20

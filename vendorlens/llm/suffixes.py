@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from vendorlens.llm.common import bit_table, has_bit, stored, text_blocks, utf8, worker_cache
 
-#: Text bytes that a task hashes at a time; longer texts are taken in overlapping pieces.
-PIECE = 2 << 20
+#: Text bytes that a task hashes at a time, at some 90 bytes of arrays each; longer texts are taken in overlapping pieces.
+PIECE = 1 << 19
 #: Slots of the table of texts that may have a repeat, and of the counts of ranks.
 TEXT_SLOTS = 1 << 26
 RANK_SLOTS = 1 << 16
