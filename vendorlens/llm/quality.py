@@ -255,7 +255,7 @@ def measured(docs: DataFrame, model, key: str = "doc_id", text: str = "text", gr
             kinds.update({c: x.type for c, x in columns.items()})  # the types that came in, in every batch
             return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, kind) for c, kind in kinds.items()], names=arrow.names)
 
-        for block in text_blocks(batches, block_bytes=BLOCK_BYTES // 2):  # some 40 bytes of arrays a byte of text
+        for block in text_blocks(batches, block_bytes=BLOCK_BYTES // 4):  # some 40 bytes of arrays a byte of text
             raw = utf8(block)
             g, size = grams_of(raw)
             total = np.concatenate(([0.0], np.cumsum(logs[begin[g >> BITS] + (g & (1 << BITS) - 1)], dtype=np.float64)))

@@ -314,12 +314,16 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
 
         def portions():
             if held:
-                cols = joined(map(unpacked, held))
+                parts = {}
+                for grams in held:
+                    cols = unpacked(grams)
+                    portion = mix(cols[0]) % np.uint64(SHIPPED) if of[1] else bucket_of(cols[0])
+                    for b in np.unique(portion).tolist():
+                        mine = portion == b
+                        parts.setdefault(b, []).append([c[mine] for c in cols])
                 held.clear()
-                portion = mix(cols[0]) % np.uint64(SHIPPED) if of[1] else bucket_of(cols[0])
-                for b in np.unique(portion).tolist():
-                    mine = portion == b
-                    yield of[1], [c[mine] for c in cols], row
+                while parts:  # what has been handed on is let go
+                    yield of[1], joined(parts.pop(min(parts))), row
 
         for batch in batches:
             totals = batch.column("totals") if "totals" in batch.schema.names else [None] * len(batch)
