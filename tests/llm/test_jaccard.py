@@ -103,6 +103,17 @@ def test_pairs_below_the_threshold_are_not_counted(spark):
     assert pairs.count() > 500 and join.sized(pairs).count() <= join.verify(pairs).count() + pairs.count() // 10
 
 
+def test_pairs_that_signatures_rule_out_are_not_made(spark):
+    """All pairs of the lists that may link are rows, and hardly any other, so that rows don't grow with the square of a group's size."""
+    table = unlike_copies()
+    join = jaccard.Join(spark.createDataFrame(table, "doc_id long, text string").repartition(5), "doc_id", "text", 5, 4, 5)
+    every = jaccard.stored(join.all_pairs(join.mixed(None)))
+    made = jaccard.stored(join.all_pairs(join.signed(join.mixed(None))))
+    links = {tuple(r) for r in join.verify(every).collect()}
+    assert {tuple(r) for r in join.verify(made).collect()} == links
+    assert len(links) <= made.count() <= len(links) + every.count() // 10
+
+
 def test_signatures_bound_the_overlap():
     rng = np.random.default_rng(7)
     for size in (1, 5, 400, 5000):

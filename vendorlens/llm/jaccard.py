@@ -14,7 +14,8 @@ each prefix shingle, another in every round, with the others of its list; when t
 stops joining components, all pairs of a list that lie in different components. So a group
 of many near copies isn't expanded into all its pairs, and no link that joins two
 components is missed. Before a pair's overlap is counted, the signatures of its sets bound it: a bit of a signature is the parity of a
-set's shingles there, so two signatures differ in no more bits than their sets in shingles. ``all_links`` verifies all candidate pairs instead and returns
+set's shingles there, so two signatures differ in no more bits than their sets in shingles. Where all pairs of a list are looked at, the rows
+of the lists bring their signatures, so that a pair they rule out is never a row. ``all_links`` verifies all candidate pairs instead and returns
 every link.
 
 Shingles are 64-bit hashes and a class is known by a 64-bit digest of its set. What is
@@ -384,9 +385,16 @@ class Join:
         shingles of one set only are at least as many as the bits in which the signatures differ."""
         a, b = (self.sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab")
         most = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+        return pairs.join(a, "a").join(b, "b").where(self.reaches(F.least("na", "nb", most)) & self.alike()).select("a", "b", "na", "nb")
+
+    def alike(self):
+        """Whether the signatures ``sa`` and ``sb`` leave sets of sizes ``na`` and ``nb`` the chance of a link."""
         apart = F.expr(" + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(SIGNATURE // 64)))
-        return pairs.join(a, "a").join(b, "b").where(self.reaches(F.least("na", "nb", most)) & (
-            (self.num + self.den) * apart <= (self.den - self.num) * (F.col("na") + F.col("nb")))).select("a", "b", "na", "nb")
+        return (self.num + self.den) * apart <= (self.den - self.num) * (F.col("na").cast("long") + F.col("nb").cast("long"))
+
+    def signed(self, mixed: DataFrame) -> DataFrame:
+        """The rows of ``mixed`` with the signatures of their sets, ``sig``."""
+        return mixed.join(self.sets.select("node", "sig"), "node")
 
     def mixed(self, labels: DataFrame | None) -> DataFrame:
         """The buckets that hold several components, with these: ``h``, ``node``, ``pos``, ``n``, ``root``."""
@@ -412,12 +420,15 @@ class Join:
 
         Two sets that reach the threshold with sizes na and nb have an overlap of at least some k, so they share a shingle
         among the first na - k + 1 of one and nb - k + 1 of the other: shorter prefixes than those
-        that serve sets of any size, and none at all where the sizes differ too much."""
-        a, b = (mixed.select("h", F.col("node").alias(x), F.col("root").alias(f"r{x}"), F.col("pos").alias(f"p{x}"), F.col("n").alias(f"n{x}"))
-                for x in "ab")
+        that serve sets of any size, and none at all where the sizes differ too much. Nor are those pairs made whose
+        signatures, where the rows have them, rule out a link."""
+        cols = {"node": "", "root": "r", "pos": "p", "n": "n", "sig": "s"}
+        a, b = (mixed.select("h", *[F.col(c).alias(f"{to}{x}") for c, to in cols.items() if c in mixed.columns]) for x in "ab")
         both = self.num + self.den
         shared = (F.expr(f"{both} * cast(na - pa as long) >= {self.num} * cast(na + nb as long)")
                   & F.expr(f"{both} * cast(nb - pb as long) >= {self.num} * cast(na + nb as long)"))
+        if "sig" in mixed.columns:
+            shared &= self.alike()
         return a.join(b, "h").where("a < b AND ra <> rb").where(shared).groupBy("a", "b").agg(
             F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
 
@@ -442,7 +453,7 @@ class Join:
                 break
             # no more pairs than rows, or the stars hardly join components any more: look at every pair
             finish = row["pairs"] <= row["rows"] or last is not None and row["pairs"] > 0.8 * last
-            got = self.verify(self.all_pairs(mixed) if finish else self.star_pairs(mixed, number))
+            got = self.verify(self.all_pairs(self.signed(mixed)) if finish else self.star_pairs(mixed, number))
             links = got if links is None else links.union(got)
             roots = stored(components(_edges(links)), "roots")
             if finish:
@@ -478,5 +489,5 @@ def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text", words: i
     """Every link between classes (``a``, ``b``, ``overlap``) and the classes of the documents
     (``key``, ``n_shingles``, ``node``)."""
     join = Join(docs, key, text, words, num, den)
-    return join.verify(join.all_pairs(join.mixed(None))), join.rows.select(
+    return join.verify(join.all_pairs(join.signed(join.mixed(None)))), join.rows.select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), "node")
