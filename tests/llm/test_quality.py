@@ -3,10 +3,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.fixtures import documents, empty, rows
 from vendorlens.llm import quality, wordgrams
+from vendorlens.llm.common import worker_cache
 
 
 def base(text):
@@ -234,3 +236,32 @@ def test_long_texts(spark):
     table = [(1, " ".join(rng.choice(["mill", "river", "stone", "hill"], 900_000))), (2, "x" * (6 << 20)), (3, "\n" * 200_000), (4, "mill river")]
     out = {r["doc_id"]: r for r in quality.assess(spark.createDataFrame([(*r, "en") for r in table], "doc_id long, text string, lang string")).collect()}
     assert len(out) == 4 and out[1]["n_words"] == 900_000 and out[2]["word_chars"] == 6 << 20 and out[3]["n_words"] == 0
+
+
+def test_tasks_let_go_of_other_operators_caches(spark):
+    docs = documents(spark, parts=16)  # enough for every worker
+
+    def left(batches):
+        for batch in batches:
+            worker_cache("bpe_known")["w"] = 1
+            yield batch
+
+    schema = docs.select("text").schema
+    assert docs.select("text").mapInArrow(left, schema).count() > 0
+    quality.count_grams(docs).count()
+
+    def seen(batches):
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([len(worker_cache("bpe_known"))], pa.int64())], names=["n"])
+
+    assert not any(r["n"] for r in docs.select("text").mapInArrow(seen, "n long").collect())
+
+
+def test_a_portion_is_unpacked_by_itself():
+    rng = np.random.default_rng(9)
+    hashes = np.unique(rng.integers(0, 1 << 63, 50).astype(np.uint64))
+    key = np.sort(rng.integers(0, 1 << 40, 3000).astype(np.uint64)) % np.uint64(500)
+    key.sort()
+    word, text, count = (rng.integers(0, k, 3000).astype(np.uint32) for k in (1 << 24, len(hashes), 9))
+    ctx, *rest = wordgrams.unpacked(wordgrams.packed(key, word, text, count), wordgrams.unpacked_texts(wordgrams.packed_texts(hashes)))
+    assert (ctx == key).all() and all((a == b).all() for a, b in zip(rest, (word, hashes[text], count)))

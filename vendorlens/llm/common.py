@@ -56,13 +56,24 @@ def worker_cache(name: str, limit: int = 0) -> dict:
 
     Emptied when it holds more than ``limit`` entries (0: never).
     """
-    home = sys.modules.setdefault("_vendorlens_worker", types.ModuleType("_vendorlens_worker"))
-    cache = home.__dict__.setdefault(name, {})
+    cache = _worker_caches().setdefault(name, {})
     if limit and len(cache) > limit:
         cache.clear()
     return cache
 
 
+def let_go(*kept: str) -> None:
+    """Empties the worker's caches but for those ``kept``: what tasks of other operators have left in its process."""
+    for name, cache in _worker_caches().items():
+        if name not in kept:
+            cache.clear()
+
+
+def _worker_caches() -> dict[str, dict]:
+    home = sys.modules.setdefault("_vendorlens_worker", types.ModuleType("_vendorlens_worker"))
+    return home.__dict__.setdefault("caches", {})
+
+
 def text_blocks(batches, text: str = "text", block_bytes: int = BLOCK_BYTES):
     """Slices of Arrow record batches with about ``block_bytes`` of ``text`` each."""
     for batch in batches:

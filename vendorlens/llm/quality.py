@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import BLOCK_BYTES, as_sql_type, salted_join, stored, text_blocks, utf8, worker_cache
+from vendorlens.llm.common import BLOCK_BYTES, as_sql_type, let_go, salted_join, stored, text_blocks, utf8, worker_cache
 from vendorlens.llm.wordgrams import LINES, PIECES, SLOTS, sketch_of, sketch_pieces, word_losses, words_of
 
 ORDER = 4
@@ -75,6 +75,7 @@ def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
     """The 4-grams of all documents with their counts: ``gram``, ``c``."""
 
     def run(batches):
+        let_go()
         total = np.zeros(1 << BITS * ORDER, np.int32)
         for block in text_blocks(batches):
             g, _ = grams_of(utf8(block))
@@ -244,6 +245,7 @@ def measured(docs: DataFrame, model, key: str = "doc_id", text: str = "text", gr
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        let_go("character_model", "word_hashes")
         lines = worker_cache("character_model")  # of the last model only
         if name not in lines:
             lines.clear()

@@ -2,8 +2,8 @@
 
 Words are runs of bytes other than ASCII white space, as they stand; a text's first word follows the word 0.
 Tasks pack the bigrams of a block of texts, sorted by context, with the number of the text, and send
-each piece to the shipment of its contexts' hashes. A shipment's task holds all bigrams of its contexts in sorted
-arrays. The exchange is read twice: first to count, which gives one set of discounts for the whole corpus, then to
+each piece to the shipment of its contexts' hashes. A shipment's task unpacks all bigrams of one bucket of its contexts
+at a time, in sorted arrays. The exchange is read twice: first to count, which gives one set of discounts for the whole corpus, then to
 score every text and send on one sum per text. So the tables grow with the corpus and are never collected, and a text's bigrams travel once.
 
 The counts are those of the other texts: a text's own bigrams are taken out of a count, of its context and of the
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import text_blocks, utf8, worker_cache
+from vendorlens.llm.common import let_go, text_blocks, utf8, worker_cache
 
 VOCABULARY = 1 << 20
 BUCKET = 1 << 20
@@ -135,29 +135,45 @@ def firsts(*keys) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def packed(ctx, word, text, count, hashes) -> bytes:
+def planes(*arrays) -> bytes:
+    """Arrays byte by byte, under compression."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays))
+
+
+def arrays_of(raw, sizes_and_kinds) -> list[np.ndarray]:
+    body, at, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8), 0, []
+    for size, kind in sizes_and_kinds:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(body[at:at + size * width].reshape(width, size).T).view(kind).ravel())
+        at += size * width
+    return out
+
+
+def packed_texts(hashes) -> bytes:
+    return np.int64(len(hashes)).tobytes() + planes(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def unpacked_texts(raw) -> np.ndarray:
+    return np.cumsum(arrays_of(memoryview(raw)[8:], [(np.frombuffer(raw, np.int64, 1)[0], np.uint64)])[0], dtype=np.uint64)
+
+
+def packed(ctx, word, text, count) -> bytes:
     """Bigrams sorted by context (40 bits), as arrays under compression; words as differences under a context, modulo 2**32."""
     at = firsts(ctx)
     kinds, word = ctx[at], word.astype(np.uint32)
     step = np.diff(word, prepend=np.uint32(0))
     step[at] = word[at]
-    arrays = (np.diff(kinds, prepend=np.uint64(0)), np.diff(np.append(at, len(ctx))).astype(np.uint32), step,
-              text.astype(np.uint32), count.astype(np.uint32), np.diff(hashes, prepend=np.uint64(0)))
-    body = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays)  # byte by byte
-    return np.array([len(at), len(word), len(hashes)], np.int64).tobytes() + zstandard.ZstdCompressor(level=1).compress(body)
+    return np.array([len(at), len(word)], np.int64).tobytes() + planes(
+        np.diff(kinds, prepend=np.uint64(0)), np.diff(np.append(at, len(ctx))).astype(np.uint32), step, text.astype(np.uint32), count.astype(np.uint32))
 
 
-def unpacked(raw):
-    contexts, n, texts = np.frombuffer(raw, np.int64, 3).tolist()
-    body, at, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(raw)[24:]), np.uint8), 0, []
-    for size, kind in ((contexts, np.uint64), (contexts, np.uint32), (n, np.uint32), (n, np.uint32), (n, np.uint32), (texts, np.uint64)):
-        width = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(body[at:at + size * width].reshape(width, size).T).view(kind).ravel())
-        at += size * width
-    ctx, runs, step, text, count, hashes = out
+def unpacked(raw, hashes):
+    """The bigrams with their texts' ``hashes`` in place of numbers."""
+    contexts, n = np.frombuffer(raw, np.int64, 2).tolist()
+    ctx, runs, step, text, count = arrays_of(memoryview(raw)[16:], [(contexts, np.uint64), (contexts, np.uint32), *[(n, np.uint32)] * 3])
     word, begin = np.cumsum(step, dtype=np.uint32), np.cumsum(runs) - runs
     word -= np.repeat(word[begin] - step[begin], runs)
-    return np.repeat(np.cumsum(ctx, dtype=np.uint64), runs), word, np.cumsum(hashes, dtype=np.uint64)[text], count
+    return np.repeat(np.cumsum(ctx, dtype=np.uint64), runs), word, hashes[text], count
 
 
 def joined(rows) -> list[np.ndarray]:
@@ -254,6 +270,7 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
         return (ctx * np.uint64(buckets) >> np.uint64(40)).astype(np.int64)  # rises with the context
 
     def pack(batches):
+        let_go("word_hashes")
         held, size = [], 0
         for block in text_blocks(batches):
             raw = utf8(block)
@@ -291,51 +308,53 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
     def sent(apart, key, text, hashes, to):
         if not len(key):
             return
-        order = np.argsort(key, kind="stable") if to is None else np.lexsort((key, to))  # a text's bigrams stay together
+        if to is None:
+            order = np.argsort(key, kind="stable")  # a text's bigrams stay together
+        else:  # by portions of a shipment
+            order = np.lexsort((key, to := to * SHIPPED + (mix(key >> np.uint64(24)) % np.uint64(SHIPPED)).astype(np.int64)))
         key, text = key[order], text[order]
         at = firsts(key, text)
         count = np.diff(np.append(at, len(key)))
         key, text = key[at], text[at]
         ctx = key >> np.uint64(24)
-        to = bucket_of(ctx) // SHIPPED if to is None else to[order[at]]
-        begins = firsts(to)
+        to = bucket_of(ctx) if to is None else to[order[at]]
+        del order, at
+        begins = firsts(to // SHIPPED)
         for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(key)]):
             mine = np.zeros(len(hashes), bool)
             mine[text[lo:hi]] = True
             number = np.cumsum(mine) - 1
+            shipment = int(to[lo]) // SHIPPED
+            cuts = (lo + np.searchsorted(to[lo:hi], shipment * SHIPPED + np.arange(SHIPPED + 1))).tolist()
+            portions = [packed(ctx[i:j], key[i:j] & WORD, number[text[i:j]], count[i:j]) if i < j else None for i, j in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(to[lo])], pa.int64()), pa.array([apart]),
-                 pa.array([packed(ctx[lo:hi], key[lo:hi] & WORD, number[text[lo:hi]], count[lo:hi], hashes[mine])], pa.binary())],
-                names=["shipment", "apart", "grams"])
+                [pa.array([shipment], pa.int64()), pa.array([apart]), pa.array([packed_texts(hashes[mine])], pa.binary()),
+                 pa.array([portions], pa.list_(pa.binary()))], names=["shipment", "apart", "texts", "grams"])
 
     def shipped(batches):
         """What a shipment holds, in portions of about a bucket: whether of contexts apart, the bigrams and the ``totals`` row."""
         held, of, row = [], None, None
 
         def portions():
-            if held:
-                parts = {}
-                for grams in held:
-                    cols = unpacked(grams)
-                    portion = mix(cols[0]) % np.uint64(SHIPPED) if of[1] else bucket_of(cols[0])
-                    for b in np.unique(portion).tolist():
-                        mine = portion == b
-                        parts.setdefault(b, []).append([c[mine] for c in cols])
-                held.clear()
-                while parts:  # what has been handed on is let go
-                    yield of[1], joined(parts.pop(min(parts))), row
+            for b in range(SHIPPED if held else 0):  # the others stay packed
+                parts = [unpacked(grams[b].as_buffer(), unpacked_texts(texts.as_buffer())) for texts, grams in held if grams[b].is_valid]
+                if parts:
+                    yield of[1], joined(parts), row
+            held.clear()
 
         for batch in batches:
             totals = batch.column("totals") if "totals" in batch.schema.names else [None] * len(batch)
-            for shipment, apart, grams, now in zip(*(batch.column(c).to_pylist() for c in ("shipment", "apart")), batch.column("grams"), totals):
+            for shipment, apart, texts, grams, now in zip(*(batch.column(c).to_pylist() for c in ("shipment", "apart")),
+                                                          batch.column("texts"), batch.column("grams"), totals):
                 if (shipment, apart) != of:
                     yield from portions()
                     of = shipment, apart
                 row = now
-                held.append(grams.as_buffer())  # not copied
+                held.append((texts, grams))  # not copied
         yield from portions()
 
     def tally(batches):
+        let_go()
         every = np.zeros(4, np.int64)
         for apart, grams, _ in shipped(batches):
             contexts, n = tallied(*grams)
@@ -349,23 +368,20 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
         return pa.RecordBatch.from_arrays([contexts, pa.array(which, pa.int32()), pa.array(n)], names=["ctx", "which", "n"])
 
     def score(batches):
+        let_go()
         sums = []
 
         def out():
             if sums:
                 text, loss = added(sums)
                 sums.clear()
-                yield from parted(text, lambda mine: b"".join(
-                    np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-                    for x in (np.diff(text[mine], prepend=np.uint64(0)), loss[mine].astype(np.float32))), False)
+                yield from parted(text, lambda mine: (packed_texts(text[mine]), planes(loss[mine].astype(np.float32))), False)
 
         def parted(text, body, apart):
             part = text % np.uint64(ends)
             for p in np.unique(part).tolist():
-                raw = body(part == p)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([2 if apart else 1], pa.int32()),
-                     pa.array([raw if apart else zstandard.ZstdCompressor(level=1).compress(raw)], pa.binary())], names=["part", "kind", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([2 if apart else 1], pa.int32()),
+                                                  *[pa.array([x], pa.binary()) for x in body(part == p)]], names=["part", "kind", "texts", "body"])
 
         for apart, grams, totals in shipped(batches):
             if apart:
@@ -376,7 +392,7 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
 
                 def body(mine):
                     hashes, number = np.unique(text[mine], return_inverse=True)
-                    return packed(ctx[mine], other[mine], number, count[mine], hashes)
+                    return packed_texts(hashes), packed(ctx[mine], other[mine], number, count[mine])
 
                 yield from parted(text, body, True)
                 continue
@@ -391,6 +407,7 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
         return np.array([0.0, *discounts(totals)])
 
     def add(batches):
+        let_go()
         held, grams, of, known = [], [], None, None
 
         def settle():
@@ -407,7 +424,7 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(text.view(np.int64)), pa.array(loss)], names=["text_hash", "word_loss"])
 
         for batch in batches:
-            for part, kind, body, totals, table in zip(*(batch.column(c) for c in ("part", "kind", "body", "totals", "tallies"))):
+            for part, kind, texts, body, totals, table in zip(*(batch.column(c) for c in ("part", "kind", "texts", "body", "totals", "tallies"))):
                 if part != of:
                     yield from out()
                     of, known = part, None
@@ -418,18 +435,16 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
                     tallies[which, at] = n
                     known = steps_of(totals.as_py()), contexts, tallies
                     continue
+                hashes = unpacked_texts(texts.as_buffer())
                 if kind.as_py() == 2:
-                    grams.append(unpacked(body.as_py()))
+                    grams.append(unpacked(body.as_buffer(), hashes))
                     continue
-                raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body.as_py()), np.uint8)
-                n = len(raw) // 12
-                planes = lambda x, kind: np.ascontiguousarray(x.reshape(-1, n).T).view(kind).ravel()
-                held.append((np.cumsum(planes(raw[:8 * n], np.uint64), dtype=np.uint64), planes(raw[8 * n:], np.float32).astype(np.float64)))
+                held.append((hashes, arrays_of(body.as_buffer(), [(len(hashes), np.float32)])[0].astype(np.float64)))
                 if len(held) > 64:
                     held[:] = [added(held)]
         yield from out()
 
-    grams = rows.mapInArrow(pack, "shipment long, apart boolean, grams binary").repartition("shipment")
+    grams = rows.mapInArrow(pack, "shipment long, apart boolean, texts binary, grams array<binary>").repartition("shipment")
     # in rows, so that both uses below have one exchange
     tallies = (grams.sortWithinPartitions("shipment", "apart").mapInArrow(tally, "ctx long, which int, n long")
                .groupBy("ctx", "which").agg(F.sum("n").alias("n")))
@@ -437,8 +452,9 @@ def word_losses(docs: DataFrame, discounts, text: str = "text", counts: DataFram
     known = tallies.agg(F.array(*[F.coalesce(F.sum(F.when(F.col("ctx").isNull() & (F.col("which") == k), F.col("n"))), F.lit(0)) for k in range(4)]).alias("totals"),
                         F.collect_list(F.when(F.col("ctx").isNotNull(), F.struct("ctx", "which", "n"))).alias("tallies"))
     each = (grams.crossJoin(F.broadcast(known.select("totals"))).sortWithinPartitions("shipment", "apart")
-            .mapInArrow(score, "part int, kind int, body binary"))
-    for_all = docs.sparkSession.range(ends).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("body"))
+            .mapInArrow(score, "part int, kind int, texts binary, body binary"))
+    for_all = docs.sparkSession.range(ends).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("kind"),
+                                                     *[F.lit(None).cast("binary").alias(c) for c in ("texts", "body")])
     return (each.withColumns({c: F.lit(None).cast(known.schema[c].dataType) for c in ("totals", "tallies")})
             .unionByName(for_all.crossJoin(F.broadcast(known)))
             .repartition("part").sortWithinPartitions("part", "kind").mapInArrow(add, "text_hash long, word_loss double"))
