@@ -238,6 +238,18 @@ def test_long_texts(spark):
     assert len(out) == 4 and out[1]["n_words"] == 900_000 and out[2]["word_chars"] == 6 << 20 and out[3]["n_words"] == 0
 
 
+def test_word_hashes_without_a_table_of_words():
+    raw = [b"", b" \t\n", b"mill", b"the mill\x0bturns \x1c\xc2\x85 the " + b"x" * 31 + b" " + b"x" * 32, b"x" * 33 + b"\r" + b"x" * 33 + b" x\x00 x", b"mill"]
+    hashes, size = wordgrams.words_of(raw)
+    words = [w for t in raw for w in t.split()]
+    assert size.tolist() == [len(t.split()) for t in raw] and len(hashes) == len(words)
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    many, _ = wordgrams.words_of([b" ".join(b"%d" % i for i in range(400_000))])
+    assert len(np.unique(many)) == 400_000 and not worker_cache("word_hashes")
+    low = np.bincount((many & np.uint64(1023)).astype(np.int64), minlength=1024)
+    assert 0.8 < low.var() / low.mean() < 1.2
+
+
 def test_tasks_let_go_of_other_operators_caches(spark):
     docs = documents(spark, parts=16)  # enough for every worker
 

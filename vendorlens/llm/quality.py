@@ -245,7 +245,7 @@ def measured(docs: DataFrame, model, key: str = "doc_id", text: str = "text", gr
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        let_go("character_model", "word_hashes")
+        let_go("character_model")
         lines = worker_cache("character_model")  # of the last model only
         if name not in lines:
             lines.clear()
