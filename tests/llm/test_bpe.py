@@ -56,3 +56,33 @@ def test_round_trip_and_empty(spark):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary('{"model": {"type": "WordPiece", "vocab": {}, "merges": []}, "pre_tokenizer": null}')
+
+
+def test_early_ranks_as_arrays_equal_the_library(library, monkeypatch):
+    """Runs of one symbol, words that meet other words in a block, and every place where the array merges may end."""
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        v = bpe.Vocabulary(f.read())
+    monkeypatch.setattr(bpe, "LARGE", 1)
+    rng = random.Random(5)
+    words = ["aaaaaaa", "eeee", "nnnnn", "inining", "erererer", "thethethe", "é中文", "x's", "(on)", "a\nb", "'ll", "onon\tan"]
+    words += ["".join(rng.choice(["th", "er", "on", "an", "in", "s", "e", ",", "7", "ß"]) for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    texts = [rng.choice(["", " ", "\n"]) + " ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) + rng.choice(["", " ", ".", " <|endoftext|> a b c"])
+             for _ in range(150)] + ["", " ", "a b", "a  b c d"]
+    for early in (0, 3, 500, len(v.merge)):
+        monkeypatch.setattr(bpe, "EARLY", early)
+        for t, ids in zip(texts, bpe.encode_block(texts, v, {}, {})):
+            assert bpe.array_of(ids) == library.encode(t, add_special_tokens=False).ids, (early, t)
+
+
+def test_words_in_use_are_merged_once(monkeypatch):
+    """What a worker forgets when it knows too many pre-tokens is not what all its blocks use."""
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        v = bpe.Vocabulary(f.read())
+    v.name = "words in use"
+    merged, merge_words = [], bpe.merge_words
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    monkeypatch.setattr(bpe, "merge_words", lambda words, v: merged.extend(words) or merge_words(words, v))
+    for k in range(30):
+        bpe.encode_block(["begin river stone hills " + " ".join(f"w{k}x{i}" for i in range(7)) + " end"], v, *bpe.remembered(v))
+        assert sum(map(len, bpe.remembered(v))) < 100
+    assert [merged.count(x) for x in ("begin", " river", " stone", " hills", " end")] == [1] * 5

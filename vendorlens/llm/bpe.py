@@ -3,7 +3,8 @@
 A task takes its partition in blocks of texts. The distinct pre-tokens of a block lie
 in one array of symbols, and an index maps every mergeable pair to all its positions in
 that array. The active ranks are applied in ascending order from a heap; each merge
-touches only its own list and appends the two pairs that it creates to theirs.
+touches only its own list and appends the two pairs that it creates to theirs. The lists of
+the lowest ranks are long in a large block; they are merged as arrays.
 
 Defined results: a null text is the empty text (no ids); rows repeat as they come; an
 empty table gives an empty table; other columns are ignored.
@@ -17,6 +18,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
@@ -33,6 +35,10 @@ AFTER_WHITE = [chr(x) + " " for x in (*range(9, 14), 32, 0x85, 0xa0, 0x1680, *ra
 #: Pre-tokens whose ids a worker remembers; a bound on memory only.
 REMEMBERED = 300_000
 
+#: Ranks that are applied to all positions at once, where there are as many symbols as ``LARGE``; both choose speed only.
+EARLY = 500
+LARGE = 100_000
+
 
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-in of each byte in a byte-level vocabulary, to the byte."""
@@ -88,6 +94,64 @@ class Vocabulary:
         self.split = regex.compile(SPLIT)
 
 
+def by_rank(positions: np.ndarray, ranks: np.ndarray):
+    """The ranks that occur, ascending, each with its positions."""
+    order = np.argsort(ranks, kind="stable")
+    positions, ranks = positions[order], ranks[order]
+    at = np.flatnonzero(np.diff(ranks, prepend=-1))
+    return ((r, positions[x:y]) for r, x, y in zip(ranks[at].tolist(), at.tolist(), [*at[1:].tolist(), len(ranks)]))
+
+
+def merge_early(sym: np.ndarray, nxt: np.ndarray, prv: np.ndarray, positions: np.ndarray, ranks: np.ndarray, v: Vocabulary):
+    """Applies the ranks below ``EARLY``, whose lists are long, in ascending order: a whole list of positions at a time.
+
+    Changes ``sym``, ``nxt`` and ``prv``; returns the positions and ranks of the pairs left, some of them gone since.
+    """
+    early = ranks < EARLY
+    rest = [(positions[~early], ranks[~early])]
+    index = {r: [x] for r, x in by_rank(positions[early], ranks[early])}
+    heap = list(index)
+    row = np.full(len(v.byte_rank) + max(v.token_bytes) + 2, -1, np.int64)  # the last for the end of a word
+
+    def add(at, ranks_of, beside):
+        """To the index the pairs at ``at`` that have a rank by their other symbol."""
+        if not ranks_of or not len(at):
+            return
+        others = np.fromiter(ranks_of, np.int64, len(ranks_of))
+        row[others] = np.fromiter(ranks_of.values(), np.int64, len(ranks_of))
+        q = row[beside]
+        row[others] = -1
+        rest.append((at[q >= EARLY], q[q >= EARLY]))
+        now = (q >= 0) & (q < EARLY)
+        for r, x in by_rank(at[now], q[now]):
+            if r not in index:
+                index[r] = []
+                heapq.heappush(heap, r)
+            index[r].append(x)
+
+    while heap:
+        r = heapq.heappop(heap)
+        a, b, c = v.merge[r]
+        i = np.sort(np.concatenate(index.pop(r)))
+        j = nxt[i]
+        here = (sym[i] == a) & (sym[j] == b)  # where no earlier merge took one of the two
+        i, j = i[here], j[here]
+        if a == b:  # of a run of equal symbols every other pair
+            at = np.arange(len(i))
+            begins = np.ones(len(i), bool)
+            begins[1:] = j[:-1] != i[1:]
+            odd = (at - np.maximum.accumulate(np.where(begins, at, 0))) % 2 == 1
+            i, j = i[~odd], j[~odd]
+        k = nxt[j]
+        sym[i], sym[j] = c, -2
+        nxt[i], prv[k] = k, i
+        p = prv[i]
+        add(i, v.after.get(c), sym[k])
+        p = p[sym[p] != c]  # between two new symbols the pair is there already
+        add(p, v.before.get(c), sym[p])
+    return [np.concatenate(x) for x in zip(*rest)]
+
+
 def merge_words(words: list[str], v: Vocabulary) -> list[bytes]:
     """The ids of each word as little-endian 32-bit integers."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -97,19 +161,20 @@ def merge_words(words: list[str], v: Vocabulary) -> list[bytes]:
     inside = np.ones(len(flat), bool)
     inside[ends] = False
     flat[inside] = v.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-    n, sym = len(flat), flat.tolist()
-    nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+    n = len(flat)
+    nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
 
     # The index: each rank's pair to its positions, first those of neighbouring bytes.
     both = np.flatnonzero(inside[:-1] & inside[1:]) if n else np.empty(0, np.int64)
     first = v.byte_rank[flat[both], flat[both + 1]] if len(both) else both
     both, first = both[first >= 0], first[first >= 0]
-    order = np.argsort(first, kind="stable")
-    both, first = both[order], first[order]
-    at = np.flatnonzero(np.diff(first, prepend=-1))
-    heap = first[at].tolist()  # ascending, so already a heap
+    if n >= LARGE:
+        both, first = merge_early(flat, nxt, prv, both, first, v)
+    sym, nxt, prv = flat.tolist(), nxt.tolist(), prv.tolist()
     index: list[list[int] | None] = [None] * len(v.merge)
-    for r, positions in zip(heap, np.split(both, at[1:])):
+    heap = []  # ascending, so already a heap
+    for r, positions in by_rank(both, first):
+        heap.append(r)
         index[r] = positions.tolist()
 
     pop, push, merge, none = heapq.heappop, heapq.heappush, v.merge, {}
@@ -148,52 +213,85 @@ def merge_words(words: list[str], v: Vocabulary) -> list[bytes]:
 
 
 def encode_block(block: list[str], v: Vocabulary, known: dict[str, bytes],
-                 spaced: dict[str, bytes]) -> list[bytes]:
+                 older: dict[str, bytes]) -> list[bytes]:
     """The ids of each text as little-endian 32-bit integers.
 
     A pre-token never crosses a space that follows a visible character. So what stands
-    between two spaces is split and merged once, however often it occurs: ``spaced``
-    maps it to the ids of a space and itself. A text with a space after white space is
-    split as a whole.
+    between two spaces is a word that is split once a block, however often it occurs, and a
+    pre-token is merged unless its ids are in ``known`` or ``older``; those used come to
+    ``known``. A text with a space after white space is split as a whole.
     """
     split, special = v.split.findall, v.special
-    rows, fresh, new = [], set(), set()
+    rows, middles, used = [], [], set()
     for t in block:
         pieces = []
         for p in v.cut.split(t) if v.cut else [t]:
             if p in special:
                 pieces.append(p)
                 continue
-            c = [] if any(w in p for w in AFTER_WHITE) else p.split(" ")
-            if len(c) < 3:
-                cut = split(p), (), ()
+            i, j = p.find(" "), p.rfind(" ")
+            if i == j or any(w in p for w in AFTER_WHITE):
+                cut = split(p), None
             else:
-                cut = split(c[0]), c[1:-1], split(f" {c[-1]}")
-                fresh.update(cut[1])
-            new.update(cut[0], cut[2])
+                cut = split(p[:i]), split(p[j:])
+                middles.append(p[i + 1:j])
+            used.update(cut[0], cut[1] or ())
             pieces.append(cut)
         rows.append(pieces)
-    inner = {x: split(f" {x}") for x in fresh.difference(spaced)}
-    new.update(*inner.values())
-    new = list(new.difference(known))
+    split_words = pa.compute.split_pattern(pa.array(middles, pa.string()), " ")
+    words = split_words.flatten().dictionary_encode()
+    # A word of ASCII letters is a pre-token with its space. The others, none of which ends in
+    # white space, are split together: each begins where a space does.
+    plain = pa.compute.ascii_is_alpha(words.dictionary)
+    one = led(words.dictionary.filter(plain), "\n ").split("\n")[1:]
+    many = split(led(words.dictionary.filter(pa.compute.invert(plain)), " "))
+    used.update(one, many)
+    new = used.difference(known)
+    again = new.intersection(older)
+    known.update(zip(again, map(older.__getitem__, again)))
+    new = list(new - again)
     known.update(zip(new, merge_words(new, v)))
     ids = known.__getitem__
-    spaced.update((x, b"".join(map(ids, p))) for x, p in inner.items())
-    between = spaced.__getitem__
+    parts = list(map(ids, many))
+    begins = [i for i, x in enumerate(many) if x[0] == " "]
+    of_word = [*map(ids, one), *(b"".join(parts[i:j]) for i, j in zip(begins, [*begins[1:], len(many)]))]
+    at = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")  # the words in the order of of_word
+    place = np.empty(len(at), np.int64)
+    place[at] = np.arange(len(at))
+    between = gathered(of_word, place[words.indices.to_numpy()], split_words.offsets.to_numpy())
     out = []
     for pieces in rows:
         got = []
         for p in pieces:
             if isinstance(p, str):
                 got.append(np.array([special[p]], "<u4").tobytes())
-            else:
-                got += map(ids, p[0])
-                got += map(between, p[1])
-                got += map(ids, p[2])
+                continue
+            got += map(ids, p[0])
+            if p[1]:
+                got.append(next(between))
+                got += map(ids, p[1])
         out.append(b"".join(got))
     return out
 
 
+def led(words: pa.Array, by: str) -> str:
+    """All words in one string, each after ``by``."""
+    if not len(words):
+        return ""
+    return by + pa.compute.binary_join(pa.ListArray.from_arrays([0, len(words)], words), by)[0].as_py()
+
+
+def gathered(ids: list[bytes], order: np.ndarray, bounds: np.ndarray):
+    """The ids of the words ``order[bounds[k]:bounds[k + 1]]`` for each k; ``ids`` has those of every distinct word."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    pool = np.frombuffer(b"".join(ids), "<u4")
+    size = n[order]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    flat = pool[np.repeat((np.cumsum(n) - n)[order] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+    at = (ends[bounds] * 4).tolist()
+    return (flat[x:y] for x, y in zip(at, at[1:]))
+
+
 def decode_ids(ids: bytes, v: Vocabulary) -> str:
     """The text of ids; bytes that aren't UTF-8 become replacement characters."""
     return b"".join(map(v.token_bytes.__getitem__, array_of(ids))).decode("utf-8", "replace")
@@ -214,8 +312,13 @@ def load_vocabulary(spec) -> Vocabulary:
 
 
 def remembered(v: Vocabulary) -> tuple[dict, dict]:
-    """What a worker knows of a vocabulary's pre-tokens."""
-    return worker_cache(f"bpe_known_{v.name}", REMEMBERED), worker_cache(f"bpe_spaced_{v.name}", REMEMBERED)
+    """What a worker knows of a vocabulary's pre-tokens, and what it knew before; it forgets those not used lately."""
+    known, older = worker_cache(f"bpe_known_{v.name}"), worker_cache(f"bpe_older_{v.name}")
+    if len(known) > REMEMBERED:
+        older.clear()
+        older.update(known)
+        known.clear()
+    return known, older
 
 
 def encode_decode(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
